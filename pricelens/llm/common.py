@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A side of a join is broadcast only when it was counted and has at most so many rows of a few dozen bytes.
 BROADCAST_ROWS = 1_000_000
@@ -65,6 +70,19 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+_shipped: weakref.WeakSet = weakref.WeakSet()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a context, so that it need not be installed on the executors."""
+    sc = spark.sparkContext
+    if sc not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        folder = tempfile.mkdtemp()
+        sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(sc)
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[list[list]], dict[str, object]]], schema: str, keep: list[str] | None = None
 ) -> DataFrame:
@@ -74,13 +92,11 @@ def map_rows(
     arrays). ``keep`` columns are passed on as they are, by position, so clashing names do no harm; ``schema`` is that of
     the new columns.
     """
+    ship(df.sparkSession)
     keep = keep or []
-    new = df.sparkSession.createDataFrame([], schema).schema
-    kept = [df.schema[c] for c in keep]
-    out = type(new)(kept + list(new))
+    new = T.StructType.fromDDL(schema)
+    out = T.StructType([df.schema[c] for c in keep] + list(new))
     names = [f.name for f in new]
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(out)
     rest = [i for i, c in enumerate(df.columns) if c not in keep]
     held = [df.columns.index(c) for c in keep]
