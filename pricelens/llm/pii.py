@@ -89,9 +89,11 @@ _SPELLED = dict(zip(("zero", "one", "two", "three", "four", "five", "six", "seve
 _WORD = "(?:" + "|".join(_SPELLED) + ")"
 _GAP = r"[\s,-]+"
 _RUN = rf"\b{_WORD}(?:{_GAP}(?:{_WORD}|[0-9]+))+\b"
+# Endings that let unbracketed words stand for an address.
+_ENDING = "(?:com|org|net|edu|gov|io|co|info|biz|de|fr|es|it|nl|uk|us|eu|ch|at)"
 _OPEN, _CLOSE = r"\s*[(\[{<]\s*", r"\s*[)\]}>]\s*"
 _RULES = re.compile(
-    rf"(?P<at>{_OPEN}at{_CLOSE}|(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:\s+dot\s+|{_OPEN}dot{_CLOSE})[A-Za-z]))"
+    rf"(?P<at>{_OPEN}at{_CLOSE}|(?<=[A-Za-z0-9])\s+at\s+(?=(?:[A-Za-z0-9-]+\s+dot\s+)+{_ENDING}\b|[A-Za-z0-9-]+{_OPEN}dot{_CLOSE}))"
     rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
     rf"|(?P<plus>\bplus\s+(?={_WORD}\b|[0-9]))"
     rf"|(?P<run>{_RUN})",

@@ -33,16 +33,16 @@ def word_hashes(words: list[str]) -> np.ndarray:
     out = []
     for i in range(0, len(words), CHUNK_WORDS):
         part = words[i : i + CHUNK_WORDS]
-        raw = " ".join(part).encode("utf-8", "replace")
+        raw = (" ".join(part) + " ").encode("utf-8", "replace")
         data = np.frombuffer(raw, dtype=np.uint8)
-        gaps = np.flatnonzero(data == 32)
-        starts = np.concatenate([[0], gaps + 1])
-        lengths = np.diff(np.concatenate([starts, [len(data) + 1]]))
+        starts = np.concatenate([[0], np.flatnonzero(data == 32) + 1])  # the last one ends the text
+        lengths = np.diff(starts)
         if lengths.max() > LONG_WORD:
             part = [w if len(w) * 4 < LONG_WORD else "\0" + hashlib.blake2b(w.encode("utf-8", "replace")).hexdigest() for w in part]
             out.append(word_hashes(part))
             continue
-        at = np.arange(len(data)) - np.repeat(starts, lengths)[: len(data)]
+        starts = starts[:-1]
+        at = np.arange(len(data)) - np.repeat(starts, lengths)
         terms = (data.astype(_U) + _U(1)) * _POWERS[at]
         out.append(mix(np.add.reduceat(terms, starts)))
     return np.concatenate(out) if out else np.zeros(0, dtype=_U)
