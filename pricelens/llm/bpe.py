@@ -17,13 +17,10 @@ from pyspark.sql import functions as F
 
 from .common import map_rows
 
-#: Distinct pieces whose ids a Python worker remembers; it forgets all of them beyond that.
-MEMO_PIECES = 300_000
-#: Longer pieces are encoded but not remembered.
-MEMO_CHARS = 64
+#: Longer texts are split into pieces of about so many characters before they are encoded.
+PIECE_CHARS = 50_000
 
-_GAP = re.compile(r"\s ")
-_SAFE = re.compile(r"(?<=\S)(?= )")
+_SAFE = re.compile(r"(?<=\S) ")
 
 
 @lru_cache(maxsize=4)
@@ -36,46 +33,25 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-class Pieces(dict):
-    """ids of ' ' + piece as int32 bytes, encoded by tiktoken when first asked for."""
+def split_safely(text: str, size: int = PIECE_CHARS) -> list[str]:
+    """The text in pieces of at least ``size`` characters (but for the last), cut before a space that follows no white space.
 
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.asarray(self.encode(" " + piece), dtype=np.int32).tobytes()
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-def split_safely(text: str) -> tuple[str, list[str]]:
-    """The text up to the first safe boundary, and the pieces after it, each without the one space that it begins with.
-
-    A space after a character that is no white space is safe: in the pre-tokenising pattern a space can only begin a match
-    or stand in a run of white space, so no match crosses it and none before it looks beyond it.
+    In the pre-tokenising pattern a space can only begin a match or stand in a run of white space, so no match crosses such
+    a cut and none before it looks beyond it. A stretch without one stays whole.
     """
-    if _GAP.search(text) is None:
-        first, *rest = text.split(" ")
-        return first, rest
-    first, *rest = _SAFE.split(text)
-    return first, [x[1:] for x in rest]
+    out, at = [], 0
+    while len(text) - at > size and (m := _SAFE.search(text, at + size)):
+        out.append(text[at : m.start()])
+        at = m.start()
+    return out + [text[at:]]
 
 
 def encoder(path: str, pattern: str):
     """A function from a text to its ids as int32 bytes, equal to encode_ordinary() on the whole text."""
     encode = encoding(path, pattern).encode_ordinary
-    pieces = Pieces(encode)
 
     def run(text: str | None) -> bytes:
-        if not text:
-            return b""
-        first, rest = split_safely(text)
-        head = np.asarray(encode(first), dtype=np.int32).tobytes()
-        return head + b"".join(map(pieces.__getitem__, rest))
+        return b"".join(np.asarray(encode(p), dtype=np.int32).tobytes() for p in split_safely(text)) if text else b""
 
     return run
 

@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, host_rules, jaccard, pii, secret_scan
+from . import bpe, decontaminate, host_rules, jaccard, pii, repeats, secret_scan, training_order, url_filter, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Key of the training order.
+TRAINING_KEY = 20240101
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +27,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.find(table(spark, sf_dir, "documents")))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
@@ -33,10 +39,23 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, PATTERN))
 
 
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = training_order.materialise(table(spark, sf_dir, "documents"), RANKS, PATTERN, TRAINING_KEY)
+    return training_order.read_shards(manifest).select("slot", "sequence", "n_tokens", "shard", "offset", "tokens_sha256")
+
+
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_rules.host_quality(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -78,9 +97,13 @@ FROM f LEFT JOIN host USING (source)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
+    "op3_url_filter": op3_url_filter,
     "op4_pii": op4_pii,
+    "op5_warc": op5_warc,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_training_order": op9_training_order,
     "op10_host_rules": op10_host_rules,
 }
 SQL: dict[str, str] = {"op10_host_rules": OP10_SQL}

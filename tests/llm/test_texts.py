@@ -35,6 +35,16 @@ def test_bpe_equals_whole_text_encoding(spark):
         assert out[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_bpe_splits_change_nothing():
+    enc = bpe.encoding(RANKS, PATTERN)
+    rng = random.Random(8)
+    for _ in range(300):
+        t = "".join(rng.choice(["ab", " ", "1", "\n", "\t", "'s", "\x1c", "\x85", "\u3000", ".", "é"]) for _ in range(60))
+        parts = bpe.split_safely(t, 5)
+        assert "".join(parts) == t
+        assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(t)
+
+
 def test_bpe_empty_table_null_ids_and_repeats(spark):
     assert bpe.round_trip(docs(spark, []), RANKS, PATTERN).count() == 0
     assert bpe.round_trip(docs(spark, ["a b", "a b", None], ids=[None, 1, 1]), RANKS, PATTERN).count() == 3
