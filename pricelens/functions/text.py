@@ -12,8 +12,12 @@ WIDE_SPACE = r"[\s\x{00A0}\x{202F}]+"
 
 #: UTF-8 lead bytes of two- and three-byte characters that were read as Latin-1, with what follows them.
 MOJIBAKE = r"[\x{00C2}-\x{00C3}][\x{0080}-\x{00BF}]|[\x{00E4}-\x{00E9}][\x{0080}-\x{00BF}]{2}"
-# A text is repaired only if all of it is Latin-1 and its bytes are valid UTF-8 of one to three bytes.
-_REPAIRABLE = r"^(?:[\x{0000}-\x{007F}]|[\x{00C2}-\x{00DF}][\x{0080}-\x{00BF}]|[\x{00E0}-\x{00EF}][\x{0080}-\x{00BF}]{2})*$"
+# What makes a text no UTF-8 that was read as Latin-1: a wider character, a lead byte without what must follow, a byte that must
+# follow without its lead, or a sequence that UTF-8 forbids. Each alternative looks at four characters at most.
+_UNREPAIRABLE = (
+    r"[^\x{0000}-\x{00FF}]|[\x{00C0}\x{00C1}\x{00F0}-\x{00FF}]|[\x{00C2}-\x{00DF}](?![\x{0080}-\x{00BF}])|[\x{00E0}-\x{00EF}](?![\x{0080}-\x{00BF}]{2})"
+    r"|(?<![\x{00C2}-\x{00EF}])(?<![\x{00E0}-\x{00EF}][\x{0080}-\x{00BF}])[\x{0080}-\x{00BF}]|\x{00E0}[\x{0080}-\x{009F}]|\x{00ED}[\x{00A0}-\x{00BF}]"
+)
 
 
 def lookup(key: Column, mapping: Mapping[str, object], default: object = None) -> Column:
@@ -118,7 +122,7 @@ def has_mojibake(c: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """UTF-8 that was read as Latin-1 as it was meant; text that isn't such as a whole stays as it is."""
-    safe = c.rlike(MOJIBAKE) & c.rlike(_REPAIRABLE)
+    safe = c.rlike(MOJIBAKE) & ~c.rlike(_UNREPAIRABLE)
     return F.when(safe, F.decode(F.encode(F.when(safe, c), "ISO-8859-1"), "UTF-8")).otherwise(c)
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Readings that an object needs before its own history is its reference.
 MIN_HISTORY = 3
+#: A market's factor is a median over all its readings; this keeps its rank within a millionth.
+LADDER_ACCURACY = 1_000_000
 
 
 def pre_fate(trusted: Column, issues: Column, status: Column) -> Column:
@@ -43,7 +45,7 @@ def anchor_prices(scored: DataFrame, anchor: str, market: str = "market", sku: s
 def price_ladder(scored: DataFrame, anchors: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
     """For each market, the median ratio of its prices to the anchor's."""
     rows = scored.filter(F.col("pre_fate").isNull() & (F.col(value) > 0)).join(anchors, [sku, date])
-    return rows.groupBy(market).agg(F.percentile_approx(F.try_divide(F.col(value).cast("double"), F.col("anchor_price").cast("double")), 0.5).alias("ladder_factor"))
+    return rows.groupBy(market).agg(F.percentile_approx(F.try_divide(F.col(value).cast("double"), F.col("anchor_price").cast("double")), 0.5, LADDER_ACCURACY).alias("ladder_factor"))
 
 
 def reference_price(scored: DataFrame, anchors: DataFrame, ladder: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date") -> DataFrame:

@@ -2,5 +2,507 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pricelens.operators import asof, assertions, classify, gate, history, marts, metrics, products, published, reports, triage
+from pricelens.plans import adapters as a
+from pricelens.plans import crawl_queries
+from pricelens.plans.adapters import sql
+from pricelens.sources import sinks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    """Register a query under its function's name, with the SQL that gives the same rows."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if oracle is not None:
+            SQL[fn.__name__] = sql(oracle)
+        return fn
+
+    return add
+
+
+# ---- point in time ------------------------------------------------------------------------------------------------------
+
+KEEP = ["crawl_date", "delivered_at", "line_id", "market", "sku", "price_local", "currency_code"]
+ORDER = ["crawl_date", "delivered_at", "line_id"]
+
+
+@query("SELECT as_of_date, is_micro_date, is_macro_date, knowledge_cutoff FROM dates")
+def as_of_dates(spark, sf):
+    return asof.as_of_dates(a.batches(spark, sf).filter("is_trusted_delivery"), "crawl_date")
+
+
+@query("SELECT as_of_date, object_id, crawl_date, delivered_at, price_local FROM known")
+def latest_as_of(spark, sf):
+    known = asof.latest_as_of(a.month_end_dates(spark, sf), a.readings(spark, sf), ["object_id"], ORDER, KEEP)
+    return known.select("as_of_date", "object_id", "crawl_date", "delivered_at", "price_local")
+
+
+@query("SELECT as_of_date, object_id, crawl_date, delivered_at, price_local FROM known")
+def latest_as_of_running_max(spark, sf):
+    known = asof.latest_by_running_max(a.month_end_dates(spark, sf), a.readings(spark, sf), ["object_id"], ORDER, KEEP)
+    return known.select("as_of_date", "object_id", "crawl_date", "delivered_at", "price_local")
+
+
+def _catalogue(spark, sf):
+    dates, batches, classified = as_of_dates(spark, sf), a.batches(spark, sf), a.classified(spark, sf)
+    return asof.catalogue_as_of(dates, batches, classified, classify.accepted(classified))
+
+
+@query("SELECT as_of_date, market, market_batch_id, crawl_date FROM (SELECT as_of_date, market, presence_batch_id AS market_batch_id, presence_crawl_date AS crawl_date FROM chosen)")
+def served_batches_as_of(spark, sf):
+    eligible = a.batches(spark, sf).filter("is_eligible")
+    return asof.latest_as_of(as_of_dates(spark, sf), eligible, ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date"])
+
+
+@query(
+    "SELECT catalogue_row_id, as_of_date, market, object_id, sku, presence_batch_id, presence_crawl_date, presence_age_days, price_local, currency_code, price_crawl_date, has_price, is_price_carried_forward FROM catalogue"
+)
+def catalogue_as_of(spark, sf):
+    return _catalogue(spark, sf).select(
+        "catalogue_row_id", "as_of_date", "market", "object_id", "sku", "presence_batch_id", "presence_crawl_date", "presence_age_days", "price_local", "currency_code", "price_crawl_date", "has_price", "is_price_carried_forward"
+    )
+
+
+@query("SELECT as_of_date, market, object_id, legacy_crawl_date, price_local FROM replay")
+def replay_last_import(spark, sf):
+    return asof.replay_last_import(as_of_dates(spark, sf), a.batches(spark, sf), a.classified(spark, sf))
+
+
+@query(
+    """SELECT as_of_date, market, n_right, n_other, n_missing, n_extra, n_diff AS n_price_differences,
+round((n_missing + n_extra + n_diff)::DOUBLE / nullif(n_right, 0), 4) AS share_different, n_missing + n_extra + n_diff > 0 AS is_wrong
+FROM (SELECT as_of_date, market, count(c.object_id) AS n_right, count(r.object_id) AS n_other, count(*) FILTER (r.object_id IS NULL) AS n_missing, count(*) FILTER (c.object_id IS NULL) AS n_extra,
+count(*) FILTER (c.object_id IS NOT NULL AND r.object_id IS NOT NULL AND c.price_local IS DISTINCT FROM r.price_local) AS n_diff
+FROM catalogue c FULL JOIN replay r USING (as_of_date, market, object_id) GROUP BY as_of_date, market)"""
+)
+def replay_against_catalogue(spark, sf):
+    return asof.diff_catalogues(_catalogue(spark, sf), replay_last_import(spark, sf))
+
+
+# ---- history --------------------------------------------------------------------------------------------------------------
+
+
+def _periods(spark, sf):
+    return history.scd2_periods(classify.accepted(a.classified(spark, sf)), "object_id", ORDER[:1] + ["delivered_at", "line_id"], "price_local", ["sku", "market"])
+
+
+_PERIOD = "price_period_id, object_id, sku, market, period_number, price_local, previous_price_local, change_vs_previous::DOUBLE AS change_vs_previous, valid_from, valid_to, last_observed_date, n_observations, is_current_period"
+
+
+@query(f"SELECT {_PERIOD} FROM periods")
+def scd2_periods(spark, sf):
+    df = _periods(spark, sf).withColumn("change_vs_previous", F.col("change_vs_previous").cast("double"))
+    return df.select(*[c.split(" AS ")[-1].strip() for c in _PERIOD.split(",")])
+
+
+@query("SELECT object_id, valid_from, direction, category, change FROM (SELECT object_id, sku, valid_from, CASE WHEN price_local > previous_price_local THEN 'increase' ELSE 'decrease' END AS direction, change_vs_previous::DOUBLE AS change FROM periods WHERE previous_price_local IS NOT NULL) JOIN products USING (sku)")
+def price_change_events(spark, sf):
+    cat = products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", F.col("category_code").alias("category"))
+    return history.change_events(_periods(spark, sf), "price_local", cat).select("object_id", "valid_from", "direction", "category", F.col("change_vs_previous").cast("double").alias("change"))
+
+
+@query("SELECT valid_from, count(*) FILTER (change_vs_previous > 0) AS increases, -count(*) FILTER (change_vs_previous < 0) AS decreases FROM periods WHERE previous_price_local IS NOT NULL GROUP BY valid_from")
+def changes_by_crawl(spark, sf):
+    return reports.changes_by_crawl(history.change_events(_periods(spark, sf), "price_local"))
+
+
+@query(
+    """SELECT market, coalesce(CASE WHEN category <> 'UNCATEGORIZED' THEN category END, 'out of scope') AS category, count(*) AS n_changes, count(*) FILTER (change_vs_previous > 0) AS n_up,
+count(*) FILTER (change_vs_previous < 0) AS n_down, round(quantile_cont(abs(change_vs_previous::DOUBLE), 0.5), 6) AS median_size, count(DISTINCT object_id) AS n_objects
+FROM periods JOIN products USING (sku) WHERE previous_price_local IS NOT NULL GROUP BY ALL"""
+)
+def change_explorer(spark, sf):
+    cat = products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", F.nullif(F.col("category_code"), F.lit("UNCATEGORIZED")).alias("category"))
+    out = reports.explore_changes(history.change_events(_periods(spark, sf), "price_local", cat), ["market", "category"])
+    return out.withColumn("median_size", F.round("median_size", 6))
+
+
+@query("SELECT object_id, valid_from, change_vs_previous::DOUBLE AS change_vs_previous FROM periods WHERE previous_price_local IS NOT NULL ORDER BY valid_from DESC, abs(change_vs_previous) DESC, object_id LIMIT 200")
+def latest_changes(spark, sf):
+    out = reports.latest_events(history.change_events(_periods(spark, sf), "price_local"))
+    return out.select("object_id", "valid_from", F.col("change_vs_previous").cast("double").alias("change_vs_previous"))
+
+
+@query("SELECT object_id, crawl_date, line_id, round(price_local::DOUBLE / first_value(price_local) OVER (PARTITION BY object_id ORDER BY crawl_date, delivered_at, line_id)::DOUBLE * 100, 2) AS price_index FROM readings")
+def price_index(spark, sf):
+    df = a.readings(spark, sf).withColumn("at", F.struct("crawl_date", "delivered_at", "line_id"))
+    return reports.price_index(df, ["object_id"], "at", "price_local").select("object_id", "crawl_date", "line_id", "price_index")
+
+
+@query(
+    """SELECT object_id, count(*) FILTER (coalesce(nxt < valid_to, false) OR coalesce(valid_to <= valid_from, false)) AS n_bad, count(*) FILTER (valid_to IS NULL) AS n_current
+FROM (SELECT *, lead(valid_from) OVER (PARTITION BY object_id ORDER BY valid_from, period_number) AS nxt FROM periods) GROUP BY object_id HAVING n_bad > 0 OR n_current <> 1"""
+)
+def broken_periods(spark, sf):
+    """Periods that begin on the day on which the one before does are empty: two readings of a day with different prices."""
+    return assertions.broken_periods(_periods(spark, sf))
+
+
+# ---- classification -----------------------------------------------------------------------------------------------------------
+
+
+def _planted(spark, sf):
+    r = a.readings(spark, sf, planted=True)
+    return classify.classify(r.withColumn("pre_fate", F.lit(None).cast("string")), a.ANCHOR)
+
+
+_SCORED = """
+WITH u AS (SELECT object_id, quantile_disc(price_local, 0.5) AS usual, count(*) AS n FROM planted GROUP BY object_id),
+s AS (SELECT r.*, u.usual, u.n, log10(r.price_local::DOUBLE / u.usual::DOUBLE) AS lu FROM planted r JOIN u USING (object_id)),
+f AS (SELECT sku, crawl_date, quantile_disc(price_local, 0.5) AS anchor FROM s WHERE market = 'AFRICA' AND NOT coalesce(n >= 3 AND abs(round(lu)) >= 1 AND abs(lu - round(lu)) < 0.1, false) GROUP BY sku, crawl_date),
+l AS (SELECT market, quantile_disc(price_local::DOUBLE / anchor::DOUBLE, 0.5) AS factor FROM s JOIN f USING (sku, crawl_date) GROUP BY market),
+t AS (SELECT s.*, CASE WHEN n >= 3 THEN usual::DOUBLE ELSE anchor::DOUBLE * factor END AS ref, CASE WHEN n >= 3 THEN 'history' WHEN anchor IS NOT NULL AND factor IS NOT NULL THEN 'price_ladder' END AS method
+      FROM s LEFT JOIN f USING (sku, crawl_date) LEFT JOIN l USING (market)),
+o AS (SELECT *, coalesce(method IS NOT NULL AND abs(round(log10(price_local::DOUBLE / ref))) >= 1 AND abs(log10(price_local::DOUBLE / ref) - round(log10(price_local::DOUBLE / ref))) < 0.1, false) AS bad FROM t)
+"""
+
+
+@query(f"SELECT * FROM ({_SCORED} SELECT line_id, method AS reference_method, CASE WHEN bad THEN 'price_scale_outlier' ELSE 'accepted' END AS fate, round(ref, 2) AS reference_price_local FROM o)")
+def classified_readings(spark, sf):
+    return _planted(spark, sf).select("line_id", "reference_method", "fate", "reference_price_local")
+
+
+@query(f"SELECT * FROM ({_SCORED} SELECT object_id, crawl_date, price_local, ref2 AS price_to_reference_ratio FROM (SELECT *, round(price_local::DOUBLE / ref, 4) AS ref2 FROM o) WHERE bad)")
+def scale_outliers(spark, sf):
+    from pricelens.operators.quality import outliers
+
+    return outliers(_planted(spark, sf)).select("object_id", "crawl_date", "price_local", "price_to_reference_ratio")
+
+
+@query("SELECT object_id, quantile_disc(price_local, 0.5) AS usual_value, count(*) AS n_candidates FROM planted GROUP BY object_id")
+def usual_prices(spark, sf):
+    return classify.usual_value(a.readings(spark, sf, planted=True), "object_id", "price_local")
+
+
+# ---- products -----------------------------------------------------------------------------------------------------------------
+
+
+def _tree(spark, sf):
+    """The taxonomy: the categories that rules name, from the parts that they catch."""
+    coded = products.apply_rules(a.products(spark, sf), a.RULES)
+    return coded.select(F.coalesce("rule_category", F.lit("UNCATEGORIZED")).alias("category_code")).distinct().withColumn("macro_category", F.nullif(F.col("category_code"), F.lit("UNCATEGORIZED")))
+
+
+@query("SELECT sku, category AS category_code, rule_id AS categorized_by_rule, nullif(category, 'UNCATEGORIZED') AS macro_category FROM products")
+def categorized_products(spark, sf):
+    return products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", "category_code", "categorized_by_rule", "macro_category")
+
+
+@query("SELECT sku, min(crawl_date) AS first_seen_date, max(crawl_date) AS last_seen_date, count(DISTINCT market) AS n_markets_seen, count(*) AS n_observations FROM readings GROUP BY sku")
+def product_lifespan(spark, sf):
+    return products.lifespan(a.readings(spark, sf), "sku", "crawl_date", "market")
+
+
+@query("SELECT sku, market, price_local FROM (SELECT *, row_number() OVER (PARTITION BY sku ORDER BY CASE WHEN market = 'EUROPE' THEN 0 ELSE 1 END, crawl_date DESC, market, line_id) AS k FROM readings) WHERE k = 1")
+def latest_attributes(spark, sf):
+    order = [F.when(F.col("market") == "EUROPE", 0).otherwise(1), -F.unix_date("crawl_date"), F.col("market"), F.col("line_id")]
+    return products.latest_attributes(a.readings(spark, sf), "sku", order, ["market", "price_local"])
+
+
+@query("SELECT sku, category AS category_code, category <> 'UNCATEGORIZED' AS is_in_macro_scope, pointer_id IS NOT NULL AS is_hero FROM products LEFT JOIN pointers USING (sku)")
+def dim_product(spark, sf):
+    cat = products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf))
+    return marts.dim_product(cat, a.pointers(spark, sf)).select("sku", "category_code", "is_in_macro_scope", "is_hero")
+
+
+@query("SELECT count(*) AS n FROM products WHERE category = 'UNCATEGORIZED'")
+def uncategorized_products(spark, sf):
+    return assertions.uncategorized(categorized_products(spark, sf)).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- marts ----------------------------------------------------------------------------------------------------------------------
+
+
+def _priced(spark, sf):
+    known = asof.latest_as_of(a.month_end_dates(spark, sf), a.readings(spark, sf), ["object_id"], ORDER, KEEP)
+    cat = products.apply_rules(a.products(spark, sf), a.RULES).filter("rule_category is not null").select("sku", F.col("rule_category").alias("macro_category"))
+    return known.join(cat, "sku")
+
+
+_MONTHLY = "macro_row_id, report_month, as_of_date, market, macro_category, n_products, min_price, median_price, mean_price, max_price, lfl_n_products, lfl_mean_change, lfl_ratio_of_means, lfl_share_increased"
+
+
+@query(f"SELECT {_MONTHLY} FROM monthly")
+def macro_monthly(spark, sf):
+    return marts.macro_monthly(_priced(spark, sf))
+
+
+@query("SELECT * FROM overall")
+def macro_global(spark, sf):
+    return marts.macro_global(macro_monthly(spark, sf))
+
+
+@query("SELECT as_of_date, market, macro_category, lfl_n_products, round(lfl_mean_change, 6) AS lfl_mean_change, round(lfl_ratio_of_means, 6) AS lfl_ratio_of_means, round(lfl_share_increased, 6) AS lfl_share_increased FROM lfl")
+def like_for_like(spark, sf):
+    priced = _priced(spark, sf).withColumn("price_local", F.col("price_local").cast("double"))
+    out = marts.lfl_metrics(marts.lfl_pairs(priced, marts.month_ends(priced)))
+    return out.withColumns({c: F.round(c, 6) for c in ("lfl_mean_change", "lfl_ratio_of_means", "lfl_share_increased")})
+
+
+def _micro(spark, sf, catalogue=None):
+    catalogue = _catalogue(spark, sf) if catalogue is None else catalogue
+    dates = as_of_dates(spark, sf).filter("is_micro_date")
+    market = marts.dim_market(a.markets(spark, sf)).filter("is_in_micro_scope")
+    return marts.micro_weekly(dates, a.pointers(spark, sf), market, catalogue, marts.unreadable_pages(a.classified(spark, sf)))
+
+
+@query("SELECT * FROM micro")
+def micro_weekly(spark, sf):
+    df = _micro(spark, sf)
+    return df
+
+
+@query(
+    "SELECT delivery_date, " + ", ".join(f"count(*) FILTER (price_status = '{s}') AS n_{s}" for s in reports.STATUSES) + " FROM micro GROUP BY delivery_date"
+)
+def micro_status_tallies(spark, sf):
+    return reports.status_tallies(_micro(spark, sf))
+
+
+@query("SELECT delivery_date, pointer_id, n_markets, round(mean_change, 6) AS mean_change, CASE WHEN n_markets >= 3 AND spread < 0.02 THEN 'coordinated' ELSE 'verify' END AS verdict FROM (SELECT delivery_date, pointer_id, count(*) AS n_markets, avg(change_vs_previous_pct::DOUBLE) AS mean_change, stddev_pop(change_vs_previous_pct::DOUBLE) AS spread FROM micro WHERE abs(change_vs_previous_pct) > 0.04 GROUP BY ALL)")
+def hero_moves(spark, sf):
+    return triage.explain_moves(_micro(spark, sf), 0.04).select("delivery_date", "pointer_id", "n_markets", F.round(F.col("mean_change").cast("double"), 6).alias("mean_change"), "verdict")
+
+
+# ---- gate -------------------------------------------------------------------------------------------------------------------------
+
+
+def _context(spark, sf) -> gate.Context:
+    market = marts.dim_market(a.markets(spark, sf))
+    # What several checks read is kept: recomputing it for each costs more than its size.
+    whole = _catalogue(spark, sf).persist()
+    catalogue = whole.withColumnRenamed("presence_crawl_date", "served_crawl_date")
+    days = as_of_dates(spark, sf).persist()
+    calendar = gate.delivery_calendar(days.filter("is_micro_date").select(F.lit("micro").alias("scope"), "as_of_date").union(days.filter("is_macro_date").select(F.lit("macro").alias("scope"), "as_of_date")))
+    monthly = macro_monthly(spark, sf).persist()
+    return gate.Context(calendar, gate.scoped(calendar, catalogue, market).persist(), market, _micro(spark, sf, whole).persist(), monthly, marts.macro_global(monthly))
+
+
+_SCOPED = """
+WITH cal2 AS (SELECT scope, as_of_date, lag(as_of_date) OVER w AS prev_date, lag(as_of_date, 2) OVER w AS prev2_date
+  FROM (SELECT 'micro' AS scope, as_of_date FROM dates WHERE is_micro_date UNION ALL SELECT 'macro', as_of_date FROM dates WHERE is_macro_date) WINDOW w AS (PARTITION BY scope ORDER BY as_of_date)),
+scoped AS (SELECT c.scope, c.as_of_date, c.prev_date, c.prev2_date, k.market, k.object_id, k.price_local, k.presence_crawl_date AS served FROM cal2 c JOIN catalogue k USING (as_of_date) JOIN markets m USING (market) WHERE c.scope <> 'micro' OR m.is_in_micro_scope),
+p AS (SELECT * FROM scoped WHERE price_local IS NOT NULL),
+counts AS (SELECT scope, as_of_date, prev_date, market, count(*) AS n FROM scoped GROUP BY ALL),
+grid1 AS (SELECT count(DISTINCT pointer_id) * (SELECT count(*) FROM markets WHERE is_in_micro_scope) AS cells FROM micro),
+grid2 AS (SELECT count(DISTINCT macro_category) * (SELECT count(*) FROM markets) AS cells FROM monthly),
+m AS (
+SELECT 'served_crawl_age_days' AS check_id, scope, as_of_date, market AS subject, max(as_of_date - served)::DOUBLE AS observed FROM scoped GROUP BY ALL
+UNION ALL SELECT 'market_coverage', c.scope, c.as_of_date, 'all', count(DISTINCT s.market)::DOUBLE / CASE WHEN c.scope = 'micro' THEN (SELECT count(*) FROM markets WHERE is_in_micro_scope) ELSE (SELECT count(*) FROM markets) END FROM cal2 c LEFT JOIN scoped s USING (scope, as_of_date) GROUP BY c.scope, c.as_of_date
+UNION ALL SELECT 'product_count_change', c.scope, c.as_of_date, c.market, c.n::DOUBLE / b.n - 1 FROM counts c LEFT JOIN counts b ON b.scope = c.scope AND b.as_of_date = c.prev_date AND b.market = c.market
+UNION ALL SELECT 'price_reversion_share', c.scope, c.as_of_date, c.market, avg(CASE WHEN c.price_local <> x.price_local AND c.price_local = y.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id JOIN p y ON y.scope = c.scope AND y.as_of_date = c.prev2_date AND y.object_id = c.object_id GROUP BY c.scope, c.as_of_date, c.market
+UNION ALL SELECT 'price_decrease_share', c.scope, c.as_of_date, c.market, avg(CASE WHEN c.price_local < x.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id GROUP BY c.scope, c.as_of_date, c.market
+UNION ALL SELECT 'price_change_share_anomaly', c.scope, c.as_of_date, 'all', avg(CASE WHEN c.price_local <> x.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id GROUP BY c.scope, c.as_of_date
+UNION ALL SELECT 'hero_grid_complete', 'micro', delivery_date, 'all', count(*)::DOUBLE / (SELECT cells FROM grid1) FROM micro GROUP BY delivery_date
+UNION ALL SELECT 'hero_price_coverage', 'micro', delivery_date, 'all', avg(CASE WHEN price_local IS NOT NULL THEN 1.0 ELSE 0.0 END) FROM micro GROUP BY delivery_date
+UNION ALL SELECT 'hero_stale_share', 'micro', delivery_date, 'all', avg(CASE WHEN is_stale_crawl THEN 1.0 ELSE 0.0 END) FROM micro GROUP BY delivery_date
+UNION ALL SELECT 'hero_carried_forward', 'micro', delivery_date, 'all', count(*) FILTER (is_price_carried_forward)::DOUBLE FROM micro GROUP BY delivery_date
+UNION ALL SELECT 'hero_large_moves', 'micro', delivery_date, 'all', count(*) FILTER (abs(change_vs_previous_pct) > 0.10)::DOUBLE FROM micro GROUP BY delivery_date
+UNION ALL SELECT 'macro_grid_complete', 'macro', as_of_date, 'all', count(*)::DOUBLE / (SELECT cells FROM grid2) FROM monthly GROUP BY as_of_date
+UNION ALL SELECT 'lfl_match_rate', 'macro', as_of_date, 'all', min(CASE WHEN lfl_mean_change IS NOT NULL THEN lfl_n_products::DOUBLE / n_products END) FROM monthly GROUP BY as_of_date
+UNION ALL SELECT 'lfl_change_bounds', 'macro', as_of_date, macro_category, max(abs(lfl_mean_change))::DOUBLE FROM monthly GROUP BY as_of_date, macro_category
+UNION ALL SELECT 'median_price_drift', 'macro', c.as_of_date, c.macro_category, max(abs(c.median_price::DOUBLE / b.median_price::DOUBLE - 1)) FROM monthly c LEFT JOIN monthly b ON b.report_month = (c.report_month - INTERVAL 1 MONTH)::DATE AND b.market = c.market AND b.macro_category = c.macro_category GROUP BY c.as_of_date, c.macro_category
+UNION ALL SELECT 'cross_market_dispersion', 'macro', as_of_date, macro_category, (max(lfl_mean_change) - min(lfl_mean_change))::DOUBLE FROM monthly GROUP BY as_of_date, macro_category
+UNION ALL SELECT 'global_reconciles_with_markets', 'macro', as_of_date, macro_category, abs(max(market_weighted_lfl_change)::DOUBLE - round(avg(lfl_mean_change::DOUBLE), 4)) FROM monthly JOIN overall USING (report_month, macro_category) WHERE lfl_mean_change IS NOT NULL GROUP BY as_of_date, macro_category
+)"""
+
+
+@query(f"SELECT * FROM ({_SCOPED} SELECT check_id, scope, as_of_date, subject, round(observed, 6) AS observed FROM m)")
+def gate_measures(spark, sf):
+    return gate.measure(gate.CHECKS, _context(spark, sf)).withColumn("observed", F.round("observed", 6))
+
+
+def _judged(spark, sf):
+    ctx = _context(spark, sf)
+    rules = gate.rule_table(spark, gate.CHECKS)
+    measures = gate.with_missing(gate.measure(gate.CHECKS, ctx), ctx.deliveries, rules)
+    return gate.evaluate(gate.anomaly(measures, gate.CHECKS), rules)
+
+
+def _rules_sql() -> str:
+    rows = []
+    for c in gate.CHECKS:
+        for s in c.scopes:
+            r = c.rules_for(s)
+            bounds = ", ".join("NULL::DOUBLE" if x is None else f"{float(x)}::DOUBLE" for x in (r.warn_above, r.warn_below, r.fail_above, r.fail_below))
+            an = f"{r.anomaly.min_history}, {r.anomaly.z}, {r.anomaly.min_value}" if r.anomaly else "NULL::INTEGER, NULL::DOUBLE, NULL::DOUBLE"
+            rows.append(f"('{c.id}', '{s}', '{c.severity}', {bounds}, {an})")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") v(check_id, scope, severity, wa, wb, fa, fb, mh, z, mv)"
+
+
+_JUDGED = _SCOPED + f""",
+rl AS ({_rules_sql()}),
+whole AS (SELECT * FROM m UNION ALL SELECT rl.check_id, c.scope, c.as_of_date, 'all', NULL FROM cal2 c JOIN rl USING (scope) WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.check_id = rl.check_id AND m.scope = c.scope AND m.as_of_date = c.as_of_date)),
+past AS (SELECT *, list_filter(list(observed) OVER (PARTITION BY check_id, scope, subject ORDER BY as_of_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lambda x: x IS NOT NULL) AS h FROM whole),
+rec AS (SELECT *, list_slice(h, greatest(len(h) - 5, 1), len(h)) AS w FROM past),
+j AS (SELECT check_id, scope, as_of_date, subject, severity, CASE WHEN observed IS NULL THEN 'skip' WHEN coalesce(observed > fa, false) OR coalesce(observed < fb, false) THEN 'fail'
+      WHEN coalesce(observed > wa, false) OR coalesce(observed < wb, false) OR coalesce(len(w) >= mh AND observed > list_avg(w) + z * greatest(list_stddev_pop(w), 0.005) AND observed > mv, false) THEN 'warn' ELSE 'pass' END AS status
+      FROM rec JOIN rl USING (check_id, scope))"""
+
+
+@query(f"SELECT * FROM ({_JUDGED} SELECT check_id, scope, as_of_date, subject, severity, status FROM j)")
+def gate_results(spark, sf):
+    return _judged(spark, sf).select("check_id", "scope", "as_of_date", "subject", "severity", "status")
+
+
+@query(f"SELECT * FROM ({_JUDGED} SELECT scope, as_of_date, CASE WHEN bool_or(status = 'fail' AND severity = 'block') THEN 'BLOCK' WHEN bool_or(status IN ('warn', 'fail')) THEN 'WARN' ELSE 'PASS' END AS decision FROM j GROUP BY ALL)")
+def gate_decisions(spark, sf):
+    return gate.decide(_judged(spark, sf))
+
+
+@query(
+    f"""SELECT * FROM ({_JUDGED} SELECT check_id, scope, as_of_date, CASE max(CASE WHEN status = 'fail' AND severity = 'block' THEN 5 WHEN status = 'fail' THEN 4 WHEN status = 'warn' THEN 3 WHEN status = 'pass' THEN 2 ELSE 1 END)
+WHEN 5 THEN 'block' WHEN 4 THEN 'fail' WHEN 3 THEN 'warn' WHEN 2 THEN 'pass' ELSE 'skip' END AS worst, count(*) FILTER (status IN ('warn', 'fail')) AS n_issues FROM j GROUP BY check_id, scope, as_of_date)"""
+)
+def worst_status(spark, sf):
+    return reports.worst_status(_judged(spark, sf))
+
+
+@query(f"SELECT * FROM ({_JUDGED} SELECT scope, as_of_date, " + ", ".join(f"count(*) FILTER (status = '{s}') AS n_{s}" for s in ("pass", "warn", "fail", "skip")) + " FROM j GROUP BY ALL)")
+def audit_tallies(spark, sf):
+    return gate.audit_report(_judged(spark, sf))[0]
+
+
+# ---- published ----------------------------------------------------------------------------------------------------------------------
+
+
+def _releases(spark, sf):
+    """A ledger of releases: every second month end for macro, all micro dates of even days, one forced."""
+    ends = a.month_end_dates(spark, sf).filter(F.month("as_of_date") % 2 == 0).select(F.lit("macro").alias("scope"), "as_of_date")
+    micro = as_of_dates(spark, sf).filter(F.col("is_micro_date") & (F.dayofmonth("as_of_date") % 2 == 0)).select(F.lit("micro").alias("scope"), "as_of_date")
+    forced = F.month("as_of_date") == 4
+    return ends.union(micro).withColumns(
+        {"release_id": F.concat_ws("-", "scope", "as_of_date"), "decision": F.when(forced, "BLOCK").otherwise("PASS"), "is_forced": forced, "released_at": F.date_add("as_of_date", 1).cast("timestamp")}
+    )
+
+
+_RELEASES = """WITH rel AS (SELECT scope, as_of_date, CASE WHEN month(as_of_date) = 4 THEN 'BLOCK' ELSE 'PASS' END AS decision, month(as_of_date) = 4 AS is_forced, CAST(as_of_date + 1 AS TIMESTAMP) AS released_at
+FROM (SELECT 'macro' AS scope, as_of_date FROM ends WHERE month(as_of_date) % 2 = 0 UNION ALL SELECT 'micro', as_of_date FROM dates WHERE is_micro_date AND day(as_of_date) % 2 = 0))"""
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT scope, as_of_date, decision, is_forced, released_at AS first_released_at FROM rel)")
+def released_deliveries(spark, sf):
+    return published.released(_releases(spark, sf))
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT {_MONTHLY} FROM monthly WHERE as_of_date IN (SELECT as_of_date FROM rel WHERE scope = 'macro'))")
+def published_monthly(spark, sf):
+    return published.only_released(macro_monthly(spark, sf), "as_of_date", _releases(spark, sf), "macro")
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT * FROM overall WHERE report_month IN (SELECT date_trunc('month', as_of_date)::DATE FROM rel WHERE scope = 'macro'))")
+def published_global(spark, sf):
+    return published.only_released_months(macro_global(spark, sf), "report_month", _releases(spark, sf), "macro")
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT object_id, valid_from FROM periods WHERE previous_price_local IS NOT NULL AND valid_from < (SELECT max(as_of_date) FROM rel WHERE scope = 'macro'))")
+def published_changes(spark, sf):
+    events = history.change_events(_periods(spark, sf), "price_local")
+    return published.until_released(events, "valid_from", _releases(spark, sf).filter("scope = 'macro'")).select("object_id", "valid_from")
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT * FROM rel WHERE decision = 'BLOCK' AND NOT is_forced)")
+def blocked_but_published(spark, sf):
+    return assertions.blocked_but_published(_releases(spark, sf)).select("scope", "as_of_date", "decision", "is_forced", "released_at")
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT DISTINCT as_of_date FROM monthly WHERE as_of_date NOT IN (SELECT as_of_date FROM rel WHERE scope = 'macro'))")
+def unreleased_months(spark, sf):
+    return sinks.unreleased(macro_monthly(spark, sf), "as_of_date", _releases(spark, sf).filter("scope = 'macro'"))
+
+
+# ---- assertions over the catalogue -------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT as_of_date, market, presence_crawl_date AS expected_crawl_date FROM chosen c WHERE NOT EXISTS (SELECT 1 FROM catalogue k WHERE k.as_of_date = c.as_of_date AND k.market = c.market)")
+def not_latest_eligible(spark, sf):
+    out = assertions.not_latest_eligible(_catalogue(spark, sf), as_of_dates(spark, sf), a.batches(spark, sf))
+    return out.select("as_of_date", "market", "expected_crawl_date")
+
+
+@query(
+    """SELECT as_of_date, market, expected AS expected_crawl_date FROM (SELECT as_of_date, market, presence_crawl_date AS expected FROM chosen) c LEFT JOIN
+(SELECT as_of_date, market, min(legacy_crawl_date) AS lo, max(legacy_crawl_date) AS hi FROM replay GROUP BY ALL) r USING (as_of_date, market) WHERE lo IS DISTINCT FROM expected OR hi IS DISTINCT FROM expected"""
+)
+def replay_not_latest_eligible(spark, sf):
+    out = assertions.not_latest_eligible(replay_last_import(spark, sf), as_of_dates(spark, sf), a.batches(spark, sf), "legacy_crawl_date")
+    return out.select("as_of_date", "market", "expected_crawl_date")
+
+
+@query("SELECT catalogue_row_id FROM catalogue WHERE false")
+def look_ahead(spark, sf):
+    return assertions.look_ahead(_catalogue(spark, sf), a.batches(spark, sf), as_of_dates(spark, sf)).select("catalogue_row_id")
+
+
+@query("SELECT object_id, as_of_date FROM catalogue WHERE false")
+def catalogue_keys_not_unique(spark, sf):
+    return assertions.not_unique(_catalogue(spark, sf), "object_id", "as_of_date").select("object_id", "as_of_date")
+
+
+@query("SELECT l_orderkey AS o_orderkey, count(*) AS n FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE o_orderkey IS NULL GROUP BY ALL")
+def orphan_lines(spark, sf):
+    out = assertions.orphans(a.table(spark, sf, "lineitem"), "l_orderkey", a.table(spark, sf, "orders"), "o_orderkey")
+    return out.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- metrics ------------------------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT report_month, market, avg(lfl_mean_change::DOUBLE)::DECIMAL(18,8)::DOUBLE AS value FROM monthly GROUP BY ALL")
+def metric_lfl_change_by_market(spark, sf):
+    r = metrics.Request("category_lfl_change", ("market",), by_time=True)
+    out = metrics.query_metric(macro_monthly(spark, sf), r)
+    return out.select("report_month", "market", F.round(F.col("category_lfl_change").cast("double"), 8).alias("value"))
+
+
+@query("SELECT macro_category, round(sum(lfl_mean_change::DOUBLE * lfl_n_products) / nullif(sum(CASE WHEN lfl_mean_change IS NOT NULL THEN lfl_n_products ELSE 0 END), 0), 6) AS value FROM monthly WHERE market IN ('ASIA', 'EUROPE') GROUP BY macro_category")
+def metric_weighted_change(spark, sf):
+    r = metrics.Request("category_lfl_change_product_weighted", ("macro_category",), filters={"market": ["ASIA", "EUROPE"]})
+    out = metrics.query_metric(macro_monthly(spark, sf), r)
+    return out.select("macro_category", F.round(F.col("category_lfl_change_product_weighted").cast("double"), 6).alias("value"))
+
+
+@query("SELECT 'market' AS dimension, market AS value FROM monthly UNION SELECT 'macro_category', macro_category FROM monthly UNION SELECT 'report_month', CAST(report_month AS VARCHAR) FROM monthly")
+def metric_vocabulary(spark, sf):
+    return metrics.vocabulary(macro_monthly(spark, sf), metrics.MODELS["category_monthly"])
+
+
+# ---- upserts and snapshots ------------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT line_id, market, crawl_date, delivered_at, price_local FROM readings")
+def upsert_incremental(spark, sf):
+    """An incremental run over a target that lags a year gives the table of a full refresh."""
+    facts = a.readings(spark, sf).select("line_id", "market", "crawl_date", "delivered_at", "price_local")
+    return sinks.upsert_incremental(facts.filter(F.col("delivered_at") < "1998-01-01"), facts, "line_id", "delivered_at", 35)
+
+
+@query(
+    """SELECT 'monthly' AS table_name, count(*) AS n_rows FROM monthly UNION ALL SELECT 'overall', count(*) FROM overall"""
+)
+def snapshot_manifest(spark, sf):
+    monthly = macro_monthly(spark, sf)
+    return sinks.snapshot_manifest({"monthly": monthly, "overall": marts.macro_global(monthly)}).select("table_name", "n_rows")
+
+
+@query("SELECT page_id, regexp_replace(url, '[0-9]+', '#', 'g') AS url FROM pages")
+def masked_urls(spark, sf):
+    return sinks.mask_columns(a.table(spark, sf, "pages").select("page_id", "url"), {"url": ("[0-9]+", "#")})
+
+
+@query("SELECT o_orderkey::VARCHAR AS o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderstatus FROM orders")
+def formatted_orders(spark, sf):
+    return sinks.format_cells(a.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus"))
+
+
+QUERIES |= crawl_queries.QUERIES
+SQL |= crawl_queries.SQL
