@@ -86,9 +86,11 @@ def signals(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
         F.zip_with(r, F.slice(r, F.lit(2), F.greatest(F.size(r), F.lit(1))), lambda a, b: F.coalesce(F.least(b - a, F.lit(3)), F.lit(3))),
         F.lit(0), lambda acc, x: acc + x,
     )
-    return df.select(
-        *keys, F.col("_n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", covered.cast("long").alias("n_repeat_words"),
-    )
+    measured = F.struct(
+        F.col("_n").cast("long").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", covered.cast("long").alias("n_repeat_words")
+    )
+    # A generated column is a boundary: filters on it aren't moved below, where they would repeat all this work for each use.
+    return df.select(*keys, F.explode(F.array(measured)).alias("_measured")).select(*keys, "_measured.*")
 
 
 def failures() -> dict[str, Column]:
