@@ -13,11 +13,19 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 SCOPES = ("micro", "macro")
-RESULTS = T.StructType.fromDDL(
+
+
+def _schema(text: str) -> T.StructType:
+    """'name type, ...' as a schema, without a session."""
+    kinds = {"string": T.StringType(), "timestamp": T.TimestampType(), "date": T.DateType(), "double": T.DoubleType(), "boolean": T.BooleanType()}
+    return T.StructType([T.StructField(n, kinds[k]) for n, k in (x.split() for x in text.split(","))])
+
+
+RESULTS = _schema(
     "run_id string, checked_at timestamp, dataset string, scope string, as_of_date date, check_id string, dimension string, severity string, subject string, "
     "observed double, warn_rule string, fail_rule string, status string, message string"
 )
-RELEASES = T.StructType.fromDDL("release_id string, scope string, as_of_date date, run_id string, decision string, is_forced boolean, reason string, released_at timestamp, released_by string")
+RELEASES = _schema("release_id string, scope string, as_of_date date, run_id string, decision string, is_forced boolean, reason string, released_at timestamp, released_by string")
 #: Spread that a flat history is taken to have at least.
 MIN_SPREAD = 0.005
 
