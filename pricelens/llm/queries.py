@@ -94,6 +94,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1
 FROM f LEFT JOIN host USING (source)
 """
 
+OP5_SQL = """
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h HAVING count(*) > 1 AND min(page_id) IS NOT NULL),
+hex AS (SELECT rid, page_id, n, h, first, unnest(range(8)) AS i FROM p LEFT JOIN f USING (h)),
+v AS (SELECT *, list_sum([(strpos('0123456789abcdef', substr(h, (1 + 5 * i + j)::INT, 1)) - 1) * (16 ** (4 - j)) for j in range(5)])::BIGINT AS x FROM hex),
+d AS (SELECT rid, string_agg(array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + (x // (32 ** (3 - k))::BIGINT) % 32)::INT, 1) for k in range(4)], ''), '' ORDER BY i) AS digest,
+  any_value(page_id) AS page_id, any_value(n)::BIGINT AS n, any_value(first) AS first FROM v GROUP BY rid)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to FROM d
+"""
+
+OP6_SQL = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '\S+') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+win AS (SELECT doc_id, p, md5(array_to_string(list_slice(w, p, p + 49), ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM t WHERE len(w) >= 50)),
+shared AS (SELECT g FROM win GROUP BY g HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT DISTINCT doc_id, p - 1 AS s FROM win WHERE g IN (SELECT g FROM shared)),
+run AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 50 THEN 0 ELSE 1 END AS fresh FROM hit))
+SELECT doc_id, min(s)::INTEGER AS start_word, (max(s) + 50)::INTEGER AS end_word, (max(s) + 50 - min(s))::INTEGER AS n_words FROM run GROUP BY doc_id, r
+"""
+
+OP8_SQL = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\S+') AS w FROM documents WHERE doc_id IS NOT NULL),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, p, p + 4), ' ') END AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM t WHERE len(w) > 0)),
+k AS (SELECT doc_id, count(*) AS n, md5(string_agg(s, '~' ORDER BY s)) AS h FROM g GROUP BY doc_id),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN k x ON x.doc_id = a.doc_id JOIN k y ON y.doc_id = b.doc_id
+         GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING count(*) >= 0.8 * (x.n + y.n - count(*)) - 1e-9),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT t.doc_id, least(t.doc_id, (SELECT min(b) FROM reach WHERE reach.a = t.doc_id)) AS class_id,
+  (SELECT count(DISTINCT y.h) FROM link JOIN k x ON x.doc_id = link.a JOIN k y ON y.doc_id = link.b WHERE link.a = t.doc_id AND x.h <> y.h) AS n_links,
+  coalesce((SELECT count(*) - 1 FROM k x JOIN k y ON y.h = x.h WHERE x.doc_id = t.doc_id), 0)::BIGINT AS n_copies
+FROM t
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
@@ -106,4 +140,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_training_order": op9_training_order,
     "op10_host_rules": op10_host_rules,
 }
-SQL: dict[str, str] = {"op10_host_rules": OP10_SQL}
+SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL}
