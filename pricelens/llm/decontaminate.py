@@ -17,7 +17,7 @@ from collections import defaultdict
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, stash
 
 EDITS_PER_CHAR = 0.05
 #: Pieces are at least so long; a short item has fewer edits for it.
@@ -118,44 +118,46 @@ class Matcher:
         return [{"item_id": i, "edits": d, "start": a, "end": b} for i, (d, a, b) in best.items()]
 
 
-def find(
-    docs: DataFrame, benchmark: DataFrame, text: str = "text", keep: list[str] | None = None, item_id: str = "item_id", item_text: str = "text",
-    per_char: float = EDITS_PER_CHAR, min_piece: int = MIN_PIECE, block_bytes: int = BLOCK_BYTES,
-) -> DataFrame:
-    """The columns ``keep`` and hits (item_id, edits, start, end) of every document.
+HITS = "array<struct<item_id:bigint,edits:int,start:int,end:int>>"
 
-    The benchmark is read in blocks of bounded size, each of which is sent to all tasks; a document's hits in all blocks come
-    back as one array. Documents are never shuffled.
-    """
-    keep = ["doc_id"] if keep is None else keep
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
+
+def blocks(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
+    """The benchmark's different items (i, t) in tables of about so many bytes."""
+    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
-    items = items.withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
-    hit = "array<struct<item_id:bigint,edits:int,start:int,end:int>>"
-    out = docs.select(*keep, F.col(text).alias("_text"))
-    sc = docs.sparkSession.sparkContext
-    for b in range(n):
-        block = sc.broadcast([(r["i"], r["t"]) for r in items.filter(F.col("b") == b).select("i", "t").distinct().collect()])
+    return [items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) for b in range(n)]
+
+
+def find(docs: DataFrame, block: DataFrame, text: str = "text", keep: list[str] | None = None, per_char: float = EDITS_PER_CHAR, min_piece: int = MIN_PIECE) -> DataFrame:
+    """The columns ``keep`` and hits (item_id, edits, start, end) of every document in one block of items.
+
+    The block, whose size is bounded, goes to all tasks; documents are never shuffled.
+    """
+    keep = ["doc_id"] if keep is None else keep
+    items = docs.sparkSession.sparkContext.broadcast([(r["i"], r["t"]) for r in block.collect()])
 
-        def make(block=block):
-            matcher = Matcher(block.value, per_char, min_piece)
-            return lambda cols: {"_hits": [matcher.find(t) for t in cols[0]]}
+    def make():
+        matcher = Matcher(items.value, per_char, min_piece)
+        return lambda cols: {"hits": [matcher.find(t) for t in cols[0]]}
 
-        columns = out.columns
-        out = map_rows(out.withColumn("_of", F.col("_text")), make, f"_hits {hit}", columns).withColumnRenamed("_hits", f"_hits{b}")
-    return out.select(*keep, F.concat(*[f"_hits{b}" for b in range(n)]).alias("hits"))
+    return map_rows(docs.select(*keep, F.col(text).alias("_text")), make, f"hits {HITS}", keep)
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """A row for each document and benchmark item that it holds: doc_id, item_id, edits, start, end."""
-    found = find(docs, benchmark, **options).select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
-    return found.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "start", "end")).alias("m")).select("doc_id", "item_id", "m.*")
+def contaminations(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
+    """A row for each document and benchmark item that it holds: doc_id, item_id, edits, start, end. Each block reads the documents once."""
+    out = None
+    for block in blocks(benchmark, block_bytes=block_bytes):
+        found = find(docs, block, **options).select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
+        out = found if out is None else out.union(found)
+    return out.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "start", "end")).alias("m")).select("doc_id", "item_id", "m.*")
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents without a benchmark item, with the columns they came with."""
+def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
+    """The documents without a benchmark item, with the columns they came with. Between blocks what is left is written."""
     names = [f"_c{i}" for i in range(len(docs.columns))]
     held = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
-    found = find(held, benchmark, text=names[docs.columns.index(text)], keep=names, **options)
-    return found.filter(F.size("hits") == 0).select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
+    for i, block in enumerate(blocks(benchmark, block_bytes=block_bytes)):
+        held = stash(held, "clean") if i else held
+        held = find(held, block, text=names[docs.columns.index(text)], keep=names, **options).filter(F.size("hits") == 0).select(*names)
+    return held.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
