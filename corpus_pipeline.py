@@ -39,7 +39,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, the text's token ids and their number, and whether they decode to the text's bytes."""
     held = docs.select("doc_id", "lang", "source", F.coalesce("text", F.lit("")).alias("text"))
-    coded = bpe.decode(bpe.encode(held, RANKS, PATTERN, keep=["doc_id", "lang", "source", "text"]), RANKS, PATTERN)
+    coded = bpe.round_trip(held, RANKS, PATTERN, keep=["doc_id", "lang", "source", "text"])
     return coded.select(
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", (F.col("decoded") == F.col("text").cast("binary")).alias("exact")
     )
