@@ -94,6 +94,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f1
 FROM f LEFT JOIN host USING (source)
 """
 
+def _markov(k: str) -> str:
+    """Probability of a character under a class's model, as url_filter.score() builds it."""
+    p = f"(1.0 / {url_filter.ALPHABET})"
+    for n in range(1, url_filter.ORDER + 2):
+        seen = f"(SELECT c_{k} FROM model WHERE gram = '')" if n == 1 else f"coalesce(h{n - 1}.c_{k}, 0)"
+        p = f"((coalesce(g{n}.n_{k}, 0) + {url_filter.BETA} * {p}) / ({seen} + {url_filter.BETA}))"
+    return p
+
+
+_LEN = url_filter.ORDER + 1
+OP3_SQL = rf"""
+WITH parts AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+rows AS (SELECT *, host || path AS text, CASE WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
+  CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM parts),
+texts AS (SELECT text, max(ruled) AS verdict FROM rows WHERE text <> '' GROUP BY text),
+lab AS (SELECT *, substr(md5('held ' || text), 1, 1) IN ('0', '1', '2') AS held FROM (SELECT *, row_number() OVER (PARTITION BY verdict ORDER BY md5(text), text) AS r FROM texts WHERE verdict IS NOT NULL) WHERE r <= {url_filter.MAX_LABELLED}),
+chars AS (SELECT text, {", ".join(f"substr(p, i + {url_filter.ORDER} - {n} + 1, {n}) AS x{n}" for n in range(1, _LEN + 1))}, {", ".join(f"substr(p, i + {url_filter.ORDER} - {n}, {n}) AS y{n}" for n in range(1, _LEN))}
+  FROM (SELECT text, repeat(chr(2), {url_filter.ORDER}) || text AS p, unnest(range(1, length(text) + 1)) AS i FROM texts)),
+train AS (SELECT verdict, chars.* FROM chars JOIN lab USING (text) WHERE NOT held),
+counts AS (SELECT verdict, unnest([{", ".join(f"x{n}" for n in range(1, _LEN + 1))}]) AS gram, 1 AS n, 0 AS c FROM train UNION ALL SELECT verdict, unnest(['', {", ".join(f"y{n}" for n in range(1, _LEN))}]), 0, 1 FROM train),
+model AS (SELECT gram, {", ".join(f"sum({x}) FILTER (verdict = '{k}') AS {x}_{k}0, coalesce({x}_{k}0, 0)::DOUBLE AS {x}_{k}" for x in "nc" for k in ("allow", "block"))} FROM counts GROUP BY gram),
+score AS (SELECT text, avg(ln({_markov("allow")}) - ln({_markov("block")})) AS score FROM chars
+  {" ".join(f"LEFT JOIN model g{n} ON g{n}.gram = x{n}" for n in range(1, _LEN + 1))} {" ".join(f"LEFT JOIN model h{n} ON h{n}.gram = y{n}" for n in range(1, _LEN))} GROUP BY text),
+fit AS (SELECT verdict, avg(score) AS m, stddev_pop(score) AS s FROM score JOIN lab USING (text) WHERE held GROUP BY verdict),
+cut AS (SELECT (a.m * b.s + b.m * a.s) / (a.s + b.s) AS t FROM fit a, fit b WHERE a.verdict = 'allow' AND b.verdict = 'block')
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN text = '' OR score >= coalesce((SELECT t FROM cut), 0) THEN 'allow' ELSE 'block' END) AS verdict FROM rows LEFT JOIN score USING (text)
+"""
+
 OP5_SQL = """
 WITH p AS (SELECT row_number() OVER () AS rid, page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
 f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h HAVING count(*) > 1 AND min(page_id) IS NOT NULL),
@@ -140,4 +171,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_training_order": op9_training_order,
     "op10_host_rules": op10_host_rules,
 }
-SQL: dict[str, str] = {"op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL}
+SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL}
