@@ -12,6 +12,7 @@ from pricelens.plans import adapters as a
 from pricelens.plans import crawl_queries
 from pricelens.plans.adapters import sql
 from pricelens.sources import sinks
+from pricelens.sources.tables import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -278,13 +279,14 @@ def hero_moves(spark, sf):
 
 def _context(spark, sf) -> gate.Context:
     market = marts.dim_market(a.markets(spark, sf))
-    # What several checks read is kept: recomputing it for each costs more than its size.
-    whole = _catalogue(spark, sf).persist()
+    # What several checks read is written once: its lineage is long, and each check would plan and run it again.
+    whole = materialise(_catalogue(spark, sf), "catalogue")
     catalogue = whole.withColumnRenamed("presence_crawl_date", "served_crawl_date")
-    days = as_of_dates(spark, sf).persist()
-    calendar = gate.delivery_calendar(days.filter("is_micro_date").select(F.lit("micro").alias("scope"), "as_of_date").union(days.filter("is_macro_date").select(F.lit("macro").alias("scope"), "as_of_date")))
-    monthly = macro_monthly(spark, sf).persist()
-    return gate.Context(calendar, gate.scoped(calendar, catalogue, market).persist(), market, _micro(spark, sf, whole).persist(), monthly, marts.macro_global(monthly))
+    days = materialise(as_of_dates(spark, sf), "dates")
+    deliveries = days.filter("is_micro_date").select(F.lit("micro").alias("scope"), "as_of_date").union(days.filter("is_macro_date").select(F.lit("macro").alias("scope"), "as_of_date"))
+    calendar = materialise(gate.delivery_calendar(deliveries), "calendar")
+    monthly, micro = materialise(macro_monthly(spark, sf), "monthly"), materialise(_micro(spark, sf, whole), "micro")
+    return gate.Context(calendar, gate.scoped(calendar, catalogue, market), market, micro, monthly, marts.macro_global(monthly))
 
 
 _SCOPED = """
@@ -324,7 +326,7 @@ def gate_measures(spark, sf):
 def _judged(spark, sf):
     ctx = _context(spark, sf)
     rules = gate.rule_table(spark, gate.CHECKS)
-    measures = gate.with_missing(gate.measure(gate.CHECKS, ctx), ctx.deliveries, rules)
+    measures = gate.with_missing(materialise(gate.measure(gate.CHECKS, ctx), "measures"), ctx.deliveries, rules)
     return gate.evaluate(gate.anomaly(measures, gate.CHECKS), rules)
 
 
@@ -504,5 +506,80 @@ def formatted_orders(spark, sf):
     return sinks.format_cells(a.table(spark, sf, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderstatus"))
 
 
+@query("SELECT DISTINCT macro_row_id, 'now' AS side FROM monthly WHERE market = 'ASIA'")
+def snapshot_drift(spark, sf):
+    """Rows that the committed snapshot lacks."""
+    now = macro_monthly(spark, sf)
+    return sinks.diff_snapshot(now, now.filter("market <> 'ASIA'")).select("macro_row_id", "side")
+
+
+# ---- evidence and audits ----------------------------------------------------------------------------------------------------------------------
+
+_LAST, _BEFORE = a.MONTH_ENDS[-1], a.MONTH_ENDS[-2]
+
+
+def _two_months(spark, sf):
+    known = _priced(spark, sf)
+    return known.filter(F.col("as_of_date") == F.lit(_LAST)), known.filter(F.col("as_of_date") == F.lit(_BEFORE))
+
+
+_MOVES = f"""SELECT c.macro_category, c.market, c.object_id, c.price_local <> b.price_local AS moved, c.price_local::DOUBLE / b.price_local::DOUBLE - 1 AS change
+FROM priced c JOIN priced b USING (object_id) WHERE c.as_of_date = DATE '{_LAST}' AND b.as_of_date = DATE '{_BEFORE}'"""
+
+
+@query(f"SELECT macro_category, round(quantile_cont(change, 0.5), 4) AS median_move, count(*) AS n FROM ({_MOVES}) GROUP BY macro_category")
+def median_moves(spark, sf):
+    return reports.median_move(*_two_months(spark, sf))
+
+
+@query(
+    f"""SELECT category, products, round(share, 3) AS share_changed, round(change, 4) AS avg_change_when_changed, markets_with_changes, round(share, 3) > 0.2 AND coalesce(round(change, 4), 0) > 0 AS is_campaign FROM (
+SELECT macro_category AS category, count(*) AS products, avg(CASE WHEN moved THEN 1.0 ELSE 0.0 END) AS share, avg(change) FILTER (moved) AS change, count(DISTINCT market) FILTER (moved) AS markets_with_changes FROM ({_MOVES}) GROUP BY ALL)"""
+)
+def change_anomaly_evidence(spark, sf):
+    now, before = (df.withColumn("price_local", F.col("price_local").cast("double")) for df in _two_months(spark, sf))
+    cat = now.select("sku", "macro_category").distinct()
+    return triage.explain_anomaly(now, before, cat).withColumn("avg_change_when_changed", F.col("avg_change_when_changed").cast("double"))
+
+
+@query(
+    """SELECT object_id, as_of_date, price_local FROM priced JOIN (SELECT macro_category, min(price_local)::DOUBLE AS q0, max(price_local)::DOUBLE AS qn FROM priced WHERE market = 'AFRICA' GROUP BY ALL) USING (macro_category)
+JOIN (VALUES ('AFRICA', 1.0, 1.0), ('AMERICA', 1.26, 1.26), ('EUROPE', 0.8, 0.85)) r(market, p05, p95) USING (market) WHERE price_local < q0 * p05 * 0.97 OR price_local > qn * p95 * 1.10 * 1.03"""
+)
+def outside_envelope(spark, sf):
+    priced = _priced(spark, sf)
+    ratios = spark.createDataFrame([("AFRICA", 1.0, 1.0), ("AMERICA", 1.26, 1.26), ("EUROPE", 0.8, 0.85)], "market string, p05 double, p95 double")
+    bounds = reports.price_bounds(priced.filter("market = 'AFRICA'"), ratios)
+    return reports.outside_envelope(priced, bounds).select("object_id", "as_of_date", "price_local")
+
+
+@query(
+    f"""SELECT * FROM ({_SCOPED}, sv AS (SELECT scope, as_of_date, market, max(served) AS crawl_now FROM scoped GROUP BY ALL)
+SELECT c.scope, c.as_of_date, s.market, s.crawl_now, p1.crawl_now AS crawl_previous, p2.crawl_now AS crawl_two_before, coalesce(s.crawl_now < p1.crawl_now, false) AS is_older_than_last_time
+FROM cal2 c JOIN sv s USING (scope, as_of_date) LEFT JOIN sv p1 ON p1.scope = c.scope AND p1.as_of_date = c.prev_date AND p1.market = s.market LEFT JOIN sv p2 ON p2.scope = c.scope AND p2.as_of_date = c.prev2_date AND p2.market = s.market)"""
+)
+def reversion_evidence(spark, sf):
+    ctx = _context(spark, sf)
+    return triage.explain_reversion(ctx.scoped, ctx.deliveries).select("scope", "as_of_date", "market", "crawl_now", "crawl_previous", "crawl_two_before", "is_older_than_last_time")
+
+
+def _ledger(spark, sf):
+    """The gate's results as two runs of a ledger, the later one being the whole."""
+    out = materialise(_judged(spark, sf).withColumn("dataset", F.lit("marts")), "results")
+    first = out.filter("status = 'fail'").withColumns({"run_id": F.lit("r1"), "checked_at": F.lit("2020-01-01").cast("timestamp")})
+    return first.unionByName(out.withColumns({"run_id": F.lit("r2"), "checked_at": F.lit("2020-01-02").cast("timestamp")}))
+
+
+@query(
+    f"""SELECT * FROM ({_JUDGED}, {_RELEASES.removeprefix("WITH ")}
+SELECT scope, as_of_date, n_pass, n_warn, n_fail, n_skip, CASE WHEN blocked THEN 'BLOCK' WHEN n_warn + n_fail > 0 THEN 'WARN' ELSE 'PASS' END AS decision,
+CASE WHEN r.decision IS NULL THEN 'not_published' WHEN r.is_forced THEN 'published_by_force' ELSE 'published' END AS publication_state
+FROM (SELECT scope, as_of_date, {", ".join(f"count(*) FILTER (status = '{x}') AS n_{x}" for x in ("pass", "warn", "fail", "skip"))}, bool_or(status = 'fail' AND severity = 'block') AS blocked FROM j GROUP BY ALL) LEFT JOIN rel r USING (scope, as_of_date))"""
+)
+def delivery_health(spark, sf):
+    out = marts.delivery_health(_ledger(spark, sf), _releases(spark, sf))
+    return out.select("scope", "as_of_date", "n_pass", "n_warn", "n_fail", "n_skip", "decision", "publication_state")
+
+
 QUERIES |= crawl_queries.QUERIES
 SQL |= crawl_queries.SQL

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
 from pricelens.functions import text as t
-from pricelens.operators import deliveries, quality, reports, staging
+from pricelens.operators import assertions, deliveries, quality, reports, staging
 from pricelens.plans.adapters import table
 from pricelens.sources import raw
 
@@ -152,6 +152,14 @@ def quarantined_lines(spark, sf):
     return out.groupBy("file_crawl_date").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("SELECT month AS source_file_name, 0 AS delivered, 0 AS usable, 0 AS quarantined FROM (SELECT 'x' AS month) WHERE false")
+def lost_rows(spark, sf):
+    """Every delivered line is usable or quarantined."""
+    obs = _staged(spark, sf)
+    out = assertions.lost_rows(crawl_lines(spark, sf), obs.filter("dq_status <> 'quarantine'"), obs.filter("dq_status = 'quarantine'"))
+    return out.select("source_file_name", *[F.col(c).cast("int").alias(c) for c in ("delivered", "usable", "quarantined")])
+
+
 @query("SELECT 'red' AS color, count(*) AS n FROM lineitem")
 def parsed_details(spark, sf):
     """The last of repeated detail keys counts."""
