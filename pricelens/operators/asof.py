@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
 
@@ -37,21 +38,20 @@ def latest_as_of(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order:
     return newest.select("as_of_date", *keys, *[F.col(f"_f.{c}").alias(c) for c in keep])
 
 
-def latest_by_running_max(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at") -> DataFrame:
-    """latest_as_of() for many dates: a fact becomes visible once, and the answer at a date is the running maximum by then.
+def latest_by_running_max(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at", asked: bool = False) -> DataFrame:
+    """latest_as_of() for many dates whose cutoff is the next midnight: a fact becomes visible once, and the answer at a date is the
+    running maximum by then.
 
-    Facts and dates are merged by key and time in one sort, so that the work grows with facts plus answers and not with their
-    product.
+    Facts and questions are merged by key and time in one sort, so that the work grows with facts plus answers and not with their
+    product. ``dates`` is a calendar that every key is asked about, or with ``asked`` the table of dates and keys in question.
     """
-    from pyspark.sql.window import Window
-
     seen = F.greatest(F.col(crawl_date), F.to_date(delivered_at))
     fact = F.struct(*order, *[c for c in keep if c not in order])
     rows = facts.select(*keys, seen.alias("_at"), F.lit(0).alias("_q"), fact.alias("_f"))
-    asked = facts.select(*keys).distinct().join(F.broadcast(dates.select("as_of_date")))
-    asked = asked.select(*keys, F.col("as_of_date").alias("_at"), F.lit(1).alias("_q"), F.lit(None).cast(rows.schema["_f"].dataType).alias("_f"))
+    questions = dates.select("as_of_date", *keys) if asked else facts.select(*keys).distinct().join(F.broadcast(dates.select("as_of_date")))
+    questions = questions.select(*keys, F.col("as_of_date").alias("_at"), F.lit(1).alias("_q"), F.lit(None).cast(rows.schema["_f"].dataType).alias("_f"))
     w = Window.partitionBy(*keys).orderBy("_at", "_q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = rows.union(asked).withColumn("_best", F.max("_f").over(w)).filter("_q = 1 and _best is not null")
+    both = rows.union(questions).withColumn("_best", F.max("_f").over(w)).filter("_q = 1 and _best is not null")
     return both.select(F.col("_at").alias("as_of_date"), *keys, *[F.col(f"_best.{c}").alias(c) for c in keep])
 
 
@@ -69,7 +69,8 @@ def catalogue_as_of(dates: DataFrame, batches: DataFrame, classified: DataFrame,
     chosen = chosen.select("as_of_date", "market", F.col("market_batch_id").alias("presence_batch_id"), F.col("crawl_date").alias("presence_crawl_date"), F.col("crawl_scope").alias("presence_crawl_scope"))
     present = presence(chosen, classified).join(F.broadcast(dates), "as_of_date")
     prices = accepted.select("object_id", "crawl_date", "delivered_at", "price_local", "currency_code", "market_batch_id")
-    known = latest_as_of(present.select("as_of_date", "object_id", "knowledge_cutoff"), prices, ["object_id"], ["crawl_date", "delivered_at"], ["crawl_date", "price_local", "currency_code", "market_batch_id"], on=["object_id"])
+    keep = ["crawl_date", "price_local", "currency_code", "market_batch_id"]
+    known = latest_by_running_max(present, prices, ["object_id"], ["crawl_date", "delivered_at"], keep, asked=True)
     known = known.withColumnsRenamed({"crawl_date": "price_crawl_date", "market_batch_id": "price_batch_id"})
     out = present.drop("knowledge_cutoff").join(known, ["as_of_date", "object_id"], "left")
     return out.withColumns(
