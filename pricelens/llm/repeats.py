@@ -2,12 +2,11 @@
 
 Only suffixes at minimiser positions are kept: of every WINDOW neighbouring word n-grams, the one with the least hash, which
 depends on the text alone, so a shared passage of MIN_WORDS words keeps a suffix at the same place in every document, with HEAD
-words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are sorted (by head, then by the words
-that follow) over range partitions, and each is compared with its nearest neighbours from other documents: matches are extended
-to the right and to the left, and those of MIN_WORDS words or more are merged by document. Longer passages are covered by the
-overlapping matches of their suffixes. Neighbours on different partitions meet in a second, small comparison of the partitions'
-ends. A head of more than MOST_ROWS suffixes is compared in stretches of the sorted order, so that no task holds it whole: there
-the nearest neighbours within a stretch decide.
+words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are dealt out by head and sorted by the
+words that follow, and each is compared with its nearest neighbours from other documents: matches are extended to the right and to
+the left, and those of MIN_WORDS words or more are merged by document. Longer passages are covered by the overlapping matches of
+their suffixes. The suffixes of a head that has more than MOST_ROWS of them stay where they are: they are matched by hashes of all
+windows of MIN_WORDS words around them, which gives the same spans.
 
 Defined results: words are lower-cased and divided by white space; null, empty and shorter texts share nothing; rows with a null id
 are left out; rows that repeat an id are one document, whose repeats of itself do not count; an empty table gives an empty table.
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, ship, stash
+from .common import map_rows, ship, small, stash
 from .shingles import ngram_hashes, word_hashes, words_of
 
 MIN_WORDS = 50
@@ -30,10 +29,8 @@ GRAM = 8
 WINDOW = 24
 HEAD = MIN_WORDS - WINDOW
 LEFT = WINDOW
-#: Suffixes of one head that a task compares at once.
+#: Suffixes of one head that a task compares at once; those of larger heads are matched by their windows.
 MOST_ROWS = 50_000
-#: Suffixes of a head on two partitions that meet whole.
-EDGE_ROWS = 2_000
 
 _U = np.uint64
 
@@ -145,9 +142,8 @@ def _compare(ids: np.ndarray, at: np.ndarray, heads: np.ndarray, right: np.ndarr
     return ids[on], at[on] - before[on], at[on] + behind[on]
 
 
-_EDGE = pa.struct([("id", pa.int64()), ("at", pa.int32()), ("head", pa.int64()), ("right", pa.binary()), ("left", pa.binary())])
-_FOUND = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edge", _EDGE)])
-_DDL = "id bigint, start int, end int, edge struct<id:bigint,at:int,head:bigint,right:binary,left:binary>"
+_FOUND = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+_DDL = "id bigint, start int, end int"
 
 
 def _arrays(t: pa.Table):
@@ -158,50 +154,45 @@ def _arrays(t: pa.Table):
 def _matches(t: pa.Table) -> pa.RecordBatch:
     """The matches among sorted suffixes."""
     ids, start, end = _compare(*_arrays(t))
-    cols = [pa.array(ids), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.nulls(len(ids), _EDGE)]
-    return pa.RecordBatch.from_arrays(cols, schema=_FOUND)
-
-
-def _edges(t: pa.Table, start: bool) -> pa.RecordBatch:
-    """The suffixes of a sorted partition's first or last head, which another partition may have too; of more than EDGE_ROWS, the
-    outermost run of one document and right side."""
-    heads = t["head"].to_numpy()
-    at = np.flatnonzero(heads == heads[0 if start else -1])
-    if len(at) > EDGE_ROWS:
-        first, after = _runs(heads, t["id"].to_numpy(), np.unique(np.array(t["right"].to_pylist(), dtype=object), return_inverse=True)[1])
-        at = np.flatnonzero(first == 0) if start else np.flatnonzero(after == len(first))
-    rows = [{"edge": e} for e in t.take(pa.array(at)).to_pylist()]
-    return pa.RecordBatch.from_pylist(rows, schema=_FOUND)
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(start, pa.int32()), pa.array(end, pa.int32())], schema=_FOUND)
 
 
 def _within_partitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches inside a sorted partition, head by head, and the partition's first and last runs.
-
-    A head of more than MOST_ROWS suffixes is compared in stretches of that size, which overlap by their last two runs.
-    """
+    """Matches inside a sorted partition, head by head."""
     held: pa.Table | None = None
-    started = False
     for batch in batches:
         if not batch.num_rows:
             continue
         now = pa.Table.from_batches([batch])
         t = now if held is None else pa.concat_tables([held, now])
-        if not started:
-            yield _edges(t, True)
-            started = True
         heads = t["head"].to_numpy()
         cut = int(np.searchsorted(heads, heads[-1]))  # the last head may go on
-        if cut == 0 and len(heads) > MOST_ROWS:
-            yield _matches(t)
-            first, _ = _runs(t["id"].to_numpy())
-            last = first[-1]
-            cut = int(first[last - 1] if last > 0 else 0)
-        elif cut:
+        if cut:
             yield _matches(t.slice(0, cut))
         held = t.slice(cut)
     if held is not None:
         yield _matches(held)
-        yield _edges(held, False)
+
+
+def _by_windows(suffixes: DataFrame) -> DataFrame:
+    """What _compare() finds, without bringing the suffixes of a head together: id, start, end.
+
+    Two suffixes that share k words to the right and m to the left, k + m >= MIN_WORDS, share every window of MIN_WORDS words
+    between; so each suffix gets a key for each such window around it, and the windows that two documents have are kept.
+    """
+
+    def key(k: int):
+        m = MIN_WORDS - k
+        inside = lambda c, n: F.substring(c, 4 * n - 3, 4) != F.lit(bytes(4))  # noqa: E731 (zeros lie beyond the text)
+        whole = inside("right", k) & inside("left", m) if m else inside("right", k)
+        hashed = F.xxhash64(F.lit(k), "head", F.substring("left", 1, 4 * m), F.substring("right", 1, 4 * k))
+        return F.when(whole, F.struct(F.lit(k).alias("k"), hashed.alias("key")))
+
+    windows = suffixes.select("id", "at", F.explode(F.filter(F.array(*[key(k) for k in range(HEAD, MIN_WORDS + 1)]), lambda w: w.isNotNull())).alias("w"))
+    windows = windows.select("id", "at", "w.k", "w.key")
+    keys = windows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("key")
+    shared = windows.join(small(stash(keys, "windows")), "key").groupBy("id", "at").agg(F.min("k").alias("least"), F.max("k").alias("most"))
+    return shared.select("id", (F.col("at") - MIN_WORDS + F.col("least")).alias("start"), (F.col("at") + F.col("most")).alias("end"))
 
 
 def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -214,19 +205,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     heads = kept.groupBy("head").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("head")
     marks = stash(kept.join(heads, "head").groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("at")), "marks")
     suffixes = stash(_suffixes(docs, marks, text, id_col), "suffixes")
-    order = ["head", "right", "left", "id", "at"]
+    # Heads of at most MOST_ROWS suffixes meet whole, each on one partition. No more than one head in MOST_ROWS suffixes is larger.
+    large = stash(suffixes.groupBy("head").count().filter(F.col("count") > MOST_ROWS).select("head"), "large")
+    few = large.isEmpty()
+    rest = suffixes if few else suffixes.join(small(large), "head", "left_anti")
     columns = ["id", "at", "head", "right", "left"]
-    ordered = suffixes.repartitionByRange(width, *order).sortWithinPartitions(*order).select(*columns)
-    found = stash(ordered.mapInArrow(_within_partitions, _DDL), "matches")
-
-    def across(table: pa.Table) -> pa.Table:
-        rows = sorted(table["edge"].to_pylist(), key=lambda e: (e["head"], e["right"], e["left"], e["id"], e["at"]))
-        once = list({(e["id"], e["at"], e["head"]): e for e in rows}.values())
-        return pa.Table.from_batches([_matches(pa.Table.from_pylist(once, schema=pa.schema(list(_EDGE))))])
-
-    # Two runs of one document from each partition: by head they meet whole, however many partitions there are.
-    edges = found.filter("edge is not null").withColumn("head", F.col("edge.head")).groupBy("head").applyInArrow(across, _DDL)
-    spans = found.filter("edge is null").unionByName(edges).select("id", "start", "end")
+    ordered = rest.select(*columns).repartition(width, "head").sortWithinPartitions("head", "right", "left", "id", "at")
+    spans = stash(ordered.mapInArrow(_within_partitions, _DDL), "matches")
+    if not few:
+        spans = spans.union(_by_windows(suffixes.join(small(large), "head", "left_semi")))
 
     def merged(table: pa.Table) -> pa.Table:
         order = np.lexsort((table["end"].to_numpy(), table["start"].to_numpy()))

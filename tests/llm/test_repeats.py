@@ -69,3 +69,20 @@ def test_nothing_null_and_repeated_ids(spark):
     assert repeats.repeated_passages(docs(spark, [])).count() == 0
     t = " ".join(f"v{i}" for i in range(80))
     assert repeats.repeated_passages(docs(spark, [t, t, t], ids=[None, 3, 3])).count() == 0
+
+
+def pairs_around_one_phrase(spark, n, partitions):
+    """n texts with one phrase of 48 words, which pairs of them share with five words before it; all have other words behind it."""
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        core = " ".join(f"c{i}" for i in range(48))
+        text = f"concat_ws(' ', transform(sequence(0, 4), i -> concat('f', id div 2, '_', i)), '{core}', concat('a', id % 400), concat('b', id div 400), 'end of text')"
+        df = spark.range(n, numPartitions=8).selectExpr("id AS doc_id", f"{text} AS text")
+        return {tuple(r) for r in repeats.repeated_passages(df).select("doc_id", "start_word", "end_word").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+
+
+def test_a_large_head_on_several_partitions(spark):
+    assert pairs_around_one_phrase(spark, 12_000, 4) == {(i, 0, 53) for i in range(12_000)}
