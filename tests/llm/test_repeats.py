@@ -86,3 +86,15 @@ def pairs_around_one_phrase(spark, n, partitions):
 
 def test_a_large_head_on_several_partitions(spark):
     assert pairs_around_one_phrase(spark, 12_000, 4) == {(i, 0, 53) for i in range(12_000)}
+
+
+def test_a_head_beyond_the_bound_of_a_task(spark):
+    n = repeats.MOST_ROWS + 20_000
+    assert pairs_around_one_phrase(spark, n, 1) == {(i, 0, 53) for i in range(n)}
+
+
+def test_heads_beyond_the_bound_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "MOST_ROWS", 4)
+    test_passages_equal_brute_force(spark)
+    test_one_passage_in_many_contexts(spark)
+    test_nothing_null_and_repeated_ids(spark)
