@@ -2,8 +2,9 @@
 
 Every run of at least MIN_TOKEN encoding characters is tested for randomness in its inferred encoding: a chi-squared test of
 alphabet uniformity, a runs test and a serial-correlation test, whose p-values are combined by Fisher's method. How often
-text that is no secret scores as high is measured over the whole corpus, by length: all texts are cut into stretches of
-letters and digits, which go through the same battery. From both histograms a false-discovery rate by encoding, length and
+text that is no secret scores as high is measured over the whole corpus, by encoding and length: what is left of all texts
+without tokens and plain patterns is written in each encoding's characters and cut into stretches, which go through the same
+battery. From both histograms a false-discovery rate by encoding, length and
 score follows, and tokens are reported where it is at most MAX_FDR.
 
 Defined results: a null text counts as empty; repeated rows and null keys give a row each; offsets are code points, ends
@@ -28,9 +29,10 @@ MIN_TOKEN = 20
 MAX_FDR = 0.05
 #: Tokens less likely than this to come from a uniform source are never reported, whatever the corpus is like.
 MIN_P = 1e-3
-#: Lower ends of the length strata, and the length of the stretches of plain text that stand for each.
-STRATA = (20, 24, 32, 48, 64, 128)
-STRETCH = (22, 28, 40, 56, 96, 160)
+#: Lower ends of the length strata, and the lengths of the stretches of plain text that stand for each. The battery's classes
+#: change at multiples of five, and with them the scores of plain text.
+STRATA = (20, 22, 25, 27, 30, 32, 35, 37, 40, 45, 50, 55, 60, 65, 80, 100, 128)
+STRETCH = STRATA
 ENCODINGS = ("hex", "base32", "alnum", "base64")
 #: Scores are log10(p) in quarters, from -8 to 0.
 BINS = 33
@@ -146,19 +148,55 @@ def tokens(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     return out
 
 
+def _rest(text: str, base: list[tuple[str, int, int]]) -> str:
+    """The text without plain spans and runs of MIN_TOKEN encoding characters, which may be secrets."""
+    out, pos = [], 0
+    for a, b in sorted([(a, b) for _, a, b in base] + [m.span() for m in _TOKEN.finditer(text)]):
+        if a > pos:
+            out.append(text[pos:a])
+        pos = max(pos, b)
+    return " ".join([*out, text[pos:]])
+
+
+def _as_encoded(texts: list[str]) -> dict[str, np.ndarray]:
+    """The words of the texts, run together as an encoded token would show them: symbols by encoding.
+
+    In base64 they keep signs between them: for 30 words a hyphen (or plus), for 30 a slash (or underscore), for 30 both in turn.
+    After 90 words as they stand, the next 90 begin with capitals.
+    """
+    words = np.frombuffer("-".join(_NOT_ALNUM.sub("-", t).strip("-") for t in texts).encode("ascii"), dtype=np.uint8).copy()
+    sign = words == ord("-")
+    first = np.flatnonzero(sign[:-1]) + 1
+    first = first[np.arange(len(first)) // 90 % 2 == 1]
+    words[first[words[first] >= ord("a")]] -= 32
+    runs = words[~sign]
+    upper = np.where(runs >= ord("a"), runs - 32, runs)
+    lower = np.where((runs >= ord("A")) & (runs <= ord("Z")), runs + 32, runs)
+    signed = _TABLES["base64"][words]
+    n = np.arange(int(sign.sum()))
+    kind = n // 30 % 3
+    signed[sign] = np.where(kind == 2, 62 + n % 2, 62 + kind)
+    kept = {"hex": _TABLES["hex"][lower], "base32": _TABLES["base32"][upper]}
+    return {k: x[x >= 0] for k, x in kept.items()} | {"alnum": _TABLES["alnum"][runs], "base64": signed}
+
+
 def plain_text_scores(texts: list[str]) -> np.ndarray:
     """Counts by encoding, length stratum and score bin of the stretches that the texts are cut into, flat."""
     counts = np.zeros((len(ENCODINGS), len(STRATA), BINS), dtype=np.int64)
-    joined = np.frombuffer("".join(_NOT_ALNUM.sub("", t) for t in texts).encode("ascii"), dtype=np.uint8)
     block = sum(STRETCH)
-    rows = len(joined) // block
-    if rows:
-        x = _TABLES["alnum"][joined[: rows * block]].reshape(rows, block)
+    encoded = _as_encoded(texts)
+    for e, encoding in enumerate(ENCODINGS):
+        joined = encoded[encoding]
+        rows = len(joined) // block
+        x, rest = joined[: rows * block].reshape(rows, block), joined[rows * block :]
         at = 0
         for i, n in enumerate(STRETCH):
             part = np.ascontiguousarray(x[:, at : at + n])
             at += n
-            counts[ENCODINGS.index("alnum"), i] += np.bincount(_bin(battery(part, 62)), minlength=BINS)
+            if len(rest) >= n:
+                part, rest = np.concatenate([part, rest[None, :n]]), rest[n:]
+            if len(part):
+                counts[e, i] += np.bincount(_bin(battery(part, len(_ALPHABETS[encoding]))), minlength=BINS)
     return counts.ravel()
 
 
@@ -174,7 +212,7 @@ def scan(docs: DataFrame, text: str = "text", keep: list[str] | None = None) ->
         def fn(cols):
             texts = [t or "" for t in cols[0]]
             spans = [plain_spans(t) for t in texts]
-            hist = plain_text_scores(texts).tolist()
+            hist = plain_text_scores([_rest(t, s) for t, s in zip(texts, spans, strict=True)]).tolist()
             return {
                 "base": [[dict(zip(("kind", "start", "end"), x, strict=True)) for x in s] for s in spans],
                 "tokens": [tokens(t, s) for t, s in zip(texts, spans, strict=True)],
@@ -199,9 +237,8 @@ def thresholds(scanned: DataFrame) -> list[int]:
     for r in scanned.filter("hist is not null").select(F.posexplode("hist")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
         plain[r["pos"]] = r["n"]
     plain = plain.reshape(len(ENCODINGS), len(STRATA), BINS)
-    of_length = plain.sum(axis=(0, 2))
     tail = lambda x: x[..., ::-1].cumsum(axis=-1)[..., ::-1]
-    p = ((1 + tail(plain)) / (1 + of_length)[None, :, None]).reshape(groups, BINS)
+    p = ((1 + tail(plain)) / (1 + plain.sum(axis=-1, keepdims=True))).reshape(groups, BINS)
     found = tail(seen)
     fdr = np.where(found > 0, seen.sum(axis=1, keepdims=True) * p / np.maximum(found, 1), 1.0)
     fdr[:, : int(_bin(np.array([MIN_P]))[0])] = 1.0

@@ -138,6 +138,29 @@ def test_randomness_battery_tells_tokens_from_words(spark):
     assert out[60] == out[61] == out[62] == ""
 
 
+def test_slugs_are_no_secrets(spark):
+    words = "the of side effects well known state art house water market report garden people history river music winter paper travel".split()
+    rng = random.Random(6)
+    prose = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(60)]
+    slugs = ["well-known-side-effects", "Frankfurt/Main-Flughafen", "state-of-the-art-thing"]
+    slugs += ["-".join(rng.choice(words) for _ in range(5)) for _ in range(37)] + ["".join(rng.choice(words) for _ in range(6)).upper() for _ in range(20)]
+    texts = [f"{p} {x}" for p, x in zip(prose, slugs, strict=True)]
+    out = secret_scan.digests(secret_scan.find(docs(spark, texts))).collect()
+    assert [r["spans"] for r in out] == [""] * 60
+
+
+def test_a_source_of_many_keys_hides_none(spark):
+    """Keys are a third of all letters, and are found all the same, in two encodings."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    prose = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(120)]
+    code = ["alnum", "base64"]
+    keys = [" ".join("".join(rng.choice(secret_scan._ALPHABETS[code[i % 2]]) for _ in range(40)) for _ in range(12)) for i in range(120)]
+    texts = [f"{p} {k}" for p, k in zip(prose, keys, strict=True)]
+    out = secret_scan.digests(secret_scan.find(docs(spark, texts))).collect()
+    assert sum(r["spans"].count("random") for r in out) >= 0.9 * 120 * 12
+
+
 def brute_signals(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
