@@ -100,7 +100,7 @@ _RULES = re.compile(
     re.I | re.A,
 )
 _TOKEN = re.compile(rf"{_WORD}|[0-9]", re.I | re.A)
-_DISGUISED = re.compile(rf"[(\[{{<]\s*(?:at|dot)\s*[)\]}}>]|\sdot\s|\b{_WORD}{_GAP}(?:{_WORD}|[0-9])", re.I | re.A)
+_DISGUISED = re.compile(rf"[(\[{{<]\s*(?:at|dot)\s*[)\]}}>]|\sdot\s|\bplus\s+(?={_WORD}\b|[0-9])|\b{_WORD}{_GAP}(?:{_WORD}|[0-9])", re.I | re.A)
 
 
 def transduce(text: str) -> tuple[str, list[int], list[int]]:

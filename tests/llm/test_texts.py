@@ -90,6 +90,13 @@ def test_pii_disguises_map_back(text, found):
     assert [(k, text[a:b]) for k, a, b in spans] == [found]
 
 
+@pytest.mark.parametrize("text", ["call plus 49 151 2345678", "Plus 1 (555) 867-5309"])
+def test_pii_plus_before_plain_digits(text):
+    start = text.lower().index("plus")
+    for more in ("", " or x dot y"):
+        assert pii.disguised_spans(text + more, []) == [("phone", start, len(text))]
+
+
 def test_pii_leaves_plain_words_alone_and_masks():
     for t in ("they met at noon and one two went home", "the dot on the i", "look at this dot there", "at the at of dot"):
         assert pii.plain_spans(t) + pii.disguised_spans(t, []) == []
