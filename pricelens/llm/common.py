@@ -23,10 +23,12 @@ SLICE_ROWS = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; where that is unset (tests), a temporary one."""
+    """The folder that all executors share, from spark.checkpoint.dir; in local mode, where that is unset, a temporary one."""
     sc = spark.sparkContext
     folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not folder:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="pricelens-")
         sc.setCheckpointDir(folder)
         folder = sc.getCheckpointDir()
