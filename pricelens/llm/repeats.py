@@ -5,11 +5,14 @@ depends on the text alone, so a shared passage of MIN_WORDS words keeps a suffix
 words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are dealt out by head and sorted by the
 words that follow, and each is compared with its nearest neighbours from other documents: matches are extended to the right and to
 the left, and those of MIN_WORDS words or more are merged by document. Longer passages are covered by the overlapping matches of
-their suffixes. The suffixes of a head that has more than MOST_ROWS of them stay where they are: they are matched by hashes of all
-windows of MIN_WORDS words around them, which gives the same spans.
+their suffixes. Words are compared by 31 bits of their hashes, at least MIN_WORDS of them in a row. The suffixes of a head that
+has more than MOST_ROWS of them stay where they are: they are matched by hashes of all windows of MIN_WORDS words around them,
+which gives the same spans.
 
 Defined results: words are lower-cased and divided by white space; null, empty and shorter texts share nothing; rows with a null id
-are left out; rows that repeat an id are one document, whose repeats of itself do not count; an empty table gives an empty table.
+are left out; rows that repeat an id are one document, whose repeats of itself do not count; an empty table gives an empty table;
+texts of any length are read whole; of ties, every place is reported; only the two columns named are read, whatever the others are
+called.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import map_rows, ship, small, stash
 from .shingles import ngram_hashes, word_hashes, words_of
@@ -195,15 +199,26 @@ def _by_windows(suffixes: DataFrame) -> DataFrame:
     return shared.select("id", (F.col("at") - MIN_WORDS + F.col("least")).alias("start"), (F.col("at") + F.col("most")).alias("end"))
 
 
+def _shared_heads(kept: DataFrame, width: int) -> DataFrame:
+    """The anchors whose head several documents have.
+
+    A head with more than its share of a quarter of a partition is joined by broadcast, so that its anchors stay where they
+    are; there are at most 4 * width such heads. The other heads are joined by shuffle.
+    """
+    heads = stash(kept.groupBy("head").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("a < b").select("head", "n"), "heads")
+    hot = F.broadcast(heads.filter(F.col("n") * (4 * width) > kept.count()).select("head"))
+    rest = kept.join(hot, "head", "left_anti").join(heads.join(hot, "head", "left_anti").select("head"), "head")
+    return kept.join(hot, "head").union(rest.select(*kept.join(hot, "head").columns))
+
+
 def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """A row for each stretch of a document that other documents have too: id, start_word, end_word (exclusive), n_words."""
     spark = docs.sparkSession
     ship(spark)
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # The positions are written once, so that texts are read and hashed once for both uses; the join can split hot heads.
+    # The positions are written once, so that texts are read and hashed once for both uses.
     kept = stash(_anchor_rows(docs, text, id_col), "anchors")
-    heads = kept.groupBy("head").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("head")
-    marks = stash(kept.join(heads, "head").groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("at")), "marks")
+    marks = stash(_shared_heads(kept, width).groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("at")), "marks")
     suffixes = stash(_suffixes(docs, marks, text, id_col), "suffixes")
     # Heads of at most MOST_ROWS suffixes meet whole, each on one partition. No more than one head in MOST_ROWS suffixes is larger.
     large = stash(suffixes.groupBy("head").count().filter(F.col("count") > MOST_ROWS).select("head"), "large")
@@ -215,13 +230,10 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     if not few:
         spans = spans.union(_by_windows(suffixes.join(small(large), "head", "left_semi")))
 
-    def merged(table: pa.Table) -> pa.Table:
-        order = np.lexsort((table["end"].to_numpy(), table["start"].to_numpy()))
-        start, end = table["start"].to_numpy()[order], np.maximum.accumulate(table["end"].to_numpy()[order])
-        new = np.flatnonzero(np.concatenate([[True], start[1:] > end[:-1]]))
-        last = np.append(new[1:], len(start)) - 1
-        a, b = start[new], end[last]
-        return pa.table({"id": pa.array(np.full(len(a), table["id"][0].as_py())), "start_word": pa.array(a, pa.int32()), "end_word": pa.array(b, pa.int32())})
-
-    out = spans.groupBy("id").applyInArrow(merged, "id bigint, start_word int, end_word int")
+    # Of spans with one start the longest counts, so a document brings no more rows here than it has words.
+    longest = spans.groupBy("id", "start").agg(F.max("end").alias("end"))
+    order = Window.partitionBy("id").orderBy("start")
+    reached = longest.withColumn("before", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    runs = reached.withColumn("run", F.sum(F.when(F.col("start") <= F.col("before"), 0).otherwise(1)).over(order))
+    out = runs.groupBy("id", "run").agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"))
     return out.select(F.col("id").alias(id_col), "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"))
