@@ -2,13 +2,15 @@
 
 Documents whose sets of hashed five-word n-grams (words are lower-cased and divided by white space) have a Jaccard similarity
 of at least THRESHOLD are linked. Band and row counts follow from the target recall. Documents with equal sets are one text, so
-copies are never compared. Bands are shuffled alone; the full sets are then shuffled once for each text that shares a band with
-another, grouped by the connected component of shared bands, in blocks of bounded size, and verified there. A group of
-texts is never expanded into rows of pairs: tasks return link counts and a spanning forest.
+copies are never compared. Bands are shuffled alone, as hashes. The texts of a band are a bucket; of buckets with the same
+texts one is kept. Full sets are shuffled to the buckets that are kept, in blocks of bounded size, and each pair is verified in
+the first bucket that it shares, so a chain of weak candidates brings no unrelated texts together. A group of texts is never
+expanded into rows of pairs: tasks return link counts and a spanning forest.
 
 Defined results: a null or empty text, or one of white space only, has no n-grams and links to nothing; a text of fewer than five
 words has one n-gram, all its words; rows with a null id are left out; rows that repeat an id count as one document with
-the texts of all; an empty table gives an empty table.
+the texts of all; an empty table gives an empty table; texts of any length are read whole; a pair at the threshold exactly is
+linked; only the two columns named are read, whatever the others are called.
 """
 
 from __future__ import annotations
@@ -32,9 +34,8 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Hash functions at most.
 MAX_HASHES = 200
-#: Texts, and n-grams, of a block; a task verifies two blocks against each other.
-BLOCK_TEXTS = 1000
-BLOCK_NGRAMS = 2_000_000
+#: Texts of a block of a bucket, on average; a group of rows is two blocks, verified against each other.
+BLOCK_TEXTS = 250
 
 _U = np.uint64
 
@@ -76,6 +77,10 @@ def grams_of(text: str | None, n: int = NGRAM) -> np.ndarray:
     return np.unique(ngram_hashes(word_hashes(words_of(text)), n))
 
 
+def digest_of(grams: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
+
+
 def signatures(docs: DataFrame, text: str, id_col: str, n: int, bands: int, rows: int) -> DataFrame:
     """id, digest of the set (null without n-grams) and band hashes, for rows with an id."""
 
@@ -83,12 +88,8 @@ def signatures(docs: DataFrame, text: str, id_col: str, n: int, bands: int, rows
         sign = Signer(bands, rows)
 
         def fn(cols):
-            digest, hashes = [], []
-            for t in cols[0]:
-                g = grams_of(t, n)
-                digest.append(hashlib.blake2b(g.tobytes(), digest_size=16).digest() if len(g) else None)
-                hashes.append(sign(g).tolist() if len(g) else [])
-            return {"digest": digest, "bands": hashes}
+            sets = [grams_of(t, n) for t in cols[0]]
+            return {"digest": [digest_of(g) for g in sets], "bands": [sign(g).tolist() if len(g) else [] for g in sets]}
 
         return fn
 
@@ -96,17 +97,19 @@ def signatures(docs: DataFrame, text: str, id_col: str, n: int, bands: int, rows
     return map_rows(rows_in, make, "digest binary, bands array<bigint>", ["id"])
 
 
-def _jaccard_links(
-    bands: np.ndarray, grams: list[np.ndarray], ids: np.ndarray, same: np.ndarray, block: np.ndarray, pair: tuple[int, int], threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each text in this pair of blocks and the least id it is connected to here. ``same`` numbers equal sets."""
-    m = len(ids)
+def _jaccard_links(bands: np.ndarray, here: int, grams: list[np.ndarray], block: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each text in these blocks of the bucket ``here`` and the first text that it is connected to here.
+
+    ``bands`` has each text's buckets in order, zero for those not kept. With two blocks only pairs across them count.
+    """
+    m = len(grams)
     sizes = np.array([len(g) for g in grams])
     _, flat = np.unique(np.concatenate(grams), return_inverse=True)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     present = np.zeros(int(flat.max()) + 1, dtype=bool)
     count, root = np.zeros(m, dtype=np.int64), np.arange(m)
+    across = block.min() != block.max()
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -115,12 +118,10 @@ def _jaccard_links(
         return x
 
     for i in range(m - 1):
-        later = np.flatnonzero((bands[i + 1 :] == bands[i]).any(axis=1)) + i + 1
-        later = later[(ids[later] != ids[i]) & (same[later] != same[i])]
-        if pair[0] != pair[1]:
-            later = later[block[later] != block[i]]
-        ratio = np.minimum(sizes[later], sizes[i]) / np.maximum(sizes[later], sizes[i])
-        later = later[ratio >= threshold]
+        ratio = np.minimum(sizes[i + 1 :], sizes[i]) / np.maximum(sizes[i + 1 :], sizes[i])
+        later = np.flatnonzero((ratio >= threshold) & (block[i + 1 :] != block[i] if across else True)) + i + 1
+        shared = (bands[later] == bands[i]) & (bands[i] != 0)
+        later = later[bands[i][shared.argmax(axis=1)] == here]
         if not len(later):
             continue
         mine = flat[starts[i] : ends[i]]
@@ -137,60 +138,86 @@ def _jaccard_links(
             a, b = find(i), find(int(j))
             if a != b:
                 root[max(a, b)] = min(a, b)
-    return count, np.array([ids[find(i)] for i in range(m)], dtype=np.int64)
+    return count, np.array([find(i) for i in range(m)], dtype=np.int64)
+
+
+def buckets(texts: DataFrame) -> DataFrame:
+    """band, digest and number of texts n, of every text in a bucket of two texts or more; of buckets with equal texts one."""
+    width = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = texts.select("digest", F.explode("bands").alias("band")).repartition(width, "band")
+    # The digests' halves, hashed and summed over a bucket, and their number and the least of them tell buckets apart.
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "digest").cast("decimal(20,0)"))
+    kinds = shared.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("first"), total(1).alias("s1"), total(2).alias("s2")).filter("n > 1")
+    kept = stash(kinds.groupBy("n", "first", "s1", "s2").agg(F.min("band").alias("band")).select("band", "n"), "buckets")
+    return shared.join(small(kept), "band").select("band", "digest", "n")
 
 
 def link_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str, n: int, threshold: float, bands: int, rows: int) -> DataFrame:
-    """node, n_links and root of every text that is linked, one row for each pair of blocks that shows it.
+    """digest, n_links and root (a digest) of every text that is linked, one row for each pair of blocks that shows it.
 
-    ``texts`` has the representative ids (node), digests and bands of different texts.
+    ``texts`` has the digests, representative ids (node) and bands of different texts.
     """
     spark = docs.sparkSession
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    shared = texts.select("node", F.explode("bands").alias("band")).repartition(width, "band")
-    groups = shared.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1").drop("n")
-    edges = shared.join(groups, "band").select("node", "first").filter("node <> first").distinct()
-    candidates = stash(components(edges, "node", "first"), "candidates").withColumnRenamed("component", "part")
+    found = buckets(texts).groupBy("digest").agg(F.collect_list(F.struct("band", "n")).alias("found"))
+    found = stash(found.join(texts.select("digest", "node"), "digest"), "candidates")
 
     def make():
         sign = Signer(bands, rows)
 
         def fn(cols):
             sets = [grams_of(t, n) for t in cols[0]]
-            return {"grams": [g.view(np.int64).tolist() for g in sets], "bands": [sign(g).tolist() if len(g) else [] for g in sets]}
+            order = []
+            for g, at in zip(sets, cols[1], strict=True):
+                kept = {x["band"] for x in at}
+                order.append([b if b in kept else 0 for b in sign(g).tolist()] if len(g) else [])
+            return {"own": [digest_of(g) for g in sets], "grams": [g.view(np.int64).tolist() for g in sets], "bands": order}
 
         return fn
 
-    chosen = docs.select(F.col(id_col).alias("node"), F.col(text).alias("_text")).join(small(candidates), "node")
-    sets = map_rows(chosen, make, "grams array<bigint>, bands array<bigint>", ["node", "part"]).filter(F.size("grams") > 0)
-    sets = stash(sets, "sets")
-    sizes = sets.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("grams")).alias("g"))
-    sizes = sizes.select("part", F.ceil(F.greatest(F.col("n") / BLOCK_TEXTS, F.col("g") / BLOCK_NGRAMS)).cast("int").alias("blocks"))
-    placed = sets.join(sizes, "part").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select(
-        "part", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "grams", "bands"
-    )
-    out = T.StructType([T.StructField("node", T.LongType()), T.StructField("n_links", T.LongType()), T.StructField("root", T.LongType())])
+    chosen = docs.select(F.col(id_col).alias("node"), F.col(text).alias("_text")).join(small(found), "node")
+    chosen = chosen.select("digest", "found", "_text", F.col("found").alias("_found"))
+    # An id can have several texts: only the one that stands for the digest is taken.
+    sets = map_rows(chosen, make, "own binary, grams array<bigint>, bands array<bigint>", ["digest", "found"]).filter("own = digest").drop("own")
+    placed = stash(sets, "sets").select("digest", "grams", "bands", F.explode("found").alias("at"))
+    blocks = F.ceil(F.col("at.n") / BLOCK_TEXTS).cast("int")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.select(F.col("at.band").alias("band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "digest", "grams", "bands")
+    out = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("n_links", T.LongType()), T.StructField("root", T.BinaryType())])
 
     def verify(table: pa.Table) -> pa.Table:
-        table = table.sort_by("node")
-        ids = table["node"].to_numpy()
+        at = {d: i for i, d in enumerate(table["digest"].to_pylist())}  # a row can be repeated
+        table = table.take([at[d] for d in sorted(at)])
         flat = table["grams"].combine_chunks()
         values, ends = flat.values.to_numpy(), flat.offsets.to_numpy()
         grams = [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        digests = [(i, hashlib.blake2b(g.tobytes(), digest_size=16).digest()) for i, g in zip(ids.tolist(), grams, strict=True)]
         grid = np.asarray(table["bands"].to_pylist(), dtype=np.int64)
-        pair = (table["low"][0].as_py(), table["high"][0].as_py())
-        once = list({d: at for at, d in enumerate(digests)}.values())  # a row that is repeated
-        ids, grid, block = ids[once], grid[once], table["block"].to_numpy()[once]
-        same = np.unique([digests[at][1] for at in once], return_inverse=True)[1]
-        count, root = _jaccard_links(grid, [grams[at] for at in once], ids, same, block, pair, threshold)
-        on = count > 0
-        return pa.table({"node": ids[on], "n_links": count[on], "root": root[on]})
+        count, root = _jaccard_links(grid, table["band"][0].as_py(), grams, table["block"].to_numpy(), threshold)
+        on = np.flatnonzero(count)
+        digests = table["digest"].combine_chunks()
+        return pa.table({"digest": digests.take(pa.array(on)), "n_links": count[on], "root": digests.take(pa.array(root[on]))})
 
     ship(spark)
-    return placed.groupBy("part", "low", "high").applyInArrow(verify, out)
+    return placed.repartition(width, "band", "low", "high").groupBy("band", "low", "high").applyInArrow(verify, out)
+
+
+def _linked(docs: DataFrame, text: str, id_col: str, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three tables: id and digest of every row with an id; ids of several rows (_twice); and of every different text its
+    digest, group (the least digest that it is connected to), class_id (the least id of the group), n_rows and n_links."""
+    bands, rows = band_plan(threshold, recall)
+    signed = stash(signatures(docs, text, id_col, n, bands, rows), "signatures")
+    twice = stash(signed.groupBy("id").count().filter("count > 1").select(F.col("id").alias("_twice")), "repeated")
+    texts = signed.filter("digest is not null").groupBy("digest").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n_rows"), F.first("bands").alias("bands"))
+    texts = stash(texts, "texts")
+    rows_in = docs if twice.isEmpty() else docs.select(id_col, text).dropDuplicates([id_col, text])
+    links = stash(link_texts(rows_in, texts, text, id_col, n, threshold, bands, rows), "links")
+    groups = components(links, "digest", "root").select(F.col("node").alias("digest"), F.col("component").alias("group"))
+    counts = links.groupBy("digest").agg(F.sum("n_links").alias("n_links"))
+    linked = texts.select("digest", "node", "n_rows").join(groups, "digest").join(counts, "digest")
+    linked = stash(linked, "linked")
+    least = linked.groupBy("group").agg(F.min("node").alias("class_id"))
+    alone = texts.join(linked, "digest", "left_anti").select("digest", F.col("digest").alias("group"), F.col("node").alias("class_id"), "n_rows", F.lit(0).cast("bigint").alias("n_links"))
+    return signed.select("id", "digest"), twice, stash(linked.join(least, "group").select(*alone.columns).union(alone), "classes")
 
 
 def near_duplicates(
@@ -198,38 +225,38 @@ def near_duplicates(
 ) -> DataFrame:
     """A row for each id: class_id (the least id that it is linked to, itself included, through any number of links), n_links
     (different texts that its text is linked to) and n_copies (other rows with the same set of n-grams)."""
-    bands, rows = band_plan(threshold, recall)
-    signed = stash(signatures(docs, text, id_col, n, bands, rows), "signatures")
-    texts = signed.filter("digest is not null").groupBy("digest").agg(
-        F.min("id").alias("node"), F.count(F.lit(1)).alias("n_rows"), F.first("bands").alias("bands")
-    )
-    texts = stash(texts, "texts")
-    links = stash(link_texts(docs, texts, text, id_col, n, threshold, bands, rows), "links")
-    classes = components(
-        links.select(F.col("node").alias("a"), F.col("root").alias("b")).union(
-            # An id with several texts ties their classes together.
-            signed.filter("digest is not null").select("id", "digest").distinct().join(texts.select("digest", "node"), "digest").select("id", "node").filter("id <> node")
-        ), "a", "b",
+    signed, twice, classes = _linked(docs, text, id_col, n, threshold, recall)
+    of_id = (signed if twice.isEmpty() else signed.distinct()).join(classes, "digest", "left").groupBy("id").agg(
+        F.coalesce(F.min("class_id"), "id").alias("class_id"), F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"),
+        F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n_copies"),
     )
-    counts = links.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    per_text = texts.select("digest", "node", "n_rows").join(counts, "node", "left")
-    of_id = signed.select("id", "digest").distinct().join(per_text, "digest", "left")
-    of_id = of_id.groupBy("id").agg(
-        F.coalesce(F.sum("n_links"), F.lit(0)).alias("n_links"), F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("n_copies")
-    )
-    return of_id.join(classes, of_id["id"] == classes["node"], "left").select(
-        F.col("id").alias(id_col), F.coalesce("component", "id").alias("class_id"), "n_links", "n_copies"
-    )
+    if not twice.isEmpty():  # an id with several texts ties their classes together
+        tied = components(signed.join(classes, "digest").select("id", "class_id"), "id", "class_id")
+        of_id = of_id.join(tied, of_id["id"] == tied["node"], "left").withColumn("class_id", F.coalesce("component", "class_id"))
+    return of_id.select(F.col("id").alias(id_col), "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The document with the least id of each class, once; rows with a null id stay."""
-    found = near_duplicates(docs, text, id_col)
-    drop = small(stash(found.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("_drop")), "copies"))
+    """Of each class of linked texts and their copies one row, with the least id of the class.
+
+    Rows with a null id or without n-grams stay. Rows that repeat an id are judged one by one by their texts: unrelated texts all
+    stay, and of copies under one id the one with the least text, then the least JSON form of its columns.
+    """
+    signed, twice, classes = _linked(docs, text, id_col, NGRAM, THRESHOLD, RECALL)
+    drop = signed.join(classes, "digest").filter("id <> class_id").select(F.col("id").alias("_drop"))
+    none = twice.isEmpty()
+    drop = small(stash(drop if none else drop.join(twice, drop["_drop"] == twice["_twice"], "left_anti"), "copies"))
     kept = docs.join(drop, docs[id_col] == drop["_drop"], "left_anti")
-    twice = stash(kept.select(id_col).filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(F.col(id_col).alias("_twice")), "repeated")
-    if twice.isEmpty():
+    if none:
         return kept
     twice = small(twice)
-    once = kept.join(twice, kept[id_col] == twice["_twice"], "left_anti")
-    return once.union(kept.join(twice, kept[id_col] == twice["_twice"], "left_semi").dropDuplicates([id_col]).select(*docs.columns))
+
+    def make():
+        return lambda cols: {"digest": [digest_of(grams_of(t)) for t in cols[0]]}
+
+    repeated = docs.join(twice, docs[id_col] == twice["_twice"], "left_semi")
+    repeated = map_rows(repeated.select(F.struct(*repeated.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text).alias("_text")), make, "digest binary", ["_row", "_id"])
+    bare = repeated.filter("digest is null").select("_row.*")
+    first = repeated.join(classes, "digest").filter("_id = class_id")
+    first = first.groupBy("group").agg(F.min_by("_row", F.struct(F.col(f"_row.`{text}`"), F.to_json("_row"))).alias("_row")).select("_row.*")
+    return kept.join(twice, kept[id_col] == twice["_twice"], "left_anti").select(*docs.columns).union(bare).union(first)

@@ -103,5 +103,26 @@ def test_join_in_small_blocks_with_null_and_repeated_ids(spark, monkeypatch):
     check(spark, texts + texts[:9], ids + ids[:9])
 
 
+def test_unrelated_texts_of_one_id_stay(spark):
+    rng = random.Random(5)
+    a, b, c = (" ".join(f"{k}{rng.randrange(900)}" for _ in range(60)) for k in "abc")
+    texts = [a, b, b.upper(), c, c + " more", a, None, "", "one", None]
+    ids = [7, 7, 7, 9, 3, 4, 5, 5, None, None]
+    df = docs(spark, texts, ids=ids)
+    left = sorted(((r["doc_id"], r["text"]) for r in jaccard.keep_one(df).collect()), key=str)
+    assert left == sorted([(4, a), (7, min(b, b.upper())), (3, c + " more"), (5, None), (5, ""), (None, "one"), (None, None)], key=str)
+    got = {r["doc_id"]: r["class_id"] for r in jaccard.near_duplicates(df).collect()}
+    assert got == {7: 4, 4: 4, 9: 3, 3: 3, 5: 5}
+
+
+def test_a_chain_of_weak_candidates_and_a_long_text(spark):
+    """Neighbours share a third of their words, so their bands often meet, yet none is linked."""
+    rng = random.Random(8)
+    words = [[f"w{rng.randrange(10**6)}" for _ in range(40)] for _ in range(60)]
+    texts = [" ".join(words[i] + words[i + 1] + words[i + 2]) for i in range(58)] + [" ".join(f"v{i}" for i in range(40_000))] * 2
+    got = [r for r in jaccard.near_duplicates(docs(spark, texts)).collect()]
+    assert {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in got} == {i: (min(i, 58), 0, int(i > 57)) for i in range(60)}
+
+
 def test_join_of_nothing(spark):
     assert jaccard.near_duplicates(docs(spark, [])).count() == 0 and jaccard.keep_one(docs(spark, [])).count() == 0
