@@ -6,9 +6,11 @@ import hashlib
 import io
 import math
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 
 from pricelens.llm import bpe, training_order, url_filter, warc
 from tests.llm.test_texts import ODD, docs
@@ -41,6 +43,39 @@ def test_inflating_in_small_chunks(monkeypatch):
         assert list(warc.inflated_records(io.BytesIO(packed))) == raw
 
 
+def test_cut_streams_are_errors():
+    raw = [warc.record(i, f"http://x/{i}", b"p" * i * 50, "D", None) for i in range(12)]
+    packed = gzip.compress(b"".join(raw), mtime=0)
+    whole = zlib.compressobj(wbits=31)
+    half = whole.compress(b"".join(raw[:5])) + whole.flush(zlib.Z_FULL_FLUSH)  # ends with a record, without a trailer
+    for cut in (packed[:-1], packed[:-8], packed[: len(packed) // 2], half, gzip.compress(b"".join(raw)[:-3])):
+        with pytest.raises(ValueError, match="stops before|last whole record"):
+            list(warc.inflated_records(io.BytesIO(cut)))
+    assert list(warc.inflated_records(io.BytesIO(b""))) == [] and list(warc.inflated_records(io.BytesIO(packed + b"\0" * 40))) == raw
+
+
+def test_the_sidecar_finds_every_record(spark):
+    from pricelens.llm.common import new_path, stash
+    from pricelens.llm.files import opened
+
+    pages = spark.createDataFrame([(i, f"http://x/{i}", "text " * i) for i in range(40)], PAGES)
+    folder = new_path(spark, "records")
+    archives = stash(warc.normalise(stash(warc.write_monolithic(warc.with_revisits(pages.repartition(3)), new_path(spark, "warc")), "archives"), folder), "done")
+    rows = warc.read_index(archives, folder).collect()
+    assert len(rows) == 40 == sum(r["n_records"] for r in archives.collect())
+    seen = set()
+    for r in rows:
+        with opened(r["archive"], random=True) as file:
+            file.seek(r["offset"])
+            member = file.read(r["length"])
+        one = warc.parse(gzip.decompress(member))
+        assert one["payload_bytes"] == 5 * one["id"]
+        seen.add(one["id"])
+        with opened(r["archive"] + ".idx", random=True) as file:
+            assert f"{r['number']} {r['offset']} {r['length']}".encode() in file.read().split(b"\n")
+    assert seen == set(range(40))
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 3, 5, 64, 1000, 4097):
         for key in (0, 7, -3):
@@ -49,26 +84,44 @@ def test_feistel_is_a_permutation():
     assert (a != b).mean() > 0.9 and abs(np.corrcoef(np.arange(1000), a)[0, 1]) < 0.15
 
 
-def test_shards_hold_all_tokens_in_training_order(spark, monkeypatch):
-    rng = random.Random(1)
-    texts = ODD + [" ".join(rng.choice(["alpha", "beta", "γ", "42"]) for _ in range(rng.randint(0, 900))) for _ in range(40)]
-    packed = training_order.pack(docs(spark, texts).coalesce(1), RANKS, PATTERN, seq_len=64).cache()
-    slotted, total = training_order.with_slots(packed, 11)
-    from pricelens.llm.common import new_path, stash
+def test_shards_hold_all_tokens_in_training_order(spark):
+    from pricelens.llm.common import new_path
 
-    manifest = stash(training_order.write_shards(slotted, total, new_path(spark, "shards"), 64, 10), "manifest")
-    rows = {r["sequence"]: r for r in training_order.read_shards(manifest, 64).collect()}
-    run = bpe.encoder(RANKS, PATTERN)
-    stream = [i for t in texts for i in [*np.frombuffer(run(t), dtype=np.int32).tolist(), training_order.END]]
-    assert len(rows) == total == -(-len(stream) // 64)
-    for k, r in rows.items():
-        ids = stream[k * 64 : (k + 1) * 64]
-        raw = np.array(ids + [training_order.FILL] * (64 - len(ids)), dtype="<u2").tobytes()
-        assert r["n_tokens"] == len(ids) and r["tokens_sha256"] == hashlib.sha256(raw).hexdigest()
-        assert r["slot"] == training_order.feistel(np.array([k]), total, 11)[0] and r["shard"] == r["slot"] // 10 and r["offset"] == r["slot"] % 10 * 128
+    rng = random.Random(1)
+    texts = ODD + [" ".join(rng.choice(["alpha", "beta", "γ", "42"]) for _ in range(rng.randint(0, 900))) for _ in range(40)] + ["long text " * 9000]
+    ids = [*range(len(texts) - 3), None, 4, 4]
+    rng.shuffle(ids)
+    run, end = bpe.encoder(RANKS, PATTERN), training_order.end_token(RANKS, PATTERN)
+    order = sorted(zip(ids, texts, strict=True), key=lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256((x[1] or "").encode()).digest()))
+    stream = [i for _, t in order for i in [*np.frombuffer(run(t), dtype=np.int32).tolist(), end]]
+    total = -(-len(stream) // 64)
+    want = {}
+    for k in range(total):
+        part = stream[k * 64 : (k + 1) * 64]
+        raw = np.array(part + [end] * (64 - len(part)), dtype="<u2").tobytes()
+        slot = int(training_order.feistel(np.array([k]), total, 11)[0])
+        want[slot] = (k, len(part), slot // 10, slot % 10 * 128, hashlib.sha256(raw).hexdigest())
+    df = docs(spark, texts, ids=ids).withColumnRenamed("lang", "slot").withColumnRenamed("source", "tokens")
+    for parts in (1, 4, 23):
+        folder = new_path(spark, "shards")
+        manifest = training_order.materialise(df.repartition(parts), RANKS, PATTERN, 11, folder=folder, seq_len=64, shard_rows=10)
+        rows = training_order.read_shards(manifest, 64).collect()
+        assert {r["slot"]: (r["sequence"], r["n_tokens"], r["shard"], r["offset"], r["tokens_sha256"]) for r in rows} == want and len(rows) == total
+        for slot in (0, 7, 10, total - 1, total):
+            resumed = [hashlib.sha256(x.tobytes()).hexdigest() for x in training_order.sequences_from(folder, slot, total, 64, 10)]
+            assert resumed == [want[s][4] for s in range(slot, total)]
     assert training_order.materialise(docs(spark, []), RANKS, PATTERN, 1).count() == 0
 
 
+def test_ids_beyond_16_bits_are_refused(monkeypatch):
+    class Large:
+        max_token_value = 70_000
+
+    monkeypatch.setattr(training_order, "encoding", lambda *_: Large)
+    with pytest.raises(ValueError, match="16 bits"):
+        training_order.end_token(RANKS, PATTERN)
+
+
 def brute_url(u):
     if u is None or "://" not in u:
         return "", ""
