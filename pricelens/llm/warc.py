@@ -2,12 +2,13 @@
 
 write_monolithic() makes such archives: a whole file is one gzip member. normalise() inflates each of them once, as a stream,
 writes every record again as a gzip member of its own, and a sidecar index of where each starts and how long it is.
-read_records() fetches records by that index alone. All three work on one file and hold one record at a time; a lost task
-writes its files anew under the same names.
+read_index() reads the sidecars, and read_records() fetches records by them alone. Each works on one file and holds one record at
+a time; a lost task writes its files anew under the same names. A stream that stops before its trailer, or in a record, is an error.
 
 Defined results: a null payload counts as empty; of equal payloads the one with the least id that isn't null is the response, and
 rows that repeat that id are responses too; a page with a null id is a response unless an id has its payload; null URLs get no
-URI line, control characters in URLs are percent-encoded; an empty table gives no archive and an empty index.
+URI line, control characters in URLs are percent-encoded; payloads of any length are written whole; only the columns named are read,
+whatever the others are called; an empty table gives no archive and an empty index.
 """
 
 from __future__ import annotations
@@ -43,7 +44,8 @@ def base32_sha1(payload: Column) -> Column:
 def with_revisits(pages: DataFrame, payload: str = "html", id_col: str = "page_id", url: str = "url", least: int = MIN_REVISIT_BYTES) -> DataFrame:
     """id, url, payload (bytes), digest and refers_to (the response's id for revisits, else null).
 
-    Only digests that several pages share are joined back, and the payloads stay where they are.
+    Only digests that several pages share are joined back; payloads stay where they are unless these digests are too many to
+    broadcast, when pages are shuffled by digest.
     """
     rows = pages.select(
         F.col(id_col).alias("id"), F.col(url).alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary").alias("payload")
@@ -122,38 +124,33 @@ def inflated_records(stream) -> Iterator[bytes]:
     """The records of a gzip stream of any number of members, in order, with what one record and one chunk need of memory."""
     inflate = zlib.decompressobj(31)
     held = bytearray()
-    need, ended = 0, False
-    while True:
-        while (end := held.find(b"\r\n\r\n")) >= 0 and len(held) >= (need or end + 4):
-            size = end + 4 + int(_fields(bytes(held[:end]))["content-length"]) + 4
-            if len(held) < size:
-                need = size
-                break
-            yield bytes(held[:size])
-            del held[:size]
-            need = 0
-        if ended:
-            if held:
-                raise ValueError(f"{len(held)} bytes after the last whole record")
-            return
-        data = stream.read(CHUNK)
-        ended = not data
+    need, fresh = 0, True
+    while data := stream.read(CHUNK):
         while data:
-            held += inflate.decompress(data)
-            data = inflate.unused_data
-            if inflate.eof:
-                data = data.lstrip(b"\0")
-                inflate = zlib.decompressobj(31)
-            else:
+            if fresh and not (data := data.lstrip(b"\0")):  # padding between members
                 break
-
-
-INDEX = "archive string, number bigint, offset bigint, length bigint"
+            fresh = False
+            held += inflate.decompress(data, CHUNK)
+            data = inflate.unconsumed_tail
+            if inflate.eof:
+                data, inflate, fresh = inflate.unused_data, zlib.decompressobj(31), True
+            while (end := held.find(b"\r\n\r\n")) >= 0 and len(held) >= (need or end + 4):
+                size = end + 4 + int(_fields(bytes(held[:end]))["content-length"]) + 4
+                if len(held) < size:
+                    need = size
+                    break
+                yield bytes(held[:size])
+                del held[:size]
+                need = 0
+    if not fresh:
+        raise ValueError("the gzip stream stops before its end")
+    if held:
+        raise ValueError(f"{len(held)} bytes after the last whole record")
 
 
 def normalise(archives: DataFrame, folder: str, path: str = "archive") -> DataFrame:
     """Write each archive again with a gzip member for each record, and beside it <name>.idx: a line of record number, offset and
-    length for each. The index's rows are returned: archive (the new path), number, offset, length.
+    length for each. Returned are archive (the new path) and n_records.
 
     An archive is one task's work, as a gzip stream can only be read from its start.
     """
@@ -163,20 +160,29 @@ def normalise(archives: DataFrame, folder: str, path: str = "archive") -> DataFr
         for batch in batches:
             for source in batch.column(0).to_pylist():
                 target = f"{folder}/{source.rpartition('/')[2]}"
-                offsets, lengths, at = [], [], 0
-                with opened(source) as stream, written_whole(target) as out, written_whole(f"{target}.idx") as index:
-                    for n, raw in enumerate(inflated_records(stream)):
+                n, at = 0, 0
+                with opened(source) as stream, written_whole(f"{target}.idx") as index, written_whole(target) as out:
+                    for raw in inflated_records(stream):
                         member = gzip.compress(raw, compresslevel=5, mtime=0)
                         out.write(member)
                         index.write(f"{n} {at} {len(member)}\n".encode())
-                        offsets.append(at)
-                        lengths.append(len(member))
-                        at += len(member)
-                n = len(offsets)
-                yield pa.RecordBatch.from_pydict({"archive": [target] * n, "number": pa.array(range(n), pa.int64()), "offset": pa.array(offsets, pa.int64()), "length": pa.array(lengths, pa.int64())})
+                        n, at = n + 1, at + len(member)
+                yield pa.RecordBatch.from_pydict({"archive": [target], "n_records": pa.array([n], pa.int64())})
 
     count = max(1, archives.count())
-    return archives.select(path).repartition(count).mapInArrow(run, INDEX)
+    return archives.select(path).repartition(count).mapInArrow(run, "archive string, n_records bigint")
+
+
+def read_index(archives: DataFrame, folder: str) -> DataFrame:
+    """archive, number, offset and length of every record, from the sidecars of normalise()'s archives in the folder."""
+    spark = archives.sparkSession
+    if archives.isEmpty():
+        return spark.createDataFrame([], "archive string, number bigint, offset bigint, length bigint")
+    lines = spark.read.text(f"{folder}/*.idx")
+    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.idx$", "")
+    part = lambda i: F.split("value", " ")[i].cast("bigint")
+    found = lines.select(F.concat(F.lit(folder + "/"), name).alias("archive"), part(0).alias("number"), part(1).alias("offset"), part(2).alias("length"))
+    return found.join(small(archives.select("archive")), "archive", "left_semi")
 
 
 def read_records(index: DataFrame) -> DataFrame:
@@ -210,6 +216,7 @@ def read_records(index: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, payload: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
     """Pages written to monolithic archives, normalised, and read back through the index: id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
+    folder = new_path(spark, "warc-records")
     archives = stash(write_monolithic(with_revisits(pages, payload, id_col, url), new_path(spark, "warc")), "archives")
-    index = stash(normalise(archives, new_path(spark, "warc-records")), "warc-index")
+    index = read_index(stash(normalise(archives, folder), "normalised"), folder)
     return read_records(index).select(F.col("id").alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to")
