@@ -97,8 +97,9 @@ def map_rows(
     ship(df.sparkSession)
     keep = keep or []
     new = T.StructType.fromDDL(schema)
-    out = T.StructType([df.schema[c] for c in keep] + list(new))
     names = [f.name for f in new]
+    fields = [df.schema[df.columns.index(c)] for c in keep] + list(new)
+    out = T.StructType([T.StructField(f"_{i}", f.dataType, f.nullable) for i, f in enumerate(fields)])
     arrow = to_arrow_schema(out)
     rest = [i for i, c in enumerate(df.columns) if c not in keep]
     held = [df.columns.index(c) for c in keep]
@@ -113,4 +114,4 @@ def map_rows(
                 cols = [c.cast(t.type) if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(cols, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(cols, schema=arrow)
 
-    return df.mapInArrow(run, out)
+    return df.mapInArrow(run, out).toDF(*keep, *names)

@@ -1,14 +1,18 @@
 """Personal data: plain patterns, and disguised forms found by a transducer that keeps source offsets.
 
 Defined results: a null text counts as empty and has no spans; rows are handled one by one, so repeated rows and null keys
-give a row each; offsets are code points, ends exclusive; an empty table gives an empty table.
+give a row each; offsets are code points, ends exclusive; texts of any length are read whole, in time that grows with their length;
+kinds may overlap, and of disguised spans of one kind those that overlap a plain one give way; only the columns named are read,
+whatever the others are called; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import re
 import string
+from bisect import bisect_right
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,6 +87,8 @@ _SIGNS = {"\u2024": ".", "\u3002": ".", "\u00b7": ".", "\u00a0": " ", "\u2009":
 _UNSEEN = "\u200b\u200c\u200d\u2060\ufeff\u00ad"
 _MAP = _ALIKE | {chr(z + i): str(i) for z in _ZEROS for i in range(10)} | {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)} | _SIGNS
 _ODD = re.compile("[" + re.escape("".join(_MAP)) + _UNSEEN + "]")
+_TABLE = {ord(a): b for a, b in _MAP.items()} | {ord(c): None for c in _UNSEEN}
+_UNSEEN_CODES = np.array([ord(c) for c in _UNSEEN], dtype=np.uint32)
 
 # The spelled digits.
 _SPELLED = dict(zip(("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"), "0123456789", strict=True))
@@ -91,11 +97,12 @@ _GAP = r"[\s,-]+"
 _RUN = rf"\b{_WORD}(?:{_GAP}(?:{_WORD}|[0-9]+))+\b"
 # Endings that let unbracketed words stand for an address.
 _ENDING = "(?:com|org|net|edu|gov|io|co|info|biz|de|fr|es|it|nl|uk|us|eu|ch|at)"
-_OPEN, _CLOSE = r"\s*[(\[{<]\s*", r"\s*[)\]}>]\s*"
+# White space before a bracket is taken from its start only, so that a long run is read once.
+_OPEN, _CLOSE = r"(?:(?<!\s)\s++)?[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
 _RULES = re.compile(
-    rf"(?P<at>{_OPEN}at{_CLOSE}|(?<=[A-Za-z0-9])\s+at\s+(?=(?:[A-Za-z0-9-]+\s+dot\s+)+{_ENDING}\b|[A-Za-z0-9-]+{_OPEN}dot{_CLOSE}))"
-    rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9]))"
-    rf"|(?P<plus>\bplus\s+(?={_WORD}\b|[0-9]))"
+    rf"(?P<at>{_OPEN}at{_CLOSE}|(?<=[A-Za-z0-9])\s++at\s++(?=(?:[A-Za-z0-9-]++\s++dot\s++)+{_ENDING}\b|[A-Za-z0-9-]+{_OPEN}dot{_CLOSE}))"
+    rf"|(?P<dot>{_OPEN}dot{_CLOSE}|(?<=[A-Za-z0-9])\s++dot\s++(?=[A-Za-z0-9]))"
+    rf"|(?P<plus>\bplus\s++(?={_WORD}\b|[0-9]))"
     rf"|(?P<run>{_RUN})",
     re.I | re.A,
 )
@@ -103,36 +110,50 @@ _TOKEN = re.compile(rf"{_WORD}|[0-9]", re.I | re.A)
 _DISGUISED = re.compile(rf"[(\[{{<]\s*(?:at|dot)\s*[)\]}}>]|\sdot\s|\bplus\s+(?={_WORD}\b|[0-9])|\b{_WORD}{_GAP}(?:{_WORD}|[0-9])", re.I | re.A)
 
 
-def transduce(text: str) -> tuple[str, list[int], list[int]]:
+def transduce(text: str) -> tuple[str, np.ndarray, np.ndarray]:
     """The normalised text, and for each of its characters where in the source it starts and ends."""
+    # The first transducer works by single characters; it drops unseen ones, so it has its own offsets.
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    at = np.flatnonzero(~np.isin(codes, _UNSEEN_CODES)).astype(np.int32)
+    plain = text.translate(_TABLE)
     out: list[str] = []
-    starts: list[int] = []
-    ends: list[int] = []
+    starts: list[np.ndarray] = []
+    ends: list[np.ndarray] = []
+
+    def copy(a: int, b: int) -> None:
+        if b > a:
+            out.append(plain[a:b])
+            starts.append(at[a:b])
+            ends.append(at[a:b] + 1)
 
-    def put(c: str, start: int, end: int) -> None:
+    def put(c: str, a: int, b: int) -> None:
         out.append(c)
-        starts.append(start)
-        ends.append(end)
+        starts.append(at[a : a + 1])
+        ends.append(at[b - 1 : b] + 1)
 
-    # The first transducer works by single characters; it drops unseen ones, so it has its own offsets.
-    for i, c in enumerate(text):
-        if c not in _UNSEEN:
-            put(_MAP.get(c, c), i, i + 1)
-    plain, s, e = "".join(out), starts, ends
-    out, starts, ends = [], [], []
     pos = 0
     for m in _RULES.finditer(plain):
-        for i in range(pos, m.start()):
-            put(plain[i], s[i], e[i])
+        copy(pos, m.start())
         if m.lastgroup == "run":
             for t in _TOKEN.finditer(plain, *m.span()):
-                put(_SPELLED.get(t[0].lower(), t[0]), s[t.start()], e[t.end() - 1])
+                put(_SPELLED.get(t[0].lower(), t[0]), *t.span())
         else:
-            put({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], s[m.start()], e[m.end() - 1])
+            put({"at": "@", "dot": ".", "plus": "+"}[m.lastgroup], *m.span())
         pos = m.end()
-    for i in range(pos, len(plain)):
-        put(plain[i], s[i], e[i])
-    return "".join(out), starts, ends
+    copy(pos, len(plain))
+    none = np.zeros(0, np.int32)
+    return "".join(out), np.concatenate([none, *starts]), np.concatenate([none, *ends])
+
+
+def overlaps(spans: list[tuple[int, int]]):
+    """A function that tells whether a stretch overlaps one of the spans, which are in order and don't overlap each other."""
+    firsts = [a for a, _ in spans]
+
+    def one(a: int, b: int) -> bool:
+        i = bisect_right(firsts, b - 1)
+        return i > 0 and spans[i - 1][1] > a
+
+    return one
 
 
 def disguised_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -140,12 +161,9 @@ def disguised_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[s
     if _ODD.search(text) is None and _DISGUISED.search(text) is None:
         return []
     normal, starts, ends = transduce(text)
-    found = []
-    for kind, a, b in plain_spans(normal):
-        a, b = starts[a], ends[b - 1]
-        if not any(k == kind and a < y and x < b for k, x, y in base):
-            found.append((kind, a, b))
-    return found
+    taken = {k: overlaps([(a, b) for kind, a, b in base if kind == k]) for k in KINDS}
+    found = [(kind, int(starts[a]), int(ends[b - 1])) for kind, a, b in plain_spans(normal)]
+    return [(kind, a, b) for kind, a, b in found if not taken[kind](a, b)]
 
 
 SPAN = "array<struct<kind:string,start:int,end:int>>"

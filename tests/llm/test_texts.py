@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -97,6 +98,64 @@ def test_pii_plus_before_plain_digits(text):
         assert pii.disguised_spans(text + more, []) == [("phone", start, len(text))]
 
 
+def brute_transducer(text):
+    """Character by character, with rules tried in order at every place."""
+    chars = [(pii._MAP.get(c, c), i) for i, c in enumerate(text) if c not in pii._UNSEEN]
+    plain = "".join(c for c, _ in chars)
+    white, word = lambda p: p < len(plain) and plain[p].isspace(), "|".join(pii._SPELLED)
+    out, p = [], 0
+    while p < len(plain):
+        hit = None
+        bracketed = re.compile(r"\s*[(\[{<]\s*(at|dot)\s*[)\]}>]\s*", re.I | re.A).match(plain, p)
+        spaced = re.compile(r"\s+(at|dot)\s+(?=([A-Za-z0-9].*)?)", re.I | re.A | re.S).match(plain, p)
+        if bracketed and not (white(p) and p and plain[p - 1].isspace()):
+            hit = [("@" if bracketed[1].lower() == "at" else ".", p, bracketed.end())]
+        elif spaced and p and re.match("[A-Za-z0-9]", plain[p - 1]):
+            ahead = plain[spaced.end() :]
+            if spaced[1].lower() == "dot" and re.match("[A-Za-z0-9]", ahead):
+                hit = [(".", p, spaced.end())]
+            elif spaced[1].lower() == "at":
+                more = re.match(rf"(?:[A-Za-z0-9-]+\s+dot\s+)+{pii._ENDING}\b|[A-Za-z0-9-]+\s*[(\[{{<]\s*dot\s*[)\]}}>]", ahead, re.I | re.A)
+                hit = [("@", p, spaced.end())] if more else None
+        elif p == 0 or not re.match(r"\w", plain[p - 1], re.A):
+            plus = re.compile(rf"plus\s+(?=(?:{word})\b|[0-9])", re.I | re.A).match(plain, p)
+            run = re.compile(rf"(?:{word})(?:[\s,-]+(?:{word}|[0-9]+))+\b", re.I | re.A).match(plain, p)
+            if plus:
+                hit = [("+", p, plus.end())]
+            elif run:
+                hit = [(pii._SPELLED.get(t[0].lower(), t[0]), p + t.start(), p + t.end()) for t in re.finditer(f"{word}|[0-9]", run[0], re.I)]
+                out += [(c, chars[a][1], chars[b - 1][1] + 1) for c, a, b in hit]
+                p = run.end()
+                continue
+        if hit:
+            out += [(c, chars[a][1], chars[b - 1][1] + 1) for c, a, b in hit]
+            p = hit[-1][2]
+        else:
+            out.append((plain[p], chars[p][1], chars[p][1] + 1))
+            p += 1
+    return "".join(c for c, _, _ in out), [a for _, a, _ in out], [b for _, _, b in out]
+
+
+def test_pii_transducers_equal_brute_force():
+    rng = random.Random(3)
+    bits = ["jane", " ", "  ", " at ", " (at) ", "[ dot ]", " dot ", "mail", "com", "-", "one", "two ", "nine", " 4", "12", "plus ", "Plus one", "е", "４", "\u200b", "．", "@", "+", "(", "AT", ",", "\u00a0", "x"]
+    for _ in range(1500):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(1, 25)))
+        normal, starts, ends = pii.transduce(t)
+        assert (normal, starts.tolist(), ends.tolist()) == brute_transducer(t), repr(t)
+        base = pii.plain_spans(t)
+        want = [(k, starts[a], ends[b - 1]) for k, a, b in pii.plain_spans(normal)]
+        want = [(k, a, b) for k, a, b in want if not any(k == j and a < y and x < b for j, x, y in base)]
+        assert pii.disguised_spans(t, base) == want
+
+
+@pytest.mark.parametrize("text", ["a (at) b " + " " * 1_000_000 + "(", "jane at mail dot com " * 50_000, "one " + " " * 1_000_000 + "x dot y", "a@b.co " * 140_000 + "x (at) y", "1 " * 500_000 + "x dot y", "(" * 1_000_000 + "at) dot y"])
+def test_pii_of_a_million_characters(text):
+    began = time.process_time()
+    pii.disguised_spans(text, pii.plain_spans(text))
+    assert time.process_time() - began < 20
+
+
 def test_pii_leaves_plain_words_alone_and_masks():
     for t in ("they met at noon and one two went home", "the dot on the i", "look at this dot there", "at the at of dot"):
         assert pii.plain_spans(t) + pii.disguised_spans(t, []) == []
@@ -108,6 +167,8 @@ def test_pii_mask(spark):
     assert out[0]["text"] == "mail [EMAIL] and [IP]" and out[0]["n_chars"] == len(out[0]["text"])
     assert out[1]["text"] is None and out[3]["text"] == "clean" and out[0]["base"] == 2 and pii.mask(df).columns == df.columns
     assert pii.mask(docs(spark, [])).count() == 0
+    found = pii.find(df, keep=["doc_id", "base"])
+    assert found.columns == ["doc_id", "base", "base", "extra"] and found.count() == 4
 
 
 def brute_secrets(t):
