@@ -1,18 +1,23 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
-Texts and items are normalised (lower case; ASCII punctuation and white space become one space). An item of n characters may
+Texts and items are normalised (lower case; punctuation and white space become one space). An item of n characters may
 be found with k = EDITS_PER_CHAR n edits; it is cut into k + 1 pieces, of which one at least must then occur unchanged. An
 automaton finds all pieces of all items in one pass over a text, and Myers' bit-parallel algorithm verifies the stretch of
-text around each hit.
+text around each hit. An item must begin and end with its words: the white space around it is a part of the match, unless its
+own edge is a letter of a script that is written without spaces.
 
 Defined results: null or empty items and texts match nothing; an item that occurs in several rows of the benchmark under one
-id counts once for each different text, and the closest match is reported; repeated documents give a row each; null ids are kept
-as they are; an empty table on either side gives an empty table.
+id counts as all its texts, and the closest match is reported, of equally close ones the first; every row of the documents has
+its own hits, so repeated rows and null ids give rows each; offsets are code points of the source text, ends exclusive; ids of items
+are of any type; texts of any length are read whole; working columns clash with no others; an empty table on either side gives an
+empty table.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +30,19 @@ MIN_PIECE = 16
 #: Benchmark text that one automaton holds. A larger benchmark is searched in blocks of about this size.
 BLOCK_BYTES = 8_000_000
 
+#: From this code point on, scripts are taken to be written without spaces between words.
+UNSPACED = 0x2E80
+
 # ASCII upper case to lower case, and everything that is neither letter nor digit to a space.
 _FOLD = bytes((c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32) for c in range(256))
+# Signs of other blocks that count as spaces (Latin-1 signs, general and CJK punctuation, full-width signs).
+_SIGNS = re.compile("[\u0080-\u00a9\u00ab-\u00b4\u00b6-\u00b9\u00bb-\u00bf\u00d7\u00f7\u2000-\u206f\u2e00-\u2e7f\u3000-\u303f\uff01-\uff0f]")
 
 
 def normalise(text: str | None) -> str:
-    return b" ".join((text or "").lower().encode("utf-8", "replace").translate(_FOLD).split()).decode("utf-8")
+    low = (text or "").lower()
+    low = low if low.isascii() else _SIGNS.sub(" ", low)
+    return b" ".join(low.encode("utf-8", "replace").translate(_FOLD).split()).decode("utf-8")
 
 
 def budget(length: int, per_char: float = EDITS_PER_CHAR, min_piece: int = MIN_PIECE) -> int:
@@ -72,58 +84,81 @@ def myers(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def with_edges(item: str) -> tuple[str, int]:
+    """The normalised item with the spaces that must surround it, and whether there is one in front."""
+    lead, tail = int(ord(item[0]) < UNSPACED), int(ord(item[-1]) < UNSPACED)
+    return " " * lead + item + " " * tail, lead
+
+
+def source_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of the normalised text as spans of the text itself."""
+    at: list[int] = []
+    last = " "
+    for i, c in enumerate(text):
+        for x in c.lower():
+            x = " " if "\ud800" <= x <= "\udfff" or (ord(x) < 128 and not x.isalnum()) or _SIGNS.match(x) else x
+            if x != " " or last != " ":
+                at.append(i)
+            last = x
+    return [(at[a], at[b - 1] + 1) for a, b in spans]
+
+
 class Matcher:
     """The automaton of a block of items."""
 
     def __init__(self, items: list[tuple[object, str]], per_char: float, min_piece: int):
         import ahocorasick
 
-        self.items = [(i, n, budget(len(n), per_char, min_piece)) for i, t in items if (n := normalise(t))]
+        self.items = [(i, *with_edges(n), budget(len(n), per_char, min_piece)) for i, t in items if (n := normalise(t))]
         held: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for at, (_, n, k) in enumerate(self.items):
-            for start, piece in pieces(n, k):
-                held[piece].append((at, start))
+        for at, (_, whole, lead, k) in enumerate(self.items):
+            for start, piece in pieces(whole.strip(" "), k):
+                held[piece].append((at, start + lead))
         self.automaton = ahocorasick.Automaton()
         for piece, where in held.items():
             self.automaton.add_word(piece, (len(piece), where))
         self.automaton.make_automaton()
 
     def find(self, text: str | None) -> list[dict]:
-        """The closest match of each item id in the text, within its budget; offsets are of the normalised text."""
-        n = normalise(text)
-        if not self.items or not n:
+        """The closest match of each item id in the text, within its budget."""
+        n = f" {normalise(text)} "
+        if not self.items or n == "  ":
             return []
         best: dict[object, tuple[int, int, int]] = {}
-        tried: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        exact: set[int] = set()
+        tried: set[tuple[int, int]] = set()
         for last, (length, where) in self.automaton.iter(n):
-            first = last - length + 1
             for at, offset in where:
-                item_id, item, k = self.items[at]
-                start = first - offset
-                if any(a <= start <= b for a, b in tried[at]):
+                item_id, item, lead, k = self.items[at]
+                start = last - length + 1 - offset
+                if at in exact or (at, start) in tried:
+                    continue
+                tried.add((at, start))
+                if start >= 0 and n.startswith(item, start):  # the first one: hits come in order
+                    exact.add(at)
+                    a, b, d = start, start + len(item), 0
+                elif k == 0:
                     continue
-                if n.startswith(item, max(start, 0)) and start >= 0:
-                    got = (0, start, start + len(item))
-                    tried[at].append((start - k, start + k))
                 else:
                     low, high = max(0, start - k), start + len(item) + k
                     d, end = myers(item, n[low:high])
-                    tried[at].append((start, start))
                     if d > k:
                         continue
                     _, length_back = myers(item[::-1], n[low : low + end][::-1])
-                    got = (d, low + end - length_back, low + end)
+                    a, b = low + end - length_back, low + end
+                a, b = a + (n[a] == " "), b - (n[b - 1] == " ")
+                got = (d, a - 1, b - 1)
                 if item_id not in best or got < best[item_id]:
                     best[item_id] = got
-        return [{"item_id": i, "edits": d, "start": a, "end": b} for i, (d, a, b) in best.items()]
-
-
-HITS = "array<struct<item_id:bigint,edits:int,start:int,end:int>>"
+        if not best:
+            return []
+        spans = source_spans(text, [(a, b) for _, a, b in best.values()])
+        return [{"item_id": i, "edits": best[i][0], "start": a, "end": b} for i, (a, b) in zip(best, spans, strict=True)]
 
 
 def blocks(benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
     """The benchmark's different items (i, t) in tables of about so many bytes."""
-    items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null").distinct()
+    items = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null").distinct()
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     return [items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) for b in range(n)]
@@ -141,16 +176,25 @@ def find(docs: DataFrame, block: DataFrame, text: str = "text", keep: list[str]
         matcher = Matcher(items.value, per_char, min_piece)
         return lambda cols: {"hits": [matcher.find(t) for t in cols[0]]}
 
-    return map_rows(docs.select(*keep, F.col(text).alias("_text")), make, f"hits {HITS}", keep)
+    hits = f"hits array<struct<item_id:{block.schema['i'].dataType.simpleString()},edits:int,start:int,end:int>>"
+    return map_rows(docs.select(*keep, F.col(text).alias("_text")), make, hits, keep)
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:
-    """A row for each document and benchmark item that it holds: doc_id, item_id, edits, start, end. Each block reads the documents once."""
-    out = None
-    for block in blocks(benchmark, block_bytes=block_bytes):
-        found = find(docs, block, **options).select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
-        out = found if out is None else out.union(found)
-    return out.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "start", "end")).alias("m")).select("doc_id", "item_id", "m.*")
+def contaminations(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, text: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+    """A row for each row of the documents and benchmark item that it holds: doc_id, item_id, edits, start, end.
+
+    Each block of the benchmark reads the documents once; if there are several, rows are numbered first, so that the closest match
+    of an item with texts in several blocks is found by row.
+    """
+    parts = blocks(benchmark, block_bytes=block_bytes)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = rows.drop("row") if len(parts) == 1 else stash(rows, "rows")
+    keep = rows.drop("text").columns
+    found = [find(rows, part, keep=keep, **options).select(*keep, F.explode("hits").alias("h")).select(*keep, "h.*") for part in parts]
+    if len(parts) == 1:
+        return found[0]
+    best = reduce(DataFrame.union, found).groupBy("row", "doc_id", "item_id").agg(F.min(F.struct("edits", "start", "end")).alias("m"))
+    return best.select("doc_id", "item_id", "m.*")
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, **options) -> DataFrame:

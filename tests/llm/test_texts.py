@@ -298,7 +298,7 @@ def test_decontamination_equals_brute_force(spark):
     for i, t in enumerate(texts):
         for j, item in enumerate(items):
             n = decontaminate.normalise(item)
-            if n and brute_distance(n, decontaminate.normalise(t)) <= decontaminate.budget(len(n)):
+            if n and brute_distance(f" {n} ", f" {decontaminate.normalise(t)} ") <= decontaminate.budget(len(n)):
                 want.add((i, j))
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminations(df, bench).collect()}
     assert got == want and len(want) > 30
@@ -307,3 +307,22 @@ def test_decontamination_equals_brute_force(spark):
     assert clean.columns == df.columns and {r["doc_id"] for r in clean.collect()} == set(range(len(texts))) - {i for i, _ in want}
     assert decontaminate.remove(df, bench.limit(0)).count() == len(texts)
     assert decontaminate.contaminations(docs(spark, []), bench).count() == 0
+
+
+@pytest.mark.parametrize("block_bytes", [10**6, 20])
+def test_decontamination_rows_words_and_offsets(spark, block_bytes):
+    long = " ".join(f"word{i}" for i in range(60_000))
+    texts = ["a concatenated Cat!", "concatenate", "the  CAT\tsat; ", "the  CAT\tsat; ", "the cat sat", "İ—the cat, sat", long + " the cat sat on " + long, "我们使用猫咪模型", None, ""]
+    ids = [1, 2, 3, 3, None, None, 4, 5, 6, None]
+    bench = spark.createDataFrame([("x", "cat"), ("y", "The cat sat"), ("z", "猫咪"), (None, "cat"), (None, "CAT SAT"), ("e", ""), ("n", None)], "item_id string, text string")
+    df = docs(spark, texts, ids=ids).withColumnRenamed("lang", "row").withColumnRenamed("source", "hits")
+    want = []
+    for i, t in zip(ids, texts, strict=True):
+        for item, patterns in (("x", ["cat"]), ("y", ["the\\s+cat[,\\s]+sat"]), ("z", ["猫咪"]), (None, ["cat", "cat[,\\s]+sat"])):
+            edge = "" if item == "z" else r"(?<![a-z])"
+            spans = [m.span() for p in patterns for m in re.finditer(edge + p + edge.replace("<", ""), (t or "").lower().replace("i̇", "İ"))]
+            want += [(i, item, 0, *min(spans))] if spans else []
+    got = [tuple(r) for r in decontaminate.contaminations(df, bench, block_bytes=block_bytes).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(want) > 12
+    left = decontaminate.remove(df, bench, block_bytes=block_bytes)
+    assert sorted([r["text"] for r in left.collect()], key=str) == sorted(["concatenate", None, ""], key=str)
