@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import re
 import string
-from bisect import bisect_right
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -146,12 +147,13 @@ def transduce(text: str) -> tuple[str, np.ndarray, np.ndarray]:
 
 
 def overlaps(spans: list[tuple[int, int]]):
-    """A function that tells whether a stretch overlaps one of the spans, which are in order and don't overlap each other."""
-    firsts = [a for a, _ in spans]
+    """A function that tells whether a stretch overlaps one of the spans."""
+    spans = sorted(spans)
+    firsts, reach = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
 
     def one(a: int, b: int) -> bool:
-        i = bisect_right(firsts, b - 1)
-        return i > 0 and spans[i - 1][1] > a
+        i = bisect_left(firsts, b)
+        return i > 0 and reach[i - 1] > a
 
     return one
 

@@ -2,13 +2,15 @@
 
 Every run of at least MIN_TOKEN encoding characters is tested for randomness in its inferred encoding: a chi-squared test of
 alphabet uniformity, a runs test and a serial-correlation test, whose p-values are combined by Fisher's method. How often
-text that is no secret scores as high is measured over the whole corpus, by encoding and length: what is left of all texts
+text that is no secret scores as high is measured over the whole corpus, by encoding and length: what is left of each text
 without tokens and plain patterns is written in each encoding's characters and cut into stretches, which go through the same
-battery. From both histograms a false-discovery rate by encoding, length and
-score follows, and tokens are reported where it is at most MAX_FDR.
+battery. How a text is cut depends on that text alone, so files and partitions change nothing. A token's p-value is the share of
+stretches of its encoding and length that score as high, and of all tokens those are reported whose p-values keep the
+false-discovery rate at most MAX_FDR.
 
 Defined results: a null text counts as empty; repeated rows and null keys give a row each; offsets are code points, ends
-exclusive; an empty table gives an empty table; no token is too long.
+exclusive; a token that overlaps a plain span isn't tested; tokens of equal score are reported all or none; only the columns named
+are read, whatever the others are called; an empty table gives an empty table; no token or text is too long.
 """
 
 from __future__ import annotations
@@ -16,13 +18,14 @@ from __future__ import annotations
 import math
 import re
 import string
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_rows, stash
-from .pii import span_text
+from .pii import overlaps, span_text
 
 KINDS = ("assign", "access", "hex", "random")
 MIN_TOKEN = 20
@@ -136,10 +139,10 @@ def plain_spans(text: str) -> list[tuple[str, int, int]]:
 
 def tokens(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     """Tested tokens that overlap no plain span: start, end, stratum (encoding and length) and score bin."""
-    out = []
+    out, taken = [], overlaps([(a, b) for _, a, b in base])
     for m in _TOKEN.finditer(text):
         a, b = m.span()
-        if (enc := infer_encoding(m[0])) is None or any(a < y and x < b for _, x, y in base):
+        if (enc := infer_encoding(m[0])) is None or taken(a, b):
             continue
         raw = m[0].lower() if enc == "hex" else m[0]
         x = _TABLES[enc][np.frombuffer(raw.encode("ascii"), dtype=np.uint8)][None, :]
@@ -158,45 +161,64 @@ def _rest(text: str, base: list[tuple[str, int, int]]) -> str:
     return " ".join([*out, text[pos:]])
 
 
-def _as_encoded(texts: list[str]) -> dict[str, np.ndarray]:
-    """The words of the texts, run together as an encoded token would show them: symbols by encoding.
+def _as_encoded(texts: list[str], shifts: list[int]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The words of each text, run together as an encoded token would show them: all symbols and each text's number of them, by
+    encoding.
 
     In base64 they keep signs between them: for 30 words a hyphen (or plus), for 30 a slash (or underscore), for 30 both in turn.
-    After 90 words as they stand, the next 90 begin with capitals.
+    After 90 words as they stand, the next 90 begin with capitals. Both counts begin at the text's shift.
     """
-    words = np.frombuffer("-".join(_NOT_ALNUM.sub("-", t).strip("-") for t in texts).encode("ascii"), dtype=np.uint8).copy()
+    parts = [_NOT_ALNUM.sub("-", t).strip("-") for t in texts]
+    words = np.frombuffer("".join(parts).encode("ascii"), dtype=np.uint8).copy()
+    sizes = np.array([len(p) for p in parts], dtype=np.int64)
+    of = np.repeat(np.arange(len(parts)), sizes)
     sign = words == ord("-")
-    first = np.flatnonzero(sign[:-1]) + 1
-    first = first[np.arange(len(first)) // 90 % 2 == 1]
-    words[first[words[first] >= ord("a")]] -= 32
-    runs = words[~sign]
-    upper = np.where(runs >= ord("a"), runs - 32, runs)
-    lower = np.where((runs >= ord("A")) & (runs <= ord("Z")), runs + 32, runs)
+    before = np.cumsum(sign) - sign
+    starts = np.cumsum(sizes) - sizes
+    begins = np.append(before, 0)[np.minimum(starts, len(before))]
+    nth = before - begins[of] + np.array(shifts, dtype=np.int64)[of]
+    first = np.append([True], sign[:-1] | (of[1:] != of[:-1]))[: len(words)] & ~sign & (nth // 90 % 2 == 1)
+    words[first & (words >= ord("a"))] -= 32
+    lower = np.where((words >= ord("A")) & (words <= ord("Z")), words + 32, words)
+    upper = np.where(words >= ord("a"), words - 32, words)
     signed = _TABLES["base64"][words]
-    n = np.arange(int(sign.sum()))
-    kind = n // 30 % 3
-    signed[sign] = np.where(kind == 2, 62 + n % 2, 62 + kind)
-    kept = {"hex": _TABLES["hex"][lower], "base32": _TABLES["base32"][upper]}
-    return {k: x[x >= 0] for k, x in kept.items()} | {"alnum": _TABLES["alnum"][runs], "base64": signed}
+    kind = nth[sign] // 30 % 3
+    signed[sign] = np.where(kind == 2, 62 + nth[sign] % 2, 62 + kind)
+    written = {"hex": _TABLES["hex"][lower], "base32": _TABLES["base32"][upper], "alnum": _TABLES["alnum"][words], "base64": signed}
+    return {k: (x[x >= 0], np.bincount(of[x >= 0], minlength=len(parts))) for k, x in written.items()}
+
+
+def stretches(size: int, shift: int) -> list[tuple[int, int]]:
+    """(stratum, start) of the stretches that so many symbols are cut into: the lengths in turn, beginning at the shift; of what is
+    left at the end the longest that fits, again and again."""
+    out, at, i = [], 0, shift % len(STRETCH)
+    while at + STRETCH[i] <= size:
+        out.append((i, at))
+        at, i = at + STRETCH[i], (i + 1) % len(STRETCH)
+    while size - at >= STRETCH[0]:
+        i = _stratum(size - at)
+        out.append((i, at))
+        at += STRETCH[i]
+    return out
 
 
 def plain_text_scores(texts: list[str]) -> np.ndarray:
-    """Counts by encoding, length stratum and score bin of the stretches that the texts are cut into, flat."""
+    """Counts by encoding, length stratum and score bin of the stretches that each text is cut into, flat."""
     counts = np.zeros((len(ENCODINGS), len(STRATA), BINS), dtype=np.int64)
-    block = sum(STRETCH)
-    encoded = _as_encoded(texts)
+    shifts = [zlib.crc32(t.encode("utf-8", "replace")) % (180 * len(STRETCH)) for t in texts]
+    encoded = _as_encoded(texts, shifts)
     for e, encoding in enumerate(ENCODINGS):
-        joined = encoded[encoding]
-        rows = len(joined) // block
-        x, rest = joined[: rows * block].reshape(rows, block), joined[rows * block :]
-        at = 0
+        x, sizes = encoded[encoding]
+        starts: list[list[int]] = [[] for _ in STRETCH]
+        base = 0
+        for size, shift in zip(sizes.tolist(), shifts, strict=True):
+            for i, at in stretches(size, shift):
+                starts[i].append(base + at)
+            base += size
         for i, n in enumerate(STRETCH):
-            part = np.ascontiguousarray(x[:, at : at + n])
-            at += n
-            if len(rest) >= n:
-                part, rest = np.concatenate([part, rest[None, :n]]), rest[n:]
-            if len(part):
-                counts[e, i] += np.bincount(_bin(battery(part, len(_ALPHABETS[encoding]))), minlength=BINS)
+            if starts[i]:
+                rows = x[np.array(starts[i])[:, None] + np.arange(n)]
+                counts[e, i] += np.bincount(_bin(battery(rows, len(_ALPHABETS[encoding]))), minlength=BINS)
     return counts.ravel()
 
 
@@ -237,22 +259,27 @@ def thresholds(scanned: DataFrame) -> list[int]:
     for r in scanned.filter("hist is not null").select(F.posexplode("hist")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
         plain[r["pos"]] = r["n"]
     plain = plain.reshape(len(ENCODINGS), len(STRATA), BINS)
-    tail = lambda x: x[..., ::-1].cumsum(axis=-1)[..., ::-1]
-    p = ((1 + tail(plain)) / (1 + plain.sum(axis=-1, keepdims=True))).reshape(groups, BINS)
-    found = tail(seen)
-    fdr = np.where(found > 0, seen.sum(axis=1, keepdims=True) * p / np.maximum(found, 1), 1.0)
-    fdr[:, : int(_bin(np.array([MIN_P]))[0])] = 1.0
-    return [int(np.argmax(row <= MAX_FDR)) if (row <= MAX_FDR).any() else BINS for row in fdr]
+    tail = plain[..., ::-1].cumsum(axis=-1)[..., ::-1]
+    p = ((1 + tail) / (1 + plain.sum(axis=-1, keepdims=True))).reshape(groups, BINS)
+    p[:, : int(_bin(np.array([MIN_P]))[0])] = 1.0
+    # Benjamini and Hochberg over all tokens: the largest p-value at which few enough of the tokens found are expected by chance.
+    levels, at = np.unique(p, return_inverse=True)
+    here = np.bincount(at.ravel(), weights=seen.ravel())
+    fits = np.flatnonzero((here > 0) & (levels < 1) & (seen.sum() * levels <= MAX_FDR * here.cumsum()))
+    most = levels[fits[-1]] if len(fits) else -1.0
+    return [int(np.argmax(row <= most)) if (row <= most).any() else BINS for row in p]
 
 
 def find(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep``, base and extra spans. Texts are read once; a table of spans and scores is written between."""
     keep = ["doc_id"] if keep is None else keep
-    scanned = stash(scan(docs, text, keep), "secrets")
+    names = [f"_k{i}" for i in range(len(keep))]
+    held = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names, strict=True)], F.col(text).alias("_text"))
+    scanned = stash(scan(held, "_text", names), "secrets")
     least = F.lit(thresholds(scanned))
     reported = F.filter("tokens", lambda t: t["bin"] >= F.get(least, t["stratum"]))
     extra = F.transform(reported, lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    return scanned.select(*keep, "base", extra.alias("extra"))
+    return scanned.select(*[F.col(n).alias(k) for k, n in zip(keep, names, strict=True)], "base", extra.alias("extra"))
 
 
 def digests(found: DataFrame) -> DataFrame:

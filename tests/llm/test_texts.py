@@ -1,10 +1,14 @@
 """BPE, PII, secrets, host rules and decontamination against brute force on small tables."""
 
 import hashlib
+import math
 import random
 import re
 import time
+import zlib
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +210,95 @@ def test_randomness_battery_tells_tokens_from_words(spark):
     assert out[60] == out[61] == out[62] == ""
 
 
+def brute_battery(x, size):
+    n = len(x)
+    classes = min(size, max(2, n // 5))
+    of = [i * classes // size for i in range(size)]
+    chi = sum((sum(of[v] == j for v in x) - n * of.count(j) / size) ** 2 / (n * of.count(j) / size) for j in range(classes))
+    df = classes - 1
+    z = ((chi / df) ** (1 / 3) - (1 - 2 / (9 * df))) / math.sqrt(2 / (9 * df))
+    p_chi = math.erfc(z / math.sqrt(2)) / 2
+    high = [v >= size / 2 for v in x]
+    n1, n2 = sum(high), n - sum(high)
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:], strict=False))
+    mean = 2 * n1 * n2 / n + 1
+    p_runs = math.erfc(9 / math.sqrt(2)) if not n1 or not n2 else math.erfc(min(abs(runs - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9)), 9) / math.sqrt(2))
+    c = [v - sum(x) / n for v in x]
+    power = sum(v * v for v in c)
+    r = sum(a * b for a, b in zip(c, c[1:], strict=False)) / power if power else 1.0
+    p_serial = math.erfc(min(abs(r + 1 / n) * math.sqrt(n), 9) / math.sqrt(2))
+    half = -sum(math.log(min(max(p, 1e-30), 1)) for p in (p_chi, p_runs, p_serial))
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def test_the_battery_equals_brute_force():
+    rng = random.Random(9)
+    for _ in range(300):
+        size = rng.choice([16, 32, 62, 64])
+        x = [min(size - 1, int(rng.random() ** rng.choice([1, 1, 3]) * size)) for _ in range(rng.randint(20, 140))]
+        got = secret_scan.battery(np.array([x, x], dtype=np.int16), size)
+        assert got[0] == got[1] and abs(got[0] - brute_battery(x, size)) < 1e-4 + 1e-3 * got[0]
+
+
+def brute_plain(text):
+    """Stretches of one text, by encoding: words in the encoding's characters, cut one after the other."""
+    shift = zlib.crc32(text.encode()) % (180 * len(secret_scan.STRETCH))
+    words = [w for w in re.split("[^A-Za-z0-9]+", text) if w]
+    words = [w[0].upper() + w[1:] if (i + shift) // 90 % 2 else w for i, w in enumerate(words)]
+    signed = []
+    for i, w in enumerate(words):
+        kind = (i + shift) // 30 % 3
+        signed += [secret_scan._TABLES["base64"][ord(c)] for c in w] + ([62 + (i + shift) % 2 if kind == 2 else 62 + kind] if i < len(words) - 1 else [])
+    joined = "".join(words)
+    symbols = {k: [secret_scan._ALPHABETS[k].index(c) for c in f(joined) if c in secret_scan._ALPHABETS[k]] for k, f in (("hex", str.lower), ("base32", str.upper), ("alnum", str))} | {"base64": signed}
+    for k, x in symbols.items():
+        i = shift % len(secret_scan.STRETCH)
+        while len(x) >= secret_scan.STRETCH[0]:
+            n = secret_scan.STRETCH[i] if secret_scan.STRETCH[i] <= len(x) else max(s for s in secret_scan.STRETCH if s <= len(x))
+            i = (i + 1) % len(secret_scan.STRETCH) if secret_scan.STRETCH[i] <= len(x) else secret_scan.STRETCH.index(n)
+            yield k, secret_scan.STRETCH.index(n), x[:n]
+            x = x[n:]
+            if n != secret_scan.STRETCH[(i - 1) % len(secret_scan.STRETCH)]:
+                i = max((j for j, s in enumerate(secret_scan.STRETCH) if s <= len(x)), default=0)
+
+
+def key_corpus():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    texts = []
+    for i in range(90):
+        key = "".join(rng.choice(secret_scan._ALPHABETS[("alnum", "base64", "base32")[i % 3]]) for _ in range(rng.randint(20, 90)))
+        texts.append(" ".join([*(rng.choice(words) for _ in range(rng.randint(0, 300))), key, rng.choice(words) * 8, "é", rng.choice(words)]))
+    return texts + [None, "", "x" * 500_000]
+
+
+def test_thresholds_equal_brute_force_in_every_layout(spark):
+    texts = key_corpus()
+    tail = lambda c, key, low: sum(n for (k, b), n in c.items() if k == key and b >= low)
+    plain, seen = Counter(), Counter()
+    for t in texts:
+        base = secret_scan.plain_spans(t or "")
+        for r in secret_scan.tokens(t or "", base):
+            seen[r["stratum"], r["bin"]] += 1
+        for k, i, x in brute_plain(secret_scan._rest(t or "", base)):
+            p = secret_scan.battery(np.array([x], dtype=np.int16), len(secret_scan._ALPHABETS[k]))
+            plain[secret_scan.ENCODINGS.index(k) * len(secret_scan.STRATA) + i, int(secret_scan._bin(p)[0])] += 1
+    strata = range(len(secret_scan.ENCODINGS) * len(secret_scan.STRATA))
+    p = {(s, b): (1 + tail(plain, s, b)) / (1 + tail(plain, s, 0)) if b >= 20 else 1.0 for s in strata for b in range(secret_scan.BINS)}  # bin 20 is MIN_P
+    tested = sorted(p[k] for k, n in seen.items() for _ in range(n))
+    passed = [q for i, q in enumerate(tested, 1) if q < 1 and q * len(tested) <= secret_scan.MAX_FDR * i]
+    want = [min((b for b in range(secret_scan.BINS) if passed and p[s, b] <= max(passed)), default=secret_scan.BINS) for s in strata]
+    df = docs(spark, texts).withColumnRenamed("lang", "base").withColumnRenamed("source", "tokens")
+    spans = set()
+    for parts, batch in ((1, 10_000), (4, 7), (60, 1)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        assert secret_scan.thresholds(secret_scan.scan(df.repartition(parts))) == want
+        spans.add(tuple(sorted(secret_scan.digests(secret_scan.find(df.repartition(parts))).select("doc_id", "spans").collect())))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(spans) == 1 and sum("random" in r["spans"] for r in spans.pop()) > 60
+    assert secret_scan.find(df, keep=["doc_id", "base", "tokens"]).columns == ["doc_id", "base", "tokens", "base", "extra"]
+
+
 def test_slugs_are_no_secrets(spark):
     words = "the of side effects well known state art house water market report garden people history river music winter paper travel".split()
     rng = random.Random(6)
