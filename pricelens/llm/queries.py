@@ -112,7 +112,7 @@ rows AS (SELECT *, host || path AS text, CASE WHEN (host = 'example.net' OR suff
   WHEN (host = 'org' OR suffix(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR suffix(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM parts),
 texts AS (SELECT text, max(ruled) AS verdict FROM rows WHERE text <> '' GROUP BY text),
-lab AS (SELECT *, substr(md5('held ' || text), 1, 1) IN ('0', '1', '2') AS held FROM (SELECT *, row_number() OVER (PARTITION BY verdict ORDER BY md5(text), text) AS r FROM texts WHERE verdict IS NOT NULL) WHERE r <= {url_filter.MAX_LABELLED}),
+lab AS (SELECT *, substr(md5('held ' || text), 1, 1) IN ('0', '1', '2') AS held FROM texts WHERE verdict IS NOT NULL),
 chars AS (SELECT text, {", ".join(f"substr(p, i + {url_filter.ORDER} - {n} + 1, {n}) AS x{n}" for n in range(1, _LEN + 1))}, {", ".join(f"substr(p, i + {url_filter.ORDER} - {n}, {n}) AS y{n}" for n in range(1, _LEN))}
   FROM (SELECT text, repeat(chr(2), {url_filter.ORDER}) || text AS p, unnest(range(1, length(text) + 1)) AS i FROM texts)),
 train AS (SELECT verdict, chars.* FROM chars JOIN lab USING (text) WHERE NOT held),
@@ -121,7 +121,7 @@ model AS (SELECT gram, {", ".join(f"sum({x}) FILTER (verdict = '{k}') AS {x}_{k}
 score AS (SELECT text, avg(ln({_markov("allow")}) - ln({_markov("block")})) AS score FROM chars
   {" ".join(f"LEFT JOIN model g{n} ON g{n}.gram = x{n}" for n in range(1, _LEN + 1))} {" ".join(f"LEFT JOIN model h{n} ON h{n}.gram = y{n}" for n in range(1, _LEN))} GROUP BY text),
 fit AS (SELECT verdict, avg(score) AS m, stddev_pop(score) AS s FROM score JOIN lab USING (text) WHERE held GROUP BY verdict),
-cut AS (SELECT (a.m * b.s + b.m * a.s) / (a.s + b.s) AS t FROM fit a, fit b WHERE a.verdict = 'allow' AND b.verdict = 'block')
+cut AS (SELECT CASE WHEN a.s + b.s > 0 THEN (a.m * b.s + b.m * a.s) / (a.s + b.s) ELSE (a.m + b.m) / 2 END AS t FROM fit a, fit b WHERE a.verdict = 'allow' AND b.verdict = 'block')
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN text = '' OR score >= coalesce((SELECT t FROM cut), 0) THEN 'allow' ELSE 'block' END) AS verdict FROM rows LEFT JOIN score USING (text)
 """
 

@@ -2,12 +2,13 @@
 
 The models are variable-order Markov models of host and path, one of URLs that the rules allow, one of those they block: the
 probability of a character is that of the longest context seen, mixed with that of the context shorter by one, down to a uniform
-one (BETA is the weight of the shorter context). A URL's score is the logarithm of the ratio of its two likelihoods, by character.
-The cut is calibrated on rule-labelled URLs that the models have not seen: where both classes' scores are equally many standard
-deviations away.
+one (BETA is the weight of the shorter context). They are counted over all different URLs that a rule judges, but for those held
+out. A URL's score is the logarithm of the ratio of its two likelihoods, by character. The cut is calibrated on the URLs held out:
+where both classes' scores are equally many standard deviations away.
 
 Defined results: a null URL or one without :// has an empty host and path; an empty text scores 0; without labelled URLs of
-both kinds every score is 0 and the verdict is allow; repeated rows give a row each; an empty table gives an empty table.
+both kinds every score is 0 and the verdict is allow; a score at the cut is allowed; repeated rows give a row each; URLs of any
+length are scored whole; only the columns named are read, whatever the others are called; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ ORDER = 3
 BETA = 2.0
 #: Size of the uniform distribution below all contexts.
 ALPHABET = 256
-#: Different URLs of each class that the models and the cut are fitted on, at most; those with the least hashes are taken.
-MAX_LABELLED = 50_000
 #: Labelled URLs whose md5 starts with one of these digits are held out for calibration.
 HELD_OUT = ("0", "1", "2")
 
@@ -68,11 +67,15 @@ def fit(labelled: DataFrame) -> DataFrame:
     return grams.union(contexts).groupBy("gram").agg(*[total(x, k) for x in ("n", "c") for k in _CLASSES])
 
 
-def score(texts: DataFrame, model: DataFrame) -> DataFrame:
-    """text and score of different texts: the mean over characters of the log-ratio of allow to block."""
-    rows = _chars(texts.select("text"))
-    known = small(model)
-    for key in [f"g{n}" for n in range(1, ORDER + 2)] + [f"h{n}" for n in range(1, ORDER + 1)]:
+def ratios(chars: DataFrame, model: DataFrame) -> DataFrame:
+    """The longest gram g<ORDER+1> and its log-ratio r of allow to block, for each such gram among the characters.
+
+    The shorter grams and all contexts are parts of the longest gram, so the models are looked up once for each different one.
+    """
+    longest = f"g{ORDER + 1}"
+    keys = [f"g{n}" for n in range(1, ORDER + 2)] + [f"h{n}" for n in range(1, ORDER + 1)]
+    rows, known = chars.select(*keys).distinct(), small(model)
+    for key in keys:
         side = known.select(F.col("gram").alias(key), *[F.col(f"{x}_{k}").alias(f"{x}_{k}_{key}") for x in ("n", "c") for k in _CLASSES])
         rows = rows.join(side, key, "left")
     top = model.filter("gram = ''").first()
@@ -83,8 +86,14 @@ def score(texts: DataFrame, model: DataFrame) -> DataFrame:
             seen = F.lit(float(top[f"c_{k}"]) if top else 0.0) if n == 1 else F.coalesce(F.col(f"c_{k}_h{n - 1}"), F.lit(0))
             p = (F.coalesce(F.col(f"n_{k}_g{n}"), F.lit(0)) + BETA * p) / (seen + BETA)
         ratio = ratio + sign * F.log(p)
-    scored = rows.select("text", ratio.alias("r")).groupBy("text").agg((F.sum("r") / F.count("r")).alias("score"))
-    return scored
+    return rows.select(longest, ratio.alias("r"))
+
+
+def score(texts: DataFrame, model: DataFrame) -> DataFrame:
+    """text and score of different texts: the mean over characters of the log-ratio of allow to block."""
+    chars = _chars(texts.select("text"))
+    rows = chars.select("text", f"g{ORDER + 1}").join(small(stash(ratios(chars, model), "ratios")), f"g{ORDER + 1}")
+    return rows.groupBy("text").agg((F.sum("r") / F.count("r")).alias("score"))
 
 
 def cut(scored: DataFrame) -> float:
@@ -103,17 +112,14 @@ def judge(pages: DataFrame, url: str = "url", id_col: str = "page_id", rules=RUL
     rows = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select(id_col, "host", "path", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("text"))
-    # Each different text is scored once.
-    texts = stash(rows.groupBy("text").agg(F.max("ruled").alias("verdict")), "urls")
-    labelled = None
-    for k in _CLASSES:
-        part = texts.filter((F.col("verdict") == k) & (F.col("text") != "")).orderBy(F.md5("text"), "text").limit(MAX_LABELLED)
-        labelled = part if labelled is None else labelled.union(part)
-    labelled = stash(labelled, "labelled")
-    held = F.substring(F.md5(F.concat(F.lit("held "), "text")), 1, 1).isin(*HELD_OUT)
+    # Each different text is scored once; they are dealt out, as a text has many characters.
+    width = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    texts = rows.filter("text <> ''").groupBy("text").agg(F.max("ruled").alias("verdict")).repartition(width)
+    texts = stash(texts.withColumn("held", F.substring(F.md5(F.concat(F.lit("held "), "text")), 1, 1).isin(*HELD_OUT)), "urls")
+    labelled, held = texts.filter("verdict is not null"), F.col("held")
     model = stash(fit(labelled.filter(~held)), "model")
     both = labelled.filter(~held).select("verdict").distinct().count() == len(_CLASSES)
-    scored = score(texts, model) if both else texts.filter("text <> ''").select("text", F.lit(0.0).alias("score"))
+    scored = score(texts, model) if both else texts.select("text", F.lit(0.0).alias("score"))
     scored = stash(scored, "scores")
     least = cut(scored.join(labelled.filter(held), "text")) if both else 0.0
     out = rows.join(scored, "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
