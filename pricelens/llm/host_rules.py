@@ -4,8 +4,8 @@ Documents are measured one by one, their rule failures are summed by host, the h
 empirical beta prior, and the hosts' verdicts are joined back.
 
 Defined results: a null text counts as empty and fails; a document without a host (null) belongs to no host and is judged by
-its own text; repeated rows are measured and counted each; an empty table gives an empty table; other columns stay out of
-the way, as all working columns are projected away.
+its own text; repeated rows are measured and counted each; a rate at the limit exactly is kept; texts of any length are measured
+whole; an empty table gives an empty table; other columns stay out of the way, as all working columns are projected away.
 """
 
 from __future__ import annotations
@@ -156,11 +156,11 @@ def host_quality(docs: DataFrame, host: str = "source", text: str = "text", keys
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
     """The documents that are kept, with the columns they came with.
 
-    The hosts are judged in a first pass; the second measures the texts again instead of shuffling them to their verdicts.
+    Measuring costs far more than writing: the documents are written once beside what was measured, and read for the hosts' rates
+    (the measured columns alone) and for the verdicts.
     """
-    first = stash(signals(docs, [host], text), "signals")
-    verdicts = host_verdicts(host_rates(first, host), host)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
-    measured = signals(docs.select(row, F.col(host).alias("_host_of"), F.col(text).alias("_text_of")), ["_row", "_host_of"], "_text_of")
-    judged = judge(measured, verdicts.withColumnRenamed(host, "_host_of"), "_host_of")
+    rows = docs.select(row, F.col(host).alias("_host_of"), F.col(text).alias("_text_of"))
+    measured = stash(signals(rows, ["_row", "_host_of"], "_text_of"), "signals")
+    judged = judge(measured, host_verdicts(host_rates(measured, "_host_of"), "_host_of"), "_host_of")
     return judged.filter("kept").select("_row.*")

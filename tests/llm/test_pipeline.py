@@ -40,3 +40,15 @@ def test_pipeline_of_nothing(spark):
     docs(spark, []).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_pipeline_with_null_and_repeated_ids(spark):
+    rng = random.Random(2)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklm") for _ in range(6)) for _ in range(n))
+    a, b, c, d = (prose(90) for _ in range(4))
+    folder = tempfile.mkdtemp()
+    docs(spark, [a, b, b, c, d, a, None], ids=[1, 1, 1, None, None, 5, None]).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(None, None), (3, "nothing of this is there")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    enc = bpe.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = sorted(((r["doc_id"], enc.decode(list(r["token_ids"]))) for r in corpus_pipeline.run(spark, folder).collect()), key=str)
+    assert out == sorted([(1, a), (1, b), (None, c), (None, d)], key=str)
