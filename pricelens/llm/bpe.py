@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with tiktoken and a local rank file.
 
 Defined results: a null text counts as empty; an empty text has no tokens; rows are handled one by one, so repeated rows,
-ties and null keys give a row each; an empty table gives an empty table.
+ties and null keys give a row each; texts of any length are encoded whole; the columns kept may have any names; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -84,7 +85,9 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids: str = "token_ids", i
         bytes_of = encoding(path, pattern).decode_bytes
         return lambda cols: {into: [bytes_of(x) if x else b"" for x in cols[0]]}
 
-    return map_rows(tokens.withColumn("_ids", F.col(ids)), make, f"{into} binary", keep)
+    held = [f"_k{i}" for i in range(len(keep))]
+    rows = tokens.select(*[F.col(f"`{c}`").alias(h) for c, h in zip(keep, held, strict=True)], F.col(ids).alias("_ids"))
+    return map_rows(rows, make, f"{into} binary", held).toDF(*keep, into)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -50,6 +50,21 @@ def test_bpe_splits_change_nothing():
         assert [i for p in parts for i in enc.encode_ordinary(p)] == enc.encode_ordinary(t)
 
 
+def test_bpe_encode_then_decode(spark):
+    """Long texts with and without safe places to cut, and columns that are called like working ones."""
+    enc = bpe.encoding(RANKS, PATTERN)
+    texts = [*ODD, "word and " * 20_000, "é\t" * 90_000, "x" * 120_000, "\n\n a  b" * 30_000]
+    df = docs(spark, texts).withColumnRenamed("lang", "_ids").withColumnRenamed("source", "_text")
+    coded = bpe.encode(df.select("doc_id", "_ids", F.col("_text").alias("_k0"), "text"), RANKS, PATTERN, keep=["doc_id", "_ids", "_k0"])
+    out = bpe.decode(coded, RANKS, PATTERN)
+    assert out.columns == ["doc_id", "_ids", "_k0", "token_ids", "decoded"]
+    for r in out.collect():
+        t = texts[r["doc_id"]] or ""
+        assert r["token_ids"] == enc.encode_ordinary(t) and bytes(r["decoded"]) == t.encode() and r["_ids"] == "en"
+    empty = spark.createDataFrame([(1, None), (2, [])], "doc_id long, token_ids array<int>")
+    assert [bytes(r["decoded"]) for r in bpe.decode(empty, RANKS, PATTERN).collect()] == [b"", b""]
+
+
 def test_bpe_empty_table_null_ids_and_repeats(spark):
     assert bpe.round_trip(docs(spark, []), RANKS, PATTERN).count() == 0
     assert bpe.round_trip(docs(spark, ["a b", "a b", None], ids=[None, 1, 1]), RANKS, PATTERN).count() == 3
@@ -340,6 +355,27 @@ def test_host_rules_signals(spark):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute_signals(texts[r["doc_id"]]), texts[r["doc_id"]]
 
 
+def test_host_rates_are_shrunk_by_hand(spark):
+    """Four hosts and one rule that fails: the prior's mean and weight by moments, written out."""
+    good, junk = " ".join(f"word{i}" for i in range(80)), " ".join(f"w{i}###" for i in range(80))
+    counts = {"a": (20, 1), "b": (40, 10), "c": (6, 5), "d": (2, 2)}  # documents and failures
+    texts, sources = [], []
+    for h, (n, k) in counts.items():
+        texts += [junk] * k + [good] * (n - k)
+        sources += [h] * n
+    n, k = sum(n for n, _ in counts.values()), sum(k for _, k in counts.values())
+    m = k / n
+    v = (sum(a * (b / a - m) ** 2 for a, b in counts.values()) - 3 * m * (1 - m)) / n
+    weight = m * (1 - m) / v - 1
+    assert 2 < weight < 1e6
+    measured = host_rules.signals(docs(spark, texts, sources=sources), ["doc_id", "source"])
+    got = {r["source"]: r for r in host_rules.host_verdicts(host_rules.host_rates(measured)).collect()}
+    for h, (a, b) in counts.items():
+        assert abs(got[h]["rate_symbols"] - (b + m * weight) / (a + weight)) < 1e-12
+        assert got[h]["host_rejected"] == ((b + m * weight) / (a + weight) > 0.5)
+    assert got["c"]["host_rejected"] and not got["b"]["host_rejected"]
+
+
 def test_host_rules_verdicts(spark):
     good = " ".join(f"word{i}" for i in range(80))
     junk = " ".join(f"w{i}###" for i in range(80))
