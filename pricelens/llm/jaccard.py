@@ -36,6 +36,8 @@ RECALL = 0.9999
 MAX_HASHES = 200
 #: Texts of a block of a bucket, on average; a group of rows is two blocks, verified against each other.
 BLOCK_TEXTS = 250
+#: Candidates whose lists of buckets are broadcast, at most; each list has an entry a band at most.
+BROADCAST_FOUND = 100_000
 
 _U = np.uint64
 
@@ -160,26 +162,24 @@ def link_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str, n: int
     spark = docs.sparkSession
     width = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = buckets(texts).groupBy("digest").agg(F.collect_list(F.struct("band", "n")).alias("found"))
-    found = stash(found.join(texts.select("digest", "node"), "digest"), "candidates")
+    found = stash(found, "candidates")
+    nodes = stash(texts.select("digest", "node").join(found.select("digest"), "digest").select("node").distinct(), "nodes")
 
     def make():
         sign = Signer(bands, rows)
 
         def fn(cols):
             sets = [grams_of(t, n) for t in cols[0]]
-            order = []
-            for g, at in zip(sets, cols[1], strict=True):
-                kept = {x["band"] for x in at}
-                order.append([b if b in kept else 0 for b in sign(g).tolist()] if len(g) else [])
-            return {"own": [digest_of(g) for g in sets], "grams": [g.view(np.int64).tolist() for g in sets], "bands": order}
+            return {"digest": [digest_of(g) for g in sets], "grams": [g.view(np.int64).tolist() for g in sets], "bands": [sign(g).tolist() if len(g) else [] for g in sets]}
 
         return fn
 
-    chosen = docs.select(F.col(id_col).alias("node"), F.col(text).alias("_text")).join(small(found), "node")
-    chosen = chosen.select("digest", "found", "_text", F.col("found").alias("_found"))
-    # An id can have several texts: only the one that stands for the digest is taken.
-    sets = map_rows(chosen, make, "own binary, grams array<bigint>, bands array<bigint>", ["digest", "found"]).filter("own = digest").drop("own")
-    placed = stash(sets, "sets").select("digest", "grams", "bands", F.explode("found").alias("at"))
+    # An id can have several texts; those that aren't candidates find nothing in the join by digest.
+    chosen = docs.select(F.col(id_col).alias("node"), F.col(text).alias("_text")).join(small(nodes), "node").select("_text")
+    sets = stash(map_rows(chosen, make, "digest binary, grams array<bigint>, bands array<bigint>"), "sets")
+    placed = sets.join(small(found, BROADCAST_FOUND), "digest")
+    kept = F.transform("bands", lambda x: F.when(F.array_contains("found.band", x), x).otherwise(F.lit(0).cast("bigint")))
+    placed = placed.select("digest", "grams", kept.alias("bands"), F.explode("found").alias("at"))
     blocks = F.ceil(F.col("at.n") / BLOCK_TEXTS).cast("int")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     placed = placed.select(F.col("at.band").alias("band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "digest", "grams", "bands")
