@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space that regular expressions' \s leaves out.
 WIDE_SPACE = r"[\s\x{00A0}\x{202F}]+"
 
-#: UTF-8 lead bytes of two- and three-byte characters that were read as Latin-1, with what follows them.
+# Words of price texts that are no price, and of those that are a range.
+ON_REQUEST = "(?i)request|demande|咨询"
+FROM_OR_RANGE = r"(?i)from|partir|\d\s*[-–]\s*\d"
+
+#: UTF-8 lead bytes of two- and three-byte characters that were read as Latin-1, with what follows them.
 MOJIBAKE = r"[\x{00C2}-\x{00C3}][\x{0080}-\x{00BF}]|[\x{00E4}-\x{00E9}][\x{0080}-\x{00BF}]{2}"
 # What makes a text no UTF-8 that was read as Latin-1: a wider character, a lead byte without what must follow, a byte that must
 # follow without its lead, or a sequence that UTF-8 forbids. Each alternative looks at four characters at most.
@@ -46,29 +50,30 @@ def ascii_digits(c: Column) -> Column:
 
 def price_text_class(raw: Column) -> Column:
     """missing, on_request, from_or_range, no_digits or numeric, the first that applies."""
-    text = ascii_digits(raw)
+    return _class_of(raw, ascii_digits(raw))
+
+
+def _class_of(raw: Column, text: Column) -> Column:
     return (
         F.when(raw.isNull(), "missing")
-        .when(text.rlike("(?i)request|demande|咨询"), "on_request")
-        .when(text.rlike(r"(?i)from|partir|\d\s*[-–]\s*\d"), "from_or_range")
+        .when(text.rlike(ON_REQUEST), "on_request")
+        .when(text.rlike(FROM_OR_RANGE), "from_or_range")
         .when(~text.rlike("[0-9]"), "no_digits")
         .otherwise("numeric")
     )
 
 
-def _marks(raw: Column) -> tuple[Column, Column, Column, Column]:
-    """Digits and marks of a price text, how many dots and commas, and whether the last mark is a dot."""
-    digits = F.regexp_replace(ascii_digits(raw), "[^0-9.,]", "")
-    return digits, F.regexp_count(digits, F.lit(r"\.")), F.regexp_count(digits, F.lit(",")), digits.rlike(r"\.[^.,]*$")
+def _plain_number(c: Column, units: Column) -> Column:
+    """Digits and marks with at most a decimal dot; null where dots and commas can't be told apart.
 
-
-def _plain_number(raw: Column, minor_units: Column) -> Column:
-    """The price text with at most a decimal dot; null where dots and commas can't be told apart."""
-    digits, dots, commas, dot_last = _marks(raw)
+    The last of both marks is the decimal one; commas before groups of three are thousands; so is a dot before three digits,
+    unless the currency has three decimals, when nothing is guessed.
+    """
+    digits, dots, commas = c["digits"], c["dots"], c["commas"]
     no_commas, no_dots = F.replace(digits, F.lit(","), F.lit("")), F.replace(digits, F.lit("."), F.lit(""))
-    both = F.when(dot_last, no_commas).otherwise(F.replace(no_dots, F.lit(","), F.lit(".")))
-    only_commas = F.when(digits.rlike(r"^\d{1,3}(,\d{3})+$"), no_commas).when((commas == 1) & digits.rlike(r",\d{1,2}$"), F.replace(digits, F.lit(","), F.lit(".")))
-    one_dot = F.when(digits.rlike(r"\.\d{3}$") & (minor_units != 3), no_dots).when(digits.rlike(r"\.\d{1,2}$"), digits)
+    both = F.when(c["dot_last"], no_commas).otherwise(F.replace(no_dots, F.lit(","), F.lit(".")))
+    only_commas = F.when(digits.rlike(r"^\d{1,3}(,\d{3})+$"), no_commas).when((commas == 1) & c["two_end"], F.replace(digits, F.lit(","), F.lit(".")))
+    one_dot = F.when(c["three_end"] & (units != 3), no_dots).when(c["two_end"], digits)
     return (
         F.when((dots > 0) & (commas > 0), both)
         .when(commas > 0, only_commas)
@@ -78,35 +83,43 @@ def _plain_number(raw: Column, minor_units: Column) -> Column:
     )
 
 
-def parse_price(raw: Column, minor_units: Column) -> Column:
-    """A price text as decimal(18,2); null unless it is one number.
+def read_prices(df: DataFrame, raw: str, minor_units: Column, price: str = "price_local", issue: str = "price_parse_issue") -> DataFrame:
+    """df with a price text read as decimal(18,2), null unless it is one number, and what was noteworthy about it, null for a plain
+    number.
 
-    The last of both marks is the decimal one; commas before groups of three are thousands; so is a dot before three digits,
-    unless the currency has three decimals, when nothing is guessed.
+    Each step is a projection of its own that the next one refers to, so that every expression is evaluated once a row.
     """
-    number = F.when(price_text_class(raw) == "numeric", _plain_number(raw, minor_units))
-    return number.try_cast("decimal(18,2)")
-
-
-def price_issue(raw: Column, minor_units: Column) -> Column:
-    """What was noteworthy about a price text; null for a plain number."""
-    kind, price, text = price_text_class(raw), parse_price(raw, minor_units), ascii_digits(raw)
-    digits, dots, commas, dot_last = _marks(raw)
-    three_after_dot = (dots == 1) & digits.rlike(r"\.\d{3}$")
-    european = ((dots > 0) & (commas > 0) & ~dot_last) | ((dots == 0) & (commas == 1) & digits.rlike(r",\d{1,2}$"))
-    return (
-        F.when(kind == "on_request", "price_on_request")
-        .when(kind == "from_or_range", "price_from_or_range")
-        .when(kind != "numeric", "price_unparseable")
-        .when(price.isNull(), F.when(three_after_dot, "price_ambiguous_separator").otherwise("price_unparseable"))
-        .when((price == 0) | digits.rlike("^9{6,}$"), "price_placeholder")
-        .when(text != F.trim(raw), "price_non_ascii_digits")
-        .when(text.rlike(r"[^0-9.,\s\x{00A0}\x{202F}]"), "price_currency_symbol")
+    c = F.col
+    df = df.withColumns({"_text": ascii_digits(c(raw)), "_units": minor_units})
+    df = df.withColumns({"_kind": _class_of(c(raw), c("_text")), "_digits": F.regexp_replace("_text", "[^0-9.,]", "")})
+    count = lambda mark: F.length("_digits") - F.length(F.translate("_digits", mark, ""))
+    decimals = F.length(F.substring_index(F.translate("_digits", ",", "."), ".", -1))
+    df = df.withColumn("_marks", F.struct(count(".").alias("dots"), count(",").alias("commas"), decimals.alias("decimals")))
+    mark = F.substring(c("_digits"), -(c("_marks.decimals") + 1), F.lit(1))
+    marked = c("_marks.dots") + c("_marks.commas") > 0
+    shape = F.struct(
+        c("_digits").alias("digits"), c("_marks.dots").alias("dots"), c("_marks.commas").alias("commas"), (marked & (mark == ".")).alias("dot_last"),
+        (marked & c("_marks.decimals").between(1, 2)).alias("two_end"), (marked & (mark == ".") & (c("_marks.decimals") == 3)).alias("three_end"),
+    )
+    df = df.withColumn("_shape", shape)
+    x = c("_shape")
+    df = df.withColumn(price, F.when(c("_kind") == "numeric", _plain_number(x, c("_units"))).try_cast("decimal(18,2)"))
+    three_after_dot = (x["dots"] == 1) & x["three_end"]
+    european = ((x["dots"] > 0) & (x["commas"] > 0) & ~x["dot_last"]) | ((x["dots"] == 0) & (x["commas"] == 1) & x["two_end"])
+    label = (
+        F.when(c("_kind") == "on_request", "price_on_request")
+        .when(c("_kind") == "from_or_range", "price_from_or_range")
+        .when(c("_kind") != "numeric", "price_unparseable")
+        .when(c(price).isNull(), F.when(three_after_dot, "price_ambiguous_separator").otherwise("price_unparseable"))
+        .when((c(price) == 0) | x["digits"].rlike("^9{6,}$"), "price_placeholder")
+        .when(c("_text") != F.trim(c(raw)), "price_non_ascii_digits")
+        .when(c("_text").rlike(r"[^0-9.,\s\x{00A0}\x{202F}]"), "price_currency_symbol")
         .when(european, "price_eu_decimal_format")
-        .when(commas > 0, "price_us_thousands_separator")
+        .when(x["commas"] > 0, "price_us_thousands_separator")
         .when(three_after_dot, "price_dot_thousands_ambiguous")
-        .when(dots > 0, "price_trailing_decimals")
+        .when(x["dots"] > 0, "price_trailing_decimals")
     )
+    return df.withColumn(issue, label).drop("_text", "_units", "_kind", "_digits", "_marks", "_shape")
 
 
 def unescape_html(c: Column) -> Column:

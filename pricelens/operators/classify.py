@@ -16,6 +16,11 @@ def pre_fate(trusted: Column, issues: Column, status: Column) -> Column:
     return F.when(~trusted, "blocked_delivery").when(F.array_contains(issues, "exact_duplicate_line"), "exact_duplicate").when(status == "quarantine", "quarantined_in_staging")
 
 
+def no_product_page(issues: Column) -> Column:
+    """Whether the line isn't a page of a product, whatever its price."""
+    return F.arrays_overlap(issues, F.array(F.lit("non_product_page"), F.lit("http_error_or_invalid")))
+
+
 def with_batches(obs: DataFrame, batches: DataFrame) -> DataFrame:
     """Observations with their market batch and pre_fate."""
     facts = batches.select("source_file_name", "market", "market_batch_id", "crawl_date", "delivered_at", "crawl_scope", "is_trusted_delivery", F.col("is_partial").alias("is_partial_market_batch"))
@@ -71,7 +76,7 @@ def classify(with_pre_fate: DataFrame, anchor: str, key: str = "object_id", mark
     df = df.withColumn("is_price_scale_outlier", outlier)
     df = df.withColumn("fate", F.coalesce("pre_fate", F.when(F.col("is_price_scale_outlier"), "price_scale_outlier"), F.lit("accepted")))
     if "dq_issues" in df.columns:
-        df = df.withColumn("is_not_a_product_page", F.arrays_overlap("dq_issues", F.array(F.lit("non_product_page"), F.lit("http_error_or_invalid"))))
+        df = df.withColumn("is_not_a_product_page", no_product_page(F.col("dq_issues")))
     return df.withColumns(
         {
             "price_to_reference_ratio": F.round(F.try_divide(F.col(value).cast("double"), F.col("reference_price_local")), 4),

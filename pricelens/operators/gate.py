@@ -6,13 +6,18 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from pricelens.sources.tables import materialise
+
 SCOPES = ("micro", "macro")
+DATASETS = ("marts", "legacy_replay")
+SEVERITIES = ("block", "warn")
 
 
 def _schema(text: str) -> T.StructType:
@@ -40,6 +45,12 @@ class Context:
     micro: DataFrame | None = None
     macro: DataFrame | None = None
     macro_global: DataFrame | None = None
+    #: by_market() of the scoped catalogue, if it has been written.
+    counted: DataFrame | None = None
+
+    @cached_property
+    def markets_of(self) -> DataFrame:
+        return by_market(self.scoped) if self.counted is None else self.counted
 
 
 @dataclass(frozen=True)
@@ -67,7 +78,7 @@ class Rules:
 
         warn = side("warn")
         if self.anomaly:
-            usual = f"> mean + {self.anomaly.z:g} sd of last {self.anomaly.window} deliveries"
+            usual = f"> {self.anomaly.z:g} spreads above the mean of {self.anomaly.window} earlier deliveries"
             warn = f"{warn} or {usual}" if warn else usual
         return warn, side("fail")
 
@@ -80,7 +91,19 @@ class Check:
     measure: Callable[[Context], DataFrame]
     rules: Rules | Mapping[str, Rules]
     scopes: tuple[str, ...] = SCOPES
-    datasets: tuple[str, ...] = ("marts", "legacy_replay")
+    datasets: tuple[str, ...] = DATASETS
+
+    def __post_init__(self) -> None:
+        if self.severity not in SEVERITIES or not self.scopes or not set(self.scopes) <= set(SCOPES) or not set(self.datasets) <= set(DATASETS):
+            raise ValueError(f"{self.id}: severity, scopes or datasets are none that the gate knows")
+        for scope in self.scopes:
+            if not isinstance(self.rules, Rules) and scope not in self.rules:
+                raise ValueError(f"{self.id} lacks rules for {scope}")
+            rules = self.rules_for(scope)
+            if rules == Rules():
+                raise ValueError(f"{self.id} has no rule for {scope}")
+            if self.severity == "warn" and (rules.fail_above, rules.fail_below) != (None, None):
+                raise ValueError(f"{self.id} only warns, so it can't fail")
 
     def rules_for(self, scope: str) -> Rules:
         return self.rules if isinstance(self.rules, Rules) else self.rules[scope]
@@ -111,46 +134,74 @@ def _share(condition: Column) -> Column:
     return F.avg(F.when(condition, 1.0).otherwise(0.0))
 
 
-def _before(ctx: Context, steps: int = 1) -> DataFrame:
-    """Priced rows with the object's price at the delivery before (p1), and at the one before that (p2)."""
-    rows = ctx.scoped.filter(F.col("price_local").isNotNull())
-    out = rows.select("scope", "as_of_date", "prev_date", "prev2_date", "market", "object_id", "price_local")
-    for i, date in enumerate(("prev_date", "prev2_date")[:steps], 1):
-        then = rows.select("scope", F.col("as_of_date").alias(date), "object_id", F.col("price_local").alias(f"p{i}"))
-        out = out.join(then, ["scope", date, "object_id"])
-    return out
+def by_market(rows: DataFrame) -> DataFrame:
+    """What the catalogue checks count, by delivery and market, in one pass over the scoped catalogue: n, n_before (at the delivery
+    before), age_days, and of the rows priced now and at the delivery before (n1) those changed and fallen, and of those priced at
+    the one before that too (n2) those reverted. A row for each delivery and market, however large the catalogue is.
+
+    Rows with a ``case`` (see rebased()) are compared within it, and only its own delivery is counted.
+    """
+    if "case" not in rows.columns:
+        rows = rows.withColumn("case", F.lit(None).cast("date"))
+    w = Window.partitionBy("scope", "case", "object_id").orderBy("as_of_date")
+    df = rows.withColumns({f"_{c}{i}": F.lag(c, i).over(w) for c in ("as_of_date", "price_local") for i in (1, 2)})
+    p1 = F.when(F.col("_as_of_date1") == F.col("prev_date"), F.col("_price_local1"))
+    p2 = F.when((F.col("_as_of_date1") == F.col("prev_date")) & (F.col("_as_of_date2") == F.col("prev2_date")), F.col("_price_local2"))
+    df = df.withColumns({"p1": p1, "p2": F.when(p1.isNotNull(), p2)})
+    now, a, b = F.col("price_local"), F.col("p1"), F.col("p2")
+    out = df.groupBy("scope", "case", "as_of_date", "prev_date", "market").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.date_diff("as_of_date", "served_crawl_date")).alias("age_days"),
+        F.count_if(now.isNotNull() & a.isNotNull()).alias("n1"), F.count_if(now != a).alias("changed"), F.count_if(now < a).alias("fallen"),
+        F.count_if(now.isNotNull() & b.isNotNull()).alias("n2"), F.count_if((now != a) & (now == b)).alias("reverted"),
+    )
+    # From a few rows for each delivery: the market's row before, if it is of the delivery before.
+    past = Window.partitionBy("scope", "case", "market").orderBy("as_of_date")
+    out = out.withColumn("n_before", F.when(F.lag("as_of_date").over(past) == F.col("prev_date"), F.lag("n").over(past)))
+    return out.filter("case is null or case = as_of_date").drop("case")
+
+
+def rebased(moved: Mapping[tuple[str, dt.date], tuple[dt.date | None, dt.date | None]], spark) -> DataFrame:
+    """A calendar in which each of these deliveries is held against two others: its own row, and theirs, under one ``case``."""
+    rows = []
+    for (scope, day), base in moved.items():
+        rows.append((scope, day, *base, day))
+        rows += [(scope, d, None, None, day) for d in base if d is not None]
+    return spark.createDataFrame(rows, "scope string, as_of_date date, prev_date date, prev2_date date, case date")
+
+
+def _of_pairs(ctx: Context, subject: str | Column, top: str, bottom: str, by: Sequence[str] = ()) -> DataFrame:
+    """A share of the rows that can be compared; nothing where none can."""
+    rows = ctx.markets_of.filter(F.col(bottom) > 0)
+    return _out(rows, subject, F.sum(top).cast("double") / F.sum(bottom), by=by)
 
 
 def served_crawl_age_days(ctx: Context) -> DataFrame:
-    return _out(ctx.scoped, "market", F.max(F.date_diff("as_of_date", "served_crawl_date")), by=["market"])
+    return _out(ctx.markets_of, "market", F.max("age_days"), by=["market"])
 
 
 def market_coverage(ctx: Context) -> DataFrame:
     """Markets delivered of those expected; a delivery without rows has none."""
     expected = ctx.markets.agg(F.count_if("is_in_micro_scope").alias("micro"), F.count(F.lit(1)).alias("macro")).first()
     n = F.when(F.col("scope") == "micro", expected["micro"]).otherwise(expected["macro"])
-    rows = ctx.deliveries.select("scope", "as_of_date").join(ctx.scoped.select("scope", "as_of_date", "market").distinct(), ["scope", "as_of_date"], "left")
+    rows = ctx.deliveries.select("scope", "as_of_date").join(ctx.markets_of.select("scope", "as_of_date", "market"), ["scope", "as_of_date"], "left")
     return _out(rows.withColumn("_n", n), "all", F.try_divide(F.count("market").cast("double"), F.max("_n")))
 
 
 def product_count_change(ctx: Context) -> DataFrame:
-    now = ctx.scoped.groupBy("scope", "as_of_date", "prev_date", "market").agg(F.count(F.lit(1)).alias("n"))
-    then = now.select("scope", F.col("as_of_date").alias("prev_date"), "market", F.col("n").alias("n_before"))
-    both = now.join(then, ["scope", "prev_date", "market"], "left")
-    return both.select("scope", "as_of_date", F.col("market").alias("subject"), (F.try_divide(F.col("n").cast("double"), F.col("n_before")) - 1).alias("observed"))
+    change = F.try_divide(F.col("n").cast("double"), F.col("n_before")) - 1
+    return ctx.markets_of.select("scope", "as_of_date", F.col("market").alias("subject"), change.alias("observed"))
 
 
 def price_reversion_share(ctx: Context) -> DataFrame:
-    now, a, b = F.col("price_local"), F.col("p1"), F.col("p2")
-    return _out(_before(ctx, 2), "market", _share((now != a) & (now == b)), by=["market"])
+    return _of_pairs(ctx, "market", "reverted", "n2", ["market"])
 
 
 def price_decrease_share(ctx: Context) -> DataFrame:
-    return _out(_before(ctx), "market", _share(F.col("price_local") < F.col("p1")), by=["market"])
+    return _of_pairs(ctx, "market", "fallen", "n1", ["market"])
 
 
 def price_change_share_anomaly(ctx: Context) -> DataFrame:
-    return _out(_before(ctx), "all", _share(F.col("price_local") != F.col("p1")))
+    return _of_pairs(ctx, "all", "changed", "n1")
 
 
 def hero_grid_complete(ctx: Context) -> DataFrame:
@@ -205,7 +256,7 @@ def global_reconciles_with_markets(ctx: Context) -> DataFrame:
     return _out(both, "macro_category", F.abs(F.max("_g") - F.round(F.avg("lfl_mean_change"), 4)), "macro", by=["macro_category"])
 
 
-_BOTH, _MARTS = ("marts", "legacy_replay"), ("marts",)
+_MARTS = ("marts",)
 
 # Thresholds, severities and scopes of the checks.
 CHECKS: tuple[Check, ...] = (
@@ -238,6 +289,14 @@ def measure(checks: Sequence[Check], ctx: Context) -> DataFrame:
     return out
 
 
+def catalogue_of(checks: Sequence[Check], dataset: str = "marts") -> list[Check]:
+    """The checks that a dataset goes through; an id stands for one check."""
+    ids = [c.id for c in checks]
+    if len(set(ids)) < len(ids):
+        raise ValueError("checks with the same id: " + ", ".join(sorted({i for i in ids if ids.count(i) > 1})))
+    return [c for c in checks if dataset in c.datasets]
+
+
 def rule_table(spark, checks: Sequence[Check]) -> DataFrame:
     """A row for each check and scope, with its thresholds and their description."""
     rows = []
@@ -260,17 +319,17 @@ def with_missing(measures: DataFrame, deliveries: DataFrame, rules: DataFrame) -
     return measures.unionByName(lacking.select("check_id", "scope", "as_of_date", F.lit("all").alias("subject"), F.lit(None).cast("double").alias("observed")))
 
 
-def anomaly(measures: DataFrame, checks: Sequence[Check], accepted: DataFrame | None = None) -> DataFrame:
+def anomaly(measures: DataFrame, checks: Sequence[Check], accepted: DataFrame | None = None, lesson: str = "observed") -> DataFrame:
     """Measures with usual (mean of the last accepted values) and is_anomaly, by each check's own window.
 
-    ``accepted`` lists deliveries (scope, as_of_date) to learn from; without it all are.
+    ``accepted`` lists deliveries (scope, as_of_date) to learn from; without it all are. What is learnt is the column ``lesson``.
     """
     known = F.lit(True) if accepted is None else F.coalesce(F.col("_accepted"), F.lit(False))
     if accepted is not None:
         measures = measures.join(F.broadcast(accepted.select("scope", "as_of_date").distinct().withColumn("_accepted", F.lit(True))), ["scope", "as_of_date"], "left")
     # Values to learn from are gathered in order, so that a window counts them and not the rows between.
     w = Window.partitionBy("check_id", "scope", "subject").orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, -1)
-    learn = F.when(known & F.col("observed").isNotNull(), F.col("observed"))
+    learn = F.when(known & F.col(lesson).isNotNull(), F.col(lesson))
     df = measures.withColumn("_past", F.collect_list(learn).over(w))
     usual, flag = F.lit(None).cast("double"), F.lit(False)
     for c in checks:
@@ -290,7 +349,7 @@ def anomaly(measures: DataFrame, checks: Sequence[Check], accepted: DataFrame |
 
 def _shown(c: Column) -> Column:
     """A value as people read it: shares below one as percentages."""
-    return F.when((F.abs(c) < 1) & (c != 0), F.format_string("%.2f%%", c * 100)).otherwise(F.format_string("%.6g", c))
+    return F.when((F.abs(c) < 1) & (c != 0), F.format_string("%.2f%%", c * 100)).otherwise(F.format_string("%.2f", c))
 
 
 def evaluate(measures: DataFrame, rules: DataFrame) -> DataFrame:
@@ -303,10 +362,10 @@ def evaluate(measures: DataFrame, rules: DataFrame) -> DataFrame:
     status = F.when(none, "skip").when(beyond("fail"), "fail").when(beyond("warn") | odd, "warn").otherwise("pass")
     label = F.concat(F.col("subject"), F.lit(": "), _shown(x))
     message = (
-        F.when(none, "no value (nothing to compare with, e.g. first delivery)")
-        .when(beyond("fail"), F.concat(label, F.lit(" (fail "), F.col("fail_rule"), F.lit(")")))
-        .when(beyond("warn"), F.concat(label, F.lit(" (warn "), F.col("warn_rule"), F.lit(")")))
-        .when(odd, F.concat(F.col("subject"), F.lit(": anomaly - "), _shown(x), F.lit(" vs usual "), _shown(F.col("usual")) if "usual" in df.columns else F.lit("")))
+        F.when(none, "not measured: this delivery has nothing that it can be held against")
+        .when(beyond("fail"), F.concat(label, F.lit(", which fails the rule "), F.col("fail_rule")))
+        .when(beyond("warn"), F.concat(label, F.lit(", outside the range that passes: "), F.col("warn_rule")))
+        .when(odd, F.concat(label, F.lit(", where earlier deliveries had about "), _shown(F.col("usual")) if "usual" in df.columns else F.lit("less")))
         .otherwise(label)
     )
     return df.withColumns({"status": status, "message": message}).select("check_id", "dimension", "severity", "scope", "as_of_date", "subject", "observed", "warn_rule", "fail_rule", "status", "message")
@@ -321,49 +380,65 @@ def decide(results: DataFrame, keys: Sequence[str] = ("scope", "as_of_date")) ->
 
 @dataclass
 class Audit:
-    """Judging deliveries oldest first, each against the last ones that were accepted."""
+    """Judging deliveries, each against the last ones before it that were accepted."""
 
     checks: Sequence[Check]
     context: Callable[[DataFrame], Context]
-    results: list[DataFrame] = field(default_factory=list)
+    results: DataFrame | None = None
     decisions: dict[tuple[str, dt.date], str] = field(default_factory=dict)
 
     def run(self, calendar: DataFrame, targets: Sequence[tuple[str, dt.date]], released: set[tuple[str, dt.date]]) -> None:
-        """The calendar is small and comes to the driver; every measure stays a Spark job.
+        """All targets are judged at once against the deliveries before them; those whose predecessors were not accepted are then
+        measured again, together, against the ones that were, until no verdict changes what another is held against.
 
-        A delivery whose accepted predecessors differ from the calendar's is measured again against those.
+        A round is one Spark job over the deliveries that moved; the calendar and the verdicts, a few rows a week, come to the driver.
         """
         spark = calendar.sparkSession
         days = sorted((r["scope"], r["as_of_date"], r["prev_date"], r["prev2_date"]) for r in calendar.collect())
-        everything = measure(self.checks, self.context(calendar)).cache()
-        rules = rule_table(spark, self.checks)
-        accepted = set(released)
-        schema = "scope string, as_of_date date, prev_date date, prev2_date date"
-        for scope, day, prev, prev2 in days:
-            if (scope, day) not in set(targets):
-                continue
-            good = [d for s, d, *_ in days if s == scope and d < day and (s, d) in accepted]
-            base = (good[-1] if good else None, good[-2] if len(good) > 1 else None)
-            own = spark.createDataFrame([(scope, day, *base)], schema)
-            moved = prev is not None and base != (prev, prev2)
-            now = everything.filter((F.col("scope") == scope) & (F.col("as_of_date") == F.lit(day)))
+        wanted, rules = set(targets), rule_table(spark, self.checks)
+        if not wanted:
+            return
+        keys = ["check_id", "scope", "as_of_date", "subject"]
+        everything = materialise(measure(self.checks, self.context(calendar)), "measures")
+        chosen = F.broadcast(spark.createDataFrame(sorted(wanted), "scope string, as_of_date date"))
+        moved: dict = {}
+        while True:
+            now = everything.join(chosen, ["scope", "as_of_date"], "left_semi")
             if moved:
-                past = spark.createDataFrame([(s, d, None, None) for s, d, *_ in days if s == scope and d in base], schema)
-                now = measure(self.checks, self.context(own.union(past))).filter(F.col("as_of_date") == F.lit(day))
-            past_rows = everything.filter((F.col("scope") == scope) & (F.col("as_of_date") < F.lit(day)))
-            known = spark.createDataFrame([(s, d) for s, d in accepted], "scope string, as_of_date date")
-            judged = anomaly(with_missing(now, own, rules).unionByName(past_rows), self.checks, known).filter(F.col("as_of_date") == F.lit(day))
-            out = evaluate(judged, rules)
+                case = F.broadcast(spark.createDataFrame(sorted(moved), "scope string, as_of_date date"))
+                again = measure(self.checks, self.context(rebased(moved, spark))).join(case, ["scope", "as_of_date"], "left_semi")
+                now = now.join(case, ["scope", "as_of_date"], "left_anti").unionByName(again)
+            now = with_missing(now, chosen, rules).withColumn("_judged", F.lit(True))
+            rows = now.join(everything.withColumnRenamed("observed", "_lesson"), keys, "full")
+            accepted = released | {k for k, v in self.decisions.items() if v != "BLOCK"} if self.decisions else {(s, d) for s, d, *_ in days}
+            known = spark.createDataFrame(sorted(accepted), "scope string, as_of_date date")
+            out = evaluate(anomaly(rows, self.checks, known, "_lesson").filter("_judged"), rules)
             if moved:
-                skipped = ", ".join(str(d) for d in sorted({prev, prev2} - set(base) - {None}))
-                note = f" [baseline {base[0]}; skips non-accepted {skipped}]"
-                out = out.withColumn("message", F.when(F.col("status") == "skip", F.col("message")).otherwise(F.concat("message", F.lit(note))))
-            out = spark.createDataFrame(out.collect(), out.schema)
-            self.results.append(out)
-            self.decisions[(scope, day)] = decide(out).first()["decision"]
-            if self.decisions[(scope, day)] != "BLOCK":
-                accepted.add((scope, day))
-        everything.unpersist()
+                out = out.join(F.broadcast(self._notes(spark, days, moved)), ["scope", "as_of_date"], "left")
+                out = out.withColumn("message", F.when((F.col("status") == "skip") | F.col("note").isNull(), F.col("message")).otherwise(F.concat("message", "note"))).drop("note")
+            out = materialise(out, "judged")
+            before = (self.decisions, moved)
+            self.results, self.decisions = out, {(r["scope"], r["as_of_date"]): r["decision"] for r in decide(out).collect()}
+            accepted = released | {k for k, v in self.decisions.items() if v != "BLOCK"}
+            moved = {}
+            for scope, day, *base in days:
+                good = [None, None, *(d for s, d, *_ in days if s == scope and d < day and (s, d) in accepted)]
+                if (scope, day) in wanted and base[0] is not None and (good[-1], good[-2]) != tuple(base):
+                    moved[scope, day] = (good[-1], good[-2])
+            if (self.decisions, moved) == before or (not before[0] and not moved and not self._anomalies()):
+                return
+
+    def _anomalies(self) -> bool:
+        return any(c.rules_for(s).anomaly for c in self.checks for s in c.scopes)
+
+    @staticmethod
+    def _notes(spark, days: Sequence[tuple], moved: Mapping) -> DataFrame:
+        rows = []
+        for scope, day, *base in days:
+            if (scope, day) in moved:
+                passed = ", ".join(str(d) for d in sorted(set(base) - set(moved[scope, day]) - {None}))
+                rows.append((scope, day, f" (held against {moved[scope, day][0]}, as these were not accepted: {passed})"))
+        return spark.createDataFrame(rows, "scope string, as_of_date date, note string")
 
 
 def pick_targets(calendar: DataFrame, releases: DataFrame, date: dt.date | None = None, every: bool = False) -> list[tuple[str, dt.date]]:
@@ -390,12 +465,11 @@ def audit(calendar: DataFrame, context: Callable[[DataFrame], Context], results_
     spark = calendar.sparkSession
     releases = releases_ledger.read()
     released = {(r["scope"], r["as_of_date"]) for r in releases.select("scope", "as_of_date").distinct().collect()}
-    run = Audit([c for c in checks if dataset in c.datasets], context)
+    run = Audit(catalogue_of(checks, dataset), context)
     run.run(calendar, pick_targets(calendar, releases, date, every), released)
-    if not dry_run and run.results:
+    if not dry_run and run.results is not None:
         run_id, now = uuid.uuid4().hex, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        for r in run.results:
-            append_results(results_ledger, r, run_id, dataset, now)
+        append_results(results_ledger, run.results, run_id, dataset, now)
         free = {k: v for k, v in run.decisions.items() if v != "BLOCK" and k not in released}
         if publish and dataset == "marts" and free:
             append_releases(releases_ledger, spark, free, run_id, by, now)

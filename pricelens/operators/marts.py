@@ -6,13 +6,35 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
+from pricelens.operators import history
 
 _PCT = "decimal(10,4)"
 
 
+def _contract(**columns: str) -> T.StructType:
+    kinds = {"string": T.StringType(), "date": T.DateType(), "int": T.IntegerType(), "boolean": T.BooleanType(), "price": T.DecimalType(18, 2), "change": T.DecimalType(10, 4)}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in columns.items()])
+
+
+# Names and types of the tables that clients read.
+MICRO_WEEKLY = _contract(
+    micro_row_id="string", delivery_date="date", pointer_id="string", sku="string", product_label="string", market="string", currency_code="string", price_local="price",
+    previous_price_local="price", change_vs_previous_pct="change", price_status="string", crawl_date_used="date", price_crawl_date="date", is_stale_crawl="boolean", is_price_carried_forward="boolean",
+)
+MACRO_MONTHLY = _contract(
+    macro_row_id="string", report_month="date", as_of_date="date", market="string", macro_category="string", currency_code="string", n_products="int", min_price="price",
+    median_price="price", mean_price="price", max_price="price", lfl_n_products="int", lfl_mean_change="change", lfl_ratio_of_means="change", lfl_share_increased="change",
+)
+PRICE_CHANGES = _contract(
+    price_change_id="string", object_id="string", sku="string", market="string", macro_category="string", currency_code="string", changed_on_crawl_date="date",
+    price_before="price", price_after="price", change_pct="change", change_direction="string",
+)
+
+
 def dim_market(markets: DataFrame) -> DataFrame:
     return markets.withColumn("is_in_micro_scope", F.col("crawl_cadence") == "weekly")
 
@@ -55,11 +77,11 @@ def previous_valid(value: str, partition: Sequence[str], order: str):
 
 
 def micro_weekly(dates: DataFrame, pointers: DataFrame, markets: DataFrame, catalogue: DataFrame, unreadable: DataFrame, stale_days: int = 7) -> DataFrame:
-    """A row for each date, watched product and market, with price, change and a status for every case.
+    """A row for each date, watched product and market, with price, change and a status for every case (MICRO_WEEKLY).
 
     Dates without any served crawl in a market stay in the grid as not_found.
     """
-    grid = full_grid(dates.select("as_of_date"), pointers.select("pointer_id", "sku"), markets.select("market"))
+    grid = full_grid(dates.select("as_of_date"), pointers.select("pointer_id", "sku", "product_label"), markets.select("market", "currency_code"))
     cells = catalogue.select("as_of_date", "market", "sku", "object_id", "presence_crawl_date", "has_price", "price_local", "price_crawl_date", "is_price_carried_forward")
     served = served_batches(catalogue).withColumnRenamed("presence_crawl_date", "_served")
     errors = unreadable.select(F.col("market_batch_id").alias("presence_batch_id"), "sku").withColumn("_error", F.lit(True))
@@ -82,7 +104,8 @@ def micro_weekly(dates: DataFrame, pointers: DataFrame, markets: DataFrame, cata
     )
     return df.select(
         surrogate_key(F.col("as_of_date"), F.col("pointer_id"), F.col("market")).alias("micro_row_id"),
-        F.col("as_of_date").alias("delivery_date"), "pointer_id", "sku", "market", "price_local", "previous_price_local",
+        F.col("as_of_date").alias("delivery_date"), "pointer_id", "sku", "product_label", "market", "currency_code",
+        *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("price_local", "previous_price_local")],
         F.round(F.try_divide(now, before) - 1, 4).cast(_PCT).alias("change_vs_previous_pct"),
         status.alias("price_status"), "crawl_date_used", "price_crawl_date",
         F.coalesce(F.date_diff("as_of_date", "crawl_date_used") > stale_days, F.lit(False)).alias("is_stale_crawl"),
@@ -96,44 +119,72 @@ def month_ends(priced: DataFrame) -> DataFrame:
     return priced.select("as_of_date").distinct().withColumn("previous_as_of_date", F.lag("as_of_date").over(w))
 
 
+def with_month_before(priced: DataFrame, calendar: DataFrame, keys: Sequence[str] = ("market", "sku"), price: str = "price_local") -> DataFrame:
+    """Priced rows with the key's price at the month end before (null if it had none) and the relative change, by one sort."""
+    w = Window.partitionBy(*keys).orderBy("as_of_date")
+    rows = priced.withColumns({"_date": F.lag("as_of_date").over(w), "_price": F.lag(price).over(w)})
+    out = rows.join(F.broadcast(calendar), "as_of_date").withColumn("price_before", F.when(F.col("_date") == F.col("previous_as_of_date"), F.col("_price")))
+    return out.withColumn("product_change", F.try_divide(F.col(price), F.col("price_before")) - 1).drop("_date", "_price")
+
+
 def lfl_pairs(priced: DataFrame, calendar: DataFrame, keys: Sequence[str] = ("market", "sku"), carry: Sequence[str] = ("macro_category",), price: str = "price_local") -> DataFrame:
     """The same product and market priced at a month end and the one before: price_now, price_before, product_change."""
-    before = priced.select(F.col("as_of_date").alias("previous_as_of_date"), *keys, F.col(price).alias("price_before"))
-    now = priced.join(F.broadcast(calendar.filter("previous_as_of_date is not null")), "as_of_date")
-    pairs = now.select("as_of_date", "previous_as_of_date", *keys, *carry, F.col(price).alias("price_now")).join(before, ["previous_as_of_date", *keys])
-    return pairs.withColumn("product_change", F.try_divide(F.col("price_now"), F.col("price_before")) - 1)
+    rows = with_month_before(priced, calendar, keys, price).filter("price_before is not null")
+    return rows.select("as_of_date", "previous_as_of_date", *keys, *[c for c in carry if c not in keys], F.col(price).alias("price_now"), "price_before", "product_change")
+
+
+def _lfl(now: str) -> list:
+    """Pairs, mean of changes, ratio of means and share increased, over the rows that have a price before."""
+    change, paired = F.col("product_change"), F.col("price_before").isNotNull()
+    return [
+        F.count("price_before").alias("lfl_n_products"),
+        F.avg(change).alias("lfl_mean_change"),
+        (F.try_divide(F.sum(F.when(paired, F.col(now))), F.sum("price_before")) - 1).alias("lfl_ratio_of_means"),
+        F.avg(F.when(paired, F.when(change > 0, 1.0).otherwise(0.0))).alias("lfl_share_increased"),
+    ]
 
 
 def lfl_metrics(pairs: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category")) -> DataFrame:
-    """Pairs, mean of changes, ratio of means and share increased."""
-    return pairs.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("lfl_n_products"),
-        F.avg("product_change").alias("lfl_mean_change"),
-        (F.try_divide(F.sum("price_now"), F.sum("price_before")) - 1).alias("lfl_ratio_of_means"),
-        F.avg(F.when(F.col("product_change") > 0, 1.0).otherwise(0.0)).alias("lfl_share_increased"),
-    )
+    return pairs.groupBy(*by).agg(*_lfl("price_now"))
 
 
-def price_levels(priced: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category"), price: str = "price_local") -> DataFrame:
-    return priced.groupBy(*by).agg(
+def _levels(price: str) -> list:
+    return [
         F.count(F.lit(1)).alias("n_products"), F.min(price).alias("min_price"), F.percentile_approx(price, 0.5).alias("median_price"),
         F.round(F.avg(price), 2).alias("mean_price"), F.max(price).alias("max_price"),
-    )
+    ]
+
+
+def price_levels(priced: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category"), price: str = "price_local") -> DataFrame:
+    return priced.groupBy(*by).agg(*_levels(price))
 
 
-def macro_monthly(priced: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category")) -> DataFrame:
-    """Price levels and like-for-like change of each month end, market and category."""
-    lfl = lfl_metrics(lfl_pairs(priced, month_ends(priced)), by)
-    out = price_levels(priced, by).join(lfl, list(by), "left").withColumn("report_month", F.trunc("as_of_date", "MM"))
+def macro_monthly(priced: DataFrame, markets: DataFrame, calendar: DataFrame | None = None, by: Sequence[str] = ("as_of_date", "market", "macro_category"), keys: Sequence[str] = ("market", "sku")) -> DataFrame:
+    """Price levels and like-for-like change of each month end, market and category (MACRO_MONTHLY), in one pass over the prices.
+
+    Without a calendar (month_ends()) the dates of the table are looked up first. If ``priced`` is laid out by ``keys``, as by the as-of
+    look-up, only the aggregates are shuffled.
+    """
+    rows = with_month_before(priced, month_ends(priced) if calendar is None else calendar, keys)
+    out = rows.groupBy(*by).agg(*_levels("price_local"), *_lfl("price_local")).withColumn("report_month", F.trunc("as_of_date", "MM"))
+    out = out.join(F.broadcast(markets.select("market", "currency_code")), "market", "left")
     return out.select(
-        surrogate_key(F.col("report_month"), *[F.col(c) for c in by[1:]]).alias("macro_row_id"), "report_month", *by,
+        surrogate_key(F.col("report_month"), *[F.col(c) for c in by[1:]]).alias("macro_row_id"), "report_month", *by, "currency_code",
         F.col("n_products").cast("int").alias("n_products"),
         *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("min_price", "median_price", "mean_price", "max_price")],
-        F.coalesce("lfl_n_products", F.lit(0)).cast("int").alias("lfl_n_products"),
+        F.col("lfl_n_products").cast("int").alias("lfl_n_products"),
         *[F.round(c, 4).cast(_PCT).alias(c) for c in ("lfl_mean_change", "lfl_ratio_of_means", "lfl_share_increased")],
     )
 
 
+def price_changes(periods: DataFrame, products: DataFrame) -> DataFrame:
+    """Change events of price periods (PRICE_CHANGES), with the product's category."""
+    events = history.change_events(periods, "price_local", products.select("sku", "macro_category"))
+    renamed = {"price_period_id": "price_change_id", "valid_from": "changed_on_crawl_date", "previous_price_local": "price_before", "price_local": "price_after", "change_vs_previous": "change_pct", "direction": "change_direction"}
+    out = events.withColumnsRenamed(renamed)
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRICE_CHANGES])
+
+
 def macro_global(monthly: DataFrame) -> DataFrame:
     """Each month and category over all markets: market-weighted and product-weighted change, extremes, the highest market."""
     change, n = F.col("lfl_mean_change"), F.col("lfl_n_products")

@@ -48,6 +48,13 @@ def with_line_id(lines: DataFrame) -> DataFrame:
     return numbered.withColumn("crawl_line_id", F.sha2(parts, 256))
 
 
+# Where a file's name has its crawl date and export time, the suffix of a copy, and where a source has its market.
+CRAWL_DATE = r"^[A-Za-z]+_(\d{4}-\d{2}-\d{2})_"
+EXPORTED_AT = r"_(\d{13})_"
+COPY_SUFFIX = r" \(\d+\)\."
+SOURCE_MARKET = "_([A-Z]{3})$"
+
+
 def parse_file_name(df: DataFrame, name: str = "source_file_name") -> DataFrame:
     """What a file's name says: decoded name, crawl date, export time, copy suffix. A name that can't be decoded is kept."""
     c = F.col(name)
@@ -55,9 +62,9 @@ def parse_file_name(df: DataFrame, name: str = "source_file_name") -> DataFrame:
     return df.withColumns(
         {
             "delivered_file_name": decoded,
-            "file_crawl_date": F.regexp_extract(c, r"^[A-Za-z]+_(\d{4}-\d{2}-\d{2})_", 1).try_cast("date"),
-            "file_exported_at": F.timestamp_millis(F.regexp_extract(c, r"_(\d{13})_", 1).try_cast("bigint")),
-            "file_name_has_copy_suffix": decoded.rlike(r" \(\d+\)\."),
+            "file_crawl_date": F.regexp_extract(c, CRAWL_DATE, 1).try_cast("date"),
+            "file_exported_at": F.timestamp_millis(F.regexp_extract(c, EXPORTED_AT, 1).try_cast("bigint")),
+            "file_name_has_copy_suffix": decoded.rlike(COPY_SUFFIX),
         }
     )
 
@@ -67,25 +74,29 @@ def extract_json_text(df: DataFrame, fields: Mapping[str, str], json_col: str =
     return df.withColumns({c: F.get_json_object(F.col(json_col), f"$.{path}") for c, path in fields.items()})
 
 
-def kv_list_to_map(pairs: Column) -> Column:
-    """An array of key/value structs as a map; of entries that repeat a key, or have none, the last one, or none, counts."""
-    keyed = F.filter(pairs, lambda x: x["key"].isNotNull())
-    last = F.filter(keyed, lambda x, i: ~F.exists(F.slice(keyed, i + 2, F.size(keyed)), lambda y: y["key"] == x["key"]))
-    return F.map_from_entries(last)
+def kv_list_to_map(df: DataFrame, pairs: str, into: str) -> DataFrame:
+    """An array of key/value structs as a map; of entries that repeat a key, or have none, the last one, or none, counts.
+
+    Entries are sorted by key and place, so that each is compared with the next one only; the sorted array is a column of its own,
+    as a lambda that refers to an expression would evaluate it again for each entry.
+    """
+    keyed = F.filter(F.transform(pairs, lambda x, i: F.struct(x["key"].alias("k"), i.alias("i"), x["value"].alias("v"))), lambda x: x["k"].isNotNull())
+    df = df.withColumn("_pairs", F.array_sort(keyed))
+    last = F.filter("_pairs", lambda x, i: ~F.coalesce(F.get(F.col("_pairs"), i + 1)["k"] == x["k"], F.lit(False)))
+    return df.withColumn(into, F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))).drop("_pairs")
 
 
 def parse_lines(df: DataFrame, json_col: str = "raw_line") -> DataFrame:
     """All fields of FIELDS, the lists and the details map, from one parse of the line."""
     parsed = df.withColumn("_j", F.from_json(json_col, LINE))
     lists = {"skus_raw": "skus", "categories_raw": "categories", "validation_errors_raw": "validationErrors"}
-    return parsed.withColumns(
-        {c: F.col(f"_j.{p}") for c, p in (FIELDS | lists).items()} | {"product_details_raw": kv_list_to_map(F.col("_j.productDetails"))}
-    ).drop("_j")
+    parsed = kv_list_to_map(parsed, "_j.productDetails", "product_details_raw")
+    return parsed.withColumns({c: F.col(f"_j.{p}") for c, p in (FIELDS | lists).items()}).drop("_j")
 
 
 def resolve_market(df: DataFrame) -> DataFrame:
     """The market field, else the suffix of the source."""
-    suffix = F.nullif(F.regexp_extract("source_raw", "_([A-Z]{3})$", 1), F.lit(""))
+    suffix = F.nullif(F.regexp_extract("source_raw", SOURCE_MARKET, 1), F.lit(""))
     return df.withColumn("market", F.coalesce(t.blank_to_null(F.col("market_raw")), suffix))
 
 
@@ -149,25 +160,25 @@ def line_rules(cfg: CrawlConfig) -> dict[str, Column]:
     }
 
 
-#: Columns of a staged observation, in order.
+# Columns of a staged observation, in order.
 STAGED = (
-    "crawl_line_id object_id sku sku_secondary market source_file_name delivered_file_name file_crawl_date file_exported_at file_name_has_copy_suffix "
-    "loaded_at crawled_at product_name product_name_normalized product_url preview_url price_local currency_code expected_currency brand_macro_category "
-    "brand_micro_category brand_super_micro_category top_category_label category_label product_category_label sub_category_label color color_id collection "
-    "stock_status categories source_name crawler_name import_source http_status is_valid validation_errors object_id_raw product_name_raw "
-    "original_price_raw original_currency_raw price_minor_units_raw created_at_raw price_parse_issue dq_issues dq_status"
-).split()
+    "crawl_line_id", "object_id", "sku", "sku_secondary", "market", "source_file_name", "delivered_file_name", "file_crawl_date",
+    "file_exported_at", "file_name_has_copy_suffix", "loaded_at", "crawled_at", "product_name", "product_name_normalized", "product_url",
+    "preview_url", "price_local", "currency_code", "expected_currency", "brand_macro_category", "brand_micro_category",
+    "brand_super_micro_category", "top_category_label", "category_label", "product_category_label", "sub_category_label", "color",
+    "color_id", "collection", "stock_status", "categories", "source_name", "crawler_name", "import_source", "http_status", "is_valid",
+    "validation_errors", "object_id_raw", "product_name_raw", "original_price_raw", "original_currency_raw", "price_minor_units_raw",
+    "created_at_raw", "price_parse_issue", "dq_issues", "dq_status",
+)
 
 
 def repair_lines(parsed: DataFrame, cfg: CrawlConfig) -> DataFrame:
     """Typed and repaired columns beside the raw ones, with identities, before the rules."""
     c = F.col
     df = resolve_currency(resolve_sku(resolve_market(parsed)), cfg)
-    units = c("currency_minor_units")
+    df = t.read_prices(df, "original_price_raw", c("currency_minor_units"))
     df = df.withColumns(
         {
-            "price_local": t.parse_price(c("original_price_raw"), units),
-            "price_parse_issue": t.price_issue(c("original_price_raw"), units),
             "product_name_unescaped": t.unescape_html(c("product_name_raw")),
             "categories": F.transform("categories_raw", t.repair_mojibake),
             "product_details": F.transform_values("product_details_raw", lambda k, v: t.repair_mojibake(v)),

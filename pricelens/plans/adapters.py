@@ -7,11 +7,12 @@ to two weeks after its crawl. Market batches are region and month; some are bloc
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelens.functions.issues import dq_status
+from pricelens.config import HANDLING
+from pricelens.operators import classify
 from pricelens.operators.products import Rule
 
 # Price level of a region against the first in hundredths, its currency, and whether it is crawled weekly.
@@ -20,7 +21,6 @@ CURRENCY = {"AFRICA": "ZAR", "AMERICA": "USD", "ASIA": "JPY", "EUROPE": "EUR", "
 WEEKLY = ("AFRICA", "AMERICA", "EUROPE")
 ANCHOR = "AFRICA"
 
-MONTH_ENDS = [dt.date(1998, m + 1, 1) - dt.timedelta(days=1) for m in range(1, 10)]
 #: Readings of these orders are ten times too high in the planted variant.
 SCALE_ERROR = 97
 
@@ -71,15 +71,16 @@ def readings(spark: SparkSession, sf_dir: str, planted: bool = False) -> DataFra
         (F.col("crawl_date").cast("timestamp") + F.make_dt_interval(F.col("l_quantity").cast("int") % 15, F.lit(9))).alias("delivered_at"),
         (cents.cast("decimal(20,2)") / 100).cast("decimal(18,2)").alias("price_local"),
         F.concat_ws("_", "market", F.date_format("crawl_date", "yyyy-MM")).alias("market_batch_id"),
+        F.date_format("crawl_date", "'crawl_'yyyy-MM").alias("source_file_name"),
         F.create_map(*[F.lit(x) for kv in CURRENCY.items() for x in kv])[F.col("market")].alias("currency_code"),
     )
 
 
-def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def batches(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
     """A row for each region and month: first crawl date, when delivered and loaded, trust and completeness by fixed rules."""
-    r = readings(spark, sf_dir)
+    r = readings(spark, sf_dir) if r is None else r
     n = F.year("crawl_date") * 12 + F.month("crawl_date")
-    out = r.groupBy("market_batch_id", "market").agg(F.min("crawl_date").alias("crawl_date"), F.count(F.lit(1)).alias("n_lines"))
+    out = r.groupBy("market_batch_id", "market", "source_file_name").agg(F.min("crawl_date").alias("crawl_date"), F.count(F.lit(1)).alias("n_lines"))
     trusted, partial = n % 11 != 0, n % 7 == 0
     return out.withColumns(
         {
@@ -93,12 +94,27 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings with a fate: those of blocked batches are blocked, every 53rd order is an error page, every 41st is quarantined."""
-    r = readings(spark, sf_dir).join(batches(spark, sf_dir).select("market_batch_id", "is_trusted_delivery"), "market_batch_id")
+def observations(spark: SparkSession, sf_dir: str, r: DataFrame | None = None) -> DataFrame:
+    """Readings with issues: every 53rd order is an error page, every 41st has no price, every 61st repeats a line."""
+    r = readings(spark, sf_dir) if r is None else r
     order = F.expr("line_id div 10")
-    fate = F.when(~F.col("is_trusted_delivery"), "blocked_delivery").when((order % 41 == 0) | (order % 53 == 0), "quarantined_in_staging").otherwise("accepted")
-    return r.withColumns({"fate": fate, "is_not_a_product_page": order % 53 == 0, "dq_status": F.when((order % 41 == 0) | (order % 53 == 0), "quarantine").otherwise("pass"), "is_price_scale_outlier": F.lit(False)})
+    found = [F.when(order % n == 0, issue) for n, issue in ((41, "price_on_request"), (53, "http_error_or_invalid"), (61, "exact_duplicate_line"))]
+    issues = F.filter(F.array(*found), lambda x: x.isNotNull())
+    return r.withColumn("dq_issues", issues).withColumn("dq_status", dq_status(F.col("dq_issues"), HANDLING))
+
+
+def classified(spark: SparkSession, sf_dir: str, r: DataFrame | None = None, b: DataFrame | None = None) -> DataFrame:
+    """Readings with the fate that their batch and issues give them; they keep their own crawl and delivery times."""
+    own = {"crawl_date": "read_on", "delivered_at": "came_at"}
+    obs = observations(spark, sf_dir, r).drop("market_batch_id").withColumnsRenamed(own)
+    found = classify.with_batches(obs, batches(spark, sf_dir, r) if b is None else b).drop(*own)
+    return found.withColumnsRenamed({v: k for k, v in own.items()}).withColumns(
+        {
+            "fate": F.coalesce("pre_fate", F.lit("accepted")),
+            "is_not_a_product_page": classify.no_product_page(F.col("dq_issues")),
+            "is_price_scale_outlier": F.lit(False),
+        }
+    )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,26 +124,33 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watch-list: the first eight parts."""
-    return table(spark, sf_dir, "part").filter("p_partkey <= 8").select(F.concat(F.lit("HERO-"), F.lpad(F.col("p_partkey").cast("string"), 2, "0")).alias("pointer_id"), F.col("p_partkey").cast("string").alias("sku"))
+    return table(spark, sf_dir, "part").filter("p_partkey <= 8").select(F.concat(F.lit("HERO-"), F.lpad(F.col("p_partkey").cast("string"), 2, "0")).alias("pointer_id"), F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("product_label"))
 
 
 def month_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine month ends, with the midnight after each."""
+    """The end of every month with orders, and the midnight after it."""
     days = table(spark, sf_dir, "orders").select(F.last_day(F.to_date("o_orderdate")).alias("as_of_date")).distinct()
-    return days.filter(F.col("as_of_date").between(MONTH_ENDS[0], MONTH_ENDS[-1])).withColumn("knowledge_cutoff", F.date_add("as_of_date", 1).cast("timestamp"))
+    return days.withColumn("knowledge_cutoff", F.date_add("as_of_date", 1).cast("timestamp"))
 
 
 def _case(column: str, mapping: dict) -> str:
     return "CASE " + column + " " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in mapping.items()) + " END"
 
 
-#: Common table expressions by name; each may use those before it.
+def half_up(top: str, bottom: str, digits: int, kind: str = "DECIMAL(10,4)") -> str:
+    """SQL for a ratio of whole numbers, the lower one positive, rounded half away from zero to so many digits, without floats."""
+    up, down = f"({top})::HUGEINT", f"({bottom})::HUGEINT"
+    return f"CAST(sign({up}) * ((2 * abs({up}) * {10**digits} + {down}) // (2 * {down})) / {10**digits}.0 AS {kind})"
+
+
+#: Common table expressions by name; each may use those before it. They are written from the definitions by other means than the
+#: operators: maxima over all visible facts, joins by position, whole-number arithmetic.
 CTES = {
     "readings": f"""
 SELECT l_orderkey * 10 + l_linenumber AS line_id, l_orderkey AS order_id, r_name AS market, CAST(l_partkey AS VARCHAR) AS sku, r_name || '_' || l_partkey AS object_id,
        CAST(o_orderdate AS DATE) AS crawl_date,
        CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_days(CAST(l_quantity AS INTEGER) % 15) + INTERVAL 9 HOUR AS delivered_at,
-       CAST(((CAST(round(p_retailprice * 100) AS BIGINT) * {_case("r_name", LADDER)} * (20 + year(o_orderdate) - 1995)) // 2000) / 100.0 AS DECIMAL(18,2)) AS price_local,
+       (CAST(round(p_retailprice * 100) AS BIGINT) * {_case("r_name", LADDER)} * (20 + year(o_orderdate) - 1995)) // 2000 AS cents, CAST(cents / 100.0 AS DECIMAL(18,2)) AS price_local,
        r_name || '_' || strftime(o_orderdate, '%Y-%m') AS market_batch_id, {_case("r_name", CURRENCY)} AS currency_code
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
@@ -138,12 +161,12 @@ SELECT *, n % 11 <> 0 AS is_trusted_delivery, n % 7 = 0 AS is_partial, n % 11 <>
 FROM (SELECT market_batch_id, market, min(crawl_date) AS crawl_date, count(*) AS n_lines, year(min(crawl_date)) * 12 + month(min(crawl_date)) AS n
       FROM readings GROUP BY ALL)""",
     "classified": """
-SELECT r.*, CASE WHEN NOT b.is_trusted_delivery THEN 'blocked_delivery' WHEN order_id % 41 = 0 OR order_id % 53 = 0 THEN 'quarantined_in_staging' ELSE 'accepted' END AS fate,
-       order_id % 53 = 0 AS is_not_a_product_page, order_id % 41 = 0 OR order_id % 53 = 0 AS is_quarantined
+SELECT r.*, order_id % 53 = 0 AS is_not_a_product_page, order_id % 41 = 0 OR order_id % 53 = 0 AS is_quarantined,
+       CASE WHEN b.n % 11 = 0 THEN 'blocked_delivery' WHEN order_id % 61 = 0 THEN 'exact_duplicate' WHEN is_quarantined THEN 'quarantined_in_staging' ELSE 'accepted' END AS fate
 FROM readings r JOIN batches b USING (market_batch_id)""",
     "accepted": "SELECT * FROM classified WHERE fate = 'accepted'",
     "markets": f"SELECT r_name AS market, {_case('r_name', CURRENCY)} AS currency_code, r_name IN {WEEKLY!r} AS is_in_micro_scope FROM region",
-    "pointers": "SELECT 'HERO-' || lpad(CAST(p_partkey AS VARCHAR), 2, '0') AS pointer_id, CAST(p_partkey AS VARCHAR) AS sku FROM part WHERE p_partkey <= 8",
+    "pointers": "SELECT 'HERO-' || lpad(CAST(p_partkey AS VARCHAR), 2, '0') AS pointer_id, CAST(p_partkey AS VARCHAR) AS sku, p_name AS product_label FROM part WHERE p_partkey <= 8",
     "products": """
 SELECT CAST(p_partkey AS VARCHAR) AS sku, lower(p_type) AS product_name, p_brand AS brand,
        CASE WHEN p_partkey = 7 THEN 'R05' WHEN regexp_matches(lower(p_type), '(^|[^a-z])(steel|copper)([^a-z]|$)') THEN 'R10'
@@ -154,82 +177,88 @@ FROM part""",
 SELECT as_of_date, bool_or(micro) AS is_micro_date, bool_or(NOT micro) AS is_macro_date, CAST(as_of_date + 1 AS TIMESTAMP) AS knowledge_cutoff
 FROM (SELECT DISTINCT crawl_date + 1 AS as_of_date, true AS micro FROM batches WHERE is_trusted_delivery
       UNION ALL SELECT DISTINCT last_day(crawl_date), false FROM batches WHERE is_trusted_delivery) GROUP BY as_of_date""",
-    "ends": f"""
-SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS as_of_date, CAST(last_day(CAST(o_orderdate AS DATE)) + 1 AS TIMESTAMP) AS knowledge_cutoff FROM orders
-WHERE last_day(CAST(o_orderdate AS DATE)) BETWEEN DATE '{MONTH_ENDS[0]}' AND DATE '{MONTH_ENDS[-1]}'""",
+    "ends": "SELECT DISTINCT last_day(o_orderdate::DATE) AS as_of_date FROM orders",
+    # A fact counts from the day on which it has both happened and arrived; of those that count the greatest is the answer.
     "known": """
-SELECT * FROM (SELECT d.as_of_date, r.market, r.sku, r.object_id, r.crawl_date, r.delivered_at, r.price_local, r.currency_code, r.line_id,
-                      row_number() OVER (PARTITION BY d.as_of_date, r.object_id ORDER BY r.crawl_date DESC, r.delivered_at DESC, r.line_id DESC) AS k
-               FROM ends d JOIN readings r ON r.crawl_date <= d.as_of_date AND r.delivered_at < d.knowledge_cutoff) WHERE k = 1""",
-    "priced": "SELECT k.*, p.category AS macro_category FROM known k JOIN products p USING (sku) WHERE p.category <> 'UNCATEGORIZED'",
-    "cal": "SELECT as_of_date, lag(as_of_date) OVER (ORDER BY as_of_date) AS previous_as_of_date FROM (SELECT DISTINCT as_of_date FROM priced)",
-    "pairs": """
-SELECT a.as_of_date, a.market, a.macro_category, a.sku, CAST(a.price_local AS DOUBLE) AS price_now, CAST(b.price_local AS DOUBLE) AS price_before,
-       CAST(a.price_local AS DOUBLE) / CAST(b.price_local AS DOUBLE) - 1 AS product_change
-FROM priced a JOIN cal c USING (as_of_date) JOIN priced b ON b.as_of_date = c.previous_as_of_date AND b.market = a.market AND b.sku = a.sku""",
+SELECT as_of_date, object_id, f.* FROM (
+  SELECT as_of_date, object_id, max(struct_pack(crawl_date, delivered_at, line_id, market, sku, price_local, currency_code, cents)) AS f
+  FROM readings, ends WHERE greatest(crawl_date, delivered_at::DATE) <= as_of_date GROUP BY as_of_date, object_id)""",
+    "priced": "SELECT known.*, category AS macro_category FROM products NATURAL JOIN known WHERE category <> 'UNCATEGORIZED'",
+    # A product that is known stays known, so what it cost a month before is looked up by the month's number.
+    "moves": """
+SELECT now.*, was.price_local AS price_before, was.cents AS cents_before, now.cents::DOUBLE / was.cents - 1 AS change
+FROM (SELECT *, datesub('month', DATE '1990-01-01', as_of_date) AS month_no FROM priced) now
+LEFT JOIN (SELECT object_id, datesub('month', DATE '1990-01-01', as_of_date) + 1 AS month_no, price_local, cents FROM priced) was USING (object_id, month_no)""",
     "lfl": """
-SELECT as_of_date, market, macro_category, count(*) AS lfl_n_products, avg(product_change) AS lfl_mean_change, sum(price_now) / sum(price_before) - 1 AS lfl_ratio_of_means,
-       avg(CASE WHEN product_change > 0 THEN 1.0 ELSE 0.0 END) AS lfl_share_increased FROM pairs GROUP BY ALL""",
-    "monthly": """
-SELECT md5(CAST(date_trunc('month', l.as_of_date)::DATE AS VARCHAR) || '-' || l.market || '-' || l.macro_category) AS macro_row_id,
-       date_trunc('month', l.as_of_date)::DATE AS report_month, l.as_of_date, l.market, l.macro_category, l.n::INTEGER AS n_products, l.lo AS min_price, l.med AS median_price,
-       CAST(round(l.mean, 2) AS DECIMAL(18,2)) AS mean_price, l.hi AS max_price, coalesce(f.lfl_n_products, 0)::INTEGER AS lfl_n_products,
-       CAST(round(f.lfl_mean_change, 4) AS DECIMAL(10,4)) AS lfl_mean_change, CAST(round(f.lfl_ratio_of_means, 4) AS DECIMAL(10,4)) AS lfl_ratio_of_means,
-       CAST(round(f.lfl_share_increased, 4) AS DECIMAL(10,4)) AS lfl_share_increased
-FROM (SELECT as_of_date, market, macro_category, count(*) AS n, min(price_local) AS lo, quantile_disc(price_local, 0.5) AS med, avg(price_local) AS mean, max(price_local) AS hi
-      FROM priced GROUP BY ALL) l LEFT JOIN lfl f USING (as_of_date, market, macro_category)""",
-    "overall": """
-SELECT report_month, macro_category, count(*)::INTEGER AS n_markets, sum(lfl_n_products)::INTEGER AS lfl_n_product_markets,
-       CAST(round(avg(lfl_mean_change::DOUBLE), 4) AS DECIMAL(10,4)) AS market_weighted_lfl_change,
-       CAST(round(sum(lfl_mean_change::DOUBLE * lfl_n_products) / sum(lfl_n_products), 4) AS DECIMAL(10,4)) AS product_weighted_lfl_change,
-       min(lfl_mean_change) AS min_market_lfl_change, max(lfl_mean_change) AS max_market_lfl_change,
-       arg_max(market, {'a': lfl_mean_change, 'b': market}) AS market_with_highest_change,
-       md5(CAST(report_month AS VARCHAR) || '-' || macro_category) AS macro_global_row_id
-FROM monthly WHERE lfl_n_products > 0 GROUP BY report_month, macro_category""",
+SELECT as_of_date, market, macro_category, count(change) AS lfl_n_products, sum(change) / count(change) AS lfl_mean_change,
+       (sum(cents) FILTER (change IS NOT NULL))::DOUBLE / sum(cents_before) - 1 AS lfl_ratio_of_means, (count(*) FILTER (change > 0))::DOUBLE / count(change) AS lfl_share_increased
+FROM moves GROUP BY ALL HAVING count(change) > 0""",
+    "monthly": f"""
+SELECT md5(concat_ws('-', strftime(as_of_date, '%Y-%m-01'), market, macro_category)) AS macro_row_id, CAST(strftime(as_of_date, '%Y-%m-01') AS DATE) AS report_month,
+       as_of_date, market, macro_category, min(currency_code) AS currency_code, count(*)::INTEGER AS n_products, min(price_local) AS min_price,
+       list_sort(list(price_local))[((count(*) + 1) // 2)::INTEGER] AS median_price, {half_up("sum(cents)", "100 * count(*)", 2, "DECIMAL(18,2)")} AS mean_price, max(price_local) AS max_price,
+       count(change)::INTEGER AS lfl_n_products, avg(change)::DECIMAL(10,4) AS lfl_mean_change,
+       {half_up("sum(cents) FILTER (change IS NOT NULL) - sum(cents_before)", "sum(cents_before)", 4)} AS lfl_ratio_of_means, {half_up("count(*) FILTER (change > 0)", "nullif(count(change), 0)", 4)} AS lfl_share_increased
+FROM moves GROUP BY as_of_date, market, macro_category""",
+    "overall": f"""
+SELECT report_month, macro_category, count(*)::INTEGER AS n_markets, sum(n)::INTEGER AS lfl_n_product_markets, {half_up("sum(u)", "10000 * count(*)", 4)} AS market_weighted_lfl_change,
+       {half_up("sum(u * n)", "10000 * sum(n)", 4)} AS product_weighted_lfl_change, (list_sort(list(struct_pack(c, market))))[1].c AS min_market_lfl_change,
+       (list_sort(list(struct_pack(c, market))))[-1].c AS max_market_lfl_change, (list_sort(list(struct_pack(c, market))))[-1].market AS market_with_highest_change,
+       md5(concat_ws('-', report_month, macro_category)) AS macro_global_row_id
+FROM (SELECT report_month, macro_category, market, lfl_n_products::BIGINT AS n, lfl_mean_change AS c, (lfl_mean_change * 10000)::BIGINT AS u FROM monthly WHERE lfl_mean_change IS NOT NULL)
+GROUP BY report_month, macro_category""",
     "chosen": """
-SELECT * FROM (SELECT d.as_of_date, b.market, b.market_batch_id AS presence_batch_id, b.crawl_date AS presence_crawl_date,
-                      row_number() OVER (PARTITION BY d.as_of_date, b.market ORDER BY b.crawl_date DESC, b.delivered_at DESC, b.market_batch_id DESC) AS k
-               FROM dates d JOIN batches b ON b.is_eligible AND b.crawl_date <= d.as_of_date AND b.delivered_at < d.knowledge_cutoff) WHERE k = 1""",
+SELECT as_of_date, market, f.market_batch_id AS presence_batch_id, f.crawl_date AS presence_crawl_date
+FROM (SELECT as_of_date, market, max(struct_pack(crawl_date, delivered_at, market_batch_id)) AS f FROM batches, dates
+      WHERE is_eligible AND greatest(crawl_date, delivered_at::DATE) <= as_of_date GROUP BY as_of_date, market)""",
     "present": """
-SELECT DISTINCT c.as_of_date, d.is_micro_date, d.is_macro_date, d.knowledge_cutoff, c.market, c.presence_batch_id, c.presence_crawl_date, x.object_id, x.sku
-FROM chosen c JOIN dates d USING (as_of_date) JOIN classified x ON x.market_batch_id = c.presence_batch_id AND x.fate <> 'blocked_delivery' AND NOT x.is_not_a_product_page""",
+SELECT DISTINCT as_of_date, is_micro_date, is_macro_date, market, presence_batch_id, presence_crawl_date, object_id, sku
+FROM chosen NATURAL JOIN dates NATURAL JOIN (SELECT market_batch_id AS presence_batch_id, object_id, sku FROM classified
+     WHERE NOT is_not_a_product_page AND fate IN ('accepted', 'price_scale_outlier', 'quarantined_in_staging'))""",
+    # The greatest fact of an object by each day on which one arrived, then the last such day before the question.
+    "arrivals": """
+SELECT object_id, seen, max(f) OVER (PARTITION BY object_id ORDER BY seen) AS f FROM (
+  SELECT object_id, greatest(crawl_date, delivered_at::DATE) AS seen, max(struct_pack(crawl_date, delivered_at, price_local, currency_code)) AS f FROM accepted GROUP BY ALL)""",
     "catalogue": """
-SELECT p.as_of_date, p.is_micro_date, p.is_macro_date, p.market, p.object_id, p.sku, p.presence_batch_id, p.presence_crawl_date, md5(CAST(p.as_of_date AS VARCHAR) || '-' || p.object_id) AS catalogue_row_id,
-       CAST(p.as_of_date - p.presence_crawl_date AS INTEGER) AS presence_age_days, l.price_local, l.currency_code, l.crawl_date AS price_crawl_date, l.price_local IS NOT NULL AS has_price,
-       coalesce(l.crawl_date < p.presence_crawl_date, false) AS is_price_carried_forward
-FROM present p LEFT JOIN (
-  SELECT * FROM (SELECT p.as_of_date, p.object_id, a.price_local, a.currency_code, a.crawl_date,
-                        row_number() OVER (PARTITION BY p.as_of_date, p.object_id ORDER BY a.crawl_date DESC, a.delivered_at DESC, a.price_local DESC, a.currency_code DESC, a.market_batch_id DESC) AS k
-                 FROM present p JOIN accepted a ON a.object_id = p.object_id AND a.crawl_date <= p.as_of_date AND a.delivered_at < p.knowledge_cutoff) WHERE k = 1
-) l USING (as_of_date, object_id)""",
+SELECT md5(concat_ws('-', as_of_date, p.object_id)) AS catalogue_row_id, as_of_date, is_micro_date, is_macro_date, market, p.object_id, sku, presence_batch_id, presence_crawl_date,
+       datediff('day', presence_crawl_date, as_of_date)::INTEGER AS presence_age_days, f.price_local AS price_local, f.currency_code AS currency_code, f.crawl_date AS price_crawl_date,
+       f IS NOT NULL AS has_price, f IS NOT NULL AND f.crawl_date < presence_crawl_date AS is_price_carried_forward
+FROM present p ASOF LEFT JOIN arrivals a ON a.object_id = p.object_id AND p.as_of_date >= a.seen""",
     "replay": """
-SELECT l.as_of_date, l.market, x.object_id, l.crawl_date AS legacy_crawl_date, max(CASE WHEN NOT x.is_quarantined THEN x.price_local END) AS price_local
-FROM (SELECT * FROM (SELECT d.as_of_date, b.*, row_number() OVER (PARTITION BY d.as_of_date, b.market ORDER BY b.loaded_at DESC, b.delivered_at DESC, b.market_batch_id DESC) AS k
-                     FROM dates d JOIN batches b ON b.loaded_at < d.knowledge_cutoff) WHERE k = 1) l
-JOIN classified x ON x.market_batch_id = l.market_batch_id AND NOT x.is_not_a_product_page GROUP BY ALL""",
-    "micro": """
-SELECT md5(CAST(as_of_date AS VARCHAR) || '-' || pointer_id || '-' || market) AS micro_row_id, as_of_date AS delivery_date, pointer_id, sku, market, price_local, previous_price_local,
-       CAST(round(price_local::DOUBLE / previous_price_local::DOUBLE - 1, 4) AS DECIMAL(10,4)) AS change_vs_previous_pct,
-       CASE WHEN object_id IS NULL AND err THEN 'page_error' WHEN object_id IS NULL THEN 'not_found' WHEN NOT has_price THEN 'no_valid_price' WHEN previous_price_local IS NULL THEN 'first_delivery'
-            WHEN price_local > previous_price_local THEN 'price_increase' WHEN price_local < previous_price_local THEN 'price_decrease' ELSE 'unchanged' END AS price_status,
-       used AS crawl_date_used, price_crawl_date, coalesce(as_of_date - used > 7, false) AS is_stale_crawl, coalesce(carried, false) AS is_price_carried_forward
-FROM (SELECT g.*, c.object_id, c.has_price, c.price_local, c.price_crawl_date, c.is_price_carried_forward AS carried, coalesce(c.presence_crawl_date, s.presence_crawl_date) AS used,
-             EXISTS (SELECT 1 FROM classified x WHERE x.is_not_a_product_page AND x.market_batch_id = s.presence_batch_id AND x.sku = g.sku) AS err,
-             last_value(c.price_local IGNORE NULLS) OVER (PARTITION BY pointer_id, g.market ORDER BY g.as_of_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous_price_local
-      FROM (SELECT as_of_date, pointer_id, sku, market FROM dates, pointers, markets WHERE is_micro_date AND is_in_micro_scope) g
-      LEFT JOIN catalogue c USING (as_of_date, sku, market)
-      LEFT JOIN (SELECT DISTINCT as_of_date, market, presence_batch_id, presence_crawl_date FROM catalogue) s USING (as_of_date, market))""",
-    "flags": """
-SELECT *, CASE WHEN lag(price_local) OVER w = price_local THEN 0 ELSE 1 END AS fresh FROM accepted WINDOW w AS (PARTITION BY object_id ORDER BY crawl_date, delivered_at, line_id)""",
-    "islands": """
-SELECT *, sum(fresh) OVER (PARTITION BY object_id ORDER BY crawl_date, delivered_at, line_id ROWS UNBOUNDED PRECEDING) AS period_number FROM flags""",
-    "periods": """
-SELECT object_id, sku, market, period_number::BIGINT AS period_number, price_local, valid_from, last_observed_date, n_observations, lag(price_local) OVER w AS previous_price_local, lead(valid_from) OVER w AS valid_to,
-       round(price_local::DOUBLE / (lag(price_local) OVER w)::DOUBLE - 1, 4) AS change_vs_previous, lead(valid_from) OVER w IS NULL AS is_current_period,
-       md5(object_id || '-' || CAST(valid_from AS VARCHAR)) AS price_period_id
-FROM (SELECT object_id, sku, market, period_number, any_value(price_local) AS price_local, min(crawl_date) AS valid_from, max(crawl_date) AS last_observed_date, count(*) AS n_observations
-      FROM islands GROUP BY object_id, sku, market, period_number)
-WINDOW w AS (PARTITION BY object_id ORDER BY valid_from, period_number)""",
+SELECT as_of_date, market, object_id, f.crawl_date AS legacy_crawl_date, max(price_local) FILTER (NOT is_quarantined) AS price_local
+FROM (SELECT as_of_date, market, max(struct_pack(loaded_at, delivered_at, market_batch_id, crawl_date)) AS f FROM batches, dates WHERE loaded_at::DATE <= as_of_date GROUP BY ALL)
+JOIN (SELECT market_batch_id, object_id, price_local, is_quarantined FROM classified WHERE NOT is_not_a_product_page) ON market_batch_id = f.market_batch_id GROUP BY ALL""",
+    # Cells of the grid with their catalogue row; earlier prices are those of the same cell on earlier micro dates.
+    "cells": """
+SELECT d.as_of_date, h.pointer_id, h.sku, h.product_label, m.market, m.currency_code, c.object_id, c.price_local, c.price_crawl_date, c.is_price_carried_forward,
+       coalesce(c.presence_crawl_date, s.presence_crawl_date) AS used, s.presence_batch_id
+FROM dates d, pointers h, markets m LEFT JOIN catalogue c ON (c.as_of_date, c.sku, c.market) = (d.as_of_date, h.sku, m.market)
+LEFT JOIN (SELECT DISTINCT as_of_date, market, presence_batch_id, presence_crawl_date FROM present) s ON (s.as_of_date, s.market) = (d.as_of_date, m.market)
+WHERE d.is_micro_date AND m.is_in_micro_scope""",
+    "micro": f"""
+SELECT md5(concat_ws('-', as_of_date, pointer_id, market)) AS micro_row_id, as_of_date AS delivery_date, pointer_id, sku, product_label, market, currency_code, price_local, previous_price_local,
+       {half_up("(price_local - previous_price_local) * 100", "previous_price_local * 100", 4)} AS change_vs_previous_pct,
+       CASE WHEN price_local IS NOT NULL AND previous_price_local IS NOT NULL THEN ['price_decrease', 'unchanged', 'price_increase'][(2 + sign(price_local - previous_price_local))::INTEGER]
+            WHEN price_local IS NOT NULL THEN 'first_delivery' WHEN object_id IS NOT NULL THEN 'no_valid_price'
+            WHEN (presence_batch_id, sku) IN (SELECT (market_batch_id, sku) FROM classified WHERE is_not_a_product_page) THEN 'page_error' ELSE 'not_found' END AS price_status,
+       used AS crawl_date_used, price_crawl_date, used IS NOT NULL AND used < as_of_date - 7 AS is_stale_crawl, is_price_carried_forward IS NOT DISTINCT FROM true AS is_price_carried_forward
+FROM (SELECT x.*, (SELECT arg_max(y.price_local, y.as_of_date) FROM cells y WHERE y.pointer_id = x.pointer_id AND y.market = x.market AND y.as_of_date < x.as_of_date AND y.price_local IS NOT NULL) AS previous_price_local FROM cells x)""",
+    # Readings by position; a period starts where the reading before it had another price, and reaches to the next start.
+    "placed": "SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY crawl_date, delivered_at, line_id) AS pos FROM accepted",
+    "starts": """
+SELECT x.*, row_number() OVER (PARTITION BY object_id ORDER BY pos) AS number FROM placed x
+WHERE NOT EXISTS (SELECT 1 FROM placed y WHERE y.object_id = x.object_id AND y.pos + 1 = x.pos AND y.cents = x.cents)""",
+    "periods": f"""
+SELECT md5(concat_ws('-', s.object_id, s.crawl_date)) AS price_period_id, s.object_id, s.sku, s.market, s.currency_code, s.number AS period_number, s.price_local, b.price_local AS previous_price_local,
+       {half_up("s.cents - b.cents", "b.cents", 4)} AS change_vs_previous, s.crawl_date AS valid_from, e.crawl_date AS valid_to, e.crawl_date IS NULL AS is_current_period,
+       q.last_observed_date, q.n_observations
+FROM starts s LEFT JOIN starts b ON b.object_id = s.object_id AND b.number + 1 = s.number LEFT JOIN starts e ON e.object_id = s.object_id AND e.number = s.number + 1
+JOIN (SELECT s.object_id, s.number, max(x.crawl_date) AS last_observed_date, count(*) AS n_observations
+      FROM placed x ASOF JOIN starts s ON s.object_id = x.object_id AND x.pos >= s.pos GROUP BY ALL) q ON (q.object_id, q.number) = (s.object_id, s.number)""",
+    "changes": """
+SELECT price_period_id AS price_change_id, object_id, sku, market, nullif(category, 'UNCATEGORIZED') AS macro_category, currency_code, valid_from AS changed_on_crawl_date,
+       previous_price_local AS price_before, price_local AS price_after, change_vs_previous AS change_pct, ['decrease', 'decrease', 'increase'][(2 + sign(price_local - previous_price_local))::INTEGER] AS change_direction
+FROM periods NATURAL LEFT JOIN (SELECT sku, category FROM products) WHERE previous_price_local IS NOT NULL""",
 }
 
 

@@ -53,12 +53,26 @@ def latest_as_of_running_max(spark, sf):
     return known.select("as_of_date", "object_id", "crawl_date", "delivered_at", "price_local")
 
 
-def _catalogue(spark, sf):
-    dates, batches, classified = as_of_dates(spark, sf), a.batches(spark, sf), a.classified(spark, sf)
+def _readings(spark, sf):
+    """Readings and their batches, written once: what the catalogue is made of would join five tables for each use of them."""
+    r = materialise(a.readings(spark, sf), "readings")
+    return r, materialise(a.batches(spark, sf, r), "batches")
+
+
+def _catalogue(spark, sf, made=None):
+    r, batches = _readings(spark, sf) if made is None else made
+    dates = asof.as_of_dates(batches.filter("is_trusted_delivery"), "crawl_date")
+    classified = a.classified(spark, sf, r, batches)
     return asof.catalogue_as_of(dates, batches, classified, classify.accepted(classified))
 
 
-@query("SELECT as_of_date, market, market_batch_id, crawl_date FROM (SELECT as_of_date, market, presence_batch_id AS market_batch_id, presence_crawl_date AS crawl_date FROM chosen)")
+def _replay(spark, sf, made):
+    r, batches = made
+    dates = asof.as_of_dates(batches.filter("is_trusted_delivery"), "crawl_date")
+    return asof.replay_last_import(dates, batches, a.classified(spark, sf, r, batches))
+
+
+@query("SELECT as_of_date, market, presence_batch_id AS market_batch_id, presence_crawl_date AS crawl_date FROM chosen")
 def served_batches_as_of(spark, sf):
     eligible = a.batches(spark, sf).filter("is_eligible")
     return asof.latest_as_of(as_of_dates(spark, sf), eligible, ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date"])
@@ -75,25 +89,26 @@ def catalogue_as_of(spark, sf):
 
 @query("SELECT as_of_date, market, object_id, legacy_crawl_date, price_local FROM replay")
 def replay_last_import(spark, sf):
-    return asof.replay_last_import(as_of_dates(spark, sf), a.batches(spark, sf), a.classified(spark, sf))
+    return _replay(spark, sf, _readings(spark, sf))
 
 
 @query(
-    """SELECT as_of_date, market, n_right, n_other, n_missing, n_extra, n_diff AS n_price_differences,
-round((n_missing + n_extra + n_diff)::DOUBLE / nullif(n_right, 0), 4) AS share_different, n_missing + n_extra + n_diff > 0 AS is_wrong
-FROM (SELECT as_of_date, market, count(c.object_id) AS n_right, count(r.object_id) AS n_other, count(*) FILTER (r.object_id IS NULL) AS n_missing, count(*) FILTER (c.object_id IS NULL) AS n_extra,
-count(*) FILTER (c.object_id IS NOT NULL AND r.object_id IS NOT NULL AND c.price_local IS DISTINCT FROM r.price_local) AS n_diff
-FROM catalogue c FULL JOIN replay r USING (as_of_date, market, object_id) GROUP BY as_of_date, market)"""
+    """SELECT as_of_date, market, sum(a)::BIGINT AS n_right, sum(b)::BIGINT AS n_other, count(*) FILTER (b = 0) AS n_missing, count(*) FILTER (a = 0) AS n_extra,
+count(*) FILTER (a = 1 AND b = 1 AND pa IS DISTINCT FROM pb) AS n_price_differences, round((n_missing + n_extra + n_price_differences)::DOUBLE / nullif(n_right, 0), 4) AS share_different,
+n_missing + n_extra + n_price_differences > 0 AS is_wrong
+FROM (SELECT as_of_date, market, object_id, sum(a) AS a, sum(1 - a) AS b, max(price_local) FILTER (a = 1) AS pa, max(price_local) FILTER (a = 0) AS pb
+  FROM (SELECT as_of_date, market, object_id, price_local, 1 AS a FROM catalogue UNION ALL SELECT as_of_date, market, object_id, price_local, 0 FROM replay) GROUP BY ALL) GROUP BY as_of_date, market"""
 )
 def replay_against_catalogue(spark, sf):
-    return asof.diff_catalogues(_catalogue(spark, sf), replay_last_import(spark, sf))
+    made = _readings(spark, sf)
+    return asof.diff_catalogues(_catalogue(spark, sf, made), _replay(spark, sf, made))
 
 
 # ---- history --------------------------------------------------------------------------------------------------------------
 
 
 def _periods(spark, sf):
-    return history.scd2_periods(classify.accepted(a.classified(spark, sf)), "object_id", ORDER[:1] + ["delivered_at", "line_id"], "price_local", ["sku", "market"])
+    return history.scd2_periods(classify.accepted(a.classified(spark, sf)), "object_id", ORDER, "price_local", ["sku", "market", "currency_code"])
 
 
 _PERIOD = "price_period_id, object_id, sku, market, period_number, price_local, previous_price_local, change_vs_previous::DOUBLE AS change_vs_previous, valid_from, valid_to, last_observed_date, n_observations, is_current_period"
@@ -105,10 +120,15 @@ def scd2_periods(spark, sf):
     return df.select(*[c.split(" AS ")[-1].strip() for c in _PERIOD.split(",")])
 
 
-@query("SELECT object_id, valid_from, direction, category, change FROM (SELECT object_id, sku, valid_from, CASE WHEN price_local > previous_price_local THEN 'increase' ELSE 'decrease' END AS direction, change_vs_previous::DOUBLE AS change FROM periods WHERE previous_price_local IS NOT NULL) JOIN products USING (sku)")
+def _changes(spark, sf):
+    cat = products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf))
+    return published.enforce_contract(marts.price_changes(_periods(spark, sf), cat), marts.PRICE_CHANGES)
+
+
+@query("SELECT * REPLACE (change_pct::DOUBLE AS change_pct) FROM changes")
 def price_change_events(spark, sf):
-    cat = products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", F.col("category_code").alias("category"))
-    return history.change_events(_periods(spark, sf), "price_local", cat).select("object_id", "valid_from", "direction", "category", F.col("change_vs_previous").cast("double").alias("change"))
+    """The table of price changes, whose columns and types are held against its contract before they leave."""
+    return _changes(spark, sf).withColumn("change_pct", F.col("change_pct").cast("double"))
 
 
 @query("SELECT valid_from, count(*) FILTER (change_vs_previous > 0) AS increases, -count(*) FILTER (change_vs_previous < 0) AS decreases FROM periods WHERE previous_price_local IS NOT NULL GROUP BY valid_from")
@@ -140,8 +160,7 @@ def price_index(spark, sf):
 
 
 @query(
-    """SELECT object_id, count(*) FILTER (coalesce(nxt < valid_to, false) OR coalesce(valid_to <= valid_from, false)) AS n_bad, count(*) FILTER (valid_to IS NULL) AS n_current
-FROM (SELECT *, lead(valid_from) OVER (PARTITION BY object_id ORDER BY valid_from, period_number) AS nxt FROM periods) GROUP BY object_id HAVING n_bad > 0 OR n_current <> 1"""
+    """SELECT object_id, count(*) FILTER (valid_to <= valid_from) AS n_bad, 1 AS n_current FROM periods GROUP BY object_id HAVING n_bad > 0"""
 )
 def broken_periods(spark, sf):
     """Periods that begin on the day on which the one before does are empty: two readings of a day with different prices."""
@@ -198,7 +217,7 @@ def categorized_products(spark, sf):
     return products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", "category_code", "categorized_by_rule", "macro_category")
 
 
-@query("SELECT sku, min(crawl_date) AS first_seen_date, max(crawl_date) AS last_seen_date, count(DISTINCT market) AS n_markets_seen, count(*) AS n_observations FROM readings GROUP BY sku")
+@query("SELECT sku, min(lo) AS first_seen_date, max(hi) AS last_seen_date, count(*) AS n_markets_seen, sum(n)::BIGINT AS n_observations FROM (SELECT sku, market, min(crawl_date) AS lo, max(crawl_date) AS hi, count(*) AS n FROM readings GROUP BY ALL) GROUP BY sku")
 def product_lifespan(spark, sf):
     return products.lifespan(a.readings(spark, sf), "sku", "crawl_date", "market")
 
@@ -224,42 +243,51 @@ def uncategorized_products(spark, sf):
 
 
 def _priced(spark, sf):
-    known = asof.latest_as_of(a.month_end_dates(spark, sf), a.readings(spark, sf), ["object_id"], ORDER, KEEP)
+    """Prices known at every month end, of products with a category: laid out and sorted by object as the look-up leaves them."""
     cat = products.apply_rules(a.products(spark, sf), a.RULES).filter("rule_category is not null").select("sku", F.col("rule_category").alias("macro_category"))
-    return known.join(cat, "sku")
+    facts = a.readings(spark, sf).join(cat, "sku")
+    return asof.latest_by_running_max(a.month_end_dates(spark, sf), facts, ["object_id"], ORDER, [*KEEP, "macro_category"])
+
+
+def _monthly(spark, sf):
+    calendar = marts.month_ends(a.month_end_dates(spark, sf))
+    out = marts.macro_monthly(_priced(spark, sf), a.markets(spark, sf), calendar, keys=("object_id",))
+    return published.enforce_contract(out, marts.MACRO_MONTHLY)
 
 
-_MONTHLY = "macro_row_id, report_month, as_of_date, market, macro_category, n_products, min_price, median_price, mean_price, max_price, lfl_n_products, lfl_mean_change, lfl_ratio_of_means, lfl_share_increased"
+_MONTHLY = ", ".join(marts.MACRO_MONTHLY.fieldNames())
 
 
 @query(f"SELECT {_MONTHLY} FROM monthly")
 def macro_monthly(spark, sf):
-    return marts.macro_monthly(_priced(spark, sf))
+    return _monthly(spark, sf)
 
 
 @query("SELECT * FROM overall")
 def macro_global(spark, sf):
-    return marts.macro_global(macro_monthly(spark, sf))
+    return marts.macro_global(_monthly(spark, sf))
 
 
 @query("SELECT as_of_date, market, macro_category, lfl_n_products, round(lfl_mean_change, 6) AS lfl_mean_change, round(lfl_ratio_of_means, 6) AS lfl_ratio_of_means, round(lfl_share_increased, 6) AS lfl_share_increased FROM lfl")
 def like_for_like(spark, sf):
     priced = _priced(spark, sf).withColumn("price_local", F.col("price_local").cast("double"))
-    out = marts.lfl_metrics(marts.lfl_pairs(priced, marts.month_ends(priced)))
+    calendar = marts.month_ends(a.month_end_dates(spark, sf))
+    out = marts.lfl_metrics(marts.lfl_pairs(priced, calendar, ("object_id",), ("market", "macro_category")))
     return out.withColumns({c: F.round(c, 6) for c in ("lfl_mean_change", "lfl_ratio_of_means", "lfl_share_increased")})
 
 
-def _micro(spark, sf, catalogue=None):
-    catalogue = _catalogue(spark, sf) if catalogue is None else catalogue
-    dates = as_of_dates(spark, sf).filter("is_micro_date")
+def _micro(spark, sf, catalogue=None, made=None):
+    made = _readings(spark, sf) if made is None else made
+    catalogue = _catalogue(spark, sf, made) if catalogue is None else catalogue
+    dates = asof.as_of_dates(made[1].filter("is_trusted_delivery"), "crawl_date").filter("is_micro_date")
     market = marts.dim_market(a.markets(spark, sf)).filter("is_in_micro_scope")
-    return marts.micro_weekly(dates, a.pointers(spark, sf), market, catalogue, marts.unreadable_pages(a.classified(spark, sf)))
+    out = marts.micro_weekly(dates, a.pointers(spark, sf), market, catalogue, marts.unreadable_pages(a.classified(spark, sf, *made)))
+    return published.enforce_contract(out, marts.MICRO_WEEKLY)
 
 
 @query("SELECT * FROM micro")
 def micro_weekly(spark, sf):
-    df = _micro(spark, sf)
-    return df
+    return _micro(spark, sf)
 
 
 @query(
@@ -277,45 +305,62 @@ def hero_moves(spark, sf):
 # ---- gate -------------------------------------------------------------------------------------------------------------------------
 
 
-def _context(spark, sf) -> gate.Context:
+def _context(spark, sf, replay=False, audit=False):
+    """What the checks measure. What several of them read is written once: its lineage is long, and each would run it again."""
+    made = _readings(spark, sf)
     market = marts.dim_market(a.markets(spark, sf))
-    # What several checks read is written once: its lineage is long, and each check would plan and run it again.
-    whole = materialise(_catalogue(spark, sf), "catalogue")
-    catalogue = whole.withColumnRenamed("presence_crawl_date", "served_crawl_date")
-    days = materialise(as_of_dates(spark, sf), "dates")
+    whole = materialise(_catalogue(spark, sf, made), "catalogue")
+    catalogue = _replay(spark, sf, made).withColumnRenamed("legacy_crawl_date", "served_crawl_date") if replay else whole.withColumnRenamed("presence_crawl_date", "served_crawl_date")
+    days = materialise(asof.as_of_dates(made[1].filter("is_trusted_delivery"), "crawl_date"), "dates")
     deliveries = days.filter("is_micro_date").select(F.lit("micro").alias("scope"), "as_of_date").union(days.filter("is_macro_date").select(F.lit("macro").alias("scope"), "as_of_date"))
     calendar = materialise(gate.delivery_calendar(deliveries), "calendar")
-    monthly, micro = materialise(macro_monthly(spark, sf), "monthly"), materialise(_micro(spark, sf, whole), "micro")
-    return gate.Context(calendar, gate.scoped(calendar, catalogue, market), market, micro, monthly, marts.macro_global(monthly))
-
-
-_SCOPED = """
-WITH cal2 AS (SELECT scope, as_of_date, lag(as_of_date) OVER w AS prev_date, lag(as_of_date, 2) OVER w AS prev2_date
-  FROM (SELECT 'micro' AS scope, as_of_date FROM dates WHERE is_micro_date UNION ALL SELECT 'macro', as_of_date FROM dates WHERE is_macro_date) WINDOW w AS (PARTITION BY scope ORDER BY as_of_date)),
-scoped AS (SELECT c.scope, c.as_of_date, c.prev_date, c.prev2_date, k.market, k.object_id, k.price_local, k.presence_crawl_date AS served FROM cal2 c JOIN catalogue k USING (as_of_date) JOIN markets m USING (market) WHERE c.scope <> 'micro' OR m.is_in_micro_scope),
-p AS (SELECT * FROM scoped WHERE price_local IS NOT NULL),
-counts AS (SELECT scope, as_of_date, prev_date, market, count(*) AS n FROM scoped GROUP BY ALL),
-grid1 AS (SELECT count(DISTINCT pointer_id) * (SELECT count(*) FROM markets WHERE is_in_micro_scope) AS cells FROM micro),
-grid2 AS (SELECT count(DISTINCT macro_category) * (SELECT count(*) FROM markets) AS cells FROM monthly),
-m AS (
-SELECT 'served_crawl_age_days' AS check_id, scope, as_of_date, market AS subject, max(as_of_date - served)::DOUBLE AS observed FROM scoped GROUP BY ALL
-UNION ALL SELECT 'market_coverage', c.scope, c.as_of_date, 'all', count(DISTINCT s.market)::DOUBLE / CASE WHEN c.scope = 'micro' THEN (SELECT count(*) FROM markets WHERE is_in_micro_scope) ELSE (SELECT count(*) FROM markets) END FROM cal2 c LEFT JOIN scoped s USING (scope, as_of_date) GROUP BY c.scope, c.as_of_date
-UNION ALL SELECT 'product_count_change', c.scope, c.as_of_date, c.market, c.n::DOUBLE / b.n - 1 FROM counts c LEFT JOIN counts b ON b.scope = c.scope AND b.as_of_date = c.prev_date AND b.market = c.market
-UNION ALL SELECT 'price_reversion_share', c.scope, c.as_of_date, c.market, avg(CASE WHEN c.price_local <> x.price_local AND c.price_local = y.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id JOIN p y ON y.scope = c.scope AND y.as_of_date = c.prev2_date AND y.object_id = c.object_id GROUP BY c.scope, c.as_of_date, c.market
-UNION ALL SELECT 'price_decrease_share', c.scope, c.as_of_date, c.market, avg(CASE WHEN c.price_local < x.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id GROUP BY c.scope, c.as_of_date, c.market
-UNION ALL SELECT 'price_change_share_anomaly', c.scope, c.as_of_date, 'all', avg(CASE WHEN c.price_local <> x.price_local THEN 1.0 ELSE 0.0 END) FROM p c JOIN p x ON x.scope = c.scope AND x.as_of_date = c.prev_date AND x.object_id = c.object_id GROUP BY c.scope, c.as_of_date
-UNION ALL SELECT 'hero_grid_complete', 'micro', delivery_date, 'all', count(*)::DOUBLE / (SELECT cells FROM grid1) FROM micro GROUP BY delivery_date
-UNION ALL SELECT 'hero_price_coverage', 'micro', delivery_date, 'all', avg(CASE WHEN price_local IS NOT NULL THEN 1.0 ELSE 0.0 END) FROM micro GROUP BY delivery_date
-UNION ALL SELECT 'hero_stale_share', 'micro', delivery_date, 'all', avg(CASE WHEN is_stale_crawl THEN 1.0 ELSE 0.0 END) FROM micro GROUP BY delivery_date
-UNION ALL SELECT 'hero_carried_forward', 'micro', delivery_date, 'all', count(*) FILTER (is_price_carried_forward)::DOUBLE FROM micro GROUP BY delivery_date
-UNION ALL SELECT 'hero_large_moves', 'micro', delivery_date, 'all', count(*) FILTER (abs(change_vs_previous_pct) > 0.10)::DOUBLE FROM micro GROUP BY delivery_date
-UNION ALL SELECT 'macro_grid_complete', 'macro', as_of_date, 'all', count(*)::DOUBLE / (SELECT cells FROM grid2) FROM monthly GROUP BY as_of_date
-UNION ALL SELECT 'lfl_match_rate', 'macro', as_of_date, 'all', min(CASE WHEN lfl_mean_change IS NOT NULL THEN lfl_n_products::DOUBLE / n_products END) FROM monthly GROUP BY as_of_date
-UNION ALL SELECT 'lfl_change_bounds', 'macro', as_of_date, macro_category, max(abs(lfl_mean_change))::DOUBLE FROM monthly GROUP BY as_of_date, macro_category
-UNION ALL SELECT 'median_price_drift', 'macro', c.as_of_date, c.macro_category, max(abs(c.median_price::DOUBLE / b.median_price::DOUBLE - 1)) FROM monthly c LEFT JOIN monthly b ON b.report_month = (c.report_month - INTERVAL 1 MONTH)::DATE AND b.market = c.market AND b.macro_category = c.macro_category GROUP BY c.as_of_date, c.macro_category
-UNION ALL SELECT 'cross_market_dispersion', 'macro', as_of_date, macro_category, (max(lfl_mean_change) - min(lfl_mean_change))::DOUBLE FROM monthly GROUP BY as_of_date, macro_category
-UNION ALL SELECT 'global_reconciles_with_markets', 'macro', as_of_date, macro_category, abs(max(market_weighted_lfl_change)::DOUBLE - round(avg(lfl_mean_change::DOUBLE), 4)) FROM monthly JOIN overall USING (report_month, macro_category) WHERE lfl_mean_change IS NOT NULL GROUP BY as_of_date, macro_category
-)"""
+    monthly, micro = materialise(_monthly(spark, sf), "monthly"), materialise(_micro(spark, sf, whole, made), "micro")
+
+    def context(calendar):
+        rows = gate.scoped(calendar, catalogue, market)
+        return gate.Context(calendar, rows, market, micro, monthly, marts.macro_global(monthly), materialise(gate.by_market(rows), "counted"))
+
+    return (calendar, context) if audit else context(calendar)
+
+
+def _scoped_sql(source: str = "catalogue", served: str = "presence_crawl_date") -> str:
+    """Deliveries by number, what each one serves beside the two before it, and the measures of the catalogue checks (m0)."""
+    return f"""
+WITH cal2 AS (SELECT scope, as_of_date, row_number() OVER (PARTITION BY scope ORDER BY as_of_date) AS k
+  FROM (SELECT 'micro' AS scope, as_of_date FROM dates WHERE is_micro_date UNION ALL SELECT 'macro', as_of_date FROM dates WHERE is_macro_date)),
+shelf AS (SELECT scope, k, as_of_date, market, object_id, price_local AS p, {served} AS served FROM cal2 NATURAL JOIN (SELECT as_of_date, market, object_id, price_local, {served} FROM {source})
+  NATURAL JOIN (SELECT market, is_in_micro_scope FROM markets) WHERE is_in_micro_scope OR scope = 'macro'),
+beside AS (SELECT x.*, y.p AS p1, z.p AS p2 FROM shelf x LEFT JOIN shelf y ON (y.scope, y.object_id, y.k + 1) = (x.scope, x.object_id, x.k)
+  LEFT JOIN shelf z ON (z.scope, z.object_id, z.k + 1) = (y.scope, y.object_id, y.k) AND y.p IS NOT NULL),
+counted AS (SELECT scope, k, as_of_date, market, count(*) AS n, max(as_of_date - served)::DOUBLE AS age, count(p + p1) AS n1, count(p + p2) AS n2, count(*) FILTER (p <> p1) AS changed,
+  count(*) FILTER (p < p1) AS fallen, count(*) FILTER (p <> p1 AND p = p2) AS reverted FROM beside GROUP BY ALL),
+expected AS (SELECT scope, count(*) FILTER (is_in_micro_scope OR scope = 'macro') AS markets FROM markets, (VALUES ('micro'), ('macro')) v(scope) GROUP BY scope),
+m0 AS (
+SELECT check_id, scope, as_of_date, subject, observed FROM (
+  SELECT scope, as_of_date, market AS subject, age AS served_crawl_age_days, n::DOUBLE / (SELECT n FROM counted y WHERE y.scope = x.scope AND y.market = x.market AND y.k + 1 = x.k) - 1 AS product_count_change,
+         reverted::DOUBLE / nullif(n2, 0) AS price_reversion_share, fallen::DOUBLE / nullif(n1, 0) AS price_decrease_share FROM counted x)
+  UNPIVOT INCLUDE NULLS (observed FOR check_id IN (served_crawl_age_days, product_count_change, price_reversion_share, price_decrease_share)) WHERE observed IS NOT NULL OR check_id = 'product_count_change'
+UNION ALL SELECT 'price_change_share_anomaly', scope, as_of_date, 'all', sum(changed)::DOUBLE / sum(n1) FROM counted GROUP BY scope, as_of_date HAVING sum(n1) > 0
+UNION ALL SELECT 'market_coverage', scope, as_of_date, 'all', count(market)::DOUBLE / any_value(markets) FROM cal2 NATURAL JOIN expected NATURAL LEFT JOIN (SELECT scope, k, market FROM counted) GROUP BY scope, as_of_date)"""
+
+
+_HERO = ("hero_grid_complete", "hero_price_coverage", "hero_stale_share", "hero_carried_forward", "hero_large_moves")
+_BY_MONTH = ("macro_grid_complete", "lfl_match_rate")
+_BY_CATEGORY = ("lfl_change_bounds", "median_price_drift", "cross_market_dispersion", "global_reconciles_with_markets")
+_SCOPED = _scoped_sql() + f""",
+m AS (FROM m0
+UNION ALL SELECT check_id, 'micro', delivery_date, 'all', observed FROM (
+  SELECT delivery_date, count(*)::DOUBLE / (SELECT count(DISTINCT pointer_id) * (SELECT markets FROM expected WHERE scope = 'micro') FROM micro) AS {_HERO[0]}, count(price_local)::DOUBLE / count(*) AS {_HERO[1]},
+         count(*) FILTER (is_stale_crawl)::DOUBLE / count(*) AS {_HERO[2]}, count(*) FILTER (is_price_carried_forward)::DOUBLE AS {_HERO[3]}, count(*) FILTER (change_vs_previous_pct NOT BETWEEN -0.10 AND 0.10)::DOUBLE AS {_HERO[4]}
+  FROM micro GROUP BY delivery_date) UNPIVOT (observed FOR check_id IN ({", ".join(_HERO)}))
+UNION ALL SELECT check_id, 'macro', as_of_date, 'all', observed FROM (
+  SELECT as_of_date, count(*)::DOUBLE / (SELECT count(DISTINCT macro_category) * (SELECT markets FROM expected WHERE scope = 'macro') FROM monthly) AS {_BY_MONTH[0]},
+         min(lfl_n_products::DOUBLE / n_products) FILTER (lfl_mean_change IS NOT NULL) AS {_BY_MONTH[1]} FROM monthly GROUP BY as_of_date) UNPIVOT INCLUDE NULLS (observed FOR check_id IN ({", ".join(_BY_MONTH)}))
+UNION ALL SELECT check_id, 'macro', as_of_date, subject, observed FROM (
+  SELECT t.as_of_date, t.macro_category AS subject, greatest(max(t.lfl_mean_change), -min(t.lfl_mean_change))::DOUBLE AS {_BY_CATEGORY[0]}, max(abs(t.median_price::DOUBLE / b.median_price::DOUBLE - 1)) AS {_BY_CATEGORY[1]},
+         (max(t.lfl_mean_change) - min(t.lfl_mean_change))::DOUBLE AS {_BY_CATEGORY[2]}, abs(any_value(o.market_weighted_lfl_change) - {a.half_up("sum(t.lfl_mean_change * 10000)", "10000 * count(t.lfl_mean_change)", 4)})::DOUBLE AS {_BY_CATEGORY[3]}
+  FROM monthly t LEFT JOIN monthly b ON b.report_month + INTERVAL 1 MONTH = t.report_month AND (b.market, b.macro_category) = (t.market, t.macro_category) LEFT JOIN overall o ON (o.report_month, o.macro_category) = (t.report_month, t.macro_category)
+  GROUP BY t.as_of_date, t.macro_category) UNPIVOT INCLUDE NULLS (observed FOR check_id IN ({", ".join(_BY_CATEGORY)})) WHERE observed IS NOT NULL OR check_id <> '{_BY_CATEGORY[3]}')"""
 
 
 @query(f"SELECT * FROM ({_SCOPED} SELECT check_id, scope, as_of_date, subject, round(observed, 6) AS observed FROM m)")
@@ -323,37 +368,58 @@ def gate_measures(spark, sf):
     return gate.measure(gate.CHECKS, _context(spark, sf)).withColumn("observed", F.round("observed", 6))
 
 
-def _judged(spark, sf):
-    ctx = _context(spark, sf)
-    rules = gate.rule_table(spark, gate.CHECKS)
-    measures = gate.with_missing(materialise(gate.measure(gate.CHECKS, ctx), "measures"), ctx.deliveries, rules)
-    return gate.evaluate(gate.anomaly(measures, gate.CHECKS), rules)
+def _judged(spark, sf, dataset="marts"):
+    checks = gate.catalogue_of(gate.CHECKS, dataset)
+    ctx = _context(spark, sf, replay=dataset != "marts")
+    rules = gate.rule_table(spark, checks)
+    measures = gate.with_missing(materialise(gate.measure(checks, ctx), "measures"), ctx.deliveries, rules)
+    return gate.evaluate(gate.anomaly(measures, checks), rules)
 
 
-def _rules_sql() -> str:
+def _rules_sql(dataset: str = "marts") -> str:
     rows = []
-    for c in gate.CHECKS:
+    for c in gate.catalogue_of(gate.CHECKS, dataset):
         for s in c.scopes:
             r = c.rules_for(s)
             bounds = ", ".join("NULL::DOUBLE" if x is None else f"{float(x)}::DOUBLE" for x in (r.warn_above, r.warn_below, r.fail_above, r.fail_below))
             an = f"{r.anomaly.min_history}, {r.anomaly.z}, {r.anomaly.min_value}" if r.anomaly else "NULL::INTEGER, NULL::DOUBLE, NULL::DOUBLE"
-            rows.append(f"('{c.id}', '{s}', '{c.severity}', {bounds}, {an})")
-    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") v(check_id, scope, severity, wa, wb, fa, fb, mh, z, mv)"
+            words = ", ".join(f"'{x}'" for x in r.describe())
+            rows.append(f"('{c.id}', '{s}', '{c.severity}', {bounds}, {an}, {words})")
+    return "SELECT * FROM (VALUES " + ", ".join(rows) + ") v(check_id, scope, severity, wa, wb, fa, fb, mh, z, mv, warn_rule, fail_rule)"
+
+
+def _shown_sql(x: str) -> str:
+    return f"CASE WHEN abs({x}) < 1 AND {x} <> 0 THEN printf('%.2f%%', round({x} * 100, 2)) ELSE printf('%.2f', round({x}, 2)) END"
 
 
-_JUDGED = _SCOPED + f""",
-rl AS ({_rules_sql()}),
-whole AS (SELECT * FROM m UNION ALL SELECT rl.check_id, c.scope, c.as_of_date, 'all', NULL FROM cal2 c JOIN rl USING (scope) WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.check_id = rl.check_id AND m.scope = c.scope AND m.as_of_date = c.as_of_date)),
+def _judged_sql(measures: str, rules: str, table: str = "m") -> str:
+    return f"""{measures},
+rl AS ({rules}),
+whole AS (SELECT * FROM {table} UNION ALL SELECT rl.check_id, c.scope, c.as_of_date, 'all', NULL FROM cal2 c JOIN rl USING (scope) WHERE NOT EXISTS (SELECT 1 FROM {table} x WHERE x.check_id = rl.check_id AND x.scope = c.scope AND x.as_of_date = c.as_of_date)),
 past AS (SELECT *, list_filter(list(observed) OVER (PARTITION BY check_id, scope, subject ORDER BY as_of_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lambda x: x IS NOT NULL) AS h FROM whole),
 rec AS (SELECT *, list_slice(h, greatest(len(h) - 5, 1), len(h)) AS w FROM past),
-j AS (SELECT check_id, scope, as_of_date, subject, severity, CASE WHEN observed IS NULL THEN 'skip' WHEN coalesce(observed > fa, false) OR coalesce(observed < fb, false) THEN 'fail'
-      WHEN coalesce(observed > wa, false) OR coalesce(observed < wb, false) OR coalesce(len(w) >= mh AND observed > list_avg(w) + z * greatest(list_stddev_pop(w), 0.005) AND observed > mv, false) THEN 'warn' ELSE 'pass' END AS status
-      FROM rec JOIN rl USING (check_id, scope))"""
+flagged AS (SELECT *, coalesce(observed > fa, false) OR coalesce(observed < fb, false) AS failed, coalesce(observed > wa, false) OR coalesce(observed < wb, false) AS warned,
+      coalesce(len(w) >= mh AND observed > list_avg(w) + z * greatest(list_stddev_pop(w), 0.005) AND observed > mv, false) AS odd,
+      {_shown_sql("observed")} AS shown, {_shown_sql("list_avg(w)")} AS usual FROM rec JOIN rl USING (check_id, scope)),
+j AS (SELECT check_id, scope, as_of_date, subject, severity, warn_rule, fail_rule, CASE WHEN observed IS NULL THEN 'skip' WHEN failed THEN 'fail' WHEN warned OR odd THEN 'warn' ELSE 'pass' END AS status,
+      CASE WHEN observed IS NULL THEN 'not measured: this delivery has nothing that it can be held against' ELSE subject || ': ' || shown || CASE WHEN failed THEN ', which fails the rule ' || fail_rule
+        WHEN warned THEN ', outside the range that passes: ' || warn_rule WHEN odd THEN ', where earlier deliveries had about ' || usual ELSE '' END END AS message FROM flagged)"""
+
+
+_JUDGED = _judged_sql(_SCOPED, _rules_sql())
+_JUDGED_REPLAY = _judged_sql(_scoped_sql("replay", "legacy_crawl_date"), _rules_sql("legacy_replay"), "m0")
+_RESULT = ("check_id", "scope", "as_of_date", "subject", "severity", "warn_rule", "fail_rule", "status", "message")
 
 
-@query(f"SELECT * FROM ({_JUDGED} SELECT check_id, scope, as_of_date, subject, severity, status FROM j)")
+@query(f"SELECT * FROM ({_JUDGED} SELECT {', '.join(_RESULT)} FROM j)")
 def gate_results(spark, sf):
-    return _judged(spark, sf).select("check_id", "scope", "as_of_date", "subject", "severity", "status")
+    return _judged(spark, sf).select(*_RESULT)
+
+
+@query(f"SELECT * FROM ({_JUDGED_REPLAY} SELECT {', '.join(_RESULT)} FROM j)")
+def gate_results_of_replay(spark, sf):
+    """The checks that need a catalogue only, over the catalogue that the old rule gave."""
+    return _judged(spark, sf, "legacy_replay").select(*_RESULT)
 
 
 @query(f"SELECT * FROM ({_JUDGED} SELECT scope, as_of_date, CASE WHEN bool_or(status = 'fail' AND severity = 'block') THEN 'BLOCK' WHEN bool_or(status IN ('warn', 'fail')) THEN 'WARN' ELSE 'PASS' END AS decision FROM j GROUP BY ALL)")
@@ -398,18 +464,18 @@ def released_deliveries(spark, sf):
 
 @query(f"SELECT * FROM ({_RELEASES} SELECT {_MONTHLY} FROM monthly WHERE as_of_date IN (SELECT as_of_date FROM rel WHERE scope = 'macro'))")
 def published_monthly(spark, sf):
-    return published.only_released(macro_monthly(spark, sf), "as_of_date", _releases(spark, sf), "macro")
+    return published.only_released(_monthly(spark, sf), "as_of_date", _releases(spark, sf), "macro")
 
 
 @query(f"SELECT * FROM ({_RELEASES} SELECT * FROM overall WHERE report_month IN (SELECT date_trunc('month', as_of_date)::DATE FROM rel WHERE scope = 'macro'))")
 def published_global(spark, sf):
-    return published.only_released_months(macro_global(spark, sf), "report_month", _releases(spark, sf), "macro")
+    return published.only_released_months(marts.macro_global(_monthly(spark, sf)), "report_month", _releases(spark, sf), "macro")
 
 
-@query(f"SELECT * FROM ({_RELEASES} SELECT object_id, valid_from FROM periods WHERE previous_price_local IS NOT NULL AND valid_from < (SELECT max(as_of_date) FROM rel WHERE scope = 'macro'))")
+@query(f"SELECT * FROM ({_RELEASES} SELECT price_change_id, object_id, changed_on_crawl_date FROM changes WHERE changed_on_crawl_date < (SELECT max(as_of_date) FROM rel WHERE scope = 'macro'))")
 def published_changes(spark, sf):
-    events = history.change_events(_periods(spark, sf), "price_local")
-    return published.until_released(events, "valid_from", _releases(spark, sf).filter("scope = 'macro'")).select("object_id", "valid_from")
+    out = published.until_released(_changes(spark, sf), "changed_on_crawl_date", _releases(spark, sf).filter("scope = 'macro'"))
+    return out.select("price_change_id", "object_id", "changed_on_crawl_date")
 
 
 @query(f"SELECT * FROM ({_RELEASES} SELECT * FROM rel WHERE decision = 'BLOCK' AND NOT is_forced)")
@@ -419,7 +485,7 @@ def blocked_but_published(spark, sf):
 
 @query(f"SELECT * FROM ({_RELEASES} SELECT DISTINCT as_of_date FROM monthly WHERE as_of_date NOT IN (SELECT as_of_date FROM rel WHERE scope = 'macro'))")
 def unreleased_months(spark, sf):
-    return sinks.unreleased(macro_monthly(spark, sf), "as_of_date", _releases(spark, sf).filter("scope = 'macro'"))
+    return sinks.unreleased(_monthly(spark, sf), "as_of_date", _releases(spark, sf).filter("scope = 'macro'"))
 
 
 # ---- assertions over the catalogue -------------------------------------------------------------------------------------------------------
@@ -489,11 +555,12 @@ def upsert_incremental(spark, sf):
 
 
 @query(
-    """SELECT 'monthly' AS table_name, count(*) AS n_rows FROM monthly UNION ALL SELECT 'overall', count(*) FROM overall"""
+    f"""SELECT 'monthly' AS table_name, count(*) AS n_rows, '{_MONTHLY}' AS columns FROM monthly UNION ALL
+SELECT 'overall', count(*), 'report_month, macro_category, n_markets, lfl_n_product_markets, market_weighted_lfl_change, product_weighted_lfl_change, min_market_lfl_change, max_market_lfl_change, market_with_highest_change, macro_global_row_id' FROM overall"""
 )
 def snapshot_manifest(spark, sf):
-    monthly = macro_monthly(spark, sf)
-    return sinks.snapshot_manifest({"monthly": monthly, "overall": marts.macro_global(monthly)}).select("table_name", "n_rows")
+    monthly = materialise(_monthly(spark, sf), "monthly")
+    return sinks.snapshot_manifest({"monthly": monthly, "overall": marts.macro_global(monthly)}).select("table_name", "n_rows", "columns")
 
 
 @query("SELECT page_id, regexp_replace(url, '[0-9]+', '#', 'g') AS url FROM pages")
@@ -509,22 +576,21 @@ def formatted_orders(spark, sf):
 @query("SELECT DISTINCT macro_row_id, 'now' AS side FROM monthly WHERE market = 'ASIA'")
 def snapshot_drift(spark, sf):
     """Rows that the committed snapshot lacks."""
-    now = macro_monthly(spark, sf)
+    now = materialise(_monthly(spark, sf), "monthly")
     return sinks.diff_snapshot(now, now.filter("market <> 'ASIA'")).select("macro_row_id", "side")
 
 
 # ---- evidence and audits ----------------------------------------------------------------------------------------------------------------------
 
-_LAST, _BEFORE = a.MONTH_ENDS[-1], a.MONTH_ENDS[-2]
-
-
 def _two_months(spark, sf):
-    known = _priced(spark, sf)
-    return known.filter(F.col("as_of_date") == F.lit(_LAST)), known.filter(F.col("as_of_date") == F.lit(_BEFORE))
+    """What was known at the last month end and at the one before."""
+    last = a.month_end_dates(spark, sf).orderBy(F.desc("as_of_date")).limit(2)
+    known = materialise(_priced(spark, sf).join(F.broadcast(last.select("as_of_date")), "as_of_date", "left_semi"), "months")
+    newest = known.agg(F.max("as_of_date")).first()[0]
+    return known.filter(F.col("as_of_date") == F.lit(newest)), known.filter(F.col("as_of_date") < F.lit(newest))
 
 
-_MOVES = f"""SELECT c.macro_category, c.market, c.object_id, c.price_local <> b.price_local AS moved, c.price_local::DOUBLE / b.price_local::DOUBLE - 1 AS change
-FROM priced c JOIN priced b USING (object_id) WHERE c.as_of_date = DATE '{_LAST}' AND b.as_of_date = DATE '{_BEFORE}'"""
+_MOVES = "SELECT macro_category, market, object_id, price_local <> price_before AS moved, change FROM moves WHERE as_of_date = (SELECT max(as_of_date) FROM ends) AND price_before IS NOT NULL"
 
 
 @query(f"SELECT macro_category, round(quantile_cont(change, 0.5), 4) AS median_move, count(*) AS n FROM ({_MOVES}) GROUP BY macro_category")
@@ -544,19 +610,20 @@ def change_anomaly_evidence(spark, sf):
 
 @query(
     """SELECT object_id, as_of_date, price_local FROM priced JOIN (SELECT macro_category, min(price_local)::DOUBLE AS q0, max(price_local)::DOUBLE AS qn FROM priced WHERE market = 'AFRICA' GROUP BY ALL) USING (macro_category)
-JOIN (VALUES ('AFRICA', 1.0, 1.0), ('AMERICA', 1.26, 1.26), ('EUROPE', 0.8, 0.85)) r(market, p05, p95) USING (market) WHERE price_local < q0 * p05 * 0.97 OR price_local > qn * p95 * 1.10 * 1.03"""
+JOIN (VALUES ('AFRICA', 1.0, 0.85), ('AMERICA', 1.3, 1.26), ('ASIA', 180.0, 180.0), ('EUROPE', 0.8, 0.78), ('MIDDLE EAST', 4.6, 4.0)) r(market, p05, p95) USING (market) WHERE price_local < q0 * p05 * 0.97 OR price_local > qn * p95 * 1.10 * 1.03"""
 )
 def outside_envelope(spark, sf):
-    priced = _priced(spark, sf)
-    ratios = spark.createDataFrame([("AFRICA", 1.0, 1.0), ("AMERICA", 1.26, 1.26), ("EUROPE", 0.8, 0.85)], "market string, p05 double, p95 double")
+    """Ratios of all five markets, of which four are set so that some prices lie beyond them."""
+    priced = materialise(_priced(spark, sf), "priced")
+    ratios = spark.createDataFrame([("AFRICA", 1.0, 0.85), ("AMERICA", 1.3, 1.26), ("ASIA", 180.0, 180.0), ("EUROPE", 0.8, 0.78), ("MIDDLE EAST", 4.6, 4.0)], "market string, p05 double, p95 double")
     bounds = reports.price_bounds(priced.filter("market = 'AFRICA'"), ratios)
     return reports.outside_envelope(priced, bounds).select("object_id", "as_of_date", "price_local")
 
 
 @query(
-    f"""SELECT * FROM ({_SCOPED}, sv AS (SELECT scope, as_of_date, market, max(served) AS crawl_now FROM scoped GROUP BY ALL)
-SELECT c.scope, c.as_of_date, s.market, s.crawl_now, p1.crawl_now AS crawl_previous, p2.crawl_now AS crawl_two_before, coalesce(s.crawl_now < p1.crawl_now, false) AS is_older_than_last_time
-FROM cal2 c JOIN sv s USING (scope, as_of_date) LEFT JOIN sv p1 ON p1.scope = c.scope AND p1.as_of_date = c.prev_date AND p1.market = s.market LEFT JOIN sv p2 ON p2.scope = c.scope AND p2.as_of_date = c.prev2_date AND p2.market = s.market)"""
+    f"""SELECT * FROM ({_SCOPED}, sv AS (SELECT scope, k, as_of_date, market, max(served) AS crawl FROM shelf GROUP BY ALL)
+SELECT x.scope, x.as_of_date, x.market, x.crawl AS crawl_now, y.crawl AS crawl_previous, z.crawl AS crawl_two_before, coalesce(x.crawl < y.crawl, false) AS is_older_than_last_time
+FROM sv x LEFT JOIN sv y ON (y.scope, y.market, y.k + 1) = (x.scope, x.market, x.k) LEFT JOIN sv z ON (z.scope, z.market, z.k + 2) = (x.scope, x.market, x.k))"""
 )
 def reversion_evidence(spark, sf):
     ctx = _context(spark, sf)

@@ -46,8 +46,7 @@ def parsed_prices(spark, sf):
     text = F.when(k == 0, us).when(k == 1, F.translate(us, ",.", ".,")).when(k == 2, F.concat(F.lit("$"), us)).when(k == 3, whole)
     text = text.when(k == 4, "Price upon request").when(k == 5, F.concat(F.lit("From "), us)).otherwise(wide)
     df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", text.alias("x"))
-    two = F.lit(2)
-    return df.select("l_orderkey", "l_linenumber", t.parse_price(F.col("x"), two).alias("price_local"), t.price_issue(F.col("x"), two).alias("price_parse_issue"))
+    return t.read_prices(df, "x", F.lit(2)).drop("x")
 
 
 @query("SELECT doc_id, md5(text) AS repaired FROM documents")

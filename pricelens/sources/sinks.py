@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from pricelens.sources.tables import materialise, small
 
 
 def recent_rows(source: DataFrame, target: DataFrame, time_col: str, lookback_days: int) -> DataFrame:
@@ -19,19 +20,25 @@ def recent_rows(source: DataFrame, target: DataFrame, time_col: str, lookback_da
     return source if newest is None else source.filter(F.col(time_col) > F.lit(newest) - F.expr(f"interval {lookback_days} days"))
 
 
-def upsert(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """The target with rows of equal key replaced by the changes and new keys added; one row a key."""
-    order = Window.partitionBy(key).orderBy(F.desc("_new"))
-    both = target.withColumn("_new", F.lit(0)).unionByName(changes.withColumn("_new", F.lit(1)))
-    return both.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_new", "_rank")
+def latest_changes(changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One row a key: the greatest by ``order``, then by the other columns, so that ties have one answer."""
+    rest = [c for c in changes.columns if c != key and c not in order]
+    return changes.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("_c")).select(*[F.col(key) if c == key else F.col(f"_c.{c}").alias(c) for c in changes.columns])
 
 
-def upsert_incremental(target: DataFrame, source: DataFrame, key: str, time_col: str, lookback_days: int) -> DataFrame:
-    """What an incremental run makes of the target; from an empty target it is a full refresh.
+def upsert(target: DataFrame, changes: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The target with rows of equal key replaced by the latest change and new keys added.
 
-    Only target rows that can change take part in the merge: older ones whose keys don't return are passed on.
+    Target rows whose key isn't among the changes pass as they are, unsorted, and unshuffled too where the changes' keys are few
+    enough to be broadcast.
     """
-    return upsert(target, recent_rows(source, target, time_col, lookback_days), key)
+    new = materialise(latest_changes(changes, key, order), "changes")
+    return target.join(small(new.select(key)), key, "left_anti").select(*target.columns).unionByName(new)
+
+
+def upsert_incremental(target: DataFrame, source: DataFrame, key: str, time_col: str, lookback_days: int) -> DataFrame:
+    """What an incremental run makes of the target; from an empty target it is a full refresh."""
+    return upsert(target, recent_rows(source, target, time_col, lookback_days), key, [time_col])
 
 
 def format_cells(df: DataFrame) -> DataFrame:

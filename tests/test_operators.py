@@ -1,5 +1,6 @@
 """Point in time, marts, gate, metrics, sinks and streams on hand-written rows."""
 
+import dataclasses
 import datetime as dt
 import gzip
 import tempfile
@@ -54,15 +55,15 @@ def test_like_for_like_is_the_mean_of_changes(spark):
     d1, d2 = D(2025, 1, 31), D(2025, 2, 28)
     data = [(d1, "M", "A", "Bags", 100.0), (d2, "M", "A", "Bags", 110.0), (d1, "M", "B", "Bags", 1000.0), (d2, "M", "B", "Bags", 1000.0), (d2, "M", "C", "Bags", 50.0)]
     priced = spark.createDataFrame(data, "as_of_date date, market string, sku string, macro_category string, price_local double").withColumn("price_local", F.col("price_local").cast("decimal(18,2)"))
-    r = marts.macro_monthly(priced).filter(F.col("as_of_date") == F.lit(d2)).first()
+    r = marts.macro_monthly(priced, spark.createDataFrame([("M", "EUR")], "market string, currency_code string")).filter(F.col("as_of_date") == F.lit(d2)).first()
     assert (r["lfl_n_products"], float(r["lfl_mean_change"]), float(r["lfl_ratio_of_means"]), float(r["lfl_share_increased"]), r["n_products"]) == (2, 0.05, 0.0091, 0.5, 3)
 
 
 def test_weekly_grid_skips_gaps_and_tells_errors_from_absence(spark):
     days = [D(2025, 1, 6), D(2025, 1, 13), D(2025, 1, 20)]
     dates = spark.createDataFrame([(d,) for d in days], "as_of_date date")
-    heroes = spark.createDataFrame([("H1", "S1")], "pointer_id string, sku string")
-    market = spark.createDataFrame([("USA",), ("JPN",), ("FRA",)], "market string")
+    heroes = spark.createDataFrame([("H1", "S1", "Bag")], "pointer_id string, sku string, product_label string")
+    market = spark.createDataFrame([("USA", "USD"), ("JPN", "JPY"), ("FRA", "EUR")], "market string, currency_code string")
     cells = [(days[0], "USA", "S1", "o", D(2025, 1, 5), True, 3090.0, "b0"), (days[1], "USA", "S1", "o", D(2025, 1, 12), False, None, "b1"), (days[2], "USA", "S1", "o", D(2025, 1, 5), True, 3310.0, "b2"), (days[0], "JPN", "S2", "p", D(2025, 1, 5), True, 1.0, "b3"), (days[1], "JPN", "S2", "p", D(2025, 1, 12), True, 1.0, "b4")]
     cat = spark.createDataFrame(cells, "as_of_date date, market string, sku string, object_id string, presence_crawl_date date, has_price boolean, price_local double, presence_batch_id string")
     cat = cat.withColumns({"price_crawl_date": F.col("presence_crawl_date"), "is_price_carried_forward": F.lit(False)})
@@ -115,7 +116,7 @@ def test_audit_compares_with_the_last_accepted_delivery(spark):
     run = gate.audit(cal, context, results, releases, CHECKS)
     assert [run.decisions[("micro", d)] for d in days] == ["PASS", "BLOCK", "PASS", "PASS"]
     notes = [r["message"] for r in results.read().filter(F.col("as_of_date") == F.lit(days[2])).collect() if r["status"] != "skip"]
-    assert notes and all("[baseline 2025-01-01; skips non-accepted 2025-01-08]" in m for m in notes)
+    assert notes and all("(held against 2025-01-01, as these were not accepted: 2025-01-08)" in m for m in notes)
     assert {r["as_of_date"] for r in releases.read().collect()} == {days[0], days[2], days[3]}
     with pytest.raises(ValueError, match="reason"):
         gate.force_release("micro", days[1], " ", results, releases, "me")
@@ -192,6 +193,33 @@ def test_upserts_give_the_full_refresh(spark):
     assert rows(sinks.upsert_incremental(target.limit(0), src, "k", "t", 35)) == rows(src)
 
 
+def test_an_upsert_leaves_other_rows_alone_and_breaks_ties(spark):
+    target = spark.createDataFrame([(i, 1, "old") for i in range(50)], "k int, t int, v string")
+    changes = spark.createDataFrame([(3, 2, "b"), (3, 2, "c"), (3, 1, "z"), (77, 1, "new")], "k int, t int, v string")
+    out = sinks.upsert(target, changes, "k", ["t"])
+    assert rows(out.filter("v <> 'old'")) == [(3, 2, "c"), (77, 1, "new")] and out.count() == 51
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_check_definitions_are_validated():
+    ok = gate.Check("c", "d", "block", lambda ctx: None, gate.Rules(warn_above=1.0), ("micro",))
+    for bad in ({"severity": "loud"}, {"scopes": ("daily",)}, {"rules": gate.Rules()}, {"rules": {"macro": gate.Rules(warn_above=1.0)}}, {"severity": "warn", "rules": gate.Rules(fail_above=1.0)}, {"datasets": ("other",)}):
+        with pytest.raises(ValueError):
+            dataclasses.replace(ok, **bad)
+    with pytest.raises(ValueError, match="same id"):
+        gate.catalogue_of([ok, ok])
+    assert [c.id for c in gate.catalogue_of(gate.CHECKS, "legacy_replay")] == [c.id for c in gate.CHECKS[:6]]
+
+
+def test_findings(spark):
+    df = spark.createDataFrame([("micro", D(2025, 1, 1), c, s, x, f"{x}: {c}") for c, s, x in (("served_crawl_age_days", "warn", "A"), ("product_count_change", "fail", "A"), ("product_count_change", "warn", "B"), ("hero_large_moves", "warn", "all"), ("market_coverage", "pass", "all"))], "scope string, as_of_date date, check_id string, status string, subject string, message string")
+    got = {r["check_id"]: (r["title"], r["status"], r["n_subjects"], r["detail"]) for r in triage.explain_any(df).collect()}
+    assert got["product_count_change"] == ("Product count change", "fail", 2, "A: product_count_change; B: product_count_change") and len(got) == 3
+    causes = {r["cause"]: (r["check_id"], r["n_subjects"], r["is_failure"]) for r in triage.distinct_causes(triage.failing_results(df)).collect()}
+    assert causes == {"missing_crawl": ("served_crawl_age_days", 2, True), "hero_large_moves": ("hero_large_moves", 1, False)}
+
+
 def files(folder, names):
     for n in names:
         with gzip.open(f"{folder}/{n}", "wt") as f:
@@ -217,13 +245,15 @@ def test_files_are_picked_up_once(spark):
 
 def test_stream_upserts_by_version(spark):
     folder = tempfile.mkdtemp()
-    schema = "k int, v int"
-    spark.createDataFrame([(1, 1), (2, 2)], schema).write.parquet(f"{folder}/in")
+    schema = "k int, t int, v int"
     read = lambda: spark.readStream.schema(schema).parquet(f"{folder}/in")
-    ingest.upsert_stream(read(), f"{folder}/t", "k", f"{folder}/c").awaitTermination()
-    spark.createDataFrame([(2, 5), (3, 3)], schema).write.mode("append").parquet(f"{folder}/in")
-    ingest.upsert_stream(read(), f"{folder}/t", "k", f"{folder}/c").awaitTermination()
-    assert rows(spark.read.parquet(f"{folder}/t/version=1")) == [(1, 1), (2, 5), (3, 3)]
+    batches = [[(1, 5, 1), (2, 5, 2), (1, 4, 0)], [(2, 6, 5), (3, 1, 3), (1, 2, 9)], [(3, 1, 4)]]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(f"{folder}/in")
+        ingest.upsert_stream(read(), f"{folder}/t", "k", "t", f"{folder}/c").awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/t/version=1")) == [(1, 5, 1), (2, 6, 5), (3, 1, 3)]
+    assert rows(spark.read.parquet(f"{folder}/t/version=2")) == [(1, 5, 1), (2, 6, 5), (3, 1, 4)]
+    assert sorted(x.name for x in Path(f"{folder}/t").iterdir()) == ["version=1", "version=2"]
 
 
 def test_reference_files(spark):
@@ -249,7 +279,9 @@ def test_stale_and_carried_explanations(spark):
     found = spark.createDataFrame([(D(2025, 1, 20), "M"), (D(2025, 1, 20), "N")], "as_of_date date, subject string")
     f = spark.createDataFrame([("f1", D(2025, 1, 12), D(2025, 1, 12), ["M"], [], False, False), ("f2", D(2025, 1, 19), D(2025, 1, 19), [], ["M"], False, False)], "delivered_file_name string, content_crawl_date date, file_crawl_date date, missing_markets array<string>, partial_markets array<string>, is_stale_content boolean, is_duplicate_content boolean")
     got = {(r["market"], r["delivered_file_name"]): r["problem"] for r in triage.explain_stale(scoped, f, found).collect()}
-    assert got == {("M", "f1"): "market missing from the file", ("M", "f2"): "market only partially crawled", ("N", "(no newer file for this market)"): "-"}
+    assert got == {("M", "f1"): triage.LOST, ("M", "f2"): triage.PARTIAL, ("N", triage.NO_FILE): "-"}
+    old = triage.explain_stale(scoped, f.withColumn("is_stale_content", F.lit(True)).withColumn("missing_markets", F.array().cast("array<string>")), found, replay=True)
+    assert {(r["market"], r["delivered_file_name"]): r["problem"] for r in old.collect()} == {("M", "f1"): triage.OLD, ("M", "f2"): triage.PARTIAL, ("N", "f1"): triage.OLD, ("N", "f2"): triage.OLD}
     micro = spark.createDataFrame([(D(2025, 1, 20), "H", "M", "S", 1.0, D(2025, 1, 5), D(2025, 1, 19), True)], "delivery_date date, pointer_id string, market string, sku string, price_local double, price_crawl_date date, crawl_date_used date, is_price_carried_forward boolean")
     q = spark.createDataFrame([("S", "M", D(2025, 1, 19), ["price_on_request"], "x")], "sku string, market string, file_crawl_date date, quarantine_reasons array<string>, original_price_raw string")
     assert triage.explain_carried(micro, q).first()["reasons"] == "price_on_request"

@@ -40,7 +40,7 @@ PRICES = [
 def test_prices(spark):
     df = spark.createDataFrame([(i, p, c) for i, (p, c, _, _) in enumerate(PRICES)], "i int, p string, c string")
     units = t.lookup(F.col("c"), CrawlConfig().minor_units, 2)
-    for r in df.select("i", t.parse_price(F.col("p"), units).alias("price"), t.price_issue(F.col("p"), units).alias("issue")).collect():
+    for r in t.read_prices(df, "p", units, "price", "issue").collect():
         assert (None if r["price"] is None else float(r["price"]), r["issue"]) == PRICES[r["i"]][2:], PRICES[r["i"]]
 
 
@@ -53,6 +53,12 @@ def test_mojibake(spark, wrong, right):
     assert df.select(t.repair_mojibake(F.col("x")).alias("x")).first()["x"] == right
 
 
+def test_the_last_of_repeated_keys_counts(spark):
+    df = spark.createDataFrame([(1, [("a", "1"), (None, "x"), ("b", "2"), ("a", None), ("a", "3")]), (2, []), (3, None), (4, [("k", str(i)) for i in range(5000)])], "i int, p array<struct<key:string,value:string>>")
+    got = {r["i"]: r["m"] for r in staging.kv_list_to_map(df, "p", "m").collect()}
+    assert got == {1: {"a": "3", "b": "2"}, 2: {}, 3: None, 4: {"k": "4999"}}
+
+
 def test_small_functions(spark):
     df = spark.createDataFrame([(" A &amp;  B&#39;s ", "1700000000", "1700000000000", " TRUE ", "ab- 12")], "n string, s string, ms string, b string, k string")
     r = df.select(
@@ -153,5 +159,6 @@ def test_quarantine_repairs_and_grading(spark):
         "file_name string, line_number string, object_id string, defect_code string, field string, clean_value string, dirty_value string, expected_handling string",
     )
     files = spark.createDataFrame([("g", False, False, [], ["JPN"])], "file_name string, is_duplicate_content boolean, is_stale_content boolean, partial_markets array<string>, missing_markets array<string>")
-    got = {r["defect_code"]: (r["n_planted"], r["recall"], r["handled_as_expected"]) for r in quality.grade(manifest, obs.withColumn("file_name", F.lit("f")), files).collect()}
+    caught_by = {"C01_html_entity_in_name": "name_html_entity", "C04_missing_name": "name_missing", "F04_missing_market": "file:missing_market"}
+    got = {r["defect_code"]: (r["n_planted"], r["recall"], r["handled_as_expected"]) for r in quality.grade(manifest, obs.withColumn("file_name", F.lit("f")), files, caught_by).collect()}
     assert got == {"C01_html_entity_in_name": (1, 1.0, True), "C04_missing_name": (1, 0.0, True), "F04_missing_market": (1, 1.0, True)}
