@@ -31,6 +31,11 @@ def until_released(df: DataFrame, date_col: str, releases: DataFrame) -> DataFra
     return df.filter(F.lit(False)) if last is None else df.filter(F.col(date_col) < F.lit(last))
 
 
+def reference(df: DataFrame) -> DataFrame:
+    """A reference table is no part of a delivery: it is published as it is, whatever was released."""
+    return df
+
+
 def enforce_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
     """df if its column names and types are exactly the contract's; else an error that names the differences."""
     have, want = {f.name: f.dataType.simpleString() for f in df.schema}, {f.name: f.dataType.simpleString() for f in contract}

@@ -1,4 +1,4 @@
-"""All registered queries and their SQL."""
+"""Queries from readings to published marts, with their SQL."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from pricelens.operators import asof, assertions, classify, gate, history, marts, metrics, products, published, reports, triage
 from pricelens.plans import adapters as a
-from pricelens.plans import crawl_queries
 from pricelens.plans.adapters import sql
 from pricelens.sources import sinks
 from pricelens.sources.tables import materialise
@@ -528,20 +527,20 @@ def orphan_lines(spark, sf):
 @query("SELECT report_month, market, avg(lfl_mean_change::DOUBLE)::DECIMAL(18,8)::DOUBLE AS value FROM monthly GROUP BY ALL")
 def metric_lfl_change_by_market(spark, sf):
     r = metrics.Request("category_lfl_change", ("market",), by_time=True)
-    out = metrics.query_metric(macro_monthly(spark, sf), r)
+    out = metrics.query_metric(_monthly(spark, sf), r)
     return out.select("report_month", "market", F.round(F.col("category_lfl_change").cast("double"), 8).alias("value"))
 
 
 @query("SELECT macro_category, round(sum(lfl_mean_change::DOUBLE * lfl_n_products) / nullif(sum(CASE WHEN lfl_mean_change IS NOT NULL THEN lfl_n_products ELSE 0 END), 0), 6) AS value FROM monthly WHERE market IN ('ASIA', 'EUROPE') GROUP BY macro_category")
 def metric_weighted_change(spark, sf):
     r = metrics.Request("category_lfl_change_product_weighted", ("macro_category",), filters={"market": ["ASIA", "EUROPE"]})
-    out = metrics.query_metric(macro_monthly(spark, sf), r)
+    out = metrics.query_metric(_monthly(spark, sf), r)
     return out.select("macro_category", F.round(F.col("category_lfl_change_product_weighted").cast("double"), 6).alias("value"))
 
 
-@query("SELECT 'market' AS dimension, market AS value FROM monthly UNION SELECT 'macro_category', macro_category FROM monthly UNION SELECT 'report_month', CAST(report_month AS VARCHAR) FROM monthly")
+@query("SELECT 'market' AS dimension, market AS value FROM monthly UNION SELECT 'macro_category', macro_category FROM monthly UNION SELECT 'currency_code', currency_code FROM monthly UNION SELECT 'report_month', CAST(report_month AS VARCHAR) FROM monthly")
 def metric_vocabulary(spark, sf):
-    return metrics.vocabulary(macro_monthly(spark, sf), metrics.MODELS["category_monthly"])
+    return metrics.vocabulary(_monthly(spark, sf), metrics.MODELS["category_monthly"])
 
 
 # ---- upserts and snapshots ------------------------------------------------------------------------------------------------------------------
@@ -647,6 +646,3 @@ def delivery_health(spark, sf):
     out = marts.delivery_health(_ledger(spark, sf), _releases(spark, sf))
     return out.select("scope", "as_of_date", "n_pass", "n_warn", "n_fail", "n_skip", "decision", "publication_state")
 
-
-QUERIES |= crawl_queries.QUERIES
-SQL |= crawl_queries.SQL
