@@ -33,9 +33,13 @@ def lookup(key: Column, mapping: Mapping[str, object], default: object = None) -
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
+# Fixed value: what stands for a null part of a key, so that keys equal those of tables built elsewhere.
+NULL_PART = "_dbt_utils_surrogate_key_null_"
+
+
 def surrogate_key(*parts: Column) -> Column:
     """md5 over the parts as text, joined by '-'; a null part has a token of its own."""
-    return F.md5(F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit("_dbt_utils_surrogate_key_null_")) for p in parts]))
+    return F.md5(F.concat_ws("-", *[F.coalesce(p.cast("string"), F.lit(NULL_PART)) for p in parts]))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 from pricelens.operators.deliveries import content_fingerprint
 
+# By how much a price may lie below the anchor's least, and above its greatest, times the market's ratio.
+SLACK_BELOW, SLACK_ABOVE = 0.97, 1.10 * 1.03
 STATUSES = ("first_delivery", "unchanged", "price_increase", "price_decrease", "no_valid_price", "not_found", "page_error")
 
 
@@ -71,7 +73,7 @@ def price_bounds(anchor: DataFrame, ratios: DataFrame, category: str = "macro_ca
     """low and high of a category and market: the anchor's range times the market's ratio spread, with some slack."""
     span = anchor.groupBy(category).agg(F.min(value).cast("double").alias("_q0"), F.max(value).cast("double").alias("_qn"))
     both = span.join(F.broadcast(ratios.select("market", "p05", "p95")))
-    return both.select(category, "market", (F.col("_q0") * F.col("p05") * 0.97).alias("low"), (F.col("_qn") * F.col("p95") * 1.10 * 1.03).alias("high"))
+    return both.select(category, "market", (F.col("_q0") * F.col("p05") * SLACK_BELOW).alias("low"), (F.col("_qn") * F.col("p95") * SLACK_ABOVE).alias("high"))
 
 
 def same_times_other_lines(lines: DataFrame, file_col: str = "source_file_name", time: str = "created_at_raw", line: str = "raw_line") -> DataFrame:

@@ -159,6 +159,19 @@ def lost_rows(spark, sf):
     return out.select("source_file_name", *[F.col(c).cast("int").alias(c) for c in ("delivered", "usable", "quarantined")])
 
 
+@query(
+    _LINES
+    + """ SELECT 'BrandIntl_' || month || '_' || (epoch(month::TIMESTAMP)::BIGINT * 1000) || '_x.ndjson.gz' AS source_file_name, count(*)::INTEGER AS delivered,
+(count(*) FILTER (NOT quarantine AND l_partkey % 50 <> 7))::INTEGER AS usable, (count(*) FILTER (quarantine))::INTEGER AS quarantined FROM q GROUP BY month HAVING delivered <> usable + quarantined"""
+)
+def lost_rows_planted(spark, sf):
+    """Files from whose usable lines some products were dropped."""
+    obs = _staged(spark, sf)
+    kept = obs.filter("dq_status <> 'quarantine' and not (cast(substring(sku, 2) as bigint) % 50 = 7)")
+    out = assertions.lost_rows(crawl_lines(spark, sf), kept, obs.filter("dq_status = 'quarantine'"))
+    return out.select("source_file_name", *[F.col(c).cast("int").alias(c) for c in ("delivered", "usable", "quarantined")])
+
+
 @query("SELECT 'red' AS color, count(*) AS n FROM lineitem")
 def parsed_details(spark, sf):
     """The last of repeated detail keys counts."""
@@ -217,10 +230,10 @@ def events_by_day(spark, sf):
 
 
 def delivered_events(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as daily files of five members; one file delivered twice, one stale, one member partial, one missing."""
+    """Events as daily files of five members; one file delivered twice, one stale, one member partial, one missing, one file of three."""
     e = table(spark, sf, "events").select(F.to_date("ts").alias("day"), F.col("ts").alias("crawled_at"), F.col("event_type").alias("market"), F.concat_ws("|", F.col("event_id").cast("string"), "props").alias("raw_line"))
     d, h, m = F.dayofmonth("day"), F.hour("crawled_at"), F.col("market")
-    e = e.filter(~((d == 12) & (m == "click") & (h >= 8)) & ~((d == 14) & (m == "view")))
+    e = e.filter(~((d == 12) & (m == "click") & (h >= 8)) & ~((d == 14) & (m == "view")) & ~((d == 20) & m.isin("signup", "view")))
 
     def file(df, claimed, suffix, exported):
         name = F.concat(F.lit("events_"), claimed.cast("string"), F.lit(suffix), F.lit(".ndjson.gz"))
@@ -229,49 +242,50 @@ def delivered_events(spark: SparkSession, sf: str) -> DataFrame:
     plain = file(e, F.col("day"), "", F.date_add("day", 1))
     copy = file(e.filter(d == 10), F.col("day"), " (1)", F.date_add("day", 2))
     stale = file(e.filter((d == 5) & (h < 12)), F.date_add("day", 20), "", F.date_add("day", 21)).withColumns({c: F.regexp_replace(c, "events_", "late_") for c in ("source_file_name", "delivered_file_name")})
-    return plain.unionByName(copy).unionByName(stale).withColumn("dq_status", F.when(F.pmod(F.crc32(F.col("raw_line").cast("binary")), F.lit(20)) == 0, "quarantine").otherwise("pass"))
+    return plain.unionByName(copy).unionByName(stale).withColumn("dq_status", F.when(F.substring_index("raw_line", "|", 1).cast("bigint") % 20 == 0, "quarantine").otherwise("pass"))
 
 
 _FILES = """WITH e AS (SELECT ts::DATE AS day, ts AS crawled_at, event_type AS market, event_id || '|' || props AS raw_line FROM events
-WHERE NOT (day(ts) = 12 AND event_type = 'click' AND hour(ts) >= 8) AND NOT (day(ts) = 14 AND event_type = 'view')),
+WHERE NOT (day(ts) = 12 AND event_type = 'click' AND hour(ts) >= 8) AND NOT (day(ts) = 14 AND event_type = 'view') AND NOT (day(ts) = 20 AND event_type IN ('signup', 'view'))),
 o AS (SELECT 'events_' || day || '.ndjson.gz' AS f, day AS claimed, day + 1 AS exported, false AS suffix, * FROM e
 UNION ALL SELECT 'events_' || day || ' (1).ndjson.gz', day, day + 2, true, * FROM e WHERE day(day) = 10
 UNION ALL SELECT 'late_' || (day + 20) || '.ndjson.gz', day + 20, day + 21, false, * FROM e WHERE day(day) = 5 AND hour(crawled_at) < 12),
 pf AS (SELECT f, any_value(claimed) AS claimed, any_value(exported) AS exported, any_value(suffix) AS suffix, count(*) AS n_lines, list_sort(list(DISTINCT market)) AS markets, min(crawled_at) AS lo, max(crawled_at) AS hi,
 md5(string_agg(raw_line, '~' ORDER BY raw_line)) AS print FROM o GROUP BY f),
 rk AS (SELECT *, row_number() OVER w AS k, first_value(f) OVER w AS original FROM pf WINDOW w AS (PARTITION BY print, n_lines ORDER BY suffix, exported, f)),
-fm AS (SELECT f, market, count(*) AS n FROM o GROUP BY ALL),
+fm AS (SELECT f, market, count(*) AS n, count(*) FILTER (split_part(raw_line, '|', 1)::BIGINT % 20 <> 0) AS n_usable FROM o GROUP BY ALL),
 part AS (SELECT f, list_sort(list(market)) AS partial FROM fm JOIN (SELECT market, quantile_disc(n, 0.5) AS med FROM fm GROUP BY market) USING (market) WHERE n < med * 0.7 GROUP BY f),
 files AS (SELECT rk.f AS source_file_name, n_lines, len(markets)::INTEGER AS n_markets, k > 1 AS is_duplicate_content, CASE WHEN k > 1 THEN original END AS duplicate_of_file,
 claimed - hi::DATE > 3 AS is_stale_content, coalesce(array_to_string(partial, ','), '') AS partial_markets,
-array_to_string(list_filter(list_sort((SELECT list(DISTINCT event_type) FROM events)), lambda x: NOT list_contains(markets, x)), ',') AS missing_markets,
-CASE WHEN k > 1 OR claimed - hi::DATE > 3 THEN 'block' WHEN len(markets) < 5 OR partial IS NOT NULL THEN 'warn' ELSE 'ok' END AS file_status, lo::DATE AS content_crawl_date
-FROM rk LEFT JOIN part ON part.f = rk.f)"""
+CASE WHEN len(markets) > 3 THEN 'extended' ELSE 'weekly' END AS crawl_scope,
+array_to_string(list_filter(CASE crawl_scope WHEN 'weekly' THEN names[:3] ELSE names END, lambda x: NOT list_contains(markets, x)), ',') AS missing_markets,
+CASE WHEN k > 1 OR claimed - hi::DATE > 3 THEN 'block' WHEN missing_markets <> '' OR partial IS NOT NULL THEN 'warn' ELSE 'ok' END AS file_status, lo::DATE AS content_crawl_date
+FROM rk CROSS JOIN (SELECT list_sort(list(DISTINCT event_type)) AS names FROM events) LEFT JOIN part ON part.f = rk.f)"""
 
 
 def _files(spark, sf):
     obs = delivered_events(spark, sf)
-    names = [r[0] for r in obs.select("market").distinct().orderBy("market").collect()]
-    return obs, deliveries.assess_files(obs, names, names, 0.7, 3)
+    names = [r[0] for r in obs.select("market").distinct().orderBy("market").collect()]  # five names
+    return obs, deliveries.assess_files(obs, names[:3], names, 0.7, 3)
 
 
 @query(_FILES + " SELECT * FROM files")
 def file_profile(spark, sf):
     _, files = _files(spark, sf)
     return files.select(
-        "source_file_name", "n_lines", F.col("n_markets").cast("int").alias("n_markets"), "is_duplicate_content", "duplicate_of_file", "is_stale_content",
+        "source_file_name", "crawl_scope", "n_lines", F.col("n_markets").cast("int").alias("n_markets"), "is_duplicate_content", "duplicate_of_file", "is_stale_content",
         F.array_join("partial_markets", ",").alias("partial_markets"), F.array_join("missing_markets", ",").alias("missing_markets"), "file_status", "content_crawl_date",
     )
 
 
 @query(
     _FILES
-    + """ SELECT md5(f || '-' || market) AS market_batch_id, f AS source_file_name, market, n AS n_lines, file_status AS delivery_status, file_status <> 'block' AS is_trusted_delivery,
+    + """ SELECT md5(f || '-' || market) AS market_batch_id, f AS source_file_name, market, n AS n_lines, n_usable AS n_usable_lines, file_status AS delivery_status, file_status <> 'block' AS is_trusted_delivery,
 list_contains(string_split(partial_markets, ','), market) AS is_partial, file_status <> 'block' AND NOT list_contains(string_split(partial_markets, ','), market) AS is_eligible FROM fm JOIN files ON f = source_file_name"""
 )
 def market_batches(spark, sf):
     obs, files = _files(spark, sf)
-    return deliveries.assess_batches(obs, files).select("market_batch_id", "source_file_name", "market", "n_lines", "delivery_status", "is_trusted_delivery", "is_partial", "is_eligible")
+    return deliveries.assess_batches(obs, files).select("market_batch_id", "source_file_name", "market", "n_lines", "n_usable_lines", "delivery_status", "is_trusted_delivery", "is_partial", "is_eligible")
 
 
 @query(_FILES + " SELECT market, day AS crawl_date, n AS n_lines, round(n::DOUBLE / lag(n) OVER (PARTITION BY market ORDER BY day)::DOUBLE, 4) AS ratio_to_previous FROM (SELECT market, day, count(*) AS n FROM e GROUP BY ALL)")

@@ -3,6 +3,7 @@
 import dataclasses
 import datetime as dt
 import gzip
+import random
 import tempfile
 from pathlib import Path
 
@@ -132,6 +133,41 @@ def test_audit_compares_with_the_last_accepted_delivery(spark):
     assert {r["cause"] for r in causes.collect()} == {"older_state"}
 
 
+def judged_one_by_one(days, prices):
+    """Each delivery against the last two that were accepted, in order: blocked if a rule of CHECKS fails."""
+    accepted, out = [], {}
+    for day in days:
+        now, one, two = prices[day], prices[accepted[-1]] if accepted else {}, prices[accepted[-2]] if len(accepted) > 1 else {}
+        both = [k for k in now if k in one]
+        three = [k for k in both if k in two]
+        bad = bool(one) and not -0.20 <= len(now) / len(one) - 1
+        bad |= bool(both) and sum(now[k] < one[k] for k in both) / len(both) > 0.10
+        bad |= bool(three) and sum(now[k] != one[k] and now[k] == two[k] for k in three) / len(three) > 0.05
+        out[day] = "BLOCK" if bad else "ok"
+        if not bad:
+            accepted.append(day)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_audit_of_all_at_once_equals_one_by_one(spark, seed):
+    rng = random.Random(seed)
+    days = [D(2025, 1, 1) + dt.timedelta(days=7 * i) for i in range(14)]
+    prices, level = {}, 100.0
+    for d in days:
+        kind = rng.choice(["same", "same", "up", "old", "short", "back"])
+        level *= 1.05 if kind == "up" else 1
+        old = {"old": 0.5, "back": 0.8}.get(kind, 1.0)
+        prices[d] = {f"o{k}": round((level + k) * (old if k % 2 else 1.0), 2) for k in range(20 if kind != "short" else 12)}
+    cal = gate.delivery_calendar(spark.createDataFrame([("micro", d) for d in days], "scope string, as_of_date date"))
+    cat = spark.createDataFrame([(d, "M", k, d, p) for d in days for k, p in prices[d].items()], "as_of_date date, market string, object_id string, served_crawl_date date, price_local double")
+    market = spark.createDataFrame([("M", True)], "market string, is_in_micro_scope boolean")
+    run = gate.Audit(CHECKS, lambda calendar: gate.Context(calendar, gate.scoped(calendar, cat, market), market))
+    run.run(cal, [("micro", d) for d in days], set())
+    got = {d: "BLOCK" if v == "BLOCK" else "ok" for (_, d), v in run.decisions.items()}
+    assert got == judged_one_by_one(days, prices) and "BLOCK" in got.values()
+
+
 def test_metric_guards_and_policy(spark):
     known = spark.createDataFrame([("market", "FRA"), ("market", "JPN"), ("delivery_date", "2025-01-01"), ("delivery_date", "2025-01-08")], "dimension string, value string")
     ask = metrics.Request
