@@ -229,6 +229,14 @@ def look_ahead_planted(spark, sf):
     return assertions.look_ahead(moved, batches, calendar).select("catalogue_row_id")
 
 
+@query("SELECT object_id, count(*) FILTER (market = 'ASIA' AND valid_to IS NOT NULL AND period_number = 1) AS n_bad, count(*) FILTER (valid_to IS NULL AND market <> 'EUROPE') AS n_current FROM periods WHERE market <> 'EUROPE' OR valid_to IS NOT NULL GROUP BY object_id HAVING n_bad > 0 OR n_current <> 1")
+def broken_periods_planted(spark, sf):
+    """Periods of which the first is empty in Asia and the last is lost in Europe."""
+    periods = catalog._periods(spark, sf).filter("market <> 'EUROPE' or valid_to is not null")
+    empty = (F.col("market") == "ASIA") & F.col("valid_to").isNotNull() & (F.col("period_number") == 1)
+    return assertions.broken_periods(periods.withColumn("valid_to", F.when(empty, F.col("valid_from")).otherwise(F.col("valid_to"))))
+
+
 @query("SELECT object_id, as_of_date, 2::BIGINT AS n FROM catalogue WHERE market = 'ASIA' AND is_macro_date")
 def catalogue_keys_repeated(spark, sf):
     """A catalogue in which a market's month ends were loaded twice."""
