@@ -53,12 +53,14 @@ def fct_catalogue(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("catalogue_row_id", "as_of_date", "market", "object_id", "sku", "presence_crawl_date", "presence_age_days", "price_local", "currency_code", "price_crawl_date", "has_price", "is_price_carried_forward")
 
 
-def full_grid(dates: DataFrame, *dims: DataFrame) -> DataFrame:
-    """Every combination of dates and of small reference lists, which are bounded by the business and not by the data."""
-    out = dates
-    for d in dims:
-        out = out.join(F.broadcast(d))
-    return out
+def full_grid(listed: DataFrame, *bounded: DataFrame) -> DataFrame:
+    """Every combination of the rows of a list of any length, which stays where it is, and of calendars and seeds.
+
+    Only the latter are broadcast: a calendar has a row a day at most, and markets are bounded by the business.
+    """
+    for side in bounded:
+        listed = listed.join(F.broadcast(side))
+    return listed
 
 
 def served_batches(catalogue: DataFrame) -> DataFrame:
@@ -81,7 +83,7 @@ def micro_weekly(dates: DataFrame, pointers: DataFrame, markets: DataFrame, cata
 
     Dates without any served crawl in a market stay in the grid as not_found.
     """
-    grid = full_grid(dates.select("as_of_date"), pointers.select("pointer_id", "sku", "product_label"), markets.select("market", "currency_code"))
+    grid = full_grid(pointers.select("pointer_id", "sku", "product_label"), dates.select("as_of_date"), markets.select("market", "currency_code"))
     cells = catalogue.select("as_of_date", "market", "sku", "object_id", "presence_crawl_date", "has_price", "price_local", "price_crawl_date", "is_price_carried_forward")
     served = served_batches(catalogue).withColumnRenamed("presence_crawl_date", "_served")
     errors = unreadable.select(F.col("market_batch_id").alias("presence_batch_id"), "sku").withColumn("_error", F.lit(True))

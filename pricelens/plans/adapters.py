@@ -123,8 +123,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pointers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The watch-list: the first eight parts."""
-    return table(spark, sf_dir, "part").filter("p_partkey <= 8").select(F.concat(F.lit("HERO-"), F.lpad(F.col("p_partkey").cast("string"), 2, "0")).alias("pointer_id"), F.col("p_partkey").cast("string").alias("sku"), F.col("p_name").alias("product_label"))
+    """The watch-list: all parts of the smallest size, so that it grows with the parts."""
+    sku = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").filter("p_size = 1").select(F.concat(F.lit("HERO-"), sku).alias("pointer_id"), sku.alias("sku"), F.col("p_name").alias("product_label"))
 
 
 def month_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +167,7 @@ SELECT r.*, order_id % 53 = 0 AS is_not_a_product_page, order_id % 41 = 0 OR ord
 FROM readings r JOIN batches b USING (market_batch_id)""",
     "accepted": "SELECT * FROM classified WHERE fate = 'accepted'",
     "markets": f"SELECT r_name AS market, {_case('r_name', CURRENCY)} AS currency_code, r_name IN {WEEKLY!r} AS is_in_micro_scope FROM region",
-    "pointers": "SELECT 'HERO-' || lpad(CAST(p_partkey AS VARCHAR), 2, '0') AS pointer_id, CAST(p_partkey AS VARCHAR) AS sku, p_name AS product_label FROM part WHERE p_partkey <= 8",
+    "pointers": "SELECT 'HERO-' || p_partkey AS pointer_id, CAST(p_partkey AS VARCHAR) AS sku, p_name AS product_label FROM part WHERE p_size = 1",
     "products": """
 SELECT CAST(p_partkey AS VARCHAR) AS sku, lower(p_type) AS product_name, p_brand AS brand,
        CASE WHEN p_partkey = 7 THEN 'R05' WHEN regexp_matches(lower(p_type), '(^|[^a-z])(steel|copper)([^a-z]|$)') THEN 'R10'
@@ -242,7 +243,8 @@ SELECT md5(concat_ws('-', as_of_date, pointer_id, market)) AS micro_row_id, as_o
             WHEN price_local IS NOT NULL THEN 'first_delivery' WHEN object_id IS NOT NULL THEN 'no_valid_price'
             WHEN (presence_batch_id, sku) IN (SELECT (market_batch_id, sku) FROM classified WHERE is_not_a_product_page) THEN 'page_error' ELSE 'not_found' END AS price_status,
        used AS crawl_date_used, price_crawl_date, used IS NOT NULL AND used < as_of_date - 7 AS is_stale_crawl, is_price_carried_forward IS NOT DISTINCT FROM true AS is_price_carried_forward
-FROM (SELECT x.*, (SELECT arg_max(y.price_local, y.as_of_date) FROM cells y WHERE y.pointer_id = x.pointer_id AND y.market = x.market AND y.as_of_date < x.as_of_date AND y.price_local IS NOT NULL) AS previous_price_local FROM cells x)""",
+FROM (SELECT x.*, y.price_local AS previous_price_local
+      FROM cells x ASOF LEFT JOIN (FROM cells WHERE price_local IS NOT NULL) y ON (y.pointer_id, y.market) = (x.pointer_id, x.market) AND x.as_of_date > y.as_of_date)""",
     # Readings by position; a period starts where the reading before it had another price, and reaches to the next start.
     "placed": "SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY crawl_date, delivered_at, line_id) AS pos FROM accepted",
     "starts": """

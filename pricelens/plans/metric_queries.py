@@ -18,8 +18,8 @@ _YEAR = (dt.date(1997, 1, 1), dt.date(1997, 12, 31))
 #: name: (request, SQL for its rows with the metric as ``value``).
 REQUESTS = {
     "metric_hero_price": (
-        metrics.Request("hero_price", ("market", "currency_code"), filters={"pointer_id": ["HERO-01", "HERO-02"]}, start=_YEAR[0], end=_YEAR[1]),
-        "SELECT market, currency_code, avg(price_local) AS value FROM micro WHERE pointer_id IN ('HERO-01', 'HERO-02') AND year(delivery_date) = 1997 GROUP BY ALL",
+        metrics.Request("hero_price", ("market", "currency_code"), filters={"price_status": ["price_increase", "price_decrease"]}, start=_YEAR[0], end=_YEAR[1]),
+        "SELECT market, currency_code, avg(price_local) AS value FROM micro WHERE price_status IN ('price_increase', 'price_decrease') AND year(delivery_date) = 1997 GROUP BY ALL",
     ),
     "metric_hero_price_change": (
         metrics.Request("hero_price_change", ("product_label",), by_time=True, filters={"market": ["EUROPE"]}, start=_YEAR[0], end=_YEAR[1]),
@@ -81,7 +81,7 @@ def metric_refusals(spark, sf):
     ask = metrics.Request
     asked = {
         "by market": ask("hero_price", ("market",)), "mixed currencies": ask("hero_price"), "one market": ask("hero_price", filters={"market": ["EUROPE"]}),
-        "unwatched market": ask("hero_price_change", filters={"market": ["ASIA"]}), "unknown product": ask("hero_price_change", filters={"pointer_id": ["HERO-99"]}),
+        "unwatched market": ask("hero_price_change", filters={"market": ["ASIA"]}), "unknown product": ask("hero_price_change", filters={"pointer_id": ["HERO-NONE"]}),
         "foreign dimension": ask("hero_price_change", ("macro_category",)), "hidden metric": ask("lfl_weighted_numerator"),
         "period before the data": ask("hero_price_change", start=dt.date(1990, 1, 1), end=dt.date(1990, 12, 31)), "period of the data": ask("hero_price_change", start=_YEAR[0], end=_YEAR[1]),
     }
@@ -97,7 +97,7 @@ def metric_refusals(spark, sf):
 
 SQL["metric_refusals"] = sql(
     """SELECT * FROM (VALUES ('by market', false), ('mixed currencies', (SELECT count(DISTINCT currency_code) > 1 FROM micro)), ('one market', NOT EXISTS (FROM micro WHERE market = 'EUROPE')),
-('unwatched market', NOT EXISTS (FROM micro WHERE market = 'ASIA')), ('unknown product', NOT EXISTS (FROM micro WHERE pointer_id = 'HERO-99')), ('foreign dimension', true), ('hidden metric', true),
+('unwatched market', NOT EXISTS (FROM micro WHERE market = 'ASIA')), ('unknown product', NOT EXISTS (FROM micro WHERE pointer_id = 'HERO-NONE')), ('foreign dimension', true), ('hidden metric', true),
 ('period before the data', (SELECT min(delivery_date) > DATE '1990-12-31' FROM micro)), ('period of the data', NOT EXISTS (FROM micro WHERE year(delivery_date) = 1997))) v(request, is_refused)"""
 )
 
