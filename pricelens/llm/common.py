@@ -18,8 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A side of a join is broadcast only when it was counted and has at most so many rows of a few dozen bytes.
 BROADCAST_ROWS = 1_000_000
-#: Rows of one Arrow batch that are turned into Python objects at once.
+#: Rows of one Arrow batch that are turned into Python objects at once, and bytes of them if they are more than one row.
 SLICE_ROWS = 256
+SLICE_BYTES = 4_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -85,6 +86,16 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(sc)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most SLICE_ROWS rows and, unless it is a single row, SLICE_BYTES bytes, in order."""
+    n = batch.num_rows
+    if n > SLICE_ROWS or (n > 1 and batch.nbytes > SLICE_BYTES):
+        yield from slices(batch.slice(0, n // 2))
+        yield from slices(batch.slice(n // 2))
+    elif n:
+        yield batch
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[[list[list]], dict[str, object]]], schema: str, keep: list[str] | None = None
 ) -> DataFrame:
@@ -107,8 +118,7 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE_ROWS):
-                part = whole.slice(at, SLICE_ROWS)
+            for part in slices(whole):
                 got = fn([part.column(i).to_pylist() for i in rest])
                 cols = [part.column(i) for i in held] + [got[n] for n in names]
                 cols = [c.cast(t.type) if isinstance(c, pa.Array) else pa.array(c, t.type) for c, t in zip(cols, arrow, strict=True)]

@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, host_rules, jaccard, pii, repeats, secret_scan, training_order, url_filter, warc
+from . import bpe, decontaminate, fim, host_rules, jaccard, pii, repeats, secret_scan, training_order, url_filter, warc, word_bpe
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 #: Key of the training order.
 TRAINING_KEY = 20240101
 
@@ -61,6 +62,14 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.digests(word_bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
@@ -159,6 +168,18 @@ SELECT t.doc_id, least(t.doc_id, (SELECT min(b) FROM reach WHERE reach.a = t.doc
 FROM t
 """
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+x AS (SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS b,
+  ('0x' || substr(h, 17, 8))::BIGINT % 100 AS r, ('0x' || substr(h, 25, 8))::BIGINT % 100 AS q FROM d),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 50 THEN 'plain' WHEN q < 80 THEN 'spm' ELSE 'psm' END AS form,
+  array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s FROM x)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_secret_scan": op2_secret_scan,
@@ -170,5 +191,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_training_order": op9_training_order,
     "op10_host_rules": op10_host_rules,
+    "op12_word_bpe": op12_word_bpe,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
-SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL}
+SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL, "op13_fill_in_middle": OP13_SQL}

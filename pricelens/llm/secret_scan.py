@@ -10,7 +10,8 @@ false-discovery rate at most MAX_FDR.
 
 Defined results: a null text counts as empty; repeated rows and null keys give a row each; offsets are code points, ends
 exclusive; a token that overlaps a plain span isn't tested; tokens of equal score are reported all or none; only the columns named
-are read, whatever the others are called; an empty table gives an empty table; no token or text is too long.
+are read, whatever the others are called; an empty table gives an empty table; memory grows with
+the longest text alone, as slices of rows and of symbols are bounded.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ MIN_P = 1e-3
 STRATA = (20, 22, 25, 27, 30, 32, 35, 37, 40, 45, 50, 55, 60, 65, 80, 100, 128)
 STRETCH = STRATA
 ENCODINGS = ("hex", "base32", "alnum", "base64")
+#: Symbols that go through the battery at once.
+BATTERY_SYMBOLS = 500_000
 #: Scores are log10(p) in quarters, from -8 to 0.
 BINS = 33
 
@@ -216,8 +219,9 @@ def plain_text_scores(texts: list[str]) -> np.ndarray:
                 starts[i].append(base + at)
             base += size
         for i, n in enumerate(STRETCH):
-            if starts[i]:
-                rows = x[np.array(starts[i])[:, None] + np.arange(n)]
+            at_once = max(1, BATTERY_SYMBOLS // n)
+            for k in range(0, len(starts[i]), at_once):
+                rows = x[np.array(starts[i][k : k + at_once])[:, None] + np.arange(n)]
                 counts[e, i] += np.bincount(_bin(battery(rows, len(_ALPHABETS[encoding]))), minlength=BINS)
     return counts.ravel()
 
