@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fim, host_rules, jaccard, pii, repeats, secret_scan, training_order, url_filter, warc, word_bpe
+from . import bpe, decontaminate, fim, host_rules, jaccard, merkle, pii, repeats, secret_scan, training_order, url_filter, warc, word_bpe
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -62,6 +62,12 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    manifest = merkle.build(docs, ["doc_id", "source", "lang", "n_chars", "text"], "doc_id", "source", {"text": merkle.lowered(docs["text"], docs["doc_id"])})
+    return merkle.digests(merkle.check(manifest))
+
+
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digests(word_bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -168,6 +174,36 @@ SELECT t.doc_id, least(t.doc_id, (SELECT min(b) FROM reach WHERE reach.a = t.doc
 FROM t
 """
 
+_VALUE = lambda c: f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || ({c}::VARCHAR), '-')"
+_LEAF = " || ".join(map(_VALUE, ("doc_id", "source", "lang", "n_chars", "{text}")))
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295)"
+
+
+def _grown(name: str, leaves: str) -> str:
+    """A tree's nodes by level, and beside each node the hashes left and right of it in its run."""
+    return f"""
+{name}(tree, level, i, cnt, h) AS (SELECT tree, 0, i, n, h FROM {leaves} UNION ALL
+  SELECT tree, level + 1, i // 16, (cnt + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE cnt > 1 GROUP BY tree, level, i // 16, cnt),
+{name}_sides AS (SELECT tree, level, i, coalesce(string_agg(h, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name} WHERE cnt > 1 WINDOW r AS (PARTITION BY tree, level, i // 16 ORDER BY i))"""
+
+
+OP11_SQL = f"""
+WITH RECURSIVE raw AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('1' || source, '0') AS tree, sha256({_LEAF.format(text="text")}) AS h,
+  CASE WHEN doc_id IS NOT NULL AND {_CRC} % 5 = 0 THEN sha256({_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) ELSE h END AS seen FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM raw),
+{_grown("node", "leaves")},
+subs AS (SELECT '' AS tree, tree AS source, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM node WHERE cnt = 1),
+{_grown("apex", "subs")},
+steps AS (
+  SELECT rid, s.level AS k, s.l, s.r FROM leaves x, unnest(range(12)) AS t(level) JOIN node_sides s ON s.tree = x.tree AND s.level = t.level AND s.i = x.i // (16 ** t.level)::BIGINT
+  UNION ALL SELECT rid, 100 + s.level, s.l, s.r FROM leaves x JOIN subs b ON b.source = x.tree, unnest(range(12)) AS t(level) JOIN apex_sides s ON s.level = t.level AND s.i = b.i // (16 ** t.level)::BIGINT),
+proof AS (SELECT rid, string_agg(l || r, '' ORDER BY k) AS text, list(l || '|' || r ORDER BY k) AS sides FROM steps GROUP BY rid)
+SELECT doc_id, x.h AS leaf, b.h AS subroot, whole.h AS root, sha256(coalesce(text, '')) AS proof_sha256,
+  list_reduce(list_prepend(seen, coalesce(sides, [])), lambda a, s: sha256(split_part(s, '|', 1) || a || split_part(s, '|', 2))) AS folded_root, folded_root = root AS verified
+FROM leaves x JOIN subs b ON b.source = x.tree LEFT JOIN proof USING (rid), (SELECT h FROM apex WHERE cnt = 1) whole
+"""
+
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
@@ -191,7 +227,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_training_order": op9_training_order,
     "op10_host_rules": op10_host_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_word_bpe": op12_word_bpe,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
-SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL, "op13_fill_in_middle": OP13_SQL}
+SQL: dict[str, str] = {"op3_url_filter": OP3_SQL, "op5_warc": OP5_SQL, "op6_repeated_passages": OP6_SQL, "op8_jaccard_join": OP8_SQL, "op10_host_rules": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op13_fill_in_middle": OP13_SQL}
