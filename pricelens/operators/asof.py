@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,22 +23,98 @@ def as_of_dates(files: DataFrame, crawl_date: str = "content_crawl_date") -> Dat
     return out.withColumn("knowledge_cutoff", F.date_add("as_of_date", 1).cast("timestamp"))
 
 
-def latest_as_of(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at", on: Sequence[str] = ()) -> DataFrame:
-    """For each date and key, the latest fact by ``order`` with crawl date <= date and delivered before the cutoff.
+@dataclass(frozen=True)
+class Calendar:
+    """The distinct (date, cutoff) pairs that are asked about, as staircases: sequences in which neither axis ever falls.
 
-    ``dates`` is a calendar, or with ``on`` a table of dates and keys to look up. A fact meets every date from its own on, so
-    the candidates are reduced by a maximum that combines before the shuffle; nothing is sorted. Ties in ``order`` are broken by the
-    kept columns.
+    A fact becomes visible once on a staircase and stays so, which makes its place there one number. Dates whose cutoffs follow a
+    fixed lag are one staircase, several lags are one each, and pairs in any order are as many as the longest run of dates whose
+    cutoffs fall. ``days`` and ``cuts`` have a list for each staircase: days since 1970, and microseconds.
     """
-    visible = (F.col(crawl_date) <= F.col("as_of_date")) & (F.col(delivered_at) < F.col("knowledge_cutoff"))
-    if on:
-        right = facts.select(*[F.col(k).alias(f"_{k}") for k in on], *[F.col(c) for c in facts.columns if c not in on])
-        same = [F.col(k) == F.col(f"_{k}") for k in on]
-        pairs = dates.join(right, [*same, visible])
-    else:
-        pairs = facts.join(F.broadcast(dates), visible)
-    newest = pairs.groupBy("as_of_date", *keys).agg(F.max(F.struct(*order, *[c for c in keep if c not in order])).alias("_f"))
-    return newest.select("as_of_date", *keys, *[F.col(f"_f.{c}").alias(c) for c in keep])
+
+    days: list[list[int]]
+    cuts: list[list[int]]
+
+    @classmethod
+    def of(cls, dates: DataFrame) -> Calendar:
+        """From as_of_date and knowledge_cutoff; a calendar has a row a day at most for each lag, and comes to the driver."""
+        pairs = dates.select(F.unix_date("as_of_date").alias("d"), F.unix_micros("knowledge_cutoff").alias("c")).distinct()
+        days: list[list[int]] = []
+        cuts: list[list[int]] = []
+        tops: list[int] = []  # minus the last cutoff of each staircase, ascending
+        for d, c in sorted(tuple(r) for r in pairs.collect()):
+            i = bisect_left(tops, -c)  # the staircase with the greatest last cutoff that this one doesn't fall below
+            if i == len(tops):
+                days.append([])
+                cuts.append([])
+                tops.append(0)
+            days[i].append(d)
+            cuts[i].append(c)
+            tops[i] = -c
+        return cls(days, cuts)
+
+    def places(self, crawl_date: Column, delivered_at: Column) -> Column:
+        """For each staircase (chain) on which a fact is ever visible, the first place (at) where it is, as an array of structs."""
+        day, came = F.unix_date(crawl_date), F.unix_micros(delivered_at)
+        found = []
+        for i, (days, cuts) in enumerate(zip(self.days, self.cuts, strict=True)):
+            at = F.greatest(_below(days, day, "int"), _below(cuts, came + 1, "bigint"))
+            found.append(F.when((at < len(days)) & day.isNotNull() & came.isNotNull(), F.struct(F.lit(i).alias("chain"), at.alias("at"))))
+        return F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<chain:int,at:int>>")
+
+    def day(self, chain: Column, at: Column) -> Column:
+        return F.date_from_unix_date(F.get(F.get(_constants(self.days, "array<array<int>>"), chain), at))
+
+    def cutoff(self, chain: Column, at: Column) -> Column:
+        return F.timestamp_micros(F.get(F.get(_constants(self.cuts, "array<array<bigint>>"), chain), at))
+
+    def size(self, chain: Column) -> Column:
+        return F.get(_constants([len(x) for x in self.days], "array<int>"), chain)
+
+
+def _constants(values: list, kind: str) -> Column:
+    """A nested list of numbers as one constant."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def _below(values: list[int], x: Column, kind: str) -> Column:
+    """How many of the ascending values are less than x, by binary search."""
+    steps = [1 << k for k in reversed(range(len(values).bit_length()))]
+    held = _constants(values, f"array<{kind}>")
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, s: at + F.when(F.get(held, at + s - 1) < x, s).otherwise(0))
+
+
+def known_periods(calendar: Calendar, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at") -> DataFrame:
+    """The staircase of each key: the stretches of places (start, up to end) on a chain in which one fact is the latest that is known.
+
+    Facts that a greater one beats before the next place drop out by a running maximum over one sort of the facts; dates take no part.
+    Ties in ``order`` are broken by the kept columns.
+    """
+    fact = F.struct(*order, *[c for c in keep if c not in order]).alias("_f")
+    placed = facts.select(*keys, fact, F.explode(calendar.places(F.col(crawl_date), F.col(delivered_at))).alias("_p"))
+    rows = placed.select(*keys, F.col("_p.chain").alias("chain"), F.col("_p.at").alias("start"), "_f")
+    w = Window.partitionBy(*keys, "chain").orderBy("start", "_f")
+    end = F.coalesce(F.lead("start").over(w), calendar.size(F.col("chain")))
+    best = rows.withColumns({"end": end, "_f": F.max("_f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))}).filter("end > start")
+    return best.select(*keys, "chain", "start", "end", *[F.col(f"_f.{c}").alias(c) for c in keep])
+
+
+def expanded(calendar: Calendar, periods: DataFrame) -> DataFrame:
+    """A row with as_of_date and knowledge_cutoff for each place of each period."""
+    rows = periods.withColumn("_at", F.explode(F.sequence("start", F.col("end") - 1)))
+    chain, at = F.col("chain"), F.col("_at")
+    return rows.withColumns({"as_of_date": calendar.day(chain, at), "knowledge_cutoff": calendar.cutoff(chain, at)}).drop("chain", "start", "end", "_at")
+
+
+def latest_as_of(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at") -> DataFrame:
+    """For each date and key, the latest fact by ``order`` with crawl date <= date and delivered before the cutoff, whatever the cutoffs.
+
+    Work grows with facts (once for each staircase of the calendar) plus answers, never with facts times dates. With several cutoffs for
+    a date there are several rows for it.
+    """
+    calendar = Calendar.of(dates)
+    found = expanded(calendar, known_periods(calendar, facts, keys, order, keep, crawl_date, delivered_at))
+    return found.select("as_of_date", *keys, *keep)
 
 
 def latest_by_running_max(dates: DataFrame, facts: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], crawl_date: str = "crawl_date", delivered_at: str = "delivered_at", asked: bool = False) -> DataFrame:
@@ -55,24 +134,39 @@ def latest_by_running_max(dates: DataFrame, facts: DataFrame, keys: Sequence[str
     return both.select(F.col("_at").alias("as_of_date"), *keys, *[F.col(f"_best.{c}").alias(c) for c in keep])
 
 
-def presence(chosen: DataFrame, classified: DataFrame) -> DataFrame:
-    """Real product pages in the chosen batches, whatever the quality of their price."""
-    pages = classified.filter(F.col("fate").isin("accepted", "price_scale_outlier", "quarantined_in_staging") & ~F.col("is_not_a_product_page"))
-    right = pages.select(F.col("market_batch_id").alias("presence_batch_id"), "object_id", "sku").distinct()
-    return chosen.join(right, "presence_batch_id").distinct()
-
+def catalogue_periods(calendar: Calendar, batches: DataFrame, classified: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The catalogue as stretches of the calendar in which an object's row doesn't change: the batch that it is seen in and its price.
 
-def catalogue_as_of(dates: DataFrame, batches: DataFrame, classified: DataFrame, accepted: DataFrame) -> DataFrame:
-    """A row for each date and object present: how old its crawl is, the latest known price, whether that is carried forward."""
+    Two kinds of stretches meet in one sweep by object: those in which a batch is the latest eligible one of its market and lists the
+    object (real product pages, whatever the quality of their price), and those in which a price is the latest known. Their starts are
+    sorted; after each start the last of either kind holds until the next one, or until the batch ends.
+    """
     eligible = batches.filter("is_eligible")
-    chosen = latest_as_of(dates, eligible, ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date", "crawl_scope"])
-    chosen = chosen.select("as_of_date", "market", F.col("market_batch_id").alias("presence_batch_id"), F.col("crawl_date").alias("presence_crawl_date"), F.col("crawl_scope").alias("presence_crawl_scope"))
-    present = presence(chosen, classified).join(F.broadcast(dates), "as_of_date")
+    chosen = known_periods(calendar, eligible, ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date", "crawl_scope"])
+    pages = classified.filter(F.col("fate").isin("accepted", "price_scale_outlier", "quarantined_in_staging") & ~F.col("is_not_a_product_page"))
+    listed = pages.groupBy("market_batch_id", "object_id").agg(F.sort_array(F.collect_set("sku")).alias("skus"))
+    seen = F.struct("end", "market", "market_batch_id", "crawl_date", "crawl_scope", "skus").alias("_seen")
+    present = chosen.join(listed, "market_batch_id").select("object_id", "chain", "start", F.lit(1).alias("_kind"), seen)
     prices = accepted.select("object_id", "crawl_date", "delivered_at", "price_local", "currency_code", "market_batch_id")
-    keep = ["crawl_date", "price_local", "currency_code", "market_batch_id"]
-    known = latest_by_running_max(present, prices, ["object_id"], ["crawl_date", "delivered_at"], keep, asked=True)
-    known = known.withColumnsRenamed({"crawl_date": "price_crawl_date", "market_batch_id": "price_batch_id"})
-    out = present.drop("knowledge_cutoff").join(known, ["as_of_date", "object_id"], "left")
+    known = known_periods(calendar, prices, ["object_id"], ["crawl_date", "delivered_at"], ["crawl_date", "price_local", "currency_code", "market_batch_id"])
+    price = F.struct("crawl_date", "price_local", "currency_code", "market_batch_id").alias("_price")
+    known = known.select("object_id", "chain", "start", F.lit(0).alias("_kind"), price)
+    w = Window.partitionBy("object_id", "chain").orderBy("start", "_kind")
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    events = present.unionByName(known, allowMissingColumns=True)
+    until = F.coalesce(F.lead("start").over(w), calendar.size(F.col("chain")))
+    rows = events.withColumns({"_until": until, "_seen": F.last("_seen", True).over(so_far), "_price": F.last("_price", True).over(so_far)})
+    rows = rows.withColumn("end", F.least("_until", "_seen.end")).filter("end > start")
+    return rows.select(
+        "object_id", "chain", "start", "end", F.col("_seen.market").alias("market"), F.explode("_seen.skus").alias("sku"), F.col("_seen.market_batch_id").alias("presence_batch_id"),
+        F.col("_seen.crawl_date").alias("presence_crawl_date"), F.col("_seen.crawl_scope").alias("presence_crawl_scope"), F.col("_price.crawl_date").alias("price_crawl_date"),
+        F.col("_price.price_local").alias("price_local"), F.col("_price.currency_code").alias("currency_code"), F.col("_price.market_batch_id").alias("price_batch_id"),
+    )
+
+
+def catalogue_rows(calendar: Calendar, periods: DataFrame, dates: DataFrame) -> DataFrame:
+    """A row for each date and object present: how old its crawl is, the latest known price, whether that is carried forward."""
+    out = expanded(calendar, periods).join(F.broadcast(dates), ["as_of_date", "knowledge_cutoff"]).drop("knowledge_cutoff")
     return out.withColumns(
         {
             "catalogue_row_id": surrogate_key(F.col("as_of_date"), F.col("object_id")),
@@ -83,11 +177,17 @@ def catalogue_as_of(dates: DataFrame, batches: DataFrame, classified: DataFrame,
     )
 
 
+def catalogue_as_of(dates: DataFrame, batches: DataFrame, classified: DataFrame, accepted: DataFrame) -> DataFrame:
+    """The catalogue by dates: its periods, a row for each date in them."""
+    calendar = Calendar.of(dates)
+    return catalogue_rows(calendar, catalogue_periods(calendar, batches, classified, accepted), dates)
+
+
 def replay_last_import(dates: DataFrame, batches: DataFrame, classified: DataFrame) -> DataFrame:
     """The same rows under the rule "the last import wins": no trust, no completeness, no crawl dates."""
-    pairs = batches.join(F.broadcast(dates), F.col("loaded_at") < F.col("knowledge_cutoff"))
-    last = pairs.groupBy("as_of_date", "market").agg(F.max(F.struct("loaded_at", "delivered_at", "market_batch_id", "crawl_date")).alias("_b"))
-    last = last.select("as_of_date", "market", F.col("_b.market_batch_id").alias("market_batch_id"), F.col("_b.crawl_date").alias("legacy_crawl_date"))
+    imported = batches.withColumn("_any", F.to_date(F.lit("0001-01-01")))
+    last = latest_as_of(dates, imported, ["market"], ["loaded_at", "delivered_at", "market_batch_id"], ["market_batch_id", "crawl_date"], "_any", "loaded_at")
+    last = last.withColumnRenamed("crawl_date", "legacy_crawl_date")
     lines = classified.filter(~F.col("is_not_a_product_page")).select("market_batch_id", "object_id", "price_local", "dq_status", "is_price_scale_outlier")
     usable = (F.col("dq_status") != "quarantine") & ~F.col("is_price_scale_outlier")
     return last.join(lines, "market_batch_id").groupBy("as_of_date", "market", "object_id", "legacy_crawl_date").agg(F.max(F.when(usable, F.col("price_local"))).alias("price_local"))
