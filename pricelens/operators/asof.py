@@ -63,16 +63,16 @@ class Calendar:
         return F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<chain:int,at:int>>")
 
     def day(self, chain: Column, at: Column) -> Column:
-        return F.date_from_unix_date(F.get(F.get(_constants(self.days, "array<array<int>>"), chain), at))
+        return F.date_from_unix_date(F.get(F.get(constants(self.days, "array<array<int>>"), chain), at))
 
     def cutoff(self, chain: Column, at: Column) -> Column:
-        return F.timestamp_micros(F.get(F.get(_constants(self.cuts, "array<array<bigint>>"), chain), at))
+        return F.timestamp_micros(F.get(F.get(constants(self.cuts, "array<array<bigint>>"), chain), at))
 
     def size(self, chain: Column) -> Column:
-        return F.get(_constants([len(x) for x in self.days], "array<int>"), chain)
+        return F.get(constants([len(x) for x in self.days], "array<int>"), chain)
 
 
-def _constants(values: list, kind: str) -> Column:
+def constants(values: list, kind: str) -> Column:
     """A nested list of numbers as one constant."""
     return F.from_json(F.lit(json.dumps(values)), kind)
 
@@ -80,7 +80,7 @@ def _constants(values: list, kind: str) -> Column:
 def _below(values: list[int], x: Column, kind: str) -> Column:
     """How many of the ascending values are less than x, by binary search."""
     steps = [1 << k for k in reversed(range(len(values).bit_length()))]
-    held = _constants(values, f"array<{kind}>")
+    held = constants(values, f"array<{kind}>")
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, s: at + F.when(F.get(held, at + s - 1) < x, s).otherwise(0))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from pricelens.operators.asof import Calendar, constants
 from pricelens.sources.tables import materialise
 
 SCOPES = ("micro", "macro")
@@ -37,21 +39,31 @@ MIN_SPREAD = 0.005
 
 @dataclass(frozen=True)
 class Context:
-    """What checks measure: deliveries (scope, as_of_date, prev_date, prev2_date), scoped catalogue, markets and marts."""
+    """What checks measure: deliveries (scope, as_of_date, prev_date, prev2_date), scoped catalogue, markets and marts.
+
+    The catalogue comes as rows by date, or as ``stretches`` (see stretches_of_periods()), which the counts are then made from.
+    """
 
     deliveries: DataFrame
-    scoped: DataFrame
+    scoped: DataFrame | None
     markets: DataFrame
     micro: DataFrame | None = None
     macro: DataFrame | None = None
     macro_global: DataFrame | None = None
-    #: by_market() of the scoped catalogue, if it has been written.
+    #: by_market() of the catalogue, if it has been written.
     counted: DataFrame | None = None
+    stretches: DataFrame | None = None
 
     @cached_property
     def markets_of(self) -> DataFrame:
         return by_market(self.scoped) if self.counted is None else self.counted
 
+    def against(self, bases: DataFrame) -> Context:
+        """This context with its counts held against ``bases`` (see by_market_against())."""
+        dates = dates_of(self.deliveries)
+        rows = stretches_of_rows(dates, self.scoped) if self.stretches is None else self.stretches
+        return replace(self, counted=by_market_against(dates, rows, bases))
+
 
 @dataclass(frozen=True)
 class Anomaly:
@@ -92,6 +104,8 @@ class Check:
     rules: Rules | Mapping[str, Rules]
     scopes: tuple[str, ...] = SCOPES
     datasets: tuple[str, ...] = DATASETS
+    #: Whether it holds a delivery against those before it.
+    compares: bool = False
 
     def __post_init__(self) -> None:
         if self.severity not in SEVERITIES or not self.scopes or not set(self.scopes) <= set(SCOPES) or not set(self.datasets) <= set(DATASETS):
@@ -122,12 +136,13 @@ def scoped(calendar: DataFrame, catalogue: DataFrame, markets: DataFrame) -> Dat
 
 
 def _out(df: DataFrame, subject: str | Column, observed: Column, scope: str | None = None, date: str = "as_of_date", by: Sequence[str] = ()) -> DataFrame:
-    """Measure rows: scope, as_of_date, subject, observed."""
+    """Measure rows: scope, as_of_date, subject, observed; and case, if counts are held against several bases."""
     if scope is not None:
         df = df.withColumn("scope", F.lit(scope))
-    grouped = df.groupBy("scope", F.col(date).alias("as_of_date"), *by).agg(observed.cast("double").alias("observed"))
+    case = [c for c in ("case",) if c in df.columns]
+    grouped = df.groupBy("scope", F.col(date).alias("as_of_date"), *case, *by).agg(observed.cast("double").alias("observed"))
     name = F.lit("all") if subject == "all" else F.col(subject)
-    return grouped.select("scope", "as_of_date", name.cast("string").alias("subject"), "observed")
+    return grouped.select("scope", "as_of_date", *case, name.cast("string").alias("subject"), "observed")
 
 
 def _share(condition: Column) -> Column:
@@ -138,35 +153,133 @@ def by_market(rows: DataFrame) -> DataFrame:
     """What the catalogue checks count, by delivery and market, in one pass over the scoped catalogue: n, n_before (at the delivery
     before), age_days, and of the rows priced now and at the delivery before (n1) those changed and fallen, and of those priced at
     the one before that too (n2) those reverted. A row for each delivery and market, however large the catalogue is.
-
-    Rows with a ``case`` (see rebased()) are compared within it, and only its own delivery is counted.
     """
-    if "case" not in rows.columns:
-        rows = rows.withColumn("case", F.lit(None).cast("date"))
-    w = Window.partitionBy("scope", "case", "object_id").orderBy("as_of_date")
+    w = Window.partitionBy("scope", "object_id").orderBy("as_of_date")
     df = rows.withColumns({f"_{c}{i}": F.lag(c, i).over(w) for c in ("as_of_date", "price_local") for i in (1, 2)})
     p1 = F.when(F.col("_as_of_date1") == F.col("prev_date"), F.col("_price_local1"))
     p2 = F.when((F.col("_as_of_date1") == F.col("prev_date")) & (F.col("_as_of_date2") == F.col("prev2_date")), F.col("_price_local2"))
     df = df.withColumns({"p1": p1, "p2": F.when(p1.isNotNull(), p2)})
     now, a, b = F.col("price_local"), F.col("p1"), F.col("p2")
-    out = df.groupBy("scope", "case", "as_of_date", "prev_date", "market").agg(
+    out = df.groupBy("scope", "as_of_date", "prev_date", "market").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.date_diff("as_of_date", "served_crawl_date")).alias("age_days"),
         F.count_if(now.isNotNull() & a.isNotNull()).alias("n1"), F.count_if(now != a).alias("changed"), F.count_if(now < a).alias("fallen"),
         F.count_if(now.isNotNull() & b.isNotNull()).alias("n2"), F.count_if((now != a) & (now == b)).alias("reverted"),
     )
     # From a few rows for each delivery: the market's row before, if it is of the delivery before.
-    past = Window.partitionBy("scope", "case", "market").orderBy("as_of_date")
-    out = out.withColumn("n_before", F.when(F.lag("as_of_date").over(past) == F.col("prev_date"), F.lag("n").over(past)))
-    return out.filter("case is null or case = as_of_date").drop("case")
+    past = Window.partitionBy("scope", "market").orderBy("as_of_date")
+    return out.withColumn("n_before", F.when(F.lag("as_of_date").over(past) == F.col("prev_date"), F.lag("n").over(past)))
 
 
-def rebased(moved: Mapping[tuple[str, dt.date], tuple[dt.date | None, dt.date | None]], spark) -> DataFrame:
-    """A calendar in which each of these deliveries is held against two others: its own row, and theirs, under one ``case``."""
-    rows = []
-    for (scope, day), base in moved.items():
-        rows.append((scope, day, *base, day))
-        rows += [(scope, d, None, None, day) for d in base if d is not None]
-    return spark.createDataFrame(rows, "scope string, as_of_date date, prev_date date, prev2_date date, case date")
+def dates_of(deliveries: DataFrame) -> list[list[dt.date]]:
+    """Each scope's deliveries in order: a few rows a week, which come to the driver."""
+    days = sorted((r["scope"], r["as_of_date"]) for r in deliveries.select("scope", "as_of_date").distinct().collect())
+    return [[d for s, d in days if s == scope] for scope in SCOPES]
+
+
+def stretches_of_periods(calendar: Calendar, dates: list[list[dt.date]], periods: DataFrame, markets: DataFrame) -> DataFrame:
+    """The catalogue's periods in each scope that their market belongs to, with the numbers of its deliveries that they cover: from
+    first up to past. A delivery is a date with one cutoff, so the calendar must be one staircase.
+    """
+    if len(calendar.days) > 1:
+        raise ValueError("a delivery is a date with one cutoff")
+    days = [dt.date(1970, 1, 1) + dt.timedelta(x) for chain in calendar.days for x in chain]
+    before = constants([[bisect_left(of, d) for d in days] + [len(of)] for of in dates], "array<array<int>>")
+    place = lambda at: F.get(F.get(before, F.col("_s")), F.col(at))
+    both = F.explode(F.when(F.col("is_in_micro_scope"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1))))
+    rows = periods.join(F.broadcast(markets.select("market", "is_in_micro_scope")), "market").withColumn("_s", both)
+    rows = rows.withColumns({"scope": F.get(F.array(*map(F.lit, SCOPES)), F.col("_s")), "first": place("start"), "past": place("end")})
+    return rows.filter("first < past").select("scope", "market", "object_id", "first", "past", "price_local", F.col("presence_crawl_date").alias("served_crawl_date"))
+
+
+def stretches_of_rows(dates: list[list[dt.date]], scoped: DataFrame) -> DataFrame:
+    """Catalogue rows as stretches of one delivery each."""
+    numbered = [(s, d, i, i + 1) for s, of in zip(SCOPES, dates, strict=True) for i, d in enumerate(of)]
+    table = scoped.sparkSession.createDataFrame(numbered, "scope string, as_of_date date, first int, past int")
+    return scoped.join(F.broadcast(table), ["scope", "as_of_date"]).select("scope", "market", "object_id", "first", "past", "price_local", "served_crawl_date")
+
+
+def _by_scope(values: list, kind: str) -> Column:
+    return F.get(constants(values, f"array<{kind}>"), F.when(F.col("scope") == SCOPES[0], 0).otherwise(1))
+
+
+def by_market_of_stretches(dates: list[list[dt.date]], rows: DataFrame) -> DataFrame:
+    """by_market() from stretches: each adds to a few deliveries where a count begins or ends to hold, and the counts are the running
+    sums. Work grows with stretches, not with the deliveries that they last.
+
+    Rows priced at two or three deliveries in a row are chains of priced stretches without a gap; prices change, fall or come back
+    only where one stretch follows another at once.
+    """
+    w = Window.partitionBy("scope", "object_id").orderBy("first")
+    ago = lambda c, i: F.lag(c, i).over(w)
+    rows = rows.withColumns(
+        {"_f1": ago("first", 1), "_e1": ago("past", 1), "_p1": ago("price_local", 1), "_e2": ago("past", 2), "_p2": ago("price_local", 2)}
+    )
+    p, one, two = F.col("price_local"), F.col("_p1"), F.col("_p2")
+    follows = F.coalesce(F.col("_e1") == F.col("first"), F.lit(False)) & one.isNotNull() & p.isNotNull()
+    brief = follows & (F.col("_e1") - F.col("_f1") == 1)
+    again = brief & F.coalesce(F.col("_e2") == F.col("_f1"), F.lit(False)) & two.isNotNull()
+    run = F.when(~follows, 0).when(brief & ~again, 1).otherwise(2)  # deliveries priced just before, as far as they matter
+    counts = ("n", "n1", "n2", "changed", "fallen", "reverted")
+    event = lambda at, **x: F.struct(at.cast("int").alias("at"), *[x.get(c, F.lit(0)).cast("int").alias(c) for c in counts])
+    first, past, yes, no = F.col("first"), F.col("past"), F.lit(1), F.lit(-1)
+    begins1, begins2 = first + F.greatest(F.lit(0), 1 - run), first + F.greatest(F.lit(0), 2 - run)
+    held = lambda since: p.isNotNull() & (since < past)
+    turn = lambda what: F.when(follows & what, 1).otherwise(0)
+    events = F.array_compact(
+        F.array(
+            event(first, n=yes, changed=turn(p != one), fallen=turn(p < one), reverted=F.when(again & (p != one) & (p == two), 1).otherwise(0)),
+            F.when(held(begins1), event(begins1, n1=yes)),
+            F.when(held(begins2), event(begins2, n2=yes)),
+            event(past, n=no, n1=F.when(held(begins1), -1).otherwise(0), n2=F.when(held(begins2), -1).otherwise(0)),
+        )
+    )
+    sums = rows.select("scope", "market", F.explode(events).alias("_e")).groupBy("scope", "market", F.col("_e.at").alias("at"))
+    sums = sums.agg(*[F.sum(f"_e.{c}").alias(c) for c in counts])
+    # From here on there is a row for each market and delivery at most.
+    w = Window.partitionBy("scope", "market").orderBy("at")
+    held_so_far = {c: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) for c in counts[:3]}
+    until = F.coalesce(F.lead("at").over(w), _by_scope([len(x) for x in dates], "int"))
+    out = sums.withColumns(held_so_far | {"_until": until}).filter("_until > at").withColumn("_at", F.explode(F.sequence("at", F.col("_until") - 1)))
+    out = out.withColumns({c: F.when(F.col("_at") == F.col("at"), F.col(c)).otherwise(0) for c in counts[3:]}).filter("n > 0")
+    day = lambda at: F.to_date(F.get(_by_scope([[str(d) for d in x] for x in dates], "array<string>"), at))
+    served = rows.groupBy("scope", "market", "first", "past").agg(F.min("served_crawl_date").alias("_served"))
+    served = served.withColumn("_at", F.explode(F.sequence("first", F.col("past") - 1))).groupBy("scope", "market", "_at").agg(F.min("_served").alias("_served"))
+    out = out.join(served, ["scope", "market", "_at"])
+    past_w = Window.partitionBy("scope", "market").orderBy("_at")
+    n_before = F.when(F.lag("_at").over(past_w) == F.col("_at") - 1, F.lag("n").over(past_w))
+    dated = {"as_of_date": day(F.col("_at")), "prev_date": F.when(F.col("_at") > 0, day(F.col("_at") - 1)), "n_before": n_before}
+    out = out.withColumns(dated).withColumn("age_days", F.date_diff("as_of_date", "_served"))
+    return out.select("scope", "as_of_date", "prev_date", "market", "n", "age_days", "n1", "changed", "fallen", "n2", "reverted", "n_before")
+
+
+def by_market_against(dates: list[list[dt.date]], rows: DataFrame, bases: DataFrame) -> DataFrame:
+    """by_market() of deliveries held against others than the two before them, from stretches, with the column case.
+
+    ``bases`` has case, scope, as_of_date, prev_date and prev2_date (nulls: none), any number of rows for a delivery; like the calendar
+    it is small. A stretch meets the cases whose delivery or base it covers, and an object's rows of a case meet in one sum.
+    """
+    number = {(scope, d): i for scope, of in zip(SCOPES, dates, strict=True) for i, d in enumerate(of)}
+    spots = [(r["scope"], number[r["scope"], d], r["case"], k) for r in bases.collect() for k, d in enumerate((r["as_of_date"], r["prev_date"], r["prev2_date"])) if d is not None]
+    wanted = [sorted({at for s, at, _, _ in spots if s == scope}) for scope in SCOPES]
+    before = [[bisect_left(w, i) for i in range(len(of) + 1)] for w, of in zip(wanted, dates, strict=True)]
+    place = lambda at: F.get(_by_scope(before, "array<int>"), F.col(at))
+    covered = rows.withColumns({"_a": place("first"), "_b": place("past")}).filter("_a < _b").withColumn("_i", F.explode(F.sequence("_a", F.col("_b") - 1)))
+    covered = covered.withColumn("at", F.get(_by_scope(wanted, "array<int>"), F.col("_i")))
+    table = rows.sparkSession.createDataFrame(spots, "scope string, at int, case int, k int")
+    hit = covered.join(F.broadcast(table), ["scope", "at"])
+    at = lambda k, c: F.max(F.when(F.col("k") == k, F.col(c)))
+    one = hit.groupBy("scope", "case", "object_id").agg(
+        at(0, "market").alias("market"), at(1, "market").alias("market1"), at(0, "price_local").alias("p"), at(1, "price_local").alias("p1"), at(2, "price_local").alias("p2"), at(0, "served_crawl_date").alias("served")
+    )
+    p, a, b = F.col("p"), F.col("p1"), F.when(F.col("p1").isNotNull(), F.col("p2"))
+    sums = one.withColumn("market", F.coalesce("market", "market1")).filter("market is not null").groupBy("scope", "case", "market").agg(
+        F.count(F.when(F.col("served").isNotNull(), 1)).alias("n"), F.count("market1").alias("n_before"), F.min("served").alias("_served"),
+        F.count_if(p.isNotNull() & a.isNotNull()).alias("n1"), F.count_if(p != a).alias("changed"), F.count_if(p < a).alias("fallen"),
+        F.count_if(p.isNotNull() & b.isNotNull()).alias("n2"), F.count_if((p != a) & (p == b)).alias("reverted"),
+    )
+    out = sums.filter("n > 0").join(F.broadcast(bases.drop("scope")), "case")
+    out = out.withColumns({"n_before": F.nullif(F.col("n_before"), F.lit(0)), "age_days": F.date_diff("as_of_date", "_served")})
+    return out.select("scope", "case", "as_of_date", "prev_date", "market", "n", "age_days", "n1", "changed", "fallen", "n2", "reverted", "n_before")
 
 
 def _of_pairs(ctx: Context, subject: str | Column, top: str, bottom: str, by: Sequence[str] = ()) -> DataFrame:
@@ -189,7 +302,8 @@ def market_coverage(ctx: Context) -> DataFrame:
 
 def product_count_change(ctx: Context) -> DataFrame:
     change = F.try_divide(F.col("n").cast("double"), F.col("n_before")) - 1
-    return ctx.markets_of.select("scope", "as_of_date", F.col("market").alias("subject"), change.alias("observed"))
+    case = [c for c in ("case",) if c in ctx.markets_of.columns]
+    return ctx.markets_of.select("scope", "as_of_date", *case, F.col("market").alias("subject"), change.alias("observed"))
 
 
 def price_reversion_share(ctx: Context) -> DataFrame:
@@ -262,10 +376,10 @@ _MARTS = ("marts",)
 CHECKS: tuple[Check, ...] = (
     Check("served_crawl_age_days", "timeliness", "block", served_crawl_age_days, {"micro": Rules(warn_above=7, fail_above=14), "macro": Rules(warn_above=10, fail_above=35)}),
     Check("market_coverage", "completeness", "block", market_coverage, Rules(fail_below=1.0)),
-    Check("product_count_change", "completeness", "block", product_count_change, Rules(warn_below=-0.05, fail_below=-0.20, warn_above=0.20)),
-    Check("price_reversion_share", "plausibility", "block", price_reversion_share, Rules(warn_above=0.01, fail_above=0.05)),
-    Check("price_decrease_share", "plausibility", "block", price_decrease_share, Rules(warn_above=0.02, fail_above=0.10)),
-    Check("price_change_share_anomaly", "plausibility", "warn", price_change_share_anomaly, Rules(anomaly=Anomaly(6, 3, 4, 0.02))),
+    Check("product_count_change", "completeness", "block", product_count_change, Rules(warn_below=-0.05, fail_below=-0.20, warn_above=0.20), compares=True),
+    Check("price_reversion_share", "plausibility", "block", price_reversion_share, Rules(warn_above=0.01, fail_above=0.05), compares=True),
+    Check("price_decrease_share", "plausibility", "block", price_decrease_share, Rules(warn_above=0.02, fail_above=0.10), compares=True),
+    Check("price_change_share_anomaly", "plausibility", "warn", price_change_share_anomaly, Rules(anomaly=Anomaly(6, 3, 4, 0.02)), compares=True),
     Check("hero_grid_complete", "completeness", "block", hero_grid_complete, Rules(fail_below=1.0), ("micro",), _MARTS),
     Check("hero_price_coverage", "completeness", "block", hero_price_coverage, Rules(warn_below=0.98, fail_below=0.90), ("micro",), _MARTS),
     Check("hero_stale_share", "timeliness", "block", hero_stale_share, Rules(warn_above=0.0, fail_above=0.5), ("micro",), _MARTS),
@@ -284,7 +398,7 @@ def measure(checks: Sequence[Check], ctx: Context) -> DataFrame:
     """Every check over the whole calendar, once: check_id, scope, as_of_date, subject, observed."""
     out = None
     for c in checks:
-        m = c.measure(ctx).filter(F.col("scope").isin(*c.scopes)).select(F.lit(c.id).alias("check_id"), "scope", "as_of_date", "subject", "observed")
+        m = c.measure(ctx).filter(F.col("scope").isin(*c.scopes)).withColumn("check_id", F.lit(c.id))
         out = m if out is None else out.unionByName(m)
     return out
 
@@ -322,29 +436,31 @@ def with_missing(measures: DataFrame, deliveries: DataFrame, rules: DataFrame) -
 def anomaly(measures: DataFrame, checks: Sequence[Check], accepted: DataFrame | None = None, lesson: str = "observed") -> DataFrame:
     """Measures with usual (mean of the last accepted values) and is_anomaly, by each check's own window.
 
-    ``accepted`` lists deliveries (scope, as_of_date) to learn from; without it all are. What is learnt is the column ``lesson``.
+    ``accepted`` lists deliveries (scope, as_of_date) to learn from; without it all are. What is learnt is the column ``lesson``. Values
+    to learn from have windows of their own, bounded by their number, and a delivery takes what the last of them before it found, so
+    that the work grows with the deliveries alone.
     """
     known = F.lit(True) if accepted is None else F.coalesce(F.col("_accepted"), F.lit(False))
     if accepted is not None:
         measures = measures.join(F.broadcast(accepted.select("scope", "as_of_date").distinct().withColumn("_accepted", F.lit(True))), ["scope", "as_of_date"], "left")
-    # Values to learn from are gathered in order, so that a window counts them and not the rows between.
-    w = Window.partitionBy("check_id", "scope", "subject").orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, -1)
-    learn = F.when(known & F.col(lesson).isNotNull(), F.col(lesson))
-    df = measures.withColumn("_past", F.collect_list(learn).over(w))
+    series = ["check_id", "scope", "subject"]
+    df = measures.withColumn("_learn", known & F.col(lesson).isNotNull() & ~F.isnan(lesson))
+    among = Window.partitionBy(*series, "_learn").orderBy("as_of_date")
+    past = Window.partitionBy(*series).orderBy("as_of_date").rowsBetween(Window.unboundedPreceding, -1)
+    rules = {(c.id, s): c.rules_for(s).anomaly for c in checks for s in c.scopes if c.rules_for(s).anomaly}
+    for n in sorted({a.window for a in rules.values()}):
+        last = among.rowsBetween(1 - n, Window.currentRow)
+        stats = F.struct(F.avg(lesson).over(last).alias("mean"), F.stddev_pop(lesson).over(last).alias("spread"), F.count(lesson).over(last).alias("n"))
+        df = df.withColumn(f"_s{n}", F.when(F.col("_learn"), stats))
+    df = df.withColumns({f"_s{n}": F.last(f"_s{n}", ignorenulls=True).over(past) for n in sorted({a.window for a in rules.values()})})
     usual, flag = F.lit(None).cast("double"), F.lit(False)
-    for c in checks:
-        for s in c.scopes:
-            a = c.rules_for(s).anomaly
-            if a:
-                mine = (F.col("check_id") == c.id) & (F.col("scope") == s)
-                past = F.slice("_past", F.greatest(F.size("_past") - a.window + 1, F.lit(1)), F.lit(a.window))
-                n = F.size(past)
-                mean = F.try_divide(F.aggregate(past, F.lit(0.0), lambda x, y: x + y), n)
-                var = F.try_divide(F.aggregate(F.transform(past, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda x, y: x + y), n)
-                limit = mean + a.z * F.greatest(F.sqrt(var), F.lit(MIN_SPREAD))
-                hit = (n >= a.min_history) & (F.col("observed") > limit) & (F.col("observed") > a.min_value)
-                usual, flag = F.when(mine, mean).otherwise(usual), F.when(mine, F.coalesce(hit, F.lit(False))).otherwise(flag)
-    return df.withColumns({"usual": usual, "is_anomaly": flag}).drop("_past", "_accepted")
+    for (check, scope), a in rules.items():
+        mine = (F.col("check_id") == check) & (F.col("scope") == scope)
+        seen = F.col(f"_s{a.window}")
+        limit = seen["mean"] + a.z * F.greatest(seen["spread"], F.lit(MIN_SPREAD))
+        hit = (seen["n"] >= a.min_history) & (F.col("observed") > limit) & (F.col("observed") > a.min_value)
+        usual, flag = F.when(mine, seen["mean"]).otherwise(usual), F.when(mine, F.coalesce(hit, F.lit(False))).otherwise(flag)
+    return df.withColumns({"usual": usual, "is_anomaly": flag}).drop("_learn", "_accepted", *[f"_s{a.window}" for a in rules.values()])
 
 
 def _shown(c: Column) -> Column:
@@ -368,7 +484,7 @@ def evaluate(measures: DataFrame, rules: DataFrame) -> DataFrame:
         .when(odd, F.concat(label, F.lit(", where earlier deliveries had about "), _shown(F.col("usual")) if "usual" in df.columns else F.lit("less")))
         .otherwise(label)
     )
-    return df.withColumns({"status": status, "message": message}).select("check_id", "dimension", "severity", "scope", "as_of_date", "subject", "observed", "warn_rule", "fail_rule", "status", "message")
+    return df.withColumns({"status": status, "message": message}).select("check_id", "dimension", "severity", "scope", "as_of_date", "subject", "observed", "warn_rule", "fail_rule", "status", "message", *[c for c in ("case",) if c in df.columns])
 
 
 def decide(results: DataFrame, keys: Sequence[str] = ("scope", "as_of_date")) -> DataFrame:
@@ -380,64 +496,103 @@ def decide(results: DataFrame, keys: Sequence[str] = ("scope", "as_of_date")) ->
 
 @dataclass
 class Audit:
-    """Judging deliveries, each against the last ones before it that were accepted."""
+    """Judging deliveries in order, each against the last ones before it that were accepted.
+
+    Whether a delivery is blocked depends on earlier verdicts only through the two deliveries that it is held against, so the audit is
+    one pass over verdicts by base. Those for the calendar's own bases are measured first, all at once. A base that isn't known yet is
+    measured together with what is likely to be asked next: the same distances back for every delivery, and the same base for every later
+    one. A run of blocked deliveries keeps its base, and verdicts that take turns keep their distances, so new measures are few.
+    """
 
     checks: Sequence[Check]
     context: Callable[[DataFrame], Context]
     results: DataFrame | None = None
     decisions: dict[tuple[str, dt.date], str] = field(default_factory=dict)
+    #: Bases measured besides the calendar's, and the jobs that it took.
+    bases: dict[tuple, int] = field(default_factory=dict)
+    jobs: int = 0
 
     def run(self, calendar: DataFrame, targets: Sequence[tuple[str, dt.date]], released: set[tuple[str, dt.date]]) -> None:
-        """All targets are judged at once against the deliveries before them; those whose predecessors were not accepted are then
-        measured again, together, against the ones that were, until no verdict changes what another is held against.
-
-        A round is one Spark job over the deliveries that moved; the calendar and the verdicts, a few rows a week, come to the driver.
-        """
+        """Verdicts come to the driver by delivery and base; measures and results stay in tables."""
         spark = calendar.sparkSession
-        days = sorted((r["scope"], r["as_of_date"], r["prev_date"], r["prev2_date"]) for r in calendar.collect())
         wanted, rules = set(targets), rule_table(spark, self.checks)
         if not wanted:
             return
+        ctx = self.context(calendar)
+        days = sorted((r["scope"], r["as_of_date"], r["prev_date"], r["prev2_date"]) for r in calendar.collect())
+        order = {scope: [d for s, d, *_ in days if s == scope] for scope in SCOPES}
+        usual = {(s, d): (a, b) for s, d, a, b in days}
+        everything = materialise(measure(self.checks, ctx), "measures")
+        failed = evaluate(everything, rules).filter("status = 'fail' and severity = 'block'").select("scope", "as_of_date", F.col("check_id").isin([c.id for c in self.checks if c.compares]).alias("compares"))
+        fails = {tuple(r) for r in failed.distinct().collect()}
+        blocked = {(s, d, *base): (s, d, True) in fails for (s, d), base in usual.items()}
+        tables: list[DataFrame] = []
+
+        accepted, bases = set(released), {}
+        for scope, of in order.items():
+            good = []
+            for i, day in enumerate(of):
+                base = (good[-1] if good else None, good[-2] if len(good) > 1 else None)
+                if (scope, day) in wanted:
+                    bases[scope, day] = base
+                    if (scope, day, False) not in fails and base != (None, None) and (scope, day, *base) not in blocked:
+                        tables.append(self._measured(ctx, self._likely(scope, of, i, base, blocked), rules, blocked))
+                    if (scope, day, False) not in fails and not blocked.get((scope, day, *base), False):
+                        accepted.add((scope, day))
+                if (scope, day) in accepted:
+                    good.append(day)
+        moved = {k: base for k, base in bases.items() if base != usual[k]}
+        lacking = [(s, d, *base) for (s, d), base in moved.items() if (s, d, *base) not in self.bases]
+        if lacking:
+            tables.append(self._measured(ctx, lacking, rules, blocked))
+        self._record(spark, calendar, everything, tables, rules, wanted, usual, moved, accepted)
+
+    @staticmethod
+    def _likely(scope: str, of: list[dt.date], i: int, base: tuple, blocked: Mapping) -> list[tuple]:
+        back = [None if b is None else i - of.index(b) for b in base]
+        out = [(scope, d, *base) for d in of[i:]]
+        out += [(scope, d, *[None if n is None else of[k - n] for n in back]) for k, d in enumerate(of) if k > i and all(n is None or n <= k for n in back)]
+        return [x for x in dict.fromkeys(out) if x not in blocked]
+
+    def _measured(self, ctx: Context, asked: list[tuple], rules: DataFrame, blocked: dict) -> DataFrame:
+        """Measures of these deliveries against these bases, written, with the column case; ``blocked`` gets their verdicts."""
+        spark, first = rules.sparkSession, len(self.bases)
+        self.bases |= {x: first + n for n, x in enumerate(asked)}
+        rows = [(self.bases[x], *x) for x in asked]
+        cases = spark.createDataFrame(rows, "case int, scope string, as_of_date date, prev_date date, prev2_date date")
+        out = materialise(measure([c for c in self.checks if c.compares], ctx.against(cases)), "against")
+        bad = {r["case"] for r in evaluate(out, rules).filter("status = 'fail' and severity = 'block'").select("case").distinct().collect()}
+        blocked |= {x: self.bases[x] in bad for x in asked}
+        self.jobs += 1
+        return out
+
+    def _record(self, spark, calendar: DataFrame, everything: DataFrame, tables: Sequence[DataFrame], rules: DataFrame, wanted: set, usual: Mapping, moved: Mapping, accepted: set) -> None:
+        """Results of the targets under their final bases, with what anomalies learn from accepted deliveries."""
         keys = ["check_id", "scope", "as_of_date", "subject"]
-        everything = materialise(measure(self.checks, self.context(calendar)), "measures")
         chosen = F.broadcast(spark.createDataFrame(sorted(wanted), "scope string, as_of_date date"))
-        moved: dict = {}
-        while True:
-            now = everything.join(chosen, ["scope", "as_of_date"], "left_semi")
-            if moved:
-                case = F.broadcast(spark.createDataFrame(sorted(moved), "scope string, as_of_date date"))
-                again = measure(self.checks, self.context(rebased(moved, spark))).join(case, ["scope", "as_of_date"], "left_semi")
-                now = now.join(case, ["scope", "as_of_date"], "left_anti").unionByName(again)
-            now = with_missing(now, chosen, rules).withColumn("_judged", F.lit(True))
-            rows = now.join(everything.withColumnRenamed("observed", "_lesson"), keys, "full")
-            accepted = released | {k for k, v in self.decisions.items() if v != "BLOCK"} if self.decisions else {(s, d) for s, d, *_ in days}
-            known = spark.createDataFrame(sorted(accepted), "scope string, as_of_date date")
-            out = evaluate(anomaly(rows, self.checks, known, "_lesson").filter("_judged"), rules)
-            if moved:
-                out = out.join(F.broadcast(self._notes(spark, days, moved)), ["scope", "as_of_date"], "left")
-                out = out.withColumn("message", F.when((F.col("status") == "skip") | F.col("note").isNull(), F.col("message")).otherwise(F.concat("message", "note"))).drop("note")
-            out = materialise(out, "judged")
-            before = (self.decisions, moved)
-            self.results, self.decisions = out, {(r["scope"], r["as_of_date"]): r["decision"] for r in decide(out).collect()}
-            accepted = released | {k for k, v in self.decisions.items() if v != "BLOCK"}
-            moved = {}
-            for scope, day, *base in days:
-                good = [None, None, *(d for s, d, *_ in days if s == scope and d < day and (s, d) in accepted)]
-                if (scope, day) in wanted and base[0] is not None and (good[-1], good[-2]) != tuple(base):
-                    moved[scope, day] = (good[-1], good[-2])
-            if (self.decisions, moved) == before or (not before[0] and not moved and not self._anomalies()):
-                return
-
-    def _anomalies(self) -> bool:
-        return any(c.rules_for(s).anomaly for c in self.checks for s in c.scopes)
+        now = everything.join(chosen, ["scope", "as_of_date"], "left_semi").select(*keys, "observed")
+        if moved:
+            where = F.broadcast(spark.createDataFrame([(s, d, self.bases[s, d, *base]) for (s, d), base in moved.items()], "scope string, as_of_date date, case int"))
+            compared = [c.id for c in self.checks if c.compares]
+            now = now.join(where, ["scope", "as_of_date"], "left_anti").unionByName(now.filter(~F.col("check_id").isin(compared)).join(where, ["scope", "as_of_date"], "left_semi"))
+            for t in tables:
+                now = now.unionByName(t.join(where, ["scope", "as_of_date", "case"], "left_semi").select(*keys, "observed"))
+        now = with_missing(materialise(now, "held"), chosen, rules).withColumn("_judged", F.lit(True))
+        rows = now.join(everything.select(*keys, F.col("observed").alias("_lesson")), keys, "full")
+        known = spark.createDataFrame(sorted(accepted), "scope string, as_of_date date")
+        out = evaluate(anomaly(rows, self.checks, known, "_lesson").filter("_judged"), rules)
+        if moved:
+            out = out.join(F.broadcast(self._notes(spark, usual, moved)), ["scope", "as_of_date"], "left")
+            out = out.withColumn("message", F.when((F.col("status") == "skip") | F.col("note").isNull(), F.col("message")).otherwise(F.concat("message", "note"))).drop("note")
+        self.results = materialise(out, "judged")
+        self.decisions = {(r["scope"], r["as_of_date"]): r["decision"] for r in decide(self.results).collect()}
 
     @staticmethod
-    def _notes(spark, days: Sequence[tuple], moved: Mapping) -> DataFrame:
+    def _notes(spark, usual: Mapping, moved: Mapping) -> DataFrame:
         rows = []
-        for scope, day, *base in days:
-            if (scope, day) in moved:
-                passed = ", ".join(str(d) for d in sorted(set(base) - set(moved[scope, day]) - {None}))
-                rows.append((scope, day, f" (held against {moved[scope, day][0]}, as these were not accepted: {passed})"))
+        for (scope, day), base in moved.items():
+            passed = ", ".join(str(d) for d in sorted(set(usual[scope, day]) - set(base) - {None}))
+            rows.append((scope, day, f" (held against {base[0]}, as these were not accepted: {passed})"))
         return spark.createDataFrame(rows, "scope string, as_of_date date, note string")
 
 

@@ -78,14 +78,15 @@ def previous_valid(value: str, partition: Sequence[str], order: str):
     return F.last(value, ignorenulls=True).over(w)
 
 
-def micro_weekly(dates: DataFrame, pointers: DataFrame, markets: DataFrame, catalogue: DataFrame, unreadable: DataFrame, stale_days: int = 7) -> DataFrame:
+def micro_weekly(dates: DataFrame, pointers: DataFrame, markets: DataFrame, catalogue: DataFrame, unreadable: DataFrame, stale_days: int = 7, served: DataFrame | None = None) -> DataFrame:
     """A row for each date, watched product and market, with price, change and a status for every case (MICRO_WEEKLY).
 
-    Dates without any served crawl in a market stay in the grid as not_found.
+    Dates without any served crawl in a market stay in the grid as not_found. With ``served`` (see served_batches()) the catalogue need
+    hold watched products only.
     """
     grid = full_grid(pointers.select("pointer_id", "sku", "product_label"), dates.select("as_of_date"), markets.select("market", "currency_code"))
     cells = catalogue.select("as_of_date", "market", "sku", "object_id", "presence_crawl_date", "has_price", "price_local", "price_crawl_date", "is_price_carried_forward")
-    served = served_batches(catalogue).withColumnRenamed("presence_crawl_date", "_served")
+    served = (served_batches(catalogue) if served is None else served).withColumnRenamed("presence_crawl_date", "_served")
     errors = unreadable.select(F.col("market_batch_id").alias("presence_batch_id"), "sku").withColumn("_error", F.lit(True))
     df = grid.join(cells, ["as_of_date", "market", "sku"], "left").join(served, ["as_of_date", "market"], "left").join(errors, ["presence_batch_id", "sku"], "left")
     df = df.withColumns(

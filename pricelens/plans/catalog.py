@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,11 +59,17 @@ def _readings(spark, sf):
     return r, materialise(a.batches(spark, sf, r), "batches")
 
 
-def _catalogue(spark, sf, made=None):
+def _catalogue_parts(spark, sf, made=None):
+    """Dates, their calendar, and the catalogue as periods."""
     r, batches = _readings(spark, sf) if made is None else made
     dates = asof.as_of_dates(batches.filter("is_trusted_delivery"), "crawl_date")
-    classified = a.classified(spark, sf, r, batches)
-    return asof.catalogue_as_of(dates, batches, classified, classify.accepted(classified))
+    calendar, classified = asof.Calendar.of(dates), a.classified(spark, sf, r, batches)
+    return dates, calendar, asof.catalogue_periods(calendar, batches, classified, classify.accepted(classified))
+
+
+def _catalogue(spark, sf, made=None):
+    dates, calendar, periods = _catalogue_parts(spark, sf, made)
+    return asof.catalogue_rows(calendar, periods, dates)
 
 
 def _replay(spark, sf, made):
@@ -275,12 +282,18 @@ def like_for_like(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in ("lfl_mean_change", "lfl_ratio_of_means", "lfl_share_increased")})
 
 
-def _micro(spark, sf, catalogue=None, made=None):
+def _micro(spark, sf, parts=None, made=None):
+    """The weekly grid; of the catalogue it needs the watched products by date, and by market which batch is served when."""
     made = _readings(spark, sf) if made is None else made
-    catalogue = _catalogue(spark, sf, made) if catalogue is None else catalogue
-    dates = asof.as_of_dates(made[1].filter("is_trusted_delivery"), "crawl_date").filter("is_micro_date")
+    days, axis, periods = _catalogue_parts(spark, sf, made) if parts is None else parts
+    if parts is None:
+        periods = materialise(periods, "periods")
+    watched = a.pointers(spark, sf)
+    cells = asof.catalogue_rows(axis, periods.join(watched.select("sku").distinct(), "sku", "left_semi"), days)
+    served = asof.expanded(axis, periods.select("chain", "start", "end", "market", "presence_batch_id", "presence_crawl_date").distinct())
+    served = served.select("as_of_date", "market", "presence_batch_id", "presence_crawl_date").distinct()
     market = marts.dim_market(a.markets(spark, sf)).filter("is_in_micro_scope")
-    out = marts.micro_weekly(dates, a.pointers(spark, sf), market, catalogue, marts.unreadable_pages(a.classified(spark, sf, *made)))
+    out = marts.micro_weekly(days.filter("is_micro_date"), watched, market, cells, marts.unreadable_pages(a.classified(spark, sf, *made)), served=served)
     return published.enforce_contract(out, marts.MICRO_WEEKLY)
 
 
@@ -304,20 +317,28 @@ def hero_moves(spark, sf):
 # ---- gate -------------------------------------------------------------------------------------------------------------------------
 
 
-def _context(spark, sf, replay=False, audit=False):
-    """What the checks measure. What several of them read is written once: its lineage is long, and each would run it again."""
+def _context(spark, sf, replay=False, audit=False, rows=False):
+    """What the checks measure. What several of them read is written once: its lineage is long, and each would run it again.
+
+    The catalogue stays in periods, but for the watched products and, with ``rows``, for what reads it by date.
+    """
     made = _readings(spark, sf)
     market = marts.dim_market(a.markets(spark, sf))
-    whole = materialise(_catalogue(spark, sf, made), "catalogue")
-    catalogue = _replay(spark, sf, made).withColumnRenamed("legacy_crawl_date", "served_crawl_date") if replay else whole.withColumnRenamed("presence_crawl_date", "served_crawl_date")
-    days = materialise(asof.as_of_dates(made[1].filter("is_trusted_delivery"), "crawl_date"), "dates")
+    days, axis, periods = _catalogue_parts(spark, sf, made)
+    days, periods = materialise(days, "dates"), materialise(periods, "periods")
     deliveries = days.filter("is_micro_date").select(F.lit("micro").alias("scope"), "as_of_date").union(days.filter("is_macro_date").select(F.lit("macro").alias("scope"), "as_of_date"))
     calendar = materialise(gate.delivery_calendar(deliveries), "calendar")
-    monthly, micro = materialise(_monthly(spark, sf), "monthly"), materialise(_micro(spark, sf, whole, made), "micro")
+    monthly = materialise(_monthly(spark, sf), "monthly")
+    micro = materialise(_micro(spark, sf, (days, axis, periods), made), "micro")
 
     def context(calendar):
-        rows = gate.scoped(calendar, catalogue, market)
-        return gate.Context(calendar, rows, market, micro, monthly, marts.macro_global(monthly), materialise(gate.by_market(rows), "counted"))
+        whole, dates = gate.Context(calendar, None, market, micro, monthly, marts.macro_global(monthly)), gate.dates_of(calendar)
+        if replay:
+            by_date = gate.scoped(calendar, _replay(spark, sf, made).withColumnRenamed("legacy_crawl_date", "served_crawl_date"), market)
+            return dataclasses.replace(whole, scoped=by_date, counted=materialise(gate.by_market(by_date), "counted"))
+        stretches = gate.stretches_of_periods(axis, dates, periods, market)
+        by_date = gate.scoped(calendar, asof.catalogue_rows(axis, periods, days).withColumnRenamed("presence_crawl_date", "served_crawl_date"), market) if rows else None
+        return dataclasses.replace(whole, scoped=by_date, stretches=stretches, counted=materialise(gate.by_market_of_stretches(dates, stretches), "counted"))
 
     return (calendar, context) if audit else context(calendar)
 
@@ -625,7 +646,7 @@ SELECT x.scope, x.as_of_date, x.market, x.crawl AS crawl_now, y.crawl AS crawl_p
 FROM sv x LEFT JOIN sv y ON (y.scope, y.market, y.k + 1) = (x.scope, x.market, x.k) LEFT JOIN sv z ON (z.scope, z.market, z.k + 2) = (x.scope, x.market, x.k))"""
 )
 def reversion_evidence(spark, sf):
-    ctx = _context(spark, sf)
+    ctx = _context(spark, sf, rows=True)
     return triage.explain_reversion(ctx.scoped, ctx.deliveries).select("scope", "as_of_date", "market", "crawl_now", "crawl_previous", "crawl_two_before", "is_older_than_last_time")
 
 

@@ -168,7 +168,7 @@ def stale_evidence(spark, sf):
     none = F.array().cast("array<string>")
     files = b.groupBy("source_file_name").agg(F.min("crawl_date").alias("content_crawl_date"), F.collect_set(F.when(F.col("is_partial"), F.col("market"))).alias("partial_markets"))
     files = files.withColumns({"delivered_file_name": F.col("source_file_name"), "file_crawl_date": F.trunc("content_crawl_date", "MM"), "missing_markets": none, "is_stale_content": F.lit(False), "is_duplicate_content": F.lit(False)})
-    ctx = catalog._context(spark, sf)
+    ctx = catalog._context(spark, sf, rows=True)
     late = catalog._judged(spark, sf).filter("check_id = 'served_crawl_age_days' and status in ('warn', 'fail')")
     return triage.explain_stale(ctx.scoped, files, late)
 
