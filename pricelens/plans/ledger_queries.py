@@ -64,7 +64,42 @@ def published_products(spark, sf):
 # ---- audits and releases --------------------------------------------------------------------------------------------------------
 
 
-@query()
+_BESIDE = """
+  LEFT JOIN shelf x ON (x.scope, x.k) = (n.scope, n.k) LEFT JOIN shelf y ON (y.scope, y.k, y.object_id) = (n.scope, n.b1, x.object_id)
+  LEFT JOIN shelf z ON (z.scope, z.k, z.object_id) = (n.scope, n.b2, x.object_id) AND y.p IS NOT NULL LEFT JOIN sizes s ON (s.scope, s.k, s.market) = (n.scope, n.b1, x.market)"""
+_SHARES = """count(x.object_id)::DOUBLE / any_value(s.n) - 1 AS product_count_change, count(*) FILTER (x.p <> y.p AND x.p = z.p)::DOUBLE / nullif(count(x.p + z.p), 0) AS price_reversion_share,
+  count(*) FILTER (x.p < y.p)::DOUBLE / nullif(count(x.p + y.p), 0) AS price_decrease_share"""
+_COMPARED = "('product_count_change', 'price_reversion_share', 'price_decrease_share', 'price_change_share_anomaly')"
+# One delivery after the other: what it is held against are the last two before it that weren't blocked (0: none).
+_AUDITED = catalog._SCOPED.replace("WITH cal2", "WITH RECURSIVE cal2", 1) + f""",
+sizes AS (SELECT scope, k, market, count(*) AS n FROM shelf GROUP BY ALL),
+rl AS ({catalog._rules_sql()}),
+fixed AS (SELECT c.scope, c.k, coalesce(bool_or(severity = 'block' AND (observed > fa OR observed < fb)), false) AS fixed
+  FROM cal2 c LEFT JOIN m ON (m.scope, m.as_of_date) = (c.scope, c.as_of_date) AND check_id NOT IN {_COMPARED} LEFT JOIN rl ON (rl.check_id, rl.scope) = (m.check_id, m.scope) GROUP BY c.scope, c.k),
+audit(scope, k, b1, b2, blocked) AS (
+  SELECT scope, 0::BIGINT, 0::BIGINT, 0::BIGINT, true FROM (VALUES ('micro'), ('macro')) v(scope) UNION ALL
+  SELECT scope, k, b1, b2, any_value(fixed) OR coalesce(bool_or(product_count_change < -0.20 OR price_reversion_share > 0.05 OR price_decrease_share > 0.10), false) FROM (
+    SELECT n.scope, n.k, n.b1, n.b2, any_value(n.fixed) AS fixed, {_SHARES}
+    FROM (SELECT a.scope, f.k, CASE WHEN blocked THEN b1 ELSE a.k END AS b1, CASE WHEN blocked THEN b2 ELSE b1 END AS b2, f.fixed FROM audit a JOIN fixed f ON f.scope = a.scope AND f.k = a.k + 1) n {_BESIDE}
+    GROUP BY n.scope, n.k, n.b1, n.b2, x.market) GROUP BY scope, k, b1, b2),
+held AS (SELECT check_id, scope, as_of_date, subject, observed FROM m WHERE check_id NOT IN {_COMPARED}
+  UNION ALL SELECT check_id, scope, as_of_date, market, observed FROM (
+    SELECT n.scope, any_value(x.as_of_date) AS as_of_date, x.market, {_SHARES} FROM audit n {_BESIDE} WHERE x.market IS NOT NULL GROUP BY n.scope, n.k, x.market)
+  UNPIVOT (observed FOR check_id IN (product_count_change, price_reversion_share, price_decrease_share))
+  UNION ALL SELECT 'price_change_share_anomaly', n.scope, x.as_of_date, 'all', count(*) FILTER (x.p <> y.p)::DOUBLE / nullif(count(x.p + y.p), 0) FROM audit n {_BESIDE} WHERE x.market IS NOT NULL GROUP BY n.scope, x.as_of_date),
+passed AS (SELECT scope, as_of_date FROM audit JOIN cal2 USING (scope, k) WHERE NOT blocked),
+learnt AS (SELECT h.check_id, h.scope, h.as_of_date, list(p.observed ORDER BY p.as_of_date DESC)[1:6] AS w
+  FROM held h JOIN (SELECT * FROM m JOIN passed USING (scope, as_of_date) WHERE observed IS NOT NULL) p ON (p.check_id, p.scope, p.subject) = (h.check_id, h.scope, h.subject) AND p.as_of_date < h.as_of_date
+  WHERE h.check_id = 'price_change_share_anomaly' GROUP BY ALL),
+status AS (SELECT scope, as_of_date, severity, coalesce(observed > fa, false) OR coalesce(observed < fb, false) AS failed, coalesce(observed > wa, false) OR coalesce(observed < wb, false)
+    OR coalesce(len(w) >= mh AND observed > list_avg(w) + z * greatest(list_stddev_pop(w), 0.005) AND observed > mv, false) AS warned
+  FROM held JOIN rl USING (check_id, scope) LEFT JOIN learnt USING (check_id, scope, as_of_date))"""
+
+
+@query(
+    f"""SELECT * FROM ({_AUDITED} SELECT scope, as_of_date, decision, decision <> 'BLOCK' AS is_released FROM (SELECT c.scope, c.as_of_date, CASE WHEN bool_or(failed AND severity = 'block') THEN 'BLOCK' WHEN bool_or(failed OR warned) THEN 'WARN' ELSE 'PASS' END AS decision
+FROM cal2 c LEFT JOIN status USING (scope, as_of_date) GROUP BY c.scope, c.as_of_date))"""
+)
 def audited_deliveries(spark, sf):
     """An audit of all deliveries that aren't released, each against the last ones that were accepted, and what it releases."""
     calendar, context = catalog._context(spark, sf, audit=True)
