@@ -177,32 +177,50 @@ def check_request(request: Request, known: DataFrame, metrics: Mapping[str, Metr
             raise Refused("no published data in this period")
 
 
+#: Dimensions that are properties of another one, which is shown in their place.
+STANDS_FOR = {"currency_code": "market"}
+
+
+def period_view(metric: Metric, is_asked: bool, n_periods: int) -> str:
+    """How a metric over so many periods is shown: the "last" of them, "each" of them, or "all" of them as one.
+
+    ========================  ===========  =================
+    periods                   one          several
+    ========================  ===========  =================
+    none asked for            last (all if the metric is over its whole history)
+    asked, a level            last         last
+    asked, in percent         last         each
+    asked, anything else      last         all
+    ========================  ===========  =================
+    """
+    if not n_periods or not (is_asked or metric.latest):
+        return "all"
+    if not is_asked or n_periods == 1 or metric.level:
+        return "last"
+    return "each" if metric.unit == "percent" else "all"
+
+
+def shown_dimensions(metric: Metric, model: SemanticModel, request: Request) -> tuple[str, ...]:
+    """What a request is split by: the dimensions named, those with several values asked for, and those without which the metric has no
+    meaning; the metric's own defaults where the request names none. A dimension held at one value splits nothing, and time is no
+    dimension here.
+    """
+    chosen = {d: len(values) for d, values in request.filters.items()}
+    splits = lambda d: d in model.dimensions and chosen.get(d) != 1
+    named = [STANDS_FOR.get(d, d) for d in request.group_by if chosen.get(d) != 1] + [d for d, n in chosen.items() if n > 1]
+    named = [d for d in named if splits(d)]
+    own = () if named or request.by_time else metric.default_group_by
+    return tuple(dict.fromkeys(d for d in (*named, *own, *metric.requires) if splits(d)))
+
+
 def apply_policy(request: Request, periods: Sequence[dt.date], metrics: Mapping[str, Metric] = METRICS, models: Mapping[str, SemanticModel] = MODELS) -> Request:
-    """How a request is shown, whoever made it.
+    """A request as it is shown, whoever made it: its dimensions (shown_dimensions()) and its periods (period_view()).
 
-    Time is never a plain group; a dimension with one value isn't grouped, one with several is; metrics in local currency are
-    split by what they require; without a period the latest one counts; a level takes the last period of a range, and a
-    percentage over several periods is shown by period.
+    A request for one date means that date; one that asks for a row a period keeps its range as it is.
     """
-    m = metrics[request.metric]
-    model = models[m.model]
-    one = {d for d, values in request.filters.items() if len(values) == 1}
-    groups = [d for d in dict.fromkeys(request.group_by) if d != model.time and d not in one]
-    if "currency_code" in groups:
-        groups.remove("currency_code")
-        groups += ["market"] if "market" in model.dimensions and "market" not in one else []
-    groups += [d for d, values in request.filters.items() if len(values) > 1]
-    if not groups and not request.by_time:
-        groups = [d for d in m.default_group_by if d not in one]
-    groups += [d for d in m.requires if d not in one]
-    start, end, by_time = request.start or request.end, request.end or request.start, request.by_time
-    periods = sorted(periods)
-    if start is None and m.latest and periods and not by_time:
-        start = end = periods[-1]
-    if start is not None and not by_time:
-        inside = [p for p in periods if start <= p <= end]
-        if len(inside) == 1 or (inside and m.level):
-            start = end = inside[-1]
-        elif len(inside) > 1 and m.unit == "percent":
-            by_time = True
-    return replace(request, group_by=tuple(dict.fromkeys(groups)), by_time=by_time, start=start, end=end)
+    metric = metrics[request.metric]
+    bounds = [d for d in (request.start, request.end) if d is not None]
+    covered = sorted(p for p in periods if not bounds or bounds[0] <= p <= bounds[-1])
+    view = "each" if request.by_time else period_view(metric, bool(bounds), len(covered))
+    start, end = (covered[-1],) * 2 if view == "last" else (bounds[0], bounds[-1]) if bounds else (None, None)
+    return replace(request, group_by=shown_dimensions(metric, models[metric.model], request), by_time=view == "each", start=start, end=end)

@@ -113,6 +113,48 @@ def metric_by_policy(spark, sf):
 SQL["metric_by_policy"] = sql("SELECT market, round(avg(price_local)::DOUBLE, 4) AS value FROM micro WHERE delivery_date = (SELECT max(delivery_date) FROM micro) GROUP BY market")
 
 
+#: Requests as they come, and SQL for what the policy makes of them.
+POLICIES = {
+    "metric_policy_level": (
+        metrics.Request("category_median_price", filters={"market": ["EUROPE", "ASIA"]}, start=_YEAR[0], end=_YEAR[1]),
+        "SELECT market, avg(median_price) AS value FROM monthly WHERE market IN ('ASIA', 'EUROPE') AND report_month = (SELECT max(report_month) FROM monthly WHERE year(report_month) = 1997) GROUP BY market",
+    ),
+    "metric_policy_percent": (
+        metrics.Request("category_lfl_change", ("macro_category", "market"), filters={"market": ["EUROPE"]}, start=_YEAR[0], end=_YEAR[1]),
+        "SELECT report_month, macro_category, avg(lfl_mean_change) AS value FROM monthly WHERE market = 'EUROPE' AND year(report_month) = 1997 GROUP BY ALL",
+    ),
+    "metric_policy_count": (
+        metrics.Request("hero_price_increases", ("currency_code",), start=_YEAR[0], end=_YEAR[1]),
+        "SELECT market, count(*) FILTER (price_status = 'price_increase') AS value FROM micro WHERE year(delivery_date) = 1997 GROUP BY market",
+    ),
+    "metric_policy_history": (
+        metrics.Request("average_price_change", filters={"change_direction": ["increase", "decrease"], "market": ["ASIA"]}),
+        "SELECT change_direction, avg(change_pct) AS value FROM changes WHERE market = 'ASIA' GROUP BY change_direction",
+    ),
+    "metric_policy_one_date": (
+        metrics.Request("category_share_increased", ("macro_category",), end=dt.date(1996, 6, 1)),
+        "SELECT macro_category, avg(lfl_share_increased) AS value FROM monthly WHERE report_month = DATE '1996-06-01' GROUP BY macro_category",
+    ),
+}
+
+
+def _by_policy(name: str, request: metrics.Request):
+    def run(spark, sf):
+        model = metrics.MODELS[metrics.METRICS[request.metric].model]
+        table = materialise(_TABLES[model.name](spark, sf), model.name)
+        periods = [r[0] for r in table.select(model.time).distinct().collect()]
+        out = metrics.query_metric(table, metrics.apply_policy(request, periods))
+        return out.withColumn("value", F.round(F.col(request.metric).cast("double"), 4)).drop(request.metric)
+
+    run.__name__ = name
+    return run
+
+
+for _name, (_request, _text) in POLICIES.items():
+    QUERIES[_name] = _by_policy(_name, _request)
+    SQL[_name] = sql(f"SELECT * REPLACE (round(value::DOUBLE, 4) AS value) FROM ({_text})")
+
+
 def metric_vocabularies(spark, sf):
     """Values of every dimension of the weekly table and of the price changes; all dimensions of the models are there."""
     out = None

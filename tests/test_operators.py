@@ -168,6 +168,31 @@ def test_audit_of_all_at_once_equals_one_by_one(spark, seed):
     assert got == judged_one_by_one(days, prices) and "BLOCK" in got.values()
 
 
+def test_each_outcome_of_the_policy():
+    days, ask = [D(2025, m, 1) for m in (1, 2, 3, 4)], metrics.Request
+    shown = lambda *a, **k: metrics.apply_policy(ask(*a, **k), days)
+    span = {"start": days[0], "end": days[2]}
+    period = lambda r: (r.by_time, r.start, r.end)
+    assert period(shown("hero_price")) == period(shown("category_lfl_change")) == (False, days[3], days[3])
+    assert period(shown("price_change_count")) == (False, None, None)
+    assert period(shown("hero_price", **span)) == (False, days[2], days[2])
+    assert period(shown("category_lfl_change", **span)) == (True, days[0], days[2])
+    assert period(shown("hero_price_increases", **span)) == (False, days[0], days[2])
+    assert period(shown("category_lfl_change", start=days[1])) == (False, days[1], days[1])
+    assert period(shown("category_lfl_change", start=D(2025, 1, 20), end=D(2025, 2, 20))) == (False, days[1], days[1])
+    assert period(shown("hero_price", by_time=True, **span)) == (True, days[0], days[2])
+    assert period(shown("hero_price", by_time=True)) == (True, None, None)
+    assert period(shown("hero_price", start=D(2030, 1, 1), end=D(2030, 2, 1))) == (False, D(2030, 1, 1), D(2030, 2, 1))
+    assert shown("hero_price").group_by == ("market",)
+    assert shown("hero_price", ("delivery_date", "product_label"), filters={"market": ["FRA"]}).group_by == ("product_label",)
+    assert shown("hero_price", ("currency_code",), filters={"market": ["FRA"]}).group_by == ()
+    assert shown("category_lfl_change", filters={"market": ["FRA", "JPN"], "macro_category": ["BAG"]}).group_by == ("market",)
+    usual = {**metrics.METRICS, "m": metrics.Metric("m", "category_monthly", "market_lfl_change", default_group_by=("macro_category", "market"))}
+    shown = lambda **k: metrics.apply_policy(ask("m", **k), days, usual).group_by
+    assert shown() == ("macro_category", "market") and shown(filters={"market": ["FRA"]}) == ("macro_category",)
+    assert shown(filters={"market": ["FRA", "JPN"]}) == ("market",) and shown(by_time=True) == ()
+
+
 def test_metric_guards_and_policy(spark):
     known = spark.createDataFrame([("market", "FRA"), ("market", "JPN"), ("delivery_date", "2025-01-01"), ("delivery_date", "2025-01-08")], "dimension string, value string")
     ask = metrics.Request
