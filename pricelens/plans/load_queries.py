@@ -12,6 +12,7 @@ from pricelens.plans.adapters import table
 from pricelens.plans.crawl_queries import _LINES, CODES, crawl_lines
 from pricelens.sources import raw, sinks
 from pricelens.sources.tables import materialise, shared_folder
+from pricelens.sources.buckets import BucketedTable
 from pricelens.streaming import ingest
 
 QUERIES, SQL = {}, {}
@@ -176,6 +177,20 @@ def upserted_rows(spark, sf):
     return sinks.upsert(target, new.union(added), "k", ["t"])
 
 
+@query("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 97 = 0 THEN 'late' WHEN o_custkey = (SELECT min(o_custkey) FROM orders) THEN 'new' ELSE 'old' END AS v, CASE WHEN o_orderkey % 97 = 0 THEN 9 WHEN o_custkey = (SELECT min(o_custkey) FROM orders) THEN 2 ELSE 1 END::INTEGER AS t FROM orders")
+def rows_upserted_in_buckets(spark, sf):
+    """A table in buckets after a load, a run that is repeated, and changes of which some come late: only touched buckets are rewritten."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_custkey")
+    target = BucketedTable(spark, _folder(spark, "buckets"), "k", "k bigint, v string, t int", 32)
+    of = lambda df, v, t: df.select("k", F.lit(v).alias("v"), F.lit(t).alias("t"))
+    target.upsert(of(orders, "old", 1).unionByName(of(orders.filter("k % 97 = 0"), "late", 9)), ["t"], run="load")
+    first = orders.agg(F.min("o_custkey")).first()[0]
+    changed = of(orders.filter(F.col("o_custkey") == F.lit(first)), "new", 2)
+    for _ in range(2):
+        target.upsert(changed, ["t"], run="changes", rivals=True)
+    return target.read()
+
+
 _CELLS = "concat_ws(chr(31), o_orderkey::VARCHAR, strftime(o_orderdate, '%Y-%m-%d'), coalesce(o_orderpriority, chr(0)), regexp_replace(regexp_replace(CAST(o_totalprice AS DECIMAL(18,2))::VARCHAR, '(\\.\\d*?)0+$', '\\1'), '\\.$', ''))"
 
 

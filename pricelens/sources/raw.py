@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricelens.sources.commits import CommitLog
+from pricelens.sources.tables import delete_folder
+
 BRONZE = T.StructType(
     [
         T.StructField("raw_line", T.StringType()),
@@ -42,21 +47,37 @@ def new_files(lines: DataFrame, bronze: DataFrame) -> DataFrame:
 
 
 class AppendOnlyTable:
-    """A Parquet table that can be appended to and read; there is no way to update, delete or overwrite rows."""
+    """A Parquet table that can be appended to and read; there is no way to update, delete or overwrite rows.
+
+    A run's rows go to a folder of their own and belong to the table when the commit log names it. A run that dies half-way adds nothing,
+    and one that is repeated under its id adds its rows once, whichever attempt commits first.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path, schema
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.log = CommitLog(spark, f"{self.path}/_runs")
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, run: str | None = None) -> bool:
+        """Whether the rows were added: a run whose id has been committed isn't written again."""
         missing = [f.name for f in self.schema if f.name not in df.columns]
         if missing or len(df.columns) != len(self.schema):
             raise ValueError(f"columns must be {self.schema.fieldNames()}, got {df.columns}")
-        df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.mode("append").parquet(self.path)
+        run = run or uuid.uuid4().hex
+        if self.log.has(run):
+            return False
+        folder = f"data/{uuid.uuid4().hex}"
+        df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.parquet(f"{self.path}/{folder}")
+        if self.log.add(run, {"folder": folder}):
+            return True
+        delete_folder(self.spark, f"{self.path}/{folder}")
+        return False
+
+    def runs(self) -> list[str]:
+        return self.log.names()
 
     def read(self) -> DataFrame:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        there = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        return self.spark.read.schema(self.schema).parquet(self.path) if there else self.spark.createDataFrame([], self.schema)
+        folders = [f"{self.path}/{self.log.read(run)['folder']}" for run in self.runs()]
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
 
 def ingest_new_files(spark: SparkSession, folder: str, bronze: AppendOnlyTable, glob: str = "*.ndjson.gz") -> None:

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pricelens.sources.buckets import BucketedTable
 from pricelens.sources.raw import with_file_facts
-from pricelens.sources.sinks import upsert
-from pricelens.sources.tables import delete_folder, materialise, small
 
 
 def ingest_available(spark: SparkSession, folder: str, bronze: str, checkpoint: str, glob: str = "*.ndjson.gz") -> StreamingQuery:
@@ -16,21 +15,14 @@ def ingest_available(spark: SparkSession, folder: str, bronze: str, checkpoint:
     return lines.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).format("parquet").start(bronze)
 
 
-def upsert_stream(changes: DataFrame, target: str, key: str, order: str, checkpoint: str) -> StreamingQuery:
-    """Merge each batch of changes into a Parquet table: a batch writes the table's next version, named by the batch.
+def upsert_stream(changes: DataFrame, target: BucketedTable, order: str, checkpoint: str, name: str = "stream") -> StreamingQuery:
+    """Merge each batch of changes into a table in buckets: a batch rewrites the buckets of its keys and commits the next version.
 
     Of the changes of one key in a batch, and of a change and the row that is there, the greatest by ``order`` stays, so late changes
-    change nothing. A batch that is run again writes the same version again, so each change counts once; of the versions the last
-    two stay, the older of them for a batch that must be run again.
+    change nothing. A version remembers the stream's last batch, so one that is run again after its commit changes nothing either.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.parquet(f"{target}/version={number - 1}") if number else batch.limit(0)
-        keys = materialise(batch.select(key).distinct(), "keys")
-        rivals = before.join(small(keys), key, "left_semi").select(*before.columns)
-        upsert(before, batch.unionByName(rivals), key, [order]).write.mode("overwrite").parquet(f"{target}/version={number}")
-        if number > 1:
-            delete_folder(spark, f"{target}/version={number - 2}")
+        target.upsert(batch, [order], stream=(name, number), rivals=True)
 
     return changes.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(merge).start()

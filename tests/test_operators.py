@@ -304,19 +304,6 @@ def test_files_are_picked_up_once(spark):
         assert spark.read.parquet(f"{out}/stream").count() == want
 
 
-def test_stream_upserts_by_version(spark):
-    folder = tempfile.mkdtemp()
-    schema = "k int, t int, v int"
-    read = lambda: spark.readStream.schema(schema).parquet(f"{folder}/in")
-    batches = [[(1, 5, 1), (2, 5, 2), (1, 4, 0)], [(2, 6, 5), (3, 1, 3), (1, 2, 9)], [(3, 1, 4)]]
-    for batch in batches:
-        spark.createDataFrame(batch, schema).write.mode("append").parquet(f"{folder}/in")
-        ingest.upsert_stream(read(), f"{folder}/t", "k", "t", f"{folder}/c").awaitTermination()
-    assert rows(spark.read.parquet(f"{folder}/t/version=1")) == [(1, 5, 1), (2, 6, 5), (3, 1, 3)]
-    assert rows(spark.read.parquet(f"{folder}/t/version=2")) == [(1, 5, 1), (2, 6, 5), (3, 1, 4)]
-    assert sorted(x.name for x in Path(f"{folder}/t").iterdir()) == ["version=1", "version=2"]
-
-
 def test_reference_files(spark):
     folder = Path(tempfile.mkdtemp())
     (folder / "k.csv").write_text('a,b\n1,"x ""y""\nz"\n2,\n')
