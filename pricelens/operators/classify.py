@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelens.operators.medians import lower_median
+
 #: Readings that an object needs before its own history is its reference.
 MIN_HISTORY = 3
-#: A market's factor is a median over all its readings; this keeps its rank within a millionth.
-LADDER_ACCURACY = 1_000_000
 
 
 def pre_fate(trusted: Column, issues: Column, status: Column) -> Column:
@@ -30,7 +30,7 @@ def with_batches(obs: DataFrame, batches: DataFrame) -> DataFrame:
 
 def usual_value(df: DataFrame, key: str, value: str, usual: str = "usual_value", count: str = "n_candidates") -> DataFrame:
     """The lower median and the number of a key's positive values."""
-    return df.filter(F.col(value) > 0).groupBy(key).agg(F.percentile_approx(value, 0.5).alias(usual), F.count(F.lit(1)).alias(count))
+    return lower_median(df.filter(F.col(value) > 0), [key], value, usual, count)
 
 
 def is_scale_outlier(value: Column, reference: Column) -> Column:
@@ -44,13 +44,14 @@ def anchor_prices(scored: DataFrame, anchor: str, market: str = "market", sku: s
     """The anchor market's price of each product and crawl, from readings that agree with their own history."""
     own = (F.col("n_candidates") >= MIN_HISTORY) & is_scale_outlier(F.col(value), F.col("usual_value"))
     rows = scored.filter(F.col("pre_fate").isNull() & (F.col(market) == anchor) & (F.col(value) > 0) & ~F.coalesce(own, F.lit(False)))
-    return rows.groupBy(sku, date).agg(F.percentile_approx(value, 0.5).alias("anchor_price"))
+    return lower_median(rows, [sku, date], value, "anchor_price").drop("n_values")
 
 
 def price_ladder(scored: DataFrame, anchors: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
     """For each market, the median ratio of its prices to the anchor's."""
     rows = scored.filter(F.col("pre_fate").isNull() & (F.col(value) > 0)).join(anchors, [sku, date])
-    return rows.groupBy(market).agg(F.percentile_approx(F.try_divide(F.col(value).cast("double"), F.col("anchor_price").cast("double")), 0.5, LADDER_ACCURACY).alias("ladder_factor"))
+    ratios = rows.select(market, F.try_divide(F.col(value).cast("double"), F.col("anchor_price").cast("double")).alias("_ratio"))
+    return lower_median(ratios, [market], "_ratio", "ladder_factor").drop("n_values")
 
 
 def reference_price(scored: DataFrame, anchors: DataFrame, ladder: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date") -> DataFrame:

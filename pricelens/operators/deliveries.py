@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
+from pricelens.operators.medians import lower_median
 
 
 def content_fingerprint(line: Column) -> Column:
@@ -44,7 +45,7 @@ def flag_stale_content(files: DataFrame, days: int, claimed: str = "file_crawl_d
 def partial_members(obs: DataFrame, threshold: float, file_col: str = "source_file_name", member: str = "market") -> DataFrame:
     """For each file, the members with fewer lines than the threshold times their median over all files."""
     counts = obs.groupBy(file_col, member).agg(F.count(F.lit(1)).alias("n"))
-    usual = counts.groupBy(member).agg(F.percentile_approx("n", 0.5).alias("usual"))
+    usual = lower_median(counts, [member], "n", "usual")
     few = counts.join(usual, member).filter(F.col("n") < F.col("usual") * threshold)
     return few.groupBy(file_col).agg(F.sort_array(F.collect_list(member)).alias(f"partial_{member}s"))
 

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
 from pricelens.operators import history
+from pricelens.operators.medians import joined, lower_median
 
 _PCT = "decimal(10,4)"
 
@@ -151,15 +152,17 @@ def lfl_metrics(pairs: DataFrame, by: Sequence[str] = ("as_of_date", "market", "
     return pairs.groupBy(*by).agg(*_lfl("price_now"))
 
 
-def _levels(price: str) -> list:
+def _levels(price: str, times: str) -> list:
     return [
-        F.count(F.lit(1)).alias("n_products"), F.min(price).alias("min_price"), F.percentile_approx(price, 0.5).alias("median_price"),
-        F.round(F.avg(price), 2).alias("mean_price"), F.max(price).alias("max_price"),
+        F.sum(times).alias("n_products"), F.min(price).alias("min_price"),
+        F.round(F.sum(F.col(price) * F.col(times)) / F.sum(times), 2).alias("mean_price"), F.max(price).alias("max_price"),
     ]
 
 
 def price_levels(priced: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category"), price: str = "price_local") -> DataFrame:
-    return priced.groupBy(*by).agg(*_levels(price))
+    """Number, least, mean, greatest and (lower, exact) median price of each group."""
+    held = priced.filter(F.col(price).isNotNull()).groupBy(*by, price).agg(F.count(F.lit(1)).alias("_n"))
+    return joined(held.groupBy(*by).agg(*_levels(price, "_n")), lower_median(held, by, price, "median_price", "_of", "_n").drop("_of"), by)
 
 
 def macro_monthly(priced: DataFrame, markets: DataFrame, calendar: DataFrame | None = None, by: Sequence[str] = ("as_of_date", "market", "macro_category"), keys: Sequence[str] = ("market", "sku")) -> DataFrame:
@@ -169,7 +172,17 @@ def macro_monthly(priced: DataFrame, markets: DataFrame, calendar: DataFrame | N
     look-up, only the aggregates are shuffled.
     """
     rows = with_month_before(priced, month_ends(priced) if calendar is None else calendar, keys)
-    out = rows.groupBy(*by).agg(*_levels("price_local"), *_lfl("price_local")).withColumn("report_month", F.trunc("as_of_date", "MM"))
+    # Sums by price first: they are what totals and medians are made from, and large groups are dealt out by them.
+    change, paired = F.col("product_change"), F.col("price_before").isNotNull()
+    parts = rows.groupBy(*by, "price_local").agg(
+        F.count(F.lit(1)).alias("_n"), F.count("price_before").alias("_pairs"), F.sum(change).alias("_changes"), F.count_if(change > 0).alias("_up"),
+        F.sum(F.when(paired, F.col("price_local"))).alias("_now"), F.sum("price_before").alias("_before"),
+    )
+    totals = parts.groupBy(*by).agg(
+        *_levels("price_local", "_n"), F.sum("_pairs").alias("lfl_n_products"), F.try_divide(F.sum("_changes"), F.sum("_pairs")).alias("lfl_mean_change"),
+        (F.try_divide(*[F.sum(c).cast("decimal(28,2)") for c in ("_now", "_before")]) - 1).alias("lfl_ratio_of_means"), F.try_divide(F.sum("_up").cast("double"), F.sum("_pairs")).alias("lfl_share_increased"),
+    )
+    out = joined(totals, lower_median(parts, by, "price_local", "median_price", "_of", "_n").drop("_of"), by).withColumn("report_month", F.trunc("as_of_date", "MM"))
     out = out.join(F.broadcast(markets.select("market", "currency_code")), "market", "left")
     return out.select(
         surrogate_key(F.col("report_month"), *[F.col(c) for c in by[1:]]).alias("macro_row_id"), "report_month", *by, "currency_code",

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelens.operators import asof, gate
+from pricelens.operators.medians import lower_median
 from tests.test_operators import CHECKS, judged_one_by_one
 
 D = dt.date
@@ -156,3 +157,21 @@ def test_anomalies_learn_from_the_last_accepted_values_only(spark):
         assert got[day(i)][0] == odd and got[day(i)][1] == (None if mean is None else pytest.approx(mean))
         if i in chosen and v is not None:
             past.append(v)
+
+
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "double"])
+def test_medians_are_exact_for_groups_of_any_size(spark, kind):
+    """A group of a million different values, a skewed one, ties, negative values and nulls, against sorting."""
+    n = 1_000_003
+    rng = random.Random(4)
+    small = [("s", rng.choice([None, -5.0, -0.01, 0.0, 0.01, 3.0, 1e9])) for _ in range(500)] + [(None, 1.0), (None, 7.0), ("none", None), ("one", 42.0), ("t", 2.0), ("t", 2.0), ("t", 9.0)]
+    big = spark.range(n).select(F.lit("big").alias("g"), ((F.col("id") * 7919) % n / 100).cast(kind).alias("v"))
+    df = big.unionByName(spark.createDataFrame(small, "g string, v double").withColumn("v", F.col("v").cast(kind)))
+    got = {r["g"]: (float(r["m"]), r["n"]) for r in lower_median(df, ["g"], "v", "m", "n").collect()}
+    want = {}
+    for g in {g for g, _ in small}:
+        held = sorted(v for x, v in small if x == g and v is not None)
+        if held:
+            want[g] = (held[(len(held) - 1) // 2], len(held))
+    assert got.pop("big") == (((n - 1) // 2) / 100, n)
+    assert got == want
