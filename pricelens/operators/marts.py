@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
 from pricelens.operators import history
+from pricelens.operators.asof import Calendar
 from pricelens.operators.medians import joined, lower_median
+from pricelens.sources.tables import materialise
 
 _PCT = "decimal(10,4)"
 
@@ -172,12 +174,31 @@ def macro_monthly(priced: DataFrame, markets: DataFrame, calendar: DataFrame | N
     look-up, only the aggregates are shuffled.
     """
     rows = with_month_before(priced, month_ends(priced) if calendar is None else calendar, keys)
+    return _monthly(rows, markets, by)
+
+
+def macro_monthly_of_periods(calendar: Calendar, periods: DataFrame, markets: DataFrame, by: Sequence[str] = ("as_of_date", "market", "macro_category"), key: str = "object_id") -> DataFrame:
+    """macro_monthly() from the stretches of a calendar's month ends in which a price is known (asof.known_periods()).
+
+    Within a stretch the price of the month before is the same, at its start that of the stretch before, so only stretches are sorted.
+    """
+    w = Window.partitionBy(key, "chain").orderBy("start")
+    before = F.when(F.lag("end").over(w) == F.col("start"), F.lag("price_local").over(w))
+    rows = periods.withColumn("_before", before).withColumn("_at", F.explode(F.sequence("start", F.col("end") - 1)))
+    price = F.when(F.col("_at") > F.col("start"), F.col("price_local")).otherwise(F.col("_before"))
+    rows = rows.withColumns({"as_of_date": calendar.day(F.col("chain"), F.col("_at")), "price_before": price})
+    return _monthly(rows.withColumn("product_change", F.try_divide("price_local", "price_before") - 1), markets, by)
+
+
+def _monthly(rows: DataFrame, markets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The monthly table from priced rows with price_before and product_change."""
     # Sums by price first: they are what totals and medians are made from, and large groups are dealt out by them.
     change, paired = F.col("product_change"), F.col("price_before").isNotNull()
     parts = rows.groupBy(*by, "price_local").agg(
         F.count(F.lit(1)).alias("_n"), F.count("price_before").alias("_pairs"), F.sum(change).alias("_changes"), F.count_if(change > 0).alias("_up"),
         F.sum(F.when(paired, F.col("price_local"))).alias("_now"), F.sum("price_before").alias("_before"),
     )
+    parts = materialise(parts, "by-price")
     totals = parts.groupBy(*by).agg(
         *_levels("price_local", "_n"), F.sum("_pairs").alias("lfl_n_products"), F.try_divide(F.sum("_changes"), F.sum("_pairs")).alias("lfl_mean_change"),
         (F.try_divide(*[F.sum(c).cast("decimal(28,2)") for c in ("_now", "_before")]) - 1).alias("lfl_ratio_of_means"), F.try_divide(F.sum("_up").cast("double"), F.sum("_pairs")).alias("lfl_share_increased"),

@@ -21,11 +21,13 @@ def _bucket(x: Column) -> Column:
 def lower_median(df: DataFrame, by: Sequence[str], value: str, name: str, n: str = "n_values", times: str | None = None) -> DataFrame:
     """For each group its lower median, the least value that at least half of the values aren't above, and how many values it has.
 
-    With the column ``times`` a row stands for so many. Equal values are counted first, which deals large groups out by value and combines before the shuffle. Counts by bucket of value
+    With the column ``times`` rows are counts already: one for each value of a group, which stands for so many. Else equal values are counted first, which deals large groups out by value and combines before the shuffle. Counts by bucket of value
     say which bucket holds the median, and only that bucket's values are put in order, so no task holds or sorts a whole group. Nulls are
     no values, and a group without values has no row; a null in ``by`` is a group like any other.
     """
-    held = df.filter(F.col(value).isNotNull()).groupBy(*by, _bucket(F.col(value)).alias("_b"), F.col(value).alias("_v")).agg((F.sum(times) if times else F.count(F.lit(1))).alias("_n"))
+    some = df.filter(F.col(value).isNotNull())
+    counts = some.select(*by, F.col(value).alias("_v"), F.col(times).alias("_n")) if times else some.groupBy(*by, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    held = counts.withColumn("_b", _bucket(F.col("_v")))
     w = Window.partitionBy(*by)
     ranked = held.groupBy(*by, "_b").agg(F.sum("_n").alias("_k")).withColumns(
         {"_upto": F.sum("_k").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)), n: F.sum("_k").over(w)}

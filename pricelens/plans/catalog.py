@@ -256,9 +256,11 @@ def _priced(spark, sf):
 
 
 def _monthly(spark, sf):
-    calendar = marts.month_ends(a.month_end_dates(spark, sf))
-    out = marts.macro_monthly(_priced(spark, sf), a.markets(spark, sf), calendar, keys=("object_id",))
-    return published.enforce_contract(out, marts.MACRO_MONTHLY)
+    cat = products.apply_rules(a.products(spark, sf), a.RULES).filter("rule_category is not null").select("sku", F.col("rule_category").alias("macro_category"))
+    facts = a.readings(spark, sf).join(cat, "sku")
+    calendar = asof.Calendar.of(a.month_end_dates(spark, sf))
+    periods = asof.known_periods(calendar, facts, ["object_id"], ORDER, ["crawl_date", "market", "price_local", "macro_category"])
+    return published.enforce_contract(marts.macro_monthly_of_periods(calendar, periods, a.markets(spark, sf)), marts.MACRO_MONTHLY)
 
 
 _MONTHLY = ", ".join(marts.MACRO_MONTHLY.fieldNames())
