@@ -3,7 +3,8 @@
 Texts and items are normalised (lower case; punctuation and white space become one space). An item of n characters may
 be found with k = EDITS_PER_CHAR n edits; it is cut into k + 1 pieces, of which one at least must then occur unchanged. An
 automaton finds all pieces of all items in one pass over a text, and Myers' bit-parallel algorithm verifies the stretch of
-text around each hit. An item must begin and end with its words: the white space around it is a part of the match, unless its
+text around each hit. Items of a benchmark often share sentences: an item with h pieces that many others have is cut into k + 1 + h
+and found by the rest (looked_for()). An item must begin and end with its words: the white space around it is a part of the match, unless its
 own edge is a letter of a script that is written without spaces.
 
 Defined results: null or empty items and texts match nothing; an item that occurs in several rows of the benchmark under one
@@ -27,6 +28,8 @@ from .common import map_rows, stash
 EDITS_PER_CHAR = 0.05
 #: Pieces are at least so long; a short item has fewer edits for it.
 MIN_PIECE = 16
+#: A piece in more items than this isn't looked for where rarer ones of at least SHORT_PIECE characters will do.
+HOT, SHORT_PIECE = 16, 8
 #: Benchmark text that one automaton holds. A larger benchmark is searched in blocks of about this size.
 BLOCK_BYTES = 8_000_000
 
@@ -103,16 +106,66 @@ def source_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int
     return [(at[a], at[b - 1] + 1) for a, b in spans]
 
 
+def containing(texts: list[str], wanted: set[str]) -> dict[str, int]:
+    """In how many of the texts each of these strings occurs."""
+    import ahocorasick
+
+    automaton, counts = ahocorasick.Automaton(), dict.fromkeys(wanted, 0)
+    for p in wanted:
+        automaton.add_word(p, p)
+    automaton.make_automaton()
+    for t in texts:
+        for p in {p for _, p in automaton.iter(t)}:
+            counts[p] += 1
+    return counts
+
+
+def looked_for(items: list[tuple[str, int]]) -> list[list[tuple[int, str]]]:
+    """For each item text and its budget k, the pieces to look for and where they start.
+
+    These are all k + 1 pieces, unless some are in more than HOT items, as in a benchmark of one template. Then the item is cut into
+    k + 1 + h pieces of which h at most are so frequent: k edits leave one at least of the others unchanged, so these are enough,
+    and a text that holds the template alone meets no item. Where shorter pieces don't help, as for items that are nearly equal, the
+    k + 1 pieces stay.
+    """
+    texts = [t for t, _ in items]
+    out = [pieces(t, k) for t, k in items]
+    cuts = dict(enumerate(out))
+    while cuts:
+        counts = containing(texts, {p for c in cuts.values() for _, p in c})
+        again = {}
+        for at, cut in cuts.items():
+            text, k = items[at]
+            rare = [x for x in cut if counts[x[1]] <= HOT]
+            hot = len(cut) - len(rare)
+            if len(cut) - k > hot:
+                out[at] = rare
+            elif len(text) // (k + 1 + hot) >= SHORT_PIECE:
+                again[at] = pieces(text, k + hot)
+        cuts = again
+    return out
+
+
+def prepared(items: list[tuple[object, str]], per_char: float, min_piece: int) -> list[tuple]:
+    """The different normalised items: their ids, text with edges, space in front, budget and pieces to look for (by driver, once)."""
+    ids: dict[str, list[object]] = defaultdict(list)
+    for i, t in items:
+        if n := normalise(t):
+            ids[n].append(i)
+    plain = [(n, budget(len(n), per_char, min_piece)) for n in ids]
+    return [(ids[n], *with_edges(n), k, found) for (n, k), found in zip(plain, looked_for(plain), strict=True)]
+
+
 class Matcher:
-    """The automaton of a block of items."""
+    """The automaton of a block of items, as prepared()."""
 
-    def __init__(self, items: list[tuple[object, str]], per_char: float, min_piece: int):
+    def __init__(self, items: list[tuple]):
         import ahocorasick
 
-        self.items = [(i, *with_edges(n), budget(len(n), per_char, min_piece)) for i, t in items if (n := normalise(t))]
+        self.items = [x[:4] for x in items]
         held: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for at, (_, whole, lead, k) in enumerate(self.items):
-            for start, piece in pieces(whole.strip(" "), k):
+        for at, (_, _, lead, _, found) in enumerate(items):
+            for start, piece in found:
                 held[piece].append((at, start + lead))
         self.automaton = ahocorasick.Automaton()
         for piece, where in held.items():
@@ -129,7 +182,7 @@ class Matcher:
         tried: set[tuple[int, int]] = set()
         for last, (length, where) in self.automaton.iter(n):
             for at, offset in where:
-                item_id, item, lead, k = self.items[at]
+                ids, item, lead, k = self.items[at]
                 start = last - length + 1 - offset
                 if at in exact or (at, start) in tried:
                     continue
@@ -148,8 +201,9 @@ class Matcher:
                     a, b = low + end - length_back, low + end
                 a, b = a + (n[a] == " "), b - (n[b - 1] == " ")
                 got = (d, a - 1, b - 1)
-                if item_id not in best or got < best[item_id]:
-                    best[item_id] = got
+                for item_id in ids:
+                    if item_id not in best or got < best[item_id]:
+                        best[item_id] = got
         if not best:
             return []
         spans = source_spans(text, [(a, b) for _, a, b in best.values()])
@@ -170,10 +224,10 @@ def find(docs: DataFrame, block: DataFrame, text: str = "text", keep: list[str]
     The block, whose size is bounded, goes to all tasks; documents are never shuffled.
     """
     keep = ["doc_id"] if keep is None else keep
-    items = docs.sparkSession.sparkContext.broadcast([(r["i"], r["t"]) for r in block.collect()])
+    items = docs.sparkSession.sparkContext.broadcast(prepared([(r["i"], r["t"]) for r in block.collect()], per_char, min_piece))
 
     def make():
-        matcher = Matcher(items.value, per_char, min_piece)
+        matcher = Matcher(items.value)
         return lambda cols: {"hits": [matcher.find(t) for t in cols[0]]}
 
     hits = f"hits array<struct<item_id:{block.schema['i'].dataType.simpleString()},edits:int,start:int,end:int>>"
