@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelens.operators import asof, assertions, classify, gate, history, marts, metrics, products, published, reports, triage
+from pricelens.operators import asof, assertions, classify, gate, history, marts, metrics, products, published, reports, rules, triage
 from pricelens.plans import adapters as a
 from pricelens.plans.adapters import sql
 from pricelens.sources import sinks
@@ -223,6 +223,25 @@ def categorized_products(spark, sf):
     return products.categorize(a.products(spark, sf), a.RULES, _tree(spark, sf)).select("sku", "category_code", "categorized_by_rule", "macro_category")
 
 
+@query(
+    """SELECT sku, arg_min(rule_id, rank) AS categorized_by_rule, arg_min(field, rank) AS categorized_on, arg_min(category, rank) AS rule_category
+FROM (SELECT sku, r.rule_id, field, r.category, (priority::BIGINT, r.rule_id) AS rank FROM products p LEFT JOIN (
+    SELECT md5(pattern) AS rule_id, ('0x' || substr(md5(pattern), 1, 4))::INTEGER AS priority, 'product_name' AS field, '(^| )' || pattern || '( |$)' AS pattern, upper(pattern) AS category
+    FROM (SELECT DISTINCT regexp_extract(product_name, '[a-z]+ [a-z]+$') AS pattern FROM products)
+    UNION ALL SELECT DISTINCT 'B' || brand, 30000, 'brand', brand, 'HOUSE' FROM products
+    UNION ALL SELECT 'S' || sku, 5, 'sku', sku, 'ODD' FROM products WHERE sku::BIGINT % 7 = 0) r
+  ON CASE field WHEN 'product_name' THEN regexp_matches(product_name, pattern) WHEN 'brand' THEN regexp_matches(brand, pattern) ELSE p.sku = pattern END) GROUP BY sku"""
+)
+def products_ruled_by_table(spark, sf):
+    """Rules from a table that grows with the parts: the ends of product names, brands, and single parts."""
+    parts = materialise(a.products(spark, sf), "products")
+    end = parts.select(F.regexp_extract("product_name", "[a-z]+ [a-z]+$", 0).alias("p")).distinct()
+    names = end.select(F.md5("p").alias("rule_id"), F.conv(F.substring(F.md5("p"), 1, 4), 16, 10).cast("int").alias("priority"), F.lit("product_name").alias("match_field"), F.concat(F.lit("(^| )"), "p", F.lit("( |$)")).alias("pattern"), F.upper("p").alias("category"))
+    brands = parts.select(F.concat(F.lit("B"), "brand").alias("rule_id"), F.lit(30000).alias("priority"), F.lit("brand").alias("match_field"), F.col("brand").alias("pattern"), F.lit("HOUSE").alias("category")).distinct()
+    single = parts.filter("cast(sku as bigint) % 7 = 0").select(F.concat(F.lit("S"), "sku").alias("rule_id"), F.lit(5).alias("priority"), F.lit("sku").alias("match_field"), F.col("sku").alias("pattern"), F.lit("ODD").alias("category"))
+    return rules.apply_rule_table(parts, names.union(brands).union(single), "sku").select("sku", "categorized_by_rule", "categorized_on", "rule_category")
+
+
 @query("SELECT sku, min(lo) AS first_seen_date, max(hi) AS last_seen_date, count(*) AS n_markets_seen, sum(n)::BIGINT AS n_observations FROM (SELECT sku, market, min(crawl_date) AS lo, max(crawl_date) AS hi, count(*) AS n FROM readings GROUP BY ALL) GROUP BY sku")
 def product_lifespan(spark, sf):
     return products.lifespan(a.readings(spark, sf), "sku", "crawl_date", "market")
@@ -462,6 +481,19 @@ def audit_tallies(spark, sf):
     return gate.audit_report(_judged(spark, sf))[0]
 
 
+@query(f"SELECT * FROM ({_JUDGED} SELECT scope, as_of_date, string_agg(DISTINCT check_id, ',' ORDER BY check_id) AS checks_not_passing FROM j WHERE status IN ('warn', 'fail') GROUP BY ALL)")
+def checks_not_passing(spark, sf):
+    """The set of failing checks that the health of each delivery names."""
+    health = marts.delivery_health(_ledger(spark, sf), _releases(spark, sf)).filter(F.size("checks_not_passing") > 0)
+    return health.select("scope", "as_of_date", F.array_join("checks_not_passing", ",").alias("checks_not_passing"))
+
+
+@query(f"SELECT * FROM ({_JUDGED} SELECT scope, as_of_date, check_id, subject, severity, status, message FROM j WHERE status IN ('warn', 'fail'))")
+def audit_findings(spark, sf):
+    """The second table of the audit report: what doesn't pass."""
+    return gate.audit_report(_judged(spark, sf))[1].select("scope", "as_of_date", "check_id", "subject", "severity", "status", "message")
+
+
 # ---- published ----------------------------------------------------------------------------------------------------------------------
 
 
@@ -489,6 +521,18 @@ def published_monthly(spark, sf):
     return published.only_released(_monthly(spark, sf), "as_of_date", _releases(spark, sf), "macro")
 
 
+@query(f"SELECT * FROM ({_RELEASES} SELECT micro.* FROM micro WHERE delivery_date IN (SELECT as_of_date FROM rel WHERE scope = 'micro'))")
+def published_weekly(spark, sf):
+    return published.only_released(_micro(spark, sf), "delivery_date", _releases(spark, sf), "micro")
+
+
+@query(f"SELECT * FROM ({_RELEASES} SELECT catalogue_row_id, as_of_date, market, object_id, price_local, has_price FROM catalogue WHERE as_of_date IN (SELECT as_of_date FROM rel))")
+def published_catalogue(spark, sf):
+    """The catalogue of every date that is released in any scope."""
+    rows = marts.fct_catalogue(_catalogue(spark, sf)).select("catalogue_row_id", "as_of_date", "market", "object_id", "price_local", "has_price")
+    return published.only_released(rows, "as_of_date", _releases(spark, sf))
+
+
 @query(f"SELECT * FROM ({_RELEASES} SELECT * FROM overall WHERE report_month IN (SELECT date_trunc('month', as_of_date)::DATE FROM rel WHERE scope = 'macro'))")
 def published_global(spark, sf):
     return published.only_released_months(marts.macro_global(_monthly(spark, sf)), "report_month", _releases(spark, sf), "macro")

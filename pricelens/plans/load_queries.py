@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricelens.operators import assertions, quality, staging
+from pricelens.plans import adapters as a
 from pricelens.plans.adapters import table
 from pricelens.plans.crawl_queries import _LINES, CODES, crawl_lines
 from pricelens.sources import raw, sinks
-from pricelens.sources.tables import materialise, shared_folder
 from pricelens.sources.buckets import BucketedTable
+from pricelens.sources.tables import materialise, shared_folder
 from pricelens.streaming import ingest
 
 QUERIES, SQL = {}, {}
@@ -163,6 +164,28 @@ def defects_not_caught(spark, sf):
     return assertions.not_fully_caught(_graded(spark, sf)).select("defect_code", "recall", "handled_as_expected")
 
 
+_FILE_CODES = (("F1", 6, "file:duplicate_content", "M"), ("F2", 6, "file:stale_content", "M"), ("F3", 5, "file:partial_market", "ASIA"), ("F4", 2, "file:missing_market", "AFRICA"))
+
+
+@query(
+    "SELECT code AS defect_code, rule AS caught_by_rule, count(*) AS n_planted, count(*) FILTER (CASE code WHEN 'F1' THEN m % 3 = 0 WHEN 'F2' THEN m % 4 = 0 WHEN 'F3' THEN m % 5 = 0 ELSE false END) AS n_detected "
+    "FROM (SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS f, month(o_orderdate) AS m FROM lineitem JOIN orders ON o_orderkey = l_orderkey) JOIN (VALUES "
+    + ", ".join(f"('{c}', {n}, '{r}')" for c, n, r, _ in _FILE_CODES) + ") v(code, n, rule) ON m % n = 0 GROUP BY ALL"
+)
+def graded_file_defects(spark, sf):
+    """Defects of whole files: one kind is always caught, one half of the time, one by its market, and one is missed."""
+    files = materialise(a.batches(spark, sf).select(F.col("source_file_name").alias("file_name"), F.month("crawl_date").alias("m")).distinct(), "files")
+    every = lambda n: F.col("m") % n == 0
+    listed = lambda n, market: F.when(every(n), F.array(F.lit(market))).otherwise(F.array().cast("array<string>"))
+    profiled = files.withColumns({"is_duplicate_content": every(3), "is_stale_content": every(4), "partial_markets": listed(5, "ASIA"), "missing_markets": listed(2, "EUROPE")})
+    codes = F.filter(F.array(*[F.when(every(n), F.struct(F.lit(c).alias("code"), F.lit(x).alias("field"))) for c, n, _, x in _FILE_CODES]), lambda x: x.isNotNull())
+    none = lambda *names: [F.lit(None).cast("string").alias(x) for x in names]
+    manifest = files.select("file_name", *none("line_number", "object_id", "clean_value", "dirty_value", "expected_handling"), F.explode(codes).alias("x"))
+    manifest = manifest.select("*", F.col("x.code").alias("defect_code"), F.col("x.field").alias("field")).drop("x")
+    obs = spark.createDataFrame([], "file_name string, object_id_raw string, dq_issues array<string>")
+    return quality.grade(manifest, obs, profiled, {c: rule for c, _, rule, _ in _FILE_CODES}).select("defect_code", "caught_by_rule", "n_planted", "n_detected")
+
+
 # ---- tables out ---------------------------------------------------------------------------------------------------------------------
 
 
