@@ -27,7 +27,7 @@ def plain(rows, columns):
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="no tables here")
-@pytest.mark.parametrize("name", ["macro_monthly", "latest_as_of_running_max", "scd2_periods", "classified_readings", "categorized_products", "file_profile", "parsed_prices", "published_changes", "upsert_incremental", "upserted_rows", "staged_rows", "graded_defects", "lines_streamed_once", "metric_price_change_count", "metric_vocabularies", "metric_refusals", "look_ahead_planted", "cells_not_projected", "release_states", "gate_results_of_replay"])
+@pytest.mark.parametrize("name", ["macro_monthly", "latest_as_of_running_max", "scd2_periods", "classified_readings", "categorized_products", "file_profile", "parsed_prices", "published_changes", "upsert_incremental", "upserted_rows", "staged_rows", "graded_defects", "lines_streamed_once", "metric_price_change_count", "metric_vocabularies", "metric_refusals", "look_ahead_planted", "cells_not_projected", "release_states", "gate_results_of_replay", "audited_deliveries", "rows_upserted_in_buckets", "products_ruled_by_table", "metric_policy_percent", "graded_file_defects"])
 def test_query_equals_its_sql(spark, name):
     db = duckdb.connect()
     db.execute("SET TimeZone = 'UTC'")
