@@ -2,12 +2,13 @@
 
 Only suffixes at minimiser positions are kept: of every WINDOW neighbouring word n-grams, the one with the least hash, which
 depends on the text alone, so a shared passage of MIN_WORDS words keeps a suffix at the same place in every document, with HEAD
-words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are dealt out by head and sorted by the
-words that follow, and each is compared with its nearest neighbours from other documents: matches are extended to the right and to
-the left, and those of MIN_WORDS words or more are merged by document. Longer passages are covered by the overlapping matches of
-their suffixes. Words are compared by 31 bits of their hashes, at least MIN_WORDS of them in a row. The suffixes of a head that
-has more than MOST_ROWS of them stay where they are: they are matched by hashes of all windows of MIN_WORDS words around them,
-which gives the same spans.
+words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are sorted by the words that follow, in range
+partitions of about PART_ROWS rows that cut through heads of any size. Suffixes that share r words to the right are neighbours in
+this order. For each r at which such a neighbourhood grows, its suffixes are sorted by the words to the left and compared with
+their nearest neighbours from other documents, none that shares r words shares more to the left: matches are extended to the left,
+and those of MIN_WORDS words or more are merged by document. What neighbours on both sides of a partition's border need of each other is
+read from the rows at the borders. Longer passages are covered by the overlapping matches of their suffixes. Words are compared by 31 bits of
+their hashes, at least MIN_WORDS of them in a row.
 
 Defined results: words are lower-cased and divided by white space; null, empty and shorter texts share nothing; rows with a null id
 are left out; rows that repeat an id are one document, whose repeats of itself do not count; an empty table gives an empty table;
@@ -17,15 +18,18 @@ called.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_rows, ship, small, stash
+from .common import map_rows, ship, stash
 from .shingles import ngram_hashes, word_hashes, words_of
 
 MIN_WORDS = 50
@@ -33,8 +37,8 @@ GRAM = 8
 WINDOW = 24
 HEAD = MIN_WORDS - WINDOW
 LEFT = WINDOW
-#: Suffixes of one head that a task compares at once; those of larger heads are matched by their windows.
-MOST_ROWS = 50_000
+#: Rows of a range partition, about; a task holds one partition. Larger inputs have more partitions.
+PART_ROWS = 200_000
 
 _U = np.uint64
 
@@ -101,102 +105,221 @@ def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first[number], np.append(first[1:], len(new))[number]
 
 
-def _shared(grid: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many leading words rows a and b have in common; zeros lie beyond the text."""
-    out = np.empty(len(a), dtype=np.int64)
-    for k in range(0, len(a), 16384):
-        x, y = grid[a[k : k + 16384]], grid[b[k : k + 16384]]
-        same = (x == y) & (x != 0)
-        out[k : k + 16384] = np.where(same.all(axis=1), grid.shape[1], same.argmin(axis=1))
+def _shared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many leading words the rows of x and y have in common; zeros lie beyond the text."""
+    same = (x == y) & (x != 0)
+    return np.where(same.all(axis=1), x.shape[1], same.argmin(axis=1))
+
+
+def _neighbours(grid: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """_shared() of the rows a and b of a grid, some at a time."""
+    parts = [_shared(grid[a[k : k + 16384]], grid[b[k : k + 16384]]) for k in range(0, len(a), 16384)]
+    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+
+def _below(step: int) -> int:
+    """The bits of the levels below a step; bit r - HEAD stands for level r."""
+    return (1 << max(0, step - HEAD)) - 1
+
+
+def _bit(step: int) -> int:
+    return 1 << step - HEAD if step >= HEAD else 0
+
+
+def _levels(step: np.ndarray) -> np.ndarray:
+    """The levels after each step: a step at which no later one is lower leaves its own."""
+    out = np.zeros(len(step), np.int32)
+    at = np.arange(len(step))
+    for r in range(HEAD, MIN_WORDS + 1):
+        here = step == r
+        if here.any():
+            last = np.maximum.accumulate(np.where(here, at, -1))
+            lower = np.maximum.accumulate(np.where(step < r, at, -1))
+            out |= (last > lower).astype(np.int32) << (r - HEAD)
     return out
 
 
-def _compare(ids: np.ndarray, at: np.ndarray, heads: np.ndarray, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """id, start and end of what each sorted suffix shares with other documents; suffixes of equal heads are together.
+def _whole(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    """A range partition of about PART_ROWS rows."""
+    held = [b for b in batches if b.num_rows]
+    return pa.Table.from_batches(held).combine_chunks() if held else None
+
+
+def _grid(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, n)
+
 
-    Suffixes that share at least r words to the right are neighbours in the sorted order. For each r from MIN_WORDS down to HEAD
-    at which such neighbourhoods grow, these are sorted by the words to the left, and each suffix is compared with the nearest ones
-    of other documents: none that shares r words shares more to the left. All matches of a suffix contain its position, so together
-    they reach from the farthest start to the farthest end.
+_GROWTH = "pid int, ahead int, ahead_least int, behind int, behind_least int, edge int"
+
+
+def _growth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each suffix of a sorted partition with the levels at which its neighbourhood grows, as far as the partition shows.
+
+    The suffixes that share r words with this one are its neighbourhood at level r; it grows at r if two of them share no more than
+    r (or MIN_WORDS, the most that is compared). Going away from the suffix in the sorted order, these are the values that the
+    least step so far takes. ``ahead_least`` and ``behind_least`` are the least steps up to the partition's ends, beyond which lower
+    levels may come; ``edge`` is the place of the partition's first and last row.
+    """
+    t = _whole(batches)
+    if t is None:
+        return
+    n = t.num_rows
+    rows = np.arange(n)
+    heads = t["head"].to_numpy()
+    step = np.where(heads[1:] == heads[:-1], _neighbours(_grid(t["right"], MIN_WORDS), rows[:-1], rows[1:]), 0)
+    new = {"pid": np.full(n, TaskContext.get().partitionId())}
+    for name, s, order in (("behind", step, rows), ("ahead", step[::-1], rows[::-1])):
+        new[name] = np.concatenate([[0], _levels(s)])[order]
+        new[f"{name}_least"] = np.concatenate([[MIN_WORDS + 1], np.minimum.accumulate(s)])[order]
+    for name in ("pid", "ahead", "ahead_least", "behind", "behind_least"):
+        t = t.append_column(name, pa.array(new[name], pa.int32()))
+    edge = [None] * n
+    edge[0], edge[-1] = 0, n - 1
+    yield from t.append_column("edge", pa.array(edge, pa.int32())).to_batches(max_chunksize=10_000)
+
+
+def _levels_beyond(grown: DataFrame) -> DataFrame:
+    """pid, from_before and from_after: the levels that other partitions leave at a partition's first and last row.
+
+    Only the first and last rows of the partitions are brought here.
+    """
+    edges = {}
+    for r in grown.filter("edge is not null").select("pid", "edge", "head", "right", "ahead", "ahead_least", "behind", "behind_least").collect():
+        edges.setdefault(r["pid"], []).append(r)
+    order = sorted(edges)
+    first = [min(edges[p], key=lambda r: r["edge"]) for p in order]
+    last = [max(edges[p], key=lambda r: r["edge"]) for p in order]
+    words = lambda r: np.frombuffer(r["right"], np.uint32)[None, :]
+    between = [int(_shared(words(x), words(y))[0]) if x["head"] == y["head"] else 0 for x, y in zip(last, first[1:], strict=False)]
+    before, after = [0] * len(order), [0] * len(order)
+    for i, s in enumerate(between):
+        left = last[i]["behind"] | (before[i] & _below(last[i]["behind_least"]))
+        before[i + 1] = (left & _below(s)) | _bit(s)
+    for i in range(len(between) - 1, -1, -1):
+        right = first[i + 1]["ahead"] | (after[i + 1] & _below(first[i + 1]["ahead_least"]))
+        after[i] = (right & _below(between[i])) | _bit(between[i])
+    return grown.sparkSession.createDataFrame([(p, b, a) for p, b, a in zip(order, before, after, strict=True)], "pid int, from_before int, from_after int")
+
+
+def _by_level(suffixes: DataFrame, parts: int) -> DataFrame:
+    """A row for each suffix and level at which its neighbourhood grows: id, at, r, key and rest.
+
+    ``key`` stands for the r words to the right and the MIN_WORDS - r to the left; ``rest`` is the words left of these, from near to far.
     """
-    n = len(ids)
-    step = _shared(right, np.arange(n - 1), np.arange(1, n)) if n > 1 else np.zeros(0, np.int64)
-    step = np.where(heads[1:] == heads[:-1], step, 0)
-    lefts = np.ascontiguousarray(left).view(f"V{4 * LEFT}").ravel()
-    before, behind = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for r in range(MIN_WORDS, HEAD - 1, -1):
-        if not (step == r).any():
-            continue
-        number = np.concatenate([[0], np.cumsum(step < r)])
-        rows = np.flatnonzero(np.isin(number, np.unique(number[1:][step == r])))
-        if r < MIN_WORDS:  # equal right sides are sorted by the left ones already
-            rank = np.unique(lefts[rows], return_inverse=True)[1]
-            rows = rows[np.lexsort((ids[rows], rank, number[rows]))]
-        first, after = _runs(number[rows], ids[rows])
-        for j in (first - 1, after):
-            ok = (j >= 0) & (j < len(rows))
-            a, b = rows[ok], rows[j[ok]]
-            ok = number[a] == number[b]
-            a, b = a[ok], b[ok]
-            k, m = _shared(right, a, b), _shared(left, a, b)
-            long = k + m >= MIN_WORDS
-            a, k, m = a[long], k[long], m[long]
-            before[a], behind[a] = np.maximum(before[a], m), np.maximum(behind[a], k)
-    on = behind > 0
-    return ids[on], at[on] - before[on], at[on] + behind[on]
-
-
-_FOUND = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-_DDL = "id bigint, start int, end int"
-
-
-def _arrays(t: pa.Table):
-    grid = lambda c, n: np.frombuffer(b"".join(t[c].to_pylist()), dtype=np.uint32).reshape(-1, n)
-    return t["id"].to_numpy(), t["at"].to_numpy().astype(np.int64), t["head"].to_numpy(), grid("right", MIN_WORDS), grid("left", LEFT)
-
-
-def _matches(t: pa.Table) -> pa.RecordBatch:
-    """The matches among sorted suffixes."""
-    ids, start, end = _compare(*_arrays(t))
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(start, pa.int32()), pa.array(end, pa.int32())], schema=_FOUND)
-
-
-def _within_partitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matches inside a sorted partition, head by head."""
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        now = pa.Table.from_batches([batch])
-        t = now if held is None else pa.concat_tables([held, now])
-        heads = t["head"].to_numpy()
-        cut = int(np.searchsorted(heads, heads[-1]))  # the last head may go on
-        if cut:
-            yield _matches(t.slice(0, cut))
-        held = t.slice(cut)
-    if held is not None:
-        yield _matches(held)
-
-
-def _by_windows(suffixes: DataFrame) -> DataFrame:
-    """What _compare() finds, without bringing the suffixes of a head together: id, start, end.
-
-    Two suffixes that share k words to the right and m to the left, k + m >= MIN_WORDS, share every window of MIN_WORDS words
-    between; so each suffix gets a key for each such window around it, and the windows that two documents have are kept.
+    ordered = suffixes.select("id", "at", "head", "right", "left").repartitionByRange(parts, "head", "right", "id", "at").sortWithinPartitions("head", "right", "id", "at")
+    ddl = f"id {suffixes.schema['id'].dataType.simpleString()}, at int, head bigint, right binary, left binary, {_GROWTH}"
+    grown = stash(ordered.mapInArrow(_growth, ddl), "grown")
+    below = lambda c: F.expr(f"shiftleft(1, greatest({c} - {HEAD}, 0)) - 1")
+    levels = F.col("ahead").bitwiseOR(F.col("behind")).bitwiseOR(F.col("from_before").bitwiseAND(below("behind_least")))
+    levels = levels.bitwiseOR(F.col("from_after").bitwiseAND(below("ahead_least")))
+    met = grown.join(F.broadcast(_levels_beyond(grown)), "pid").withColumn("levels", levels)
+    r = F.explode(F.filter(F.sequence(F.lit(HEAD), F.lit(MIN_WORDS)), lambda x: F.call_function("getbit", "levels", x - HEAD) == 1))
+    met = met.select("id", "at", "head", "right", "left", r.alias("r")).withColumn("m", MIN_WORDS - F.col("r"))
+    # Zeros lie beyond the text, whose words end with an odd number.
+    met = met.filter((F.col("m") == 0) | (F.expr("substring(left, 4 * m - 3, 4)") != F.lit(bytes(4))))
+    key = F.expr("xxhash64(r, head, substring(right, 1, 4 * r), substring(left, 1, 4 * m))")
+    return met.select("id", "at", "r", key.alias("key"), F.expr(f"substring(left, 4 * m + 1, {4 * LEFT})").alias("rest"))
+
+
+_COMPARED = "id {id}, at int, r int, key bigint, more int, pid int, side int, mark int, rest binary"
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row of a sorted partition with the number of words that its nearest neighbours of other documents share further left.
+
+    ``more`` is -1 if the partition has no such neighbour. Rows whose neighbour before (side 1) or behind (side 2) may be in another
+    partition keep their ``rest``, and so do the rows that others may need: the partition's first (mark 1), the next one with its key of another
+    document (2), the last (4) and the one before it of another document (8).
     """
+    t = _whole(batches)
+    if t is None:
+        return
+    n = t.num_rows
+    key, ids = t["key"].to_numpy(), t["id"].to_numpy()
+    rest = _grid(pa.chunked_array([[(x or b"").ljust(4 * LEFT, b"\0") for x in t["rest"].to_pylist()]]), LEFT)
+    first, after = _runs(key, ids)
+    more, side, mark = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for j, bit in ((first - 1, 1), (after, 2)):
+        inside = (j >= 0) & (j < n)
+        side[~inside] |= bit
+        a = np.flatnonzero(inside)
+        a = a[key[a] == key[j[a]]]
+        more[a] = np.maximum(more[a], _neighbours(rest, a, j[a]))
+    mark[0] |= 1
+    mark[-1] |= 4
+    if after[0] < n and key[after[0]] == key[0]:
+        mark[after[0]] |= 2
+    if first[-1] and key[first[-1] - 1] == key[-1]:
+        mark[first[-1] - 1] |= 8
+    needed = (side > 0) | (mark > 0)
+    columns = {"more": more, "pid": np.full(n, TaskContext.get().partitionId()), "side": side, "mark": mark}
+    held = t.select(["id", "at", "r", "key"])
+    for name, values in columns.items():
+        held = held.append_column(name, pa.array(values, pa.int32()))
+    kept = pc.if_else(pa.array(needed), t["rest"], pa.scalar(None, pa.binary()))
+    yield from held.append_column("rest", kept).filter(pa.array(needed | (more >= 0))).to_batches(max_chunksize=10_000)
+
+
+_Row = tuple[int, int, bytes]  # key, id, rest
+
+
+def _nearest_beyond(marked: dict[int, dict[int, _Row]], alone: set[int], order: list[int], near: int, far: int) -> dict[int, tuple[_Row, _Row | None]]:
+    """Of each partition, in this order, the row before it and the nearest one before that has its key and another id.
+
+    ``near`` and ``far`` are the marks of these rows; a partition in ``alone`` has rows of one key and id only.
+    """
+    out = {}
+    carried: tuple[_Row, _Row | None] | None = None
+    for p in order:
+        if carried:
+            out[p] = carried
+        row, other = marked[p][near], marked[p].get(far)
+        if p in alone and carried and carried[0][0] == row[0]:
+            other = carried[0] if carried[0][1] != row[1] else carried[1]
+        carried = (row, other)
+    return out
+
 
-    def key(k: int):
-        m = MIN_WORDS - k
-        inside = lambda c, n: F.substring(c, 4 * n - 3, 4) != F.lit(bytes(4))  # noqa: E731 (zeros lie beyond the text)
-        whole = inside("right", k) & inside("left", m) if m else inside("right", k)
-        hashed = F.xxhash64(F.lit(k), "head", F.substring("left", 1, 4 * m), F.substring("right", 1, 4 * k))
-        return F.when(whole, F.struct(F.lit(k).alias("k"), hashed.alias("key")))
+def _rows_beyond(compared: DataFrame) -> DataFrame:
+    """pid, side and the rows beyond that side: key, and id and rest of the nearest row and of the next one of another document.
 
-    windows = suffixes.select("id", "at", F.explode(F.filter(F.array(*[key(k) for k in range(HEAD, MIN_WORDS + 1)]), lambda w: w.isNotNull())).alias("w"))
-    windows = windows.select("id", "at", "w.k", "w.key")
-    keys = windows.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("key")
-    shared = windows.join(small(stash(keys, "windows")), "key").groupBy("id", "at").agg(F.min("k").alias("least"), F.max("k").alias("most"))
-    return shared.select("id", (F.col("at") - MIN_WORDS + F.col("least")).alias("start"), (F.col("at") + F.col("most")).alias("end"))
+    Only the rows that end the partitions, four of each at most, are brought here.
+    """
+    marked: dict[int, dict[int, _Row]] = {}
+    alone = set()
+    for r in compared.filter("mark > 0").select("pid", "mark", "side", "key", "id", "rest").collect():
+        for bit in (1, 2, 4, 8):
+            if r["mark"] & bit:
+                marked.setdefault(r["pid"], {})[bit] = (r["key"], r["id"], bytes(r["rest"]))
+        if r["side"] == 3:
+            alone.add(r["pid"])
+    order = sorted(marked)
+    rows = []
+    for side, pids, near, far in ((1, order, 4, 8), (2, order[::-1], 1, 2)):
+        for p, (row, other) in _nearest_beyond(marked, alone, pids, near, far).items():
+            rows.append((p, side, *row, *(other[1:] if other else (None, None))))
+    kind = compared.schema["id"].dataType.simpleString()
+    return compared.sparkSession.createDataFrame(rows, f"pid int, beyond int, key_2 bigint, id_2 {kind}, rest_2 binary, id_3 {kind}, rest_3 binary")
+
+
+def _matches(levels: DataFrame, parts: int) -> DataFrame:
+    """id, start and end of what each suffix shares with other documents, by level.
+
+    All matches of a suffix contain its position, so together they reach from the farthest start to the farthest end.
+    """
+    kind = levels.schema["id"].dataType.simpleString()
+    order = ["key", "rest", "id", "at"]
+    ordered = levels.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    compared = stash(ordered.mapInArrow(_compared, _COMPARED.format(id=kind)), "compared")
+    inner = compared.filter("more >= 0").select("id", "at", "r", "more")
+    edges = compared.filter("side > 0").drop("more")
+    # The rows beyond are two a partition.
+    met = edges.join(F.broadcast(_rows_beyond(compared)), "pid").filter("side & beyond > 0 and key = key_2")
+    met = met.withColumn("other", F.when(F.col("id") != F.col("id_2"), F.col("rest_2")).otherwise(F.col("rest_3"))).filter("other is not null")
+    same = lambda k: F.expr(f"substring(rest, 1, {4 * k}) = substring(other, 1, {4 * k}) and substring(rest, {4 * k - 3}, 4) not in (X'00000000', X'')")
+    more = F.greatest(F.lit(0), *[F.when(same(k), k).otherwise(0) for k in range(1, LEFT + 1)])
+    found = inner.union(met.select("id", "at", "r", more))
+    return found.select("id", (F.col("at") - MIN_WORDS + F.col("r") - F.col("more")).alias("start"), (F.col("at") + F.col("r")).alias("end"))
 
 
 def _shared_heads(kept: DataFrame, width: int) -> DataFrame:
@@ -220,15 +343,9 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     kept = stash(_anchor_rows(docs, text, id_col), "anchors")
     marks = stash(_shared_heads(kept, width).groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("at")), "marks")
     suffixes = stash(_suffixes(docs, marks, text, id_col), "suffixes")
-    # Heads of at most MOST_ROWS suffixes meet whole, each on one partition. No more than one head in MOST_ROWS suffixes is larger.
-    large = stash(suffixes.groupBy("head").count().filter(F.col("count") > MOST_ROWS).select("head"), "large")
-    few = large.isEmpty()
-    rest = suffixes if few else suffixes.join(small(large), "head", "left_anti")
-    columns = ["id", "at", "head", "right", "left"]
-    ordered = rest.select(*columns).repartition(width, "head").sortWithinPartitions("head", "right", "left", "id", "at")
-    spans = stash(ordered.mapInArrow(_within_partitions, _DDL), "matches")
-    if not few:
-        spans = spans.union(_by_windows(suffixes.join(small(large), "head", "left_semi")))
+    parts = lambda df: max(width, math.ceil(df.count() / PART_ROWS))  # noqa: E731 (counts of written tables)
+    levels = stash(_by_level(suffixes, parts(suffixes)), "levels")
+    spans = _matches(levels, parts(levels))
 
     # Of spans with one start the longest counts, so a document brings no more rows here than it has words.
     longest = spans.groupBy("id", "start").agg(F.max("end").alias("end"))

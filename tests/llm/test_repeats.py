@@ -88,13 +88,29 @@ def test_a_large_head_on_several_partitions(spark):
     assert pairs_around_one_phrase(spark, 12_000, 4) == {(i, 0, 53) for i in range(12_000)}
 
 
-def test_a_head_beyond_the_bound_of_a_task(spark):
-    n = repeats.MOST_ROWS + 20_000
-    assert pairs_around_one_phrase(spark, n, 1) == {(i, 0, 53) for i in range(n)}
+def test_a_head_of_many_suffixes(spark):
+    assert pairs_around_one_phrase(spark, 70_000, 1) == {(i, 0, 53) for i in range(70_000)}
 
 
-def test_heads_beyond_the_bound_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "MOST_ROWS", 4)
+def test_a_head_in_many_range_partitions(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "PART_ROWS", 500)
+    assert pairs_around_one_phrase(spark, 6_000, 2) == {(i, 0, 53) for i in range(6_000)}
+
+
+def test_partitions_of_few_rows_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "PART_ROWS", 9)
     test_passages_equal_brute_force(spark)
     test_one_passage_in_many_contexts(spark)
     test_nothing_null_and_repeated_ids(spark)
+
+
+def test_partitions_of_one_document(spark, monkeypatch):
+    """A document repeats a passage so often that its suffixes fill whole partitions between those of the others."""
+    monkeypatch.setattr(repeats, "PART_ROWS", 20)
+    rng = random.Random(6)
+    p = [f"p{i}" for i in range(70)]
+    texts = [" ".join(sum((p + [f"z{k}{j}"] for j in range(n)), [])) for k, n in enumerate([1, 150, 1])] + [" ".join(f"q{rng.random()}" for _ in range(90))]
+    got = {}
+    for r in repeats.repeated_passages(docs(spark, texts, ids=[2, 5, 9, 11])).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["start_word"], r["end_word"]))
+    assert got == brute(texts, [2, 5, 9, 11])
