@@ -4,10 +4,11 @@ Only suffixes at minimiser positions are kept: of every WINDOW neighbouring word
 depends on the text alone, so a shared passage of MIN_WORDS words keeps a suffix at the same place in every document, with HEAD
 words of the passage to its right. Suffixes whose head occurs once are dropped; the rest are sorted by the words that follow, in range
 partitions of about PART_ROWS rows that cut through heads of any size. Suffixes that share r words to the right are neighbours in
-this order. For each r at which such a neighbourhood grows, its suffixes are sorted by the words to the left and compared with
-their nearest neighbours from other documents, none that shares r words shares more to the left: matches are extended to the left,
-and those of MIN_WORDS words or more are merged by document. What neighbours on both sides of a partition's border need of each other is
-read from the rows at the borders. Longer passages are covered by the overlapping matches of their suffixes. Words are compared by 31 bits of
+this order. Of those that several documents have with all compared words, which match wholly, two stand for the rest from here
+on. For each r at which a neighbourhood grows, its suffixes are sorted by the words to the left and compared with their nearest
+neighbours from other documents, as none that shares r words shares more to the left: matches are extended to the left, and those of
+MIN_WORDS words or more are merged by document. What neighbours on both sides of a partition's border need of each other is read from
+the rows at the borders. Longer passages are covered by the overlapping matches of their suffixes. Words are compared by 31 bits of
 their hashes, at least MIN_WORDS of them in a row.
 
 Defined results: words are lower-cased and divided by white space; null, empty and shorter texts share nothing; rows with a null id
@@ -149,7 +150,7 @@ def _grid(column: pa.ChunkedArray, n: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, n)
 
 
-_GROWTH = "pid int, ahead int, ahead_least int, behind int, behind_least int, edge int"
+_GROWTH = "pid int, ahead int, ahead_least int, behind int, behind_least int, edge int, done struct<start:int,end:int>"
 
 
 def _growth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +160,9 @@ def _growth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     r (or MIN_WORDS, the most that is compared). Going away from the suffix in the sorted order, these are the values that the
     least step so far takes. ``ahead_least`` and ``behind_least`` are the least steps up to the partition's ends, beyond which lower
     levels may come; ``edge`` is the place of the partition's first and last row.
+
+    Suffixes of several documents that have all compared words in common, on both sides, match as far as their words go, so they are
+    ``done``. The first and the last of them, of two documents, go on as partners of the others.
     """
     t = _whole(batches)
     if t is None:
@@ -166,7 +170,12 @@ def _growth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = t.num_rows
     rows = np.arange(n)
     heads = t["head"].to_numpy()
-    step = np.where(heads[1:] == heads[:-1], _neighbours(_grid(t["right"], MIN_WORDS), rows[:-1], rows[1:]), 0)
+    right, left = _grid(t["right"], MIN_WORDS), _grid(t["left"], LEFT)
+    step = np.where(heads[1:] == heads[:-1], _neighbours(right, rows[:-1], rows[1:]), 0)
+    ids, at = t["id"].to_numpy(), t["at"].to_numpy()
+    equal = [np.ascontiguousarray(g).view(f"V{4 * g.shape[1]}").ravel() for g in (right, left)]
+    first, after = _runs(heads, *equal)
+    done = (rows != first) & (rows != after - 1) & (ids[first] != ids[after - 1])
     new = {"pid": np.full(n, TaskContext.get().partitionId())}
     for name, s, order in (("behind", step, rows), ("ahead", step[::-1], rows[::-1])):
         new[name] = np.concatenate([[0], _levels(s)])[order]
@@ -175,7 +184,12 @@ def _growth(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = t.append_column(name, pa.array(new[name], pa.int32()))
     edge = [None] * n
     edge[0], edge[-1] = 0, n - 1
-    yield from t.append_column("edge", pa.array(edge, pa.int32())).to_batches(max_chunksize=10_000)
+    t = t.append_column("edge", pa.array(edge, pa.int32()))
+    span = [pa.array(at - np.count_nonzero(left, axis=1), pa.int32()), pa.array(at + np.count_nonzero(right, axis=1), pa.int32())]
+    t = t.append_column("done", pa.StructArray.from_arrays(span, names=["start", "end"], mask=pa.array(~done)))
+    for name in ("right", "left"):
+        t = t.set_column(t.schema.get_field_index(name), name, pc.if_else(pa.array(done), pa.scalar(None, pa.binary()), t[name]))
+    yield from t.to_batches(max_chunksize=10_000)
 
 
 def _levels_beyond(grown: DataFrame) -> DataFrame:
@@ -201,18 +215,23 @@ def _levels_beyond(grown: DataFrame) -> DataFrame:
     return grown.sparkSession.createDataFrame([(p, b, a) for p, b, a in zip(order, before, after, strict=True)], "pid int, from_before int, from_after int")
 
 
-def _by_level(suffixes: DataFrame, parts: int) -> DataFrame:
-    """A row for each suffix and level at which its neighbourhood grows: id, at, r, key and rest.
+def _sorted_suffixes(suffixes: DataFrame, parts: int) -> DataFrame:
+    """The suffixes with what _growth() says of them, in order."""
+    order = ["head", "right", "left", "id", "at"]
+    ordered = suffixes.select("id", "at", "head", "right", "left").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ddl = f"id {suffixes.schema['id'].dataType.simpleString()}, at int, head bigint, right binary, left binary, {_GROWTH}"
+    return stash(ordered.mapInArrow(_growth, ddl), "grown")
+
+
+def _by_level(grown: DataFrame) -> DataFrame:
+    """A row for each suffix that isn't done and level at which its neighbourhood grows: id, at, r, key and rest.
 
     ``key`` stands for the r words to the right and the MIN_WORDS - r to the left; ``rest`` is the words left of these, from near to far.
     """
-    ordered = suffixes.select("id", "at", "head", "right", "left").repartitionByRange(parts, "head", "right", "id", "at").sortWithinPartitions("head", "right", "id", "at")
-    ddl = f"id {suffixes.schema['id'].dataType.simpleString()}, at int, head bigint, right binary, left binary, {_GROWTH}"
-    grown = stash(ordered.mapInArrow(_growth, ddl), "grown")
     below = lambda c: F.expr(f"shiftleft(1, greatest({c} - {HEAD}, 0)) - 1")
     levels = F.col("ahead").bitwiseOR(F.col("behind")).bitwiseOR(F.col("from_before").bitwiseAND(below("behind_least")))
     levels = levels.bitwiseOR(F.col("from_after").bitwiseAND(below("ahead_least")))
-    met = grown.join(F.broadcast(_levels_beyond(grown)), "pid").withColumn("levels", levels)
+    met = grown.filter("done is null").join(F.broadcast(_levels_beyond(grown)), "pid").withColumn("levels", levels)
     r = F.explode(F.filter(F.sequence(F.lit(HEAD), F.lit(MIN_WORDS)), lambda x: F.call_function("getbit", "levels", x - HEAD) == 1))
     met = met.select("id", "at", "head", "right", "left", r.alias("r")).withColumn("m", MIN_WORDS - F.col("r"))
     # Zeros lie beyond the text, whose words end with an odd number.
@@ -344,8 +363,9 @@ def repeated_passages(docs: DataFrame, text: str = "text", id_col: str = "doc_id
     marks = stash(_shared_heads(kept, width).groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("at")), "marks")
     suffixes = stash(_suffixes(docs, marks, text, id_col), "suffixes")
     parts = lambda df: max(width, math.ceil(df.count() / PART_ROWS))  # noqa: E731 (counts of written tables)
-    levels = stash(_by_level(suffixes, parts(suffixes)), "levels")
-    spans = _matches(levels, parts(levels))
+    grown = _sorted_suffixes(suffixes, parts(suffixes))
+    levels = stash(_by_level(grown), "levels")
+    spans = _matches(levels, parts(levels)).union(grown.filter("done is not null").select("id", "done.start", "done.end"))
 
     # Of spans with one start the longest counts, so a document brings no more rows here than it has words.
     longest = spans.groupBy("id", "start").agg(F.max("end").alias("end"))
