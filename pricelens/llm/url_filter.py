@@ -114,7 +114,7 @@ def judge(pages: DataFrame, url: str = "url", id_col: str = "page_id", rules=RUL
     rows = rows.select(id_col, "host", "path", name.alias("rule"), verdict.alias("ruled"), F.concat("host", "path").alias("text"))
     # Each different text is scored once; they are dealt out, as a text has many characters.
     width = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    texts = rows.filter("text <> ''").groupBy("text").agg(F.max("ruled").alias("verdict")).repartition(width)
+    texts = rows.filter("text <> ''").groupBy("text").agg(F.max("ruled").alias("verdict"), F.count(F.lit(1)).alias("n")).repartition(width)
     texts = stash(texts.withColumn("held", F.substring(F.md5(F.concat(F.lit("held "), "text")), 1, 1).isin(*HELD_OUT)), "urls")
     labelled, held = texts.filter("verdict is not null"), F.col("held")
     model = stash(fit(labelled.filter(~held)), "model")
@@ -122,6 +122,13 @@ def judge(pages: DataFrame, url: str = "url", id_col: str = "page_id", rules=RUL
     scored = score(texts, model) if both else texts.select("text", F.lit(0.0).alias("score"))
     scored = stash(scored, "scores")
     least = cut(scored.join(labelled.filter(held), "text")) if both else 0.0
-    out = rows.join(scored, "text", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    # Texts with more than their share of a quarter of a partition, 4 * width of them at most, meet their pages by broadcast. These pages
+    # and those without a text are spread by a salt that no score has.
+    often = F.broadcast(texts.filter(F.col("n") * (4 * width) > rows.count()).select("text"))
+    met = rows.join(F.broadcast(scored.join(often, "text").withColumnRenamed("score", "known")), "text", "left")
+    open_ = (F.col("text") != "") & F.col("known").isNull()
+    met = met.withColumn("salt", F.when(open_, 0).otherwise(1 + F.pmod(F.xxhash64(id_col, "path"), F.lit(1 << 20))))
+    rest = small(scored.withColumn("salt", F.lit(0).cast("bigint")))
+    out = met.join(rest, ["text", "salt"], "left").withColumn("score", F.coalesce("known", "score", F.lit(0.0)))
     method = F.when((F.col("score") >= least) | (F.col("text") == ""), F.lit("allow")).otherwise(F.lit("block"))
     return out.select(id_col, "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "score")

@@ -192,3 +192,20 @@ def test_url_models_equal_brute_force_and_tell_classes_apart(spark):
     out = {r["page_id"]: r["verdict"] for r in url_filter.judge(spark.createDataFrame(pages, PAGES)).collect()}
     right = [out[120 + i] == ("allow" if i < 20 else "block") for i in range(40)]
     assert sum(right) >= 36
+
+
+def test_urls_that_many_pages_have_are_judged_alike_without_broadcast(spark, monkeypatch):
+    """One URL and the null one are a third of the rows each; the rest occur once."""
+    urls = [f"https://www.{('a.org/fr', 'b.net', 'example.com/de', 'c.io')[i % 4]}/p{i}" for i in range(150)]
+    urls += ["https://hot.io/x"] * 75 + ["https://hot.org/fr/x"] * 75 + [None] * 150
+    df = spark.createDataFrame([(i if i % 11 else None, u, "") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    rows = lambda: sorted(str((*r[:5], round(r["score"], 9))) for r in url_filter.judge(df).collect())  # noqa: E731 (sums differ by their order)
+    want = rows()
+    assert len(want) == len(urls)
+    monkeypatch.setattr(url_filter, "small", lambda x: x)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows() == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
