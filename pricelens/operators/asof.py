@@ -141,10 +141,8 @@ def catalogue_periods(calendar: Calendar, batches: DataFrame, classified: DataFr
     object (real product pages, whatever the quality of their price), and those in which a price is the latest known. Their starts are
     sorted; after each start the last of either kind holds until the next one, or until the batch ends.
     """
-    eligible = batches.filter("is_eligible")
-    chosen = known_periods(calendar, eligible, ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date", "crawl_scope"])
-    pages = classified.filter(F.col("fate").isin("accepted", "price_scale_outlier", "quarantined_in_staging") & ~F.col("is_not_a_product_page"))
-    listed = pages.groupBy("market_batch_id", "object_id").agg(F.sort_array(F.collect_set("sku")).alias("skus"))
+    chosen = chosen_periods(calendar, batches)
+    listed = pages_of(classified).groupBy("market_batch_id", "object_id").agg(F.sort_array(F.collect_set("sku")).alias("skus"))
     seen = F.struct("end", "market", "market_batch_id", "crawl_date", "crawl_scope", "skus").alias("_seen")
     present = chosen.join(listed, "market_batch_id").select("object_id", "chain", "start", F.lit(1).alias("_kind"), seen)
     prices = accepted.select("object_id", "crawl_date", "delivered_at", "price_local", "currency_code", "market_batch_id")
@@ -164,6 +162,35 @@ def catalogue_periods(calendar: Calendar, batches: DataFrame, classified: DataFr
     )
 
 
+def overlapping(calendar: Calendar, periods: DataFrame, key: str = "object_id") -> DataFrame:
+    """The periods of keys that have two at one place, found by a sort of the periods. Only they can be twice at a date; on several
+    staircases any key may be, so that all stay.
+    """
+    if len(calendar.days) > 1:
+        return periods
+    w = Window.partitionBy(key).orderBy("start", "end")
+    upto = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    clash = F.bool_or("_twice").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = periods.withColumn("_twice", F.coalesce(upto > F.col("start"), F.lit(False))).withColumn("_clash", clash)
+    return rows.filter("_clash").drop("_twice", "_clash")
+
+
+def served_periods(calendar: Calendar, batches: DataFrame, classified: DataFrame) -> DataFrame:
+    """By market the stretches in which each batch is the latest eligible one and lists an object: its catalogue's batches, without
+    the objects."""
+    pages = pages_of(classified).select("market_batch_id").distinct()
+    return chosen_periods(calendar, batches).join(pages, "market_batch_id", "left_semi").withColumnsRenamed({"market_batch_id": "presence_batch_id", "crawl_date": "presence_crawl_date"})
+
+
+def chosen_periods(calendar: Calendar, batches: DataFrame) -> DataFrame:
+    return known_periods(calendar, batches.filter("is_eligible"), ["market"], ["crawl_date", "delivered_at"], ["market_batch_id", "crawl_date", "crawl_scope"])
+
+
+def pages_of(classified: DataFrame) -> DataFrame:
+    """Real product pages, whatever the quality of their price."""
+    return classified.filter(F.col("fate").isin("accepted", "price_scale_outlier", "quarantined_in_staging") & ~F.col("is_not_a_product_page"))
+
+
 def catalogue_rows(calendar: Calendar, periods: DataFrame, dates: DataFrame) -> DataFrame:
     """A row for each date and object present: how old its crawl is, the latest known price, whether that is carried forward."""
     out = expanded(calendar, periods).join(F.broadcast(dates), ["as_of_date", "knowledge_cutoff"]).drop("knowledge_cutoff")

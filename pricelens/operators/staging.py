@@ -44,8 +44,11 @@ def with_line_id(lines: DataFrame) -> DataFrame:
     """Number identical lines of a file and give each line an id that no later load changes."""
     same = Window.partitionBy("source_file_name", F.xxhash64("raw_line"), "raw_line").orderBy("loaded_at")
     numbered = lines.withColumn("identical_line_ordinal", F.row_number().over(same))
-    parts = F.concat_ws("|", "source_file_name", "raw_line", F.col("identical_line_ordinal").cast("string"))
-    return numbered.withColumn("crawl_line_id", F.sha2(parts, 256))
+    return numbered.withColumn("crawl_line_id", line_id())
+
+
+def line_id(line: str = "raw_line") -> Column:
+    return F.sha2(F.concat_ws("|", "source_file_name", line, F.col("identical_line_ordinal").cast("string")), 256)
 
 
 # Where a file's name has its crawl date and export time, the suffix of a copy, and where a source has its market.
@@ -58,12 +61,15 @@ SOURCE_MARKET = "_([A-Z]{3})$"
 def parse_file_name(df: DataFrame, name: str = "source_file_name") -> DataFrame:
     """What a file's name says: decoded name, crawl date, export time, copy suffix. A name that can't be decoded is kept."""
     c = F.col(name)
-    decoded = F.coalesce(F.try_url_decode(c), c)
+    # Only a percent or a plus sign is changed by decoding. What a pattern doesn't find is null before it is cast: a cast that fails
+    # costs an exception a line.
+    decoded = F.when(c.rlike("[%+]"), F.coalesce(F.try_url_decode(c), c)).otherwise(c)
+    found = lambda pattern: F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
     return df.withColumns(
         {
             "delivered_file_name": decoded,
-            "file_crawl_date": F.regexp_extract(c, CRAWL_DATE, 1).try_cast("date"),
-            "file_exported_at": F.timestamp_millis(F.regexp_extract(c, EXPORTED_AT, 1).try_cast("bigint")),
+            "file_crawl_date": found(CRAWL_DATE).try_cast("date"),
+            "file_exported_at": F.timestamp_millis(found(EXPORTED_AT).try_cast("bigint")),
             "file_name_has_copy_suffix": decoded.rlike(COPY_SUFFIX),
         }
     )
@@ -122,6 +128,31 @@ def resolve_currency(df: DataFrame, cfg: CrawlConfig) -> DataFrame:
     return df.withColumn("currency_minor_units", t.lookup(F.col("currency_code"), cfg.minor_units, 2))
 
 
+#: What an observation's identity is made of.
+IDENTITY = "objectID string, source string, market string, skus array<string>"
+
+
+def with_identity(lines: DataFrame, cfg: CrawlConfig, json_col: str = "raw_line") -> DataFrame:
+    """What compares the lines of a file, by one shuffle and one sort: line ids as by with_line_id(), and has_conflicting_duplicate.
+
+    Equal lines are of one object, so lines that are dealt by file and object lie with their likes. Only the fields that make the object's
+    id are parsed before; the rest is read from the line after the shuffle, which moves lines and no parsed columns.
+    """
+    j = F.col("_j")
+    df = lines.withColumn("_j", F.from_json(json_col, IDENTITY))
+    df = df.select(*lines.columns, j["objectID"].alias("object_id_raw"), j["source"].alias("source_raw"), j["market"].alias("market_raw"), j["skus"].alias("skus_raw"))
+    df = resolve_sku(resolve_market(df)).select(*lines.columns, object_key(cfg).alias("_object"), F.xxhash64(json_col).alias("_hash"))
+    same = Window.partitionBy("source_file_name", "_object", "_hash", json_col).orderBy("loaded_at")
+    mates = Window.partitionBy("source_file_name", "_object").orderBy("_hash", json_col, "loaded_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumn("identical_line_ordinal", F.row_number().over(same))
+    df = df.withColumn("has_conflicting_duplicate", F.min("_hash").over(mates) != F.max("_hash").over(mates))
+    return df.withColumn("crawl_line_id", line_id(json_col)).drop("_object", "_hash")
+
+
+def object_key(cfg: CrawlConfig) -> Column:
+    return F.concat_ws("_", F.lit(cfg.brand), "market", "sku")
+
+
 def flag_conflicting_duplicates(df: DataFrame, file_col: str = "source_file_name", key: str = "object_id", line: str = "raw_line") -> DataFrame:
     """Whether a file has different lines for one object."""
     h = F.xxhash64(line)
@@ -187,7 +218,7 @@ def repair_lines(parsed: DataFrame, cfg: CrawlConfig) -> DataFrame:
             "is_valid": t.text_boolean(c("is_valid_raw")),
             "validation_errors": F.coalesce("validation_errors_raw", F.array().cast("array<string>")),
             "crawled_at": t.epoch_to_ts(c("created_at_raw")),
-            "object_id": F.concat_ws("_", F.lit(cfg.brand), "market", "sku"),
+            "object_id": object_key(cfg),
         }
     )
     details, labels, p = c("product_details"), c("categories"), cfg.tag_prefix
@@ -212,9 +243,11 @@ def repair_lines(parsed: DataFrame, cfg: CrawlConfig) -> DataFrame:
 
 
 def stage_parsed(parsed: DataFrame, cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:
-    """Staged observations of lines that are parsed already."""
+    """Staged observations of lines that are parsed already, with has_conflicting_duplicate or not."""
     cfg = cfg or CrawlConfig()
-    df = flag_conflicting_duplicates(repair_lines(parsed, cfg))
+    df = repair_lines(parsed, cfg)
+    if "has_conflicting_duplicate" not in parsed.columns:
+        df = flag_conflicting_duplicates(df)
     df = df.withColumn("dq_issues", collect_issues(line_rules(cfg), [F.col("price_parse_issue")]))
     df = df.withColumns(
         {
@@ -230,4 +263,4 @@ def stage_parsed(parsed: DataFrame, cfg: CrawlConfig | None = None, handling=HAN
 
 def stage_observations(bronze: DataFrame, cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:
     """Staged observations of bronze lines: identity, file name, one parse, repairs, rules, status."""
-    return stage_parsed(parse_lines(parse_file_name(with_line_id(bronze))), cfg, handling)
+    return stage_parsed(parse_lines(parse_file_name(with_identity(bronze, cfg or CrawlConfig()))), cfg, handling)

@@ -199,13 +199,13 @@ FROM hit UNION ALL SELECT late.as_of_date, late.market, crawl_served, 'none that
 )
 def stale_evidence(spark, sf):
     """Newer files behind markets that were found stale; a file is a month of all markets, some of which it has in part only."""
-    b = a.batches(spark, sf)
+    made = catalog._readings(spark, sf)
+    b = made[1]
     none = F.array().cast("array<string>")
     files = b.groupBy("source_file_name").agg(F.min("crawl_date").alias("content_crawl_date"), F.collect_set(F.when(F.col("is_partial"), F.col("market"))).alias("partial_markets"))
     files = files.withColumns({"delivered_file_name": F.col("source_file_name"), "file_crawl_date": F.trunc("content_crawl_date", "MM"), "missing_markets": none, "is_stale_content": F.lit(False), "is_duplicate_content": F.lit(False)})
-    ctx = catalog._context(spark, sf, rows=True)
-    late = catalog._judged(spark, sf).filter("check_id = 'served_crawl_age_days' and status in ('warn', 'fail')")
-    return triage.explain_stale(ctx.scoped, files, late)
+    late = catalog._judged(spark, sf, made=made).filter("check_id = 'served_crawl_age_days' and status in ('warn', 'fail')")
+    return triage.explain_stale(catalog._served(spark, sf, made)[1], files, late)
 
 
 @query(
@@ -231,7 +231,7 @@ def carried_evidence(spark, sf):
 def cells_not_projected(spark, sf):
     """Prices of the grid against the catalogue's own; a fifth of a month is one too high in Africa, products whose id ends in 1 are lost in Europe."""
     made = catalog._readings(spark, sf)
-    cat = materialise(catalog._catalogue(spark, sf, made), "catalogue")
+    cat = catalog._watched(spark, sf, made)[2]
     grid = materialise(catalog._micro(spark, sf, None, made), "micro").select("delivery_date", "pointer_id", "market", "sku", "price_local")
     wrong = (F.col("market") == "AFRICA") & (F.dayofmonth("delivery_date") == 5)
     planted = grid.withColumn("price_local", F.when(wrong, F.col("price_local") + 1).otherwise(F.col("price_local"))).filter("not (pointer_id like '%1' and market = 'EUROPE')")
