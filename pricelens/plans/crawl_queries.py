@@ -12,6 +12,7 @@ from pricelens.functions import text as t
 from pricelens.operators import assertions, deliveries, quality, reports, staging
 from pricelens.plans.adapters import table
 from pricelens.sources import raw
+from pricelens.sources.tables import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,6 +120,11 @@ def _staged(spark, sf):
     return staging.stage_observations(crawl_lines(spark, sf))
 
 
+def _statuses(spark, sf):
+    """What of the staged lines is counted twice, written once."""
+    return materialise(_staged(spark, sf).select("source_file_name", "sku", "dq_status"), "statuses")
+
+
 @query(_LINES + " SELECT month AS file_crawl_date, CASE WHEN quarantine THEN 'quarantine' WHEN warn THEN 'warn' WHEN fix THEN 'fixed' ELSE 'pass' END AS dq_status, count(*) AS n, sum(CASE WHEN o % 13 <> 0 THEN price END)::BIGINT AS total FROM q GROUP BY ALL")
 def staged_status(spark, sf):
     return _staged(spark, sf).groupBy("file_crawl_date", "dq_status").agg(F.count(F.lit(1)).alias("n"), F.sum("price_local").cast("bigint").alias("total"))
@@ -154,7 +160,7 @@ def quarantined_lines(spark, sf):
 @query("SELECT month AS source_file_name, 0 AS delivered, 0 AS usable, 0 AS quarantined FROM (SELECT 'x' AS month) WHERE false")
 def lost_rows(spark, sf):
     """Every delivered line is usable or quarantined."""
-    obs = _staged(spark, sf)
+    obs = _statuses(spark, sf)
     out = assertions.lost_rows(crawl_lines(spark, sf), obs.filter("dq_status <> 'quarantine'"), obs.filter("dq_status = 'quarantine'"))
     return out.select("source_file_name", *[F.col(c).cast("int").alias(c) for c in ("delivered", "usable", "quarantined")])
 
@@ -166,7 +172,7 @@ def lost_rows(spark, sf):
 )
 def lost_rows_planted(spark, sf):
     """Files from whose usable lines some products were dropped."""
-    obs = _staged(spark, sf)
+    obs = _statuses(spark, sf)
     kept = obs.filter("dq_status <> 'quarantine' and not (cast(substring(sku, 2) as bigint) % 50 = 7)")
     out = assertions.lost_rows(crawl_lines(spark, sf), kept, obs.filter("dq_status = 'quarantine'"))
     return out.select("source_file_name", *[F.col(c).cast("int").alias(c) for c in ("delivered", "usable", "quarantined")])
