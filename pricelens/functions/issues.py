@@ -8,10 +8,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: What stands between names while they are put together; no name holds it.
+_BETWEEN = "\x01"
+
+
+def joined(labels: Sequence[Column]) -> Column:
+    """Those labels that aren't null, in order, as one text; null without any. Like split_labels() it needs no function by element,
+    which would be interpreted.
+    """
+    return F.nullif(F.concat_ws(_BETWEEN, *labels), F.lit(""))
+
+
+def split_labels(text: Column) -> Column:
+    """The labels of joined() texts put together by joined(), as an array."""
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.split(text, _BETWEEN))
+
+
+def present(labels: Sequence[Column]) -> Column:
+    """Those labels that aren't null, in order."""
+    return split_labels(joined(labels))
+
+
+def fired(rules: Mapping[str, Column]) -> list[Column]:
+    return [F.when(c, F.lit(name)) for name, c in rules.items()]
+
+
 def collect_issues(rules: Mapping[str, Column], labels: Sequence[Column] = ()) -> Column:
     """The names of all rules whose condition holds, after those labels that aren't null."""
-    fired = [*labels, *[F.when(c, F.lit(name)) for name, c in rules.items()]]
-    return F.filter(F.array(*fired), lambda x: x.isNotNull())
+    return present([*labels, *fired(rules)])
 
 
 def dq_status(issues: Column, handling: Mapping[str, Sequence[str]]) -> Column:
@@ -19,4 +43,4 @@ def dq_status(issues: Column, handling: Mapping[str, Sequence[str]]) -> Column:
     out = F.lit("pass")
     for name, label in (("fix", "fixed"), ("warn", "warn"), ("quarantine", "quarantine")):
         out = F.when(F.arrays_overlap(issues, F.array(*[F.lit(x) for x in handling[name]])), F.lit(label)).otherwise(out)
-    return out
+    return F.when(F.size(issues) == 0, F.lit("pass")).otherwise(out)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pricelens.functions.text import surrogate_key
+from pricelens.sources.tables import materialise, small
 
 
 def as_of_dates(files: DataFrame, crawl_date: str = "content_crawl_date") -> DataFrame:
@@ -55,13 +56,18 @@ class Calendar:
 
     def places(self, crawl_date: Column, delivered_at: Column) -> Column:
         """For each staircase (chain) on which a fact is ever visible, the first place (at) where it is, as an array of structs."""
-        day, came = F.unix_date(crawl_date), F.unix_micros(delivered_at)
         found = []
-        for i, (days, cuts) in enumerate(zip(self.days, self.cuts, strict=True)):
-            at = F.greatest(_below(days, day, "int"), _below(cuts, came + 1, "bigint"))
-            found.append(F.when((at < len(days)) & day.isNotNull() & came.isNotNull(), F.struct(F.lit(i).alias("chain"), at.alias("at"))))
+        for i, days in enumerate(self.days):
+            at = self.place(i, crawl_date, delivered_at)
+            found.append(F.when(at < len(days), F.struct(F.lit(i).alias("chain"), at.alias("at"))))
         return F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<chain:int,at:int>>")
 
+    def place(self, chain: int, crawl_date: Column, delivered_at: Column) -> Column:
+        """The first place on a staircase where a fact is visible, its length if it never is, null if it lacks a time."""
+        day, came = F.unix_date(crawl_date), F.unix_micros(delivered_at)
+        at = F.greatest(_below(self.days[chain], day, "int"), _below(self.cuts[chain], came + 1, "bigint"))
+        return F.when(day.isNotNull() & came.isNotNull(), at)
+
     def day(self, chain: Column, at: Column) -> Column:
         return F.date_from_unix_date(F.get(F.get(constants(self.days, "array<array<int>>"), chain), at))
 
@@ -77,8 +83,25 @@ def constants(values: list, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(values)), kind)
 
 
+#: Steps of a table of places at most; values that lie farther apart are searched.
+TABLE_STEPS = 100_000
+DAY_MICROS = 86_400_000_000
+
+
 def _below(values: list[int], x: Column, kind: str) -> Column:
-    """How many of the ascending values are less than x, by binary search."""
+    """How many of the ascending values are less than x: by a table of the days that they span, if these have one value each at most,
+    else by binary search.
+    """
+    step = DAY_MICROS if kind == "bigint" else 1
+    bins = [v // step for v in values]
+    if values and len(set(bins)) == len(bins) and bins[-1] - bins[0] < TABLE_STEPS:
+        low, n = bins[0], bins[-1] - bins[0] + 1
+        own = dict(zip(bins, values, strict=True))
+        since = F.greatest(x - F.lit(low * step), F.lit(0))
+        at = F.least(since if step == 1 else F.call_function("div", since, F.lit(step)), F.lit(n - 1)).cast("int")
+        fewer = F.get(constants([bisect_left(bins, low + i) for i in range(n)], "array<int>"), at)
+        here = F.get(constants([own.get(low + i) for i in range(n)], f"array<{kind}>"), at)
+        return fewer + F.when(here < x, 1).otherwise(0)
     steps = [1 << k for k in reversed(range(len(values).bit_length()))]
     held = constants(values, f"array<{kind}>")
     return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, s: at + F.when(F.get(held, at + s - 1) < x, s).otherwise(0))
@@ -91,8 +114,13 @@ def known_periods(calendar: Calendar, facts: DataFrame, keys: Sequence[str], ord
     Ties in ``order`` are broken by the kept columns.
     """
     fact = F.struct(*order, *[c for c in keep if c not in order]).alias("_f")
-    placed = facts.select(*keys, fact, F.explode(calendar.places(F.col(crawl_date), F.col(delivered_at))).alias("_p"))
-    rows = placed.select(*keys, F.col("_p.chain").alias("chain"), F.col("_p.at").alias("start"), "_f")
+    if len(calendar.days) == 1:  # one place at most, without an array
+        # What is never visible starts where the staircase ends, and drops out with the other empty stretches.
+        timed = facts.filter(F.col(crawl_date).isNotNull() & F.col(delivered_at).isNotNull())
+        rows = timed.select(*keys, F.lit(0).alias("chain"), calendar.place(0, F.col(crawl_date), F.col(delivered_at)).alias("start"), fact)
+    else:
+        placed = facts.select(*keys, fact, F.explode(calendar.places(F.col(crawl_date), F.col(delivered_at))).alias("_p"))
+        rows = placed.select(*keys, F.col("_p.chain").alias("chain"), F.col("_p.at").alias("start"), "_f")
     w = Window.partitionBy(*keys, "chain").orderBy("start", "_f")
     end = F.coalesce(F.lead("start").over(w), calendar.size(F.col("chain")))
     best = rows.withColumns({"end": end, "_f": F.max("_f").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))}).filter("end > start")
@@ -141,7 +169,7 @@ def catalogue_periods(calendar: Calendar, batches: DataFrame, classified: DataFr
     object (real product pages, whatever the quality of their price), and those in which a price is the latest known. Their starts are
     sorted; after each start the last of either kind holds until the next one, or until the batch ends.
     """
-    chosen = chosen_periods(calendar, batches)
+    chosen = small(materialise(chosen_periods(calendar, batches), "chosen"))
     listed = pages_of(classified).groupBy("market_batch_id", "object_id").agg(F.sort_array(F.collect_set("sku")).alias("skus"))
     seen = F.struct("end", "market", "market_batch_id", "crawl_date", "crawl_scope", "skus").alias("_seen")
     present = chosen.join(listed, "market_batch_id").select("object_id", "chain", "start", F.lit(1).alias("_kind"), seen)
@@ -220,6 +248,17 @@ def replay_last_import(dates: DataFrame, batches: DataFrame, classified: DataFra
     return last.join(lines, "market_batch_id").groupBy("as_of_date", "market", "object_id", "legacy_crawl_date").agg(F.max(F.when(usable, F.col("price_local"))).alias("price_local"))
 
 
+def replay_periods(calendar: Calendar, batches: DataFrame, classified: DataFrame) -> DataFrame:
+    """replay_last_import() as stretches of the calendar in which an object's row doesn't change, in the form of catalogue_periods()."""
+    imported = batches.withColumn("_any", F.to_date(F.lit("0001-01-01")))
+    last = known_periods(calendar, imported, ["market"], ["loaded_at", "delivered_at", "market_batch_id"], ["market_batch_id", "crawl_date"], "_any", "loaded_at")
+    last = small(materialise(last, "imported"))
+    lines = classified.filter(~F.col("is_not_a_product_page"))
+    usable = (F.col("dq_status") != "quarantine") & ~F.col("is_price_scale_outlier")
+    rows = lines.groupBy("market_batch_id", "object_id").agg(F.max(F.when(usable, F.col("price_local"))).alias("price_local"))
+    return rows.join(last, "market_batch_id").select("object_id", "chain", "start", "end", "market", F.col("crawl_date").alias("presence_crawl_date"), "price_local")
+
+
 def diff_catalogues(right: DataFrame, other: DataFrame, threshold: float = 0.0) -> DataFrame:
     """By date and market: objects that the other catalogue lacks or has beyond the right one, different prices and their share."""
     keys = ["as_of_date", "market", "object_id"]

@@ -219,15 +219,19 @@ def by_market_of_stretches(dates: list[list[dt.date]], rows: DataFrame) -> DataF
     brief = follows & (F.col("_e1") - F.col("_f1") == 1)
     again = brief & F.coalesce(F.col("_e2") == F.col("_f1"), F.lit(False)) & two.isNotNull()
     run = F.when(~follows, 0).when(brief & ~again, 1).otherwise(2)  # deliveries priced just before, as far as they matter
+    # Stretches that count alike are put together first: what follows has a row for each pair of deliveries and kind at most.
+    flag = lambda what: F.when(follows & what, 1).otherwise(0).cast("int")
+    alike = {"_run": run.cast("int"), "_priced": p.isNotNull(), "_changed": flag(p != one), "_fallen": flag(p < one), "_reverted": F.when(again & (p != one) & (p == two), 1).otherwise(0).cast("int")}
+    kinds = rows.withColumns(alike).groupBy("scope", "market", "first", "past", *alike).agg(F.count(F.lit(1)).alias("_k"), F.min("served_crawl_date").alias("_served"))
+    rows = materialise(kinds, "stretches")
     counts = ("n", "n1", "n2", "changed", "fallen", "reverted")
-    event = lambda at, **x: F.struct(at.cast("int").alias("at"), *[x.get(c, F.lit(0)).cast("int").alias(c) for c in counts])
-    first, past, yes, no = F.col("first"), F.col("past"), F.lit(1), F.lit(-1)
+    event = lambda at, **x: F.struct(at.cast("int").alias("at"), *[(x.get(c, F.lit(0)) * F.col("_k")).cast("bigint").alias(c) for c in counts])
+    first, past, run, yes, no = F.col("first"), F.col("past"), F.col("_run"), F.lit(1), F.lit(-1)
     begins1, begins2 = first + F.greatest(F.lit(0), 1 - run), first + F.greatest(F.lit(0), 2 - run)
-    held = lambda since: p.isNotNull() & (since < past)
-    turn = lambda what: F.when(follows & what, 1).otherwise(0)
+    held = lambda since: F.col("_priced") & (since < past)
     events = F.array_compact(
         F.array(
-            event(first, n=yes, changed=turn(p != one), fallen=turn(p < one), reverted=F.when(again & (p != one) & (p == two), 1).otherwise(0)),
+            event(first, n=yes, changed=F.col("_changed"), fallen=F.col("_fallen"), reverted=F.col("_reverted")),
             F.when(held(begins1), event(begins1, n1=yes)),
             F.when(held(begins2), event(begins2, n2=yes)),
             event(past, n=no, n1=F.when(held(begins1), -1).otherwise(0), n2=F.when(held(begins2), -1).otherwise(0)),
@@ -242,7 +246,7 @@ def by_market_of_stretches(dates: list[list[dt.date]], rows: DataFrame) -> DataF
     out = sums.withColumns(held_so_far | {"_until": until}).filter("_until > at").withColumn("_at", F.explode(F.sequence("at", F.col("_until") - 1)))
     out = out.withColumns({c: F.when(F.col("_at") == F.col("at"), F.col(c)).otherwise(0) for c in counts[3:]}).filter("n > 0")
     day = lambda at: F.to_date(F.get(_by_scope([[str(d) for d in x] for x in dates], "array<string>"), at))
-    served = rows.groupBy("scope", "market", "first", "past").agg(F.min("served_crawl_date").alias("_served"))
+    served = rows.groupBy("scope", "market", "first", "past").agg(F.min("_served").alias("_served"))
     served = served.withColumn("_at", F.explode(F.sequence("first", F.col("past") - 1))).groupBy("scope", "market", "_at").agg(F.min("_served").alias("_served"))
     out = out.join(served, ["scope", "market", "_at"])
     past_w = Window.partitionBy("scope", "market").orderBy("_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -181,13 +181,40 @@ def macro_monthly_of_periods(calendar: Calendar, periods: DataFrame, markets: Da
     """macro_monthly() from the stretches of a calendar's month ends in which a price is known (asof.known_periods()).
 
     Within a stretch the price of the month before is the same, at its start that of the stretch before, so only stretches are sorted.
+    A stretch adds to the counts and sums of its price where it begins and ends, and these are running sums: rows by product and month
+    are not made.
     """
     w = Window.partitionBy(key, "chain").orderBy("start")
-    before = F.when(F.lag("end").over(w) == F.col("start"), F.lag("price_local").over(w))
-    rows = periods.withColumn("_before", before).withColumn("_at", F.explode(F.sequence("start", F.col("end") - 1)))
-    price = F.when(F.col("_at") > F.col("start"), F.col("price_local")).otherwise(F.col("_before"))
-    rows = rows.withColumns({"as_of_date": calendar.day(F.col("chain"), F.col("_at")), "price_before": price})
-    return _monthly(rows.withColumn("product_change", F.try_divide("price_local", "price_before") - 1), markets, by)
+    rows = periods.withColumn("_before", F.when(F.lag("end").over(w) == F.col("start"), F.lag("price_local").over(w)))
+    change = F.try_divide("price_local", "_before") - 1
+    kinds = {"_n": "bigint", "_rest": "bigint", "_first": "bigint", "_changes": rows.select(change).schema[0].dataType, "_up": "bigint", "_was": rows.schema["price_local"].dataType}
+
+    def event(at: Column, **x: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), *[x.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()])
+
+    one, less, lasts = F.lit(1), F.lit(-1), (F.col("end") > F.col("start") + 1) & F.col("price_local").isNotNull()
+    begins = event(F.col("start"), _n=one, _first=F.when(F.col("_before").isNotNull(), 1), _changes=change, _up=F.when(change > 0, 1), _was=F.col("_before"))
+    events = F.array_compact(F.array(begins, F.when(lasts, event(F.col("start") + 1, _rest=one)), event(F.col("end"), _n=less, _rest=F.when(lasts, less))))
+    group = [*by[1:], "price_local", "chain"]
+    sums = rows.select(*group, F.explode(events).alias("_e")).groupBy(*group, F.col("_e.at").alias("_at")).agg(*[F.sum(f"_e.{c}").alias(c) for c in kinds])
+    # From here on there is a row for each price and month end at most, however many products have it.
+    w = Window.partitionBy(*group).orderBy("_at")
+    held = {c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0)) for c in ("_n", "_rest")}
+    until = F.coalesce(F.lead("_at").over(w), calendar.size(F.col("chain")))
+    out = sums.withColumns(held | {"_until": until}).filter("_n > 0 and _until > _at").withColumn("_on", F.explode(F.sequence("_at", F.col("_until") - 1)))
+    new = {c: F.when(F.col("_on") == F.col("_at"), F.col(c)) for c in ("_first", "_changes", "_up", "_was")}
+    out = out.withColumns(new | {"as_of_date": calendar.day(F.col("chain"), F.col("_on"))})
+    zero, price = F.lit(0), F.col("price_local")
+    pairs = F.coalesce("_first", zero) + F.col("_rest")
+    held_price = F.when(F.col("_rest") > 0, price * F.col("_rest"))
+    was = F.when(pairs > 0, F.coalesce("_was", zero) + F.coalesce(held_price, zero))
+    parts = out.select(
+        *by, "price_local", "_n", pairs.alias("_pairs"), F.when(pairs > 0, F.coalesce("_changes", zero)).alias("_changes"), F.coalesce("_up", zero).alias("_up"),
+        F.when(pairs > 0, price * pairs).alias("_now"), was.alias("_before"),
+    )
+    if len(calendar.days) > 1:  # a date can be on several staircases
+        parts = parts.groupBy(*by, "price_local").agg(*[F.sum(c).alias(c) for c in parts.columns if c not in (*by, "price_local")])
+    return _of_prices(parts, markets, by)
 
 
 def _monthly(rows: DataFrame, markets: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -198,6 +225,11 @@ def _monthly(rows: DataFrame, markets: DataFrame, by: Sequence[str]) -> DataFram
         F.count(F.lit(1)).alias("_n"), F.count("price_before").alias("_pairs"), F.sum(change).alias("_changes"), F.count_if(change > 0).alias("_up"),
         F.sum(F.when(paired, F.col("price_local"))).alias("_now"), F.sum("price_before").alias("_before"),
     )
+    return _of_prices(parts, markets, by)
+
+
+def _of_prices(parts: DataFrame, markets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The monthly table from the counts and sums of each price in a group."""
     parts = materialise(parts, "by-price")
     totals = parts.groupBy(*by).agg(
         *_levels("price_local", "_n"), F.sum("_pairs").alias("lfl_n_products"), F.try_divide(F.sum("_changes"), F.sum("_pairs")).alias("lfl_mean_change"),

@@ -1,11 +1,12 @@
 """Steps that must not grow faster than their input give what the plain ones give."""
 
 import datetime as dt
+from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
-from pricelens.operators import asof, staging
+from pricelens.operators import asof, marts, staging
 
 
 def test_identity_before_the_parse_equals_the_steps_after_it(spark):
@@ -41,3 +42,30 @@ def test_served_batches_need_no_objects(spark):
     served = asof.served_periods(calendar, batches, pages).select(cols).collect()
     assert served == asof.catalogue_periods(calendar, batches, pages, prices).select(cols).distinct().collect()
     assert [r["market"] for r in served] == ["A"]
+
+
+def test_places_by_table_equal_those_by_search(spark, monkeypatch):
+    cuts = [-3 * asof.DAY_MICROS + 5, -asof.DAY_MICROS, 7, 4 * asof.DAY_MICROS, 6 * asof.DAY_MICROS - 1]
+    days = [-3, -1, 0, 4, 5]
+    spots = sorted({c + d for c in cuts for d in (-1, 0, 1, asof.DAY_MICROS, -asof.DAY_MICROS)} | {-(10**15), 10**15})
+    at = spark.createDataFrame([(x,) for x in spots], "x bigint")
+    table = [r[0] for r in at.orderBy("x").select(asof._below(cuts, F.col("x"), "bigint")).collect()]
+    assert table == [sum(c < x for c in cuts) for x in spots]
+    plan = at.select(asof._below(cuts, F.col("x"), "bigint"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    near = spark.createDataFrame([(x,) for x in range(-6, 9)], "x int")
+    assert [r[0] for r in near.orderBy("x").select(asof._below(days, F.col("x"), "int")).collect()] == [sum(d < x for d in days) for x in range(-6, 9)]
+    monkeypatch.setattr(asof, "TABLE_STEPS", 0)
+    assert [r[0] for r in at.orderBy("x").select(asof._below(cuts, F.col("x"), "bigint")).collect()] == table
+
+
+def test_the_monthly_table_from_running_sums_counts_every_product(spark):
+    calendar = asof.Calendar([list(range(19753, 19753 + 31 * 4, 31))], [[1, 2, 3, 4]])
+    rows = [(f"o{i}", 0, 0, 4, "A", D(10), "M") for i in range(50)] + [("p", 0, 0, 1, "A", D(10), "M"), ("p", 0, 1, 3, "A", D(12), "M"), ("q", 0, 2, 4, "A", None, "M")]
+    periods = spark.createDataFrame(rows, "object_id string, chain int, start int, end int, market string, price_local decimal(18,2), macro_category string")
+    markets = spark.createDataFrame([("A", "EUR")], "market string, currency_code string")
+    out = marts.macro_monthly_of_periods(calendar, periods, markets).orderBy("as_of_date").collect()
+    assert [(r["n_products"], r["lfl_n_products"], r["min_price"], r["max_price"], r["lfl_share_increased"]) for r in out] == [
+        (51, 0, 10, 10, None), (51, 51, 10, 12, D("0.0196")), (52, 51, 10, 12, 0), (51, 50, 10, 10, 0)
+    ]
+    assert [r["lfl_mean_change"] for r in out] == [None, D("0.0039"), 0, 0]
