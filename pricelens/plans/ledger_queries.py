@@ -163,12 +163,12 @@ _HEALTH = f"""{_JUDGED}, h AS (SELECT scope, as_of_date, CASE WHEN bool_or(statu
 
 @query(f"SELECT * FROM ({_HEALTH} SELECT scope, as_of_date, decision FROM h WHERE decision <> 'PASS')")
 def deliveries_to_review(spark, sf):
-    return triage.to_review(marts.delivery_health(catalog._ledger(spark, sf), catalog._releases(spark, sf))).select("scope", "as_of_date", "decision")
+    return triage.to_review(catalog._health(spark, sf)).select("scope", "as_of_date", "decision")
 
 
 @query(f"SELECT * FROM ({_HEALTH} SELECT 'marts' AS dataset, scope, count(*) FILTER (decision = 'PASS') AS n_pass, count(*) FILTER (decision = 'WARN') AS n_warn, count(*) FILTER (decision = 'BLOCK') AS n_block FROM h GROUP BY scope)")
 def decision_tallies(spark, sf):
-    return reports.decision_tallies(marts.delivery_health(catalog._ledger(spark, sf), catalog._releases(spark, sf)))
+    return reports.decision_tallies(catalog._health(spark, sf))
 
 
 @query(
@@ -204,8 +204,8 @@ def stale_evidence(spark, sf):
     none = F.array().cast("array<string>")
     files = b.groupBy("source_file_name").agg(F.min("crawl_date").alias("content_crawl_date"), F.collect_set(F.when(F.col("is_partial"), F.col("market"))).alias("partial_markets"))
     files = files.withColumns({"delivered_file_name": F.col("source_file_name"), "file_crawl_date": F.trunc("content_crawl_date", "MM"), "missing_markets": none, "is_stale_content": F.lit(False), "is_duplicate_content": F.lit(False)})
-    late = catalog._judged(spark, sf, made=made).filter("check_id = 'served_crawl_age_days' and status in ('warn', 'fail')")
-    return triage.explain_stale(catalog._served(spark, sf, made)[1], files, late)
+    judged, served = catalog._judged_ages(spark, sf, made)
+    return triage.explain_stale(served, files, judged.filter("check_id = 'served_crawl_age_days' and status in ('warn', 'fail')"))
 
 
 @query(
