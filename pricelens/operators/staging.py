@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from pricelens.config import HANDLING, CrawlConfig
 from pricelens.functions import text as t
-from pricelens.functions.issues import collect_issues, dq_status
+from pricelens.functions.issues import collect_issues, dq_status, fired, joined, split_labels
 
 #: Column and JSON path of the fields that are read as text.
 FIELDS = {
@@ -213,7 +213,7 @@ def repair_lines(parsed: DataFrame, cfg: CrawlConfig) -> DataFrame:
             "product_name_unescaped": t.unescape_html(c("product_name_raw")),
             "categories": F.transform("categories_raw", t.repair_mojibake),
             "product_details": F.transform_values("product_details_raw", lambda k, v: t.repair_mojibake(v)),
-            "had_mojibake": F.coalesce(F.exists("categories_raw", t.has_mojibake), F.lit(False)) | F.coalesce(F.exists(F.map_values("product_details_raw"), t.has_mojibake), F.lit(False)),
+            "had_mojibake": F.coalesce(t.has_mojibake(F.concat_ws("\n", "categories_raw", F.map_values("product_details_raw"))), F.lit(False)),
             "http_status": c("http_status_raw").try_cast("int"),
             "is_valid": t.text_boolean(c("is_valid_raw")),
             "validation_errors": F.coalesce("validation_errors_raw", F.array().cast("array<string>")),
@@ -261,6 +261,38 @@ def stage_parsed(parsed: DataFrame, cfg: CrawlConfig | None = None, handling=HAN
     return df.select(*STAGED)
 
 
+#: Rules that compare the lines of a file; all others look at one line.
+COMPARED = ("exact_duplicate_line", "conflicting_duplicate")
+
+
+def stage_columns(bronze: DataFrame, columns: Sequence[str], cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:
+    """Some columns of stage_observations(), and raw_line if asked for: lines are parsed once, before the shuffle, which moves what the
+    columns are made from and a digest in place of the line.
+    """
+    cfg = cfg or CrawlConfig()
+    df = repair_lines(parse_lines(parse_file_name(bronze)), cfg)
+    df = df.withColumns({"_hash": F.xxhash64("raw_line"), "_line": F.unhex(F.sha2("raw_line", 256)), "identical_line_ordinal": F.lit(1), "has_conflicting_duplicate": F.lit(False)})
+    rules = line_rules(cfg)
+    names = list(rules)
+    first, last = names.index(COMPARED[0]), names.index(COMPARED[-1]) + 1
+    alone = lambda some: fired({n: rules[n] for n in some})
+    df = df.withColumns({"_before": joined([F.col("price_parse_issue"), *alone(names[:first])]), "_after": joined(alone(names[last:]))})
+    plain = {"product_name_normalized": F.lower("product_name"), "product_url": t.blank_to_null(F.col("product_url_raw")), "preview_url": t.blank_to_null(F.col("preview_url_raw")), "source_name": F.col("source_raw")}
+    moved = [c for c in columns if c not in ("crawl_line_id", "dq_issues", "dq_status")]
+    moved += [c for c in ("raw_line",) if "crawl_line_id" in columns and c not in moved]
+    held = [c for c in ("source_file_name", "object_id", "loaded_at") if c not in moved]
+    df = df.withColumns(plain).select(*moved, *held, "_hash", "_line", "_before", "_after")
+    same = Window.partitionBy("source_file_name", "object_id", "_hash", "_line").orderBy("loaded_at")
+    mates = Window.partitionBy("source_file_name", "object_id").orderBy("_hash", "_line", "loaded_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumn("identical_line_ordinal", F.row_number().over(same))
+    df = df.withColumn("has_conflicting_duplicate", F.min("_hash").over(mates) != F.max("_hash").over(mates))
+    if "crawl_line_id" in columns:
+        df = df.withColumn("crawl_line_id", line_id())
+    compared = {"exact_duplicate_line": F.col("identical_line_ordinal") > 1, "conflicting_duplicate": F.col("has_conflicting_duplicate")}
+    df = df.withColumn("dq_issues", split_labels(joined([F.col("_before"), *fired(compared), F.col("_after")])))
+    return df.withColumn("dq_status", dq_status(F.col("dq_issues"), handling)).select(*columns)
+
+
 def stage_observations(bronze: DataFrame, cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:
     """Staged observations of bronze lines: identity, file name, one parse, repairs, rules, status."""
     return stage_parsed(parse_lines(parse_file_name(with_identity(bronze, cfg or CrawlConfig()))), cfg, handling)

@@ -116,18 +116,20 @@ c AS (SELECT *, row_number() OVER (PARTITION BY month, m, l_partkey, o, l_linenu
 q AS (SELECT *, o % 13 = 0 OR o % 19 = 0 OR o % 37 = 0 OR conflict AS quarantine, o % 23 = 0 AS warn, o % 11 = 0 OR o % 17 = 0 OR (o % 29 = 0) OR o % 31 = 0 OR again AS fix FROM c)"""
 
 
-def _staged(spark, sf):
-    return staging.stage_observations(crawl_lines(spark, sf))
+def _staged(spark, sf, *columns):
+    """Those columns of the staged lines that a query counts, or all."""
+    lines = crawl_lines(spark, sf)
+    return staging.stage_columns(lines, columns) if columns else staging.stage_observations(lines)
 
 
 def _statuses(spark, sf):
     """What of the staged lines is counted twice, written once."""
-    return materialise(_staged(spark, sf).select("source_file_name", "sku", "dq_status"), "statuses")
+    return materialise(_staged(spark, sf, "source_file_name", "sku", "dq_status"), "statuses")
 
 
 @query(_LINES + " SELECT month AS file_crawl_date, CASE WHEN quarantine THEN 'quarantine' WHEN warn THEN 'warn' WHEN fix THEN 'fixed' ELSE 'pass' END AS dq_status, count(*) AS n, sum(CASE WHEN o % 13 <> 0 THEN price END)::BIGINT AS total FROM q GROUP BY ALL")
 def staged_status(spark, sf):
-    return _staged(spark, sf).groupBy("file_crawl_date", "dq_status").agg(F.count(F.lit(1)).alias("n"), F.sum("price_local").cast("bigint").alias("total"))
+    return _staged(spark, sf, "file_crawl_date", "dq_status", "price_local").groupBy("file_crawl_date", "dq_status").agg(F.count(F.lit(1)).alias("n"), F.sum("price_local").cast("bigint").alias("total"))
 
 
 @query(
@@ -137,7 +139,7 @@ CASE WHEN o % 19 = 0 THEN 'http_error_or_invalid' END, CASE WHEN o % 23 = 0 THEN
 CASE WHEN o % 37 = 0 THEN 'currency_market_mismatch' END, CASE WHEN conflict THEN 'conflicting_duplicate' END, CASE WHEN again THEN 'exact_duplicate_line' END], lambda x: x IS NOT NULL)) AS r FROM q) GROUP BY r"""
 )
 def staged_issues(spark, sf):
-    return _staged(spark, sf).select(F.explode("dq_issues").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    return _staged(spark, sf, "dq_issues").select(F.explode("dq_issues").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -147,13 +149,13 @@ CASE WHEN o % 29 = 0 THEN 'timestamp_epoch_seconds' END, CASE WHEN o % 31 = 0 TH
 (VALUES ('exact_duplicate_line', '<whole line>'), ('name_html_entity', 'product_name'), ('market_recovered_from_source', 'market'), ('timestamp_epoch_seconds', 'crawled_at'), ('is_valid_as_string', 'is_valid')) v(k, f) WHERE k = r GROUP BY ALL"""
 )
 def repairs_by_rule(spark, sf):
-    return quality.repairs(_staged(spark, sf)).groupBy("repair_rule", "repaired_field").agg(F.count(F.lit(1)).alias("n"))
+    # The columns whose values the repairs show come along; what isn't counted of them is pruned.
+    return quality.repairs(_staged(spark, sf, *staging.STAGED)).groupBy("repair_rule", "repaired_field").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(_LINES + " SELECT month AS file_crawl_date, count(*) AS n FROM q WHERE quarantine GROUP BY ALL")
 def quarantined_lines(spark, sf):
-    lines = staging.with_line_id(crawl_lines(spark, sf))
-    out = quality.quarantined(_staged(spark, sf), lines).filter(F.size("quarantine_reasons") > 0)
+    out = quality.quarantined(_staged(spark, sf, "file_crawl_date", "dq_issues", "dq_status", "raw_line")).filter(F.size("quarantine_reasons") > 0)
     return out.groupBy("file_crawl_date").agg(F.count(F.lit(1)).alias("n"))
 
 

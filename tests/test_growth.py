@@ -69,3 +69,14 @@ def test_the_monthly_table_from_running_sums_counts_every_product(spark):
         (51, 0, 10, 10, None), (51, 51, 10, 12, D("0.0196")), (52, 51, 10, 12, 0), (51, 50, 10, 10, 0)
     ]
     assert [r["lfl_mean_change"] for r in out] == [None, D("0.0039"), 0, 0]
+
+
+def test_staging_by_columns_equals_the_whole(spark):
+    line = '{"objectID":"%s","source":"Brand_FRA","market":%s,"skus":%s,"name":"%s","productDetails":[{"key":"color","value":"bÃ©"},{"key":"color","value":"red"}],"categories":["bÃ©"]}'
+    texts = [line % x for x in (("Brand_FRA_A1", "null", '["a 1"]', "x"), ("other", '"FRA"', '["A1"]', "y"), ("Brand_FRA_B2", '"FRA"', "[]", "x"), ("Brand_FRA_B2", '"FRA"', "[]", "x"))]
+    rows = [(t, f, dt.datetime(2024, 1, 1 + i)) for i, t in enumerate([*texts, "no json"]) for f in ("BrandIntl_2024-01-01_x.gz", "a%20b+c.gz")]
+    bronze = spark.createDataFrame(rows, "raw_line string, source_file_name string, loaded_at timestamp")
+    some = ["crawl_line_id", "object_id", "file_crawl_date", "price_local", "product_name_normalized", "dq_issues", "dq_status"]
+    few = staging.stage_columns(bronze, some)
+    assert sorted(map(str, few.collect())) == sorted(map(str, staging.stage_observations(bronze).select(some).collect()))
+    assert staging.stage_columns(bronze, ["dq_status"])._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
