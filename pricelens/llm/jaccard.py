@@ -2,9 +2,9 @@
 
 Documents whose sets of hashed five-word n-grams (words are lower-cased and divided by white space) have a Jaccard similarity
 of at least THRESHOLD are linked. Band and row counts follow from the target recall. Documents with equal sets are one text, so
-copies are never compared. Bands are shuffled alone, as hashes. The texts of a band are a bucket; of buckets with the same
-texts one is kept. Full sets are shuffled to the buckets that are kept, in blocks of bounded size, and each pair is verified in
-the first bucket that it shares, so a chain of weak candidates brings no unrelated texts together. A group of texts is never
+copies are never compared. Bands are shuffled alone, as hashes and once. The texts of a band are a bucket; of buckets with the same
+texts one is kept. Packed texts, which are a fraction of their sets of hashes, are shuffled to the buckets that are kept, in blocks of
+bounded size, and each pair is verified on full sets in the first bucket that it shares, so a chain of weak candidates brings no unrelated texts together. A group of texts is never
 expanded into rows of pairs: tasks return link counts and a spanning forest.
 
 Defined results: a null or empty text, or one of white space only, has no n-grams and links to nothing; a text of fewer than five
@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import map_rows, ship, small, stash
 from .components import components
@@ -83,6 +84,16 @@ def digest_of(grams: np.ndarray) -> bytes | None:
     return hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None
 
 
+def pack(text: str) -> tuple[int, bytes]:
+    """Number of bytes of a text, and these compressed."""
+    raw = text.encode("utf-8", "surrogatepass")
+    return len(raw), pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack(size: int, packed: bytes) -> str:
+    return pa.decompress(packed, size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass")
+
+
 def signatures(docs: DataFrame, text: str, id_col: str, n: int, bands: int, rows: int) -> DataFrame:
     """id, digest of the set (null without n-grams) and band hashes, for rows with an id."""
 
@@ -147,10 +158,12 @@ def buckets(texts: DataFrame) -> DataFrame:
     """band, digest and number of texts n, of every text in a bucket of two texts or more; of buckets with equal texts one."""
     width = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shared = texts.select("digest", F.explode("bands").alias("band")).repartition(width, "band")
+    # Nearly every band is one text's alone. The others are written, so that all bands are shuffled once.
+    shared = stash(shared.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("band"))).filter("n > 1"), "shared")
     # The digests' halves, hashed and summed over a bucket, and their number and the least of them tell buckets apart.
     total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "digest").cast("decimal(20,0)"))
-    kinds = shared.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("digest").alias("first"), total(1).alias("s1"), total(2).alias("s2")).filter("n > 1")
-    kept = stash(kinds.groupBy("n", "first", "s1", "s2").agg(F.min("band").alias("band")).select("band", "n"), "buckets")
+    kinds = shared.groupBy("band").agg(F.first("n").alias("n"), F.min("digest").alias("first"), total(1).alias("s1"), total(2).alias("s2"))
+    kept = stash(kinds.groupBy("n", "first", "s1", "s2").agg(F.min("band").alias("band")).select("band"), "buckets")
     return shared.join(small(kept), "band").select("band", "digest", "n")
 
 
@@ -169,28 +182,29 @@ def link_texts(docs: DataFrame, texts: DataFrame, text: str, id_col: str, n: int
         sign = Signer(bands, rows)
 
         def fn(cols):
-            sets = [grams_of(t, n) for t in cols[0]]
-            return {"digest": [digest_of(g) for g in sets], "grams": [g.view(np.int64).tolist() for g in sets], "bands": [sign(g).tolist() if len(g) else [] for g in sets]}
+            sets, packed = [grams_of(t, n) for t in cols[0]], [pack(t or "") for t in cols[0]]
+            return {
+                "digest": [digest_of(g) for g in sets], "size": [size for size, _ in packed], "packed": [x for _, x in packed],
+                "bands": [sign(g).tolist() if len(g) else [] for g in sets],
+            }
 
         return fn
 
     # An id can have several texts; those that aren't candidates find nothing in the join by digest.
     chosen = docs.select(F.col(id_col).alias("node"), F.col(text).alias("_text")).join(small(nodes), "node").select("_text")
-    sets = stash(map_rows(chosen, make, "digest binary, grams array<bigint>, bands array<bigint>"), "sets")
+    sets = stash(map_rows(chosen, make, "digest binary, size bigint, packed binary, bands array<bigint>"), "packed")
     placed = sets.join(small(found, BROADCAST_FOUND), "digest")
     kept = F.transform("bands", lambda x: F.when(F.array_contains("found.band", x), x).otherwise(F.lit(0).cast("bigint")))
-    placed = placed.select("digest", "grams", kept.alias("bands"), F.explode("found").alias("at"))
+    placed = placed.select("digest", "size", "packed", kept.alias("bands"), F.explode("found").alias("at"))
     blocks = F.ceil(F.col("at.n") / BLOCK_TEXTS).cast("int")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("digest"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    placed = placed.select(F.col("at.band").alias("band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "digest", "grams", "bands")
+    placed = placed.select(F.col("at.band").alias("band"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "digest", "size", "packed", "bands")
     out = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("n_links", T.LongType()), T.StructField("root", T.BinaryType())])
 
     def verify(table: pa.Table) -> pa.Table:
         at = {d: i for i, d in enumerate(table["digest"].to_pylist())}  # a row can be repeated
         table = table.take([at[d] for d in sorted(at)])
-        flat = table["grams"].combine_chunks()
-        values, ends = flat.values.to_numpy(), flat.offsets.to_numpy()
-        grams = [values[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+        grams = [grams_of(unpack(size.as_py(), x.as_py()), n) for size, x in zip(table["size"], table["packed"], strict=True)]
         grid = np.asarray(table["bands"].to_pylist(), dtype=np.int64)
         count, root = _jaccard_links(grid, table["band"][0].as_py(), grams, table["block"].to_numpy(), threshold)
         on = np.flatnonzero(count)

@@ -126,3 +126,23 @@ def test_a_chain_of_weak_candidates_and_a_long_text(spark):
 
 def test_join_of_nothing(spark):
     assert jaccard.near_duplicates(docs(spark, [])).count() == 0 and jaccard.keep_one(docs(spark, [])).count() == 0
+
+
+def test_bands_are_shuffled_once(spark, monkeypatch):
+    plans = []
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    keep = jaccard.stash
+    monkeypatch.setattr(jaccard, "stash", lambda df, what: (plans.append(plan(df)), keep(df, what))[1])
+    rows = [(b"a", [1, 2, 3]), (b"b", [1, 2, 4]), (b"c", [3, 5, 6]), (b"d", [7, 8, 9])]
+    out = jaccard.buckets(spark.createDataFrame(rows, "digest binary, bands array<bigint>"))
+    plans.append(plan(out))
+    assert sum(p.count("Generate explode(bands") for p in plans) == 1
+    got = sorted((r["band"], bytes(r["digest"]), r["n"]) for r in out.collect())
+    assert got == [(1, b"a", 2), (1, b"b", 2), (3, b"a", 2), (3, b"c", 2)]
+
+
+def test_texts_travel_packed():
+    rng = random.Random(4)
+    texts = ["", "É \ud800 x", *(" ".join(f"w{rng.randrange(4000)}" for _ in range(n)) for n in (1, 300, 20_000))]
+    assert [jaccard.unpack(*jaccard.pack(t)) for t in texts] == texts
+    assert all(3 * len(jaccard.pack(t)[1]) < jaccard.grams_of(t).nbytes for t in texts[3:])
