@@ -58,11 +58,24 @@ class Context:
     def markets_of(self) -> DataFrame:
         return by_market(self.scoped) if self.counted is None else self.counted
 
+    @cached_property
+    def dates(self) -> list[list[dt.date]]:
+        return dates_of(self.deliveries)
+
+    @cached_property
+    def sizes(self) -> DataFrame:
+        """Rows and age of each delivery and market, whatever they are held against."""
+        return materialise(self.markets_of.select("scope", "as_of_date", "market", "n", "age_days"), "sizes")
+
+    @cached_property
+    def shelves(self) -> DataFrame:
+        """Priced stretches by object, written once for all bases that are asked about."""
+        rows = stretches_of_rows(self.dates, self.scoped) if self.stretches is None else self.stretches
+        return materialise(shelves_of(rows), "shelves")
+
     def against(self, bases: DataFrame) -> Context:
-        """This context with its counts held against ``bases`` (see by_market_against())."""
-        dates = dates_of(self.deliveries)
-        rows = stretches_of_rows(dates, self.scoped) if self.stretches is None else self.stretches
-        return replace(self, counted=by_market_against(dates, rows, bases))
+        """This context with its counts held against ``bases`` (see by_market_of_shelves())."""
+        return replace(self, counted=by_market_of_shelves(self.dates, self.shelves, self.sizes, bases))
 
 
 @dataclass(frozen=True)
@@ -256,33 +269,44 @@ def by_market_of_stretches(dates: list[list[dt.date]], rows: DataFrame) -> DataF
     return out.select("scope", "as_of_date", "prev_date", "market", "n", "age_days", "n1", "changed", "fallen", "n2", "reverted", "n_before")
 
 
+def shelves_of(rows: DataFrame) -> DataFrame:
+    """The priced stretches of each object in a scope, in one row: held, with first, past, market and price_local."""
+    held = F.struct("first", "past", "market", "price_local")
+    return rows.filter("price_local is not null").groupBy("scope", "object_id").agg(F.collect_list(held).alias("held"))
+
+
 def by_market_against(dates: list[list[dt.date]], rows: DataFrame, bases: DataFrame) -> DataFrame:
-    """by_market() of deliveries held against others than the two before them, from stretches, with the column case.
+    """by_market_of_shelves() from stretches, for bases that are asked about once."""
+    return by_market_of_shelves(dates, shelves_of(rows), by_market_of_stretches(dates, rows).select("scope", "as_of_date", "market", "n", "age_days"), bases)
+
+
+def by_market_of_shelves(dates: list[list[dt.date]], shelves: DataFrame, sizes: DataFrame, bases: DataFrame) -> DataFrame:
+    """by_market() of deliveries held against others than the two before them, with the column case.
 
     ``bases`` has case, scope, as_of_date, prev_date and prev2_date (nulls: none), any number of rows for a delivery; like the calendar
-    it is small. A stretch meets the cases whose delivery or base it covers, and an object's rows of a case meet in one sum.
+    it is small. How many rows a delivery and market have (``sizes``) depends on no base. Prices are compared within an object's own
+    row (see shelves_of()) and counted at once, so that no object's rows by case are shuffled.
     """
     number = {(scope, d): i for scope, of in zip(SCOPES, dates, strict=True) for i, d in enumerate(of)}
-    spots = [(r["scope"], number[r["scope"], d], r["case"], k) for r in bases.collect() for k, d in enumerate((r["as_of_date"], r["prev_date"], r["prev2_date"])) if d is not None]
-    wanted = [sorted({at for s, at, _, _ in spots if s == scope}) for scope in SCOPES]
-    before = [[bisect_left(w, i) for i in range(len(of) + 1)] for w, of in zip(wanted, dates, strict=True)]
-    place = lambda at: F.get(_by_scope(before, "array<int>"), F.col(at))
-    covered = rows.withColumns({"_a": place("first"), "_b": place("past")}).filter("_a < _b").withColumn("_i", F.explode(F.sequence("_a", F.col("_b") - 1)))
-    covered = covered.withColumn("at", F.get(_by_scope(wanted, "array<int>"), F.col("_i")))
-    table = rows.sparkSession.createDataFrame(spots, "scope string, at int, case int, k int")
-    hit = covered.join(F.broadcast(table), ["scope", "at"])
-    at = lambda k, c: F.max(F.when(F.col("k") == k, F.col(c)))
-    one = hit.groupBy("scope", "case", "object_id").agg(
-        at(0, "market").alias("market"), at(1, "market").alias("market1"), at(0, "price_local").alias("p"), at(1, "price_local").alias("p1"), at(2, "price_local").alias("p2"), at(0, "served_crawl_date").alias("served")
-    )
-    p, a, b = F.col("p"), F.col("p1"), F.when(F.col("p1").isNotNull(), F.col("p2"))
-    sums = one.withColumn("market", F.coalesce("market", "market1")).filter("market is not null").groupBy("scope", "case", "market").agg(
-        F.count(F.when(F.col("served").isNotNull(), 1)).alias("n"), F.count("market1").alias("n_before"), F.min("served").alias("_served"),
-        F.count_if(p.isNotNull() & a.isNotNull()).alias("n1"), F.count_if(p != a).alias("changed"), F.count_if(p < a).alias("fallen"),
-        F.count_if(p.isNotNull() & b.isNotNull()).alias("n2"), F.count_if((p != a) & (p == b)).alias("reverted"),
+    asked = [(r["scope"], number[r["scope"], r["as_of_date"]], r["case"], *[number.get((r["scope"], d)) for d in (r["prev_date"], r["prev2_date"])]) for r in bases.collect()]
+    asked = [x for x in asked if x[3] is not None]  # without the first base no price is compared
+    table = shelves.sparkSession.createDataFrame(asked, "scope string, at int, case int, one int, two int")
+    covers = lambda x, at: (x["first"] <= F.col(at)) & (F.col(at) < x["past"])
+    at = lambda c, spot: F.array_max(F.transform(F.filter("held", lambda x: covers(x, spot)), lambda x: x[c]))
+    spots = F.array_distinct(F.flatten(F.transform("held", lambda x: F.sequence(x["first"], x["past"] - 1))))
+    # An object that is priced at one delivery alone has nothing to be compared with.
+    rows = shelves.select("scope", "held", spots.alias("_spots")).filter(F.size("_spots") > 1).select("scope", "held", F.explode("_spots").alias("at"))
+    rows = rows.withColumns({"market": at("market", "at"), "p": at("price_local", "at")}).join(F.broadcast(table), ["scope", "at"])
+    rows = rows.withColumn("p1", at("price_local", "one")).filter("p1 is not null").withColumn("p2", at("price_local", "two"))
+    p, a, b = F.col("p"), F.col("p1"), F.col("p2")
+    pairs = rows.groupBy("case", "market").agg(
+        F.count(F.lit(1)).alias("n1"), F.count_if(p != a).alias("changed"), F.count_if(p < a).alias("fallen"),
+        F.count(b).alias("n2"), F.count_if((p != a) & (p == b)).alias("reverted"),
     )
-    out = sums.filter("n > 0").join(F.broadcast(bases.drop("scope")), "case")
-    out = out.withColumns({"n_before": F.nullif(F.col("n_before"), F.lit(0)), "age_days": F.date_diff("as_of_date", "_served")})
+    # From here on there is a row for each case and market at most.
+    before = sizes.select("scope", F.col("as_of_date").alias("prev_date"), "market", F.col("n").alias("n_before"))
+    out = sizes.join(F.broadcast(bases), ["scope", "as_of_date"]).join(F.broadcast(before), ["scope", "prev_date", "market"], "left").join(pairs, ["case", "market"], "left")
+    out = out.na.fill(0, ["n1", "changed", "fallen", "n2", "reverted"])
     return out.select("scope", "case", "as_of_date", "prev_date", "market", "n", "age_days", "n1", "changed", "fallen", "n2", "reverted", "n_before")
 
 

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
-from pricelens.operators import asof, marts, staging
+from pricelens.operators import asof, gate, marts, staging
 
 
 def test_identity_before_the_parse_equals_the_steps_after_it(spark):
@@ -80,3 +80,16 @@ def test_staging_by_columns_equals_the_whole(spark):
     few = staging.stage_columns(bronze, some)
     assert sorted(map(str, few.collect())) == sorted(map(str, staging.stage_observations(bronze).select(some).collect()))
     assert staging.stage_columns(bronze, ["dq_status"])._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_bases_need_no_rows_by_object_and_case(spark):
+    """Forty bases of one delivery cost no more shuffled rows than one, and count what the catalogue holds."""
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(42)]
+    rows = [("macro", "M", f"o{k}", 0, 42, D(k), days[0]) for k in range(50)] + [("macro", "M", "p", i, i + 1, D(1 + i % 2), days[0]) for i in range(0, 42, 3)]
+    stretches = spark.createDataFrame(rows, "scope string, market string, object_id string, first int, past int, price_local decimal(18,2), served_crawl_date date")
+    ask = lambda n: spark.createDataFrame([(i, "macro", days[41], days[i], days[max(0, i - 1)]) for i in range(n)], "case int, scope string, as_of_date date, prev_date date, prev2_date date")
+    shelves, sizes = gate.shelves_of(stretches).cache(), gate.by_market_of_stretches([[], days], stretches).select("scope", "as_of_date", "market", "n", "age_days").cache()
+    got = {r["case"]: (r["n"], r["n_before"], r["n1"], r["changed"], r["n2"]) for r in gate.by_market_of_shelves([[], days], shelves, sizes, ask(41)).collect()}
+    assert got == {i: (50, 50 + (i % 3 == 0), 50, 0, 50) for i in range(41)}
+    plan = gate.by_market_of_shelves([[], days], shelves, sizes, ask(41))._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Aggregate [" in x and "object_id" in x.split("]")[0] and "InMemory" not in x]
