@@ -39,6 +39,16 @@ def scd2_periods(df: DataFrame, key: str, order: Sequence[str], value: str, attr
     )
 
 
+def changed_readings(df: DataFrame, key: str, order: Sequence[str], value: str) -> DataFrame:
+    """The readings that begin a period of scd2_periods() other than a key's first, with the columns that periods have of their start
+    and of the value before: one sort, and no period is put together.
+    """
+    previous = F.lag(value).over(Window.partitionBy(key).orderBy(*order))
+    rows = df.withColumn(f"previous_{value}", previous).filter(F.col(f"previous_{value}").isNotNull() & ~F.col(f"previous_{value}").eqNullSafe(F.col(value)))
+    change = F.round(F.try_divide(F.col(value), F.col(f"previous_{value}")) - 1, 4)
+    return rows.withColumns({"valid_from": F.col(order[0]), "change_vs_previous": change, "price_period_id": surrogate_key(F.col(key), F.col(order[0]))})
+
+
 def change_events(periods: DataFrame, value: str, products: DataFrame | None = None, on: str = "sku") -> DataFrame:
     """Every period but a key's first, with its direction, and the product's columns if given."""
     previous = F.col(f"previous_{value}")

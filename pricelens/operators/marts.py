@@ -246,9 +246,9 @@ def _of_prices(parts: DataFrame, markets: DataFrame, by: Sequence[str]) -> DataF
     )
 
 
-def price_changes(periods: DataFrame, products: DataFrame) -> DataFrame:
-    """Change events of price periods (PRICE_CHANGES), with the product's category."""
-    events = history.change_events(periods, "price_local", products.select("sku", "macro_category"))
+def price_changes(periods: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Change events of price periods or changed readings (PRICE_CHANGES), with the product's category; without ``products`` they have it."""
+    events = history.change_events(periods, "price_local", products if products is None else products.select("sku", "macro_category"))
     renamed = {"price_period_id": "price_change_id", "valid_from": "changed_on_crawl_date", "previous_price_local": "price_before", "price_local": "price_after", "change_vs_previous": "change_pct", "direction": "change_direction"}
     out = events.withColumnsRenamed(renamed)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PRICE_CHANGES])

@@ -157,9 +157,9 @@ for _name, (_request, _text) in POLICIES.items():
 
 def metric_vocabularies(spark, sf):
     """Values of every dimension of the weekly table and of the price changes; all dimensions of the models are there."""
-    out = None
+    out, made = None, catalog._readings(spark, sf)  # both tables are made of the same readings
     for model in ("hero_prices", "price_changes"):
-        table = _TABLES[model](spark, sf)
+        table = _TABLES[model](spark, sf, made=made)
         lacking = set(metrics.MODELS[model].dimensions) - set(table.columns)
         if lacking:
             raise ValueError(f"{model} lacks {sorted(lacking)}")

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
-from pricelens.operators import asof, gate, marts, staging
+from pricelens.operators import asof, gate, history, marts, staging
 
 
 def test_identity_before_the_parse_equals_the_steps_after_it(spark):
@@ -93,3 +93,15 @@ def test_bases_need_no_rows_by_object_and_case(spark):
     assert got == {i: (50, 50 + (i % 3 == 0), 50, 0, 50) for i in range(41)}
     plan = gate.by_market_of_shelves([[], days], shelves, sizes, ask(41))._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.split("\n") if "Aggregate [" in x and "object_id" in x.split("]")[0] and "InMemory" not in x]
+
+
+def test_changed_readings_are_the_starts_of_periods(spark):
+    day = lambda i: dt.date(2024, 1, i)
+    rows = [("a", day(i), i, p) for i, p in enumerate([1, 1, 2, 2, None, 2, 3, 1, 1], 1)] + [("b", day(1), 1, 5), ("b", day(1), 2, 6), ("c", day(3), 1, None), ("c", day(4), 1, 4)]
+    df = spark.createDataFrame(rows, "object_id string, crawl_date date, line_id int, price int")
+    columns = ["price_period_id", "object_id", "price", "previous_price", "change_vs_previous", "valid_from", "direction"]
+    events = lambda of: history.change_events(of, "price").select(columns)
+    got = events(history.changed_readings(df, "object_id", ["crawl_date", "line_id"], "price"))
+    want = events(history.scd2_periods(df, "object_id", ["crawl_date", "line_id"], "price"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 5
+    assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
