@@ -13,15 +13,15 @@ _BETWEEN = "\x01"
 
 
 def joined(labels: Sequence[Column]) -> Column:
-    """Those labels that aren't null, in order, as one text; null without any. Like split_labels() it needs no function by element,
-    which would be interpreted.
+    """Those labels that aren't null, in order, as one text; empty without any. Like split_labels() it needs no function by element,
+    which would be interpreted, and names no label twice, so that each is evaluated once.
     """
-    return F.nullif(F.concat_ws(_BETWEEN, *labels), F.lit(""))
+    return F.concat_ws(_BETWEEN, *labels)
 
 
 def split_labels(text: Column) -> Column:
     """The labels of joined() texts put together by joined(), as an array."""
-    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(F.split(text, _BETWEEN))
+    return F.array_remove(F.split(text, _BETWEEN), "")
 
 
 def present(labels: Sequence[Column]) -> Column:

@@ -31,6 +31,8 @@ FIELDS = {
     "created_at_raw": "createdAt",
     "is_valid_raw": "isValid",
 }
+#: Column and JSON path of the lists of text.
+LISTS = {"skus_raw": "skus", "categories_raw": "categories", "validation_errors_raw": "validationErrors"}
 #: The whole line in one parse; numbers and booleans come as their text.
 LINE = (
     "objectID string, brandId string, name string, url string, previewUrl string, "
@@ -95,9 +97,20 @@ def kv_list_to_map(df: DataFrame, pairs: str, into: str) -> DataFrame:
 def parse_lines(df: DataFrame, json_col: str = "raw_line") -> DataFrame:
     """All fields of FIELDS, the lists and the details map, from one parse of the line."""
     parsed = df.withColumn("_j", F.from_json(json_col, LINE))
-    lists = {"skus_raw": "skus", "categories_raw": "categories", "validation_errors_raw": "validationErrors"}
     parsed = kv_list_to_map(parsed, "_j.productDetails", "product_details_raw")
-    return parsed.withColumns({c: F.col(f"_j.{p}") for c, p in (FIELDS | lists).items()}).drop("_j")
+    return parsed.withColumns({c: F.col(f"_j.{p}") for c, p in (FIELDS | LISTS).items()}).drop("_j")
+
+
+def parse_fields(df: DataFrame, fields: Sequence[str], json_col: str = "raw_line") -> DataFrame:
+    """Some columns of parse_lines() without the details map, from one parse of the line that reads no other fields."""
+    paths = {c: (FIELDS | LISTS)[c] for c in dict.fromkeys(fields)}
+    if not paths:
+        return df
+    held = dict.fromkeys(p.split(".")[0] for p in paths.values())
+    inner = [p.split(".")[1] for p in paths.values() if "." in p]
+    kinds = {"price": "struct<" + ",".join(f"{x}:string" for x in inner) + ">"} | dict.fromkeys(LISTS.values(), "array<string>")
+    parsed = df.withColumn("_j", F.from_json(json_col, ", ".join(f"{h} {kinds.get(h, 'string')}" for h in held)))
+    return parsed.withColumns({c: F.col(f"_j.{p}") for c, p in paths.items()}).drop("_j")
 
 
 def resolve_market(df: DataFrame) -> DataFrame:
@@ -293,6 +306,44 @@ def stage_columns(bronze: DataFrame, columns: Sequence[str], cfg: CrawlConfig |
     return df.withColumn("dq_status", dq_status(F.col("dq_issues"), handling)).select(*columns)
 
 
+_MARKET = ("market_raw", "source_raw")
+_CURRENCY = ("original_currency_raw", *_MARKET)
+_NAME = ("product_name_raw",)
+_SKU = ("skus_raw", "object_id_raw")
+# The fields of the line that a rule on one line is made from; rules that aren't here need the details, or other lines.
+RULE_FIELDS = {
+    "price_numeric_type_drift": (), "missing_price_value": ("price_minor_units_raw",), "currency_code_notation": _CURRENCY, "currency_market_mismatch": _CURRENCY,
+    "name_html_entity": _NAME, "name_whitespace_noise": _NAME, "name_missing": _NAME, "name_case_drift": (*_NAME, "crawler_name"),
+    "sku_format_variant": _SKU, "sku_recovered_from_object_id": _SKU, "market_recovered_from_source": ("market_raw",), "timestamp_epoch_seconds": ("created_at_raw",),
+    "is_valid_as_string": (), "url_missing": ("product_url_raw",), "preview_url_missing": ("preview_url_raw",), "non_product_page": (*_SKU, *_NAME),
+    "http_error_or_invalid": ("http_status_raw", "is_valid_raw"), "is_valid_contradiction": ("validation_errors_raw", "is_valid_raw"),
+}
+# What a price text's class is called as an issue; the price's other issues need the price.
+PRICE_CLASSES = {"on_request": "price_on_request", "from_or_range": "price_from_or_range"}
+
+
+def fired_rules(bronze: DataFrame, rules: Sequence[str], columns: Sequence[str] = (), cfg: CrawlConfig | None = None) -> DataFrame:
+    """Columns of bronze, or fields of its lines, and dq_issues as by stage_observations(), but of these rules alone.
+
+    Only what the rules are made from is read and repaired, and lines are compared, which takes a shuffle, only if a rule does so or needs
+    more than its own fields.
+    """
+    cfg = cfg or CrawlConfig()
+    if not set(rules) <= set(RULE_FIELDS) | set(PRICE_CLASSES.values()):
+        some = F.array(*map(F.lit, rules)).cast("array<string>")
+        return stage_columns(bronze, [*columns, "dq_issues"], cfg).withColumn("dq_issues", F.array_intersect("dq_issues", some))
+    priced = ["original_price_raw"] if set(rules) & set(PRICE_CLASSES.values()) else []
+    read = dict.fromkeys([*[c for c in columns if c in FIELDS | LISTS], *priced, *[f for r in rules for f in RULE_FIELDS.get(r, ())]])
+    df = parse_fields(bronze, list(read))
+    # A field that no rule here is made from stands as null, so that the columns and rules made from it are there to be left out.
+    df = df.withColumns({c: F.lit(None).cast("array<string>" if c in LISTS else "string") for c in FIELDS | LISTS if c not in read})
+    df = df.withColumns({"product_details_raw": F.lit(None).cast("map<string,string>"), "identical_line_ordinal": F.lit(1), "has_conflicting_duplicate": F.lit(False)})
+    df = repair_lines(df, cfg)
+    classes = t.price_text_class(F.col("original_price_raw"))
+    labels = [F.when(classes == kind, F.lit(name)) for kind, name in PRICE_CLASSES.items() if name in rules]
+    return df.select(*columns, collect_issues({n: c for n, c in line_rules(cfg).items() if n in rules}, labels).alias("dq_issues"))
+
+
 def stage_observations(bronze: DataFrame, cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:
     """Staged observations of bronze lines: identity, file name, one parse, repairs, rules, status."""
     return stage_parsed(parse_lines(parse_file_name(with_identity(bronze, cfg or CrawlConfig()))), cfg, handling)

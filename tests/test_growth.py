@@ -6,6 +6,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
+from pricelens.functions.issues import collect_issues
 from pricelens.operators import asof, gate, history, marts, staging
 
 
@@ -105,3 +106,25 @@ def test_changed_readings_are_the_starts_of_periods(spark):
     want = events(history.scd2_periods(df, "object_id", ["crawl_date", "line_id"], "price"))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 5
     assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fired_rules_equal_the_whole_and_compare_no_lines(spark):
+    """Each rule alone, from its own fields, fires on the lines on which it does among all; only rules that compare lines shuffle."""
+    from tests.test_staging import CASES, line, staged
+
+    texts = [x for x, _ in CASES] + [line(price={"original_price": x}) for x in ("Price upon request", "From 1,250", None)] + [line(market=None, source=None), "no json", "{}", None]
+    bronze = staged(spark, texts)
+    whole = [(r["source_file_name"], r["object_id_raw"], set(r["dq_issues"])) for r in staging.stage_observations(bronze).collect()]
+    alone = [*staging.RULE_FIELDS, *staging.PRICE_CLASSES.values()]
+    assert set(alone) == {i for *_, issues in whole for i in issues} - {"category_mojibake", "price_unparseable", *staging.COMPARED}
+    shown = lambda rows: sorted(repr((f, o, sorted(i))) for f, o, i in rows)
+    for some in [*([r] for r in alone), alone, ["name_missing", "category_mojibake", "price_unparseable", *staging.COMPARED]]:
+        got = staging.fired_rules(bronze, some, ["source_file_name", "object_id_raw"])
+        assert shown(map(tuple, got.collect())) == shown((f, o, i & set(some)) for f, o, i in whole), some
+        assert ("Exchange" in got._jdf.queryExecution().executedPlan().toString()) == (not set(some) <= set(alone))
+
+
+def test_a_rule_is_evaluated_once_a_line(spark):
+    plan = spark.createDataFrame([("a", "b")], "x string, y string").select(collect_issues({"one": F.col("x").rlike("p+"), "two": F.col("y").rlike("q+")}).alias("i"))
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2
+    assert plan.first()["i"] == []
