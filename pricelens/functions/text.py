@@ -67,6 +67,13 @@ def _class_of(raw: Column, text: Column) -> Column:
     )
 
 
+def unpriced(raw: Column) -> dict[str, Column]:
+    """The issues of a price text that price_text_class() has without the price: each is tested alone, so one costs no other's patterns."""
+    text = ascii_digits(raw)
+    asked = text.rlike(ON_REQUEST)
+    return {"price_on_request": asked, "price_from_or_range": ~asked & text.rlike(FROM_OR_RANGE)}
+
+
 def _plain_number(c: Column, units: Column) -> Column:
     """Digits and marks with at most a decimal dot; null where dots and commas can't be told apart.
 

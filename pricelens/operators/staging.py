@@ -318,10 +318,6 @@ RULE_FIELDS = {
     "is_valid_as_string": (), "url_missing": ("product_url_raw",), "preview_url_missing": ("preview_url_raw",), "non_product_page": (*_SKU, *_NAME),
     "http_error_or_invalid": ("http_status_raw", "is_valid_raw"), "is_valid_contradiction": ("validation_errors_raw", "is_valid_raw"),
 }
-# What a price text's class is called as an issue; the price's other issues need the price.
-PRICE_CLASSES = {"on_request": "price_on_request", "from_or_range": "price_from_or_range"}
-
-
 def fired_rules(bronze: DataFrame, rules: Sequence[str], columns: Sequence[str] = (), cfg: CrawlConfig | None = None) -> DataFrame:
     """Columns of bronze, or fields of its lines, and dq_issues as by stage_observations(), but of these rules alone.
 
@@ -329,19 +325,17 @@ def fired_rules(bronze: DataFrame, rules: Sequence[str], columns: Sequence[str]
     more than its own fields.
     """
     cfg = cfg or CrawlConfig()
-    if not set(rules) <= set(RULE_FIELDS) | set(PRICE_CLASSES.values()):
+    unpriced = t.unpriced(F.col("original_price_raw"))
+    if not set(rules) <= set(RULE_FIELDS) | set(unpriced):
         some = F.array(*map(F.lit, rules)).cast("array<string>")
         return stage_columns(bronze, [*columns, "dq_issues"], cfg).withColumn("dq_issues", F.array_intersect("dq_issues", some))
-    priced = ["original_price_raw"] if set(rules) & set(PRICE_CLASSES.values()) else []
-    read = dict.fromkeys([*[c for c in columns if c in FIELDS | LISTS], *priced, *[f for r in rules for f in RULE_FIELDS.get(r, ())]])
+    read = dict.fromkeys([*[c for c in columns if c in FIELDS | LISTS], *[f for r in rules for f in RULE_FIELDS.get(r, ("original_price_raw",))]])
     df = parse_fields(bronze, list(read))
     # A field that no rule here is made from stands as null, so that the columns and rules made from it are there to be left out.
     df = df.withColumns({c: F.lit(None).cast("array<string>" if c in LISTS else "string") for c in FIELDS | LISTS if c not in read})
     df = df.withColumns({"product_details_raw": F.lit(None).cast("map<string,string>"), "identical_line_ordinal": F.lit(1), "has_conflicting_duplicate": F.lit(False)})
     df = repair_lines(df, cfg)
-    classes = t.price_text_class(F.col("original_price_raw"))
-    labels = [F.when(classes == kind, F.lit(name)) for kind, name in PRICE_CLASSES.items() if name in rules]
-    return df.select(*columns, collect_issues({n: c for n, c in line_rules(cfg).items() if n in rules}, labels).alias("dq_issues"))
+    return df.select(*columns, collect_issues({n: c for n, c in (unpriced | line_rules(cfg)).items() if n in rules}).alias("dq_issues"))
 
 
 def stage_observations(bronze: DataFrame, cfg: CrawlConfig | None = None, handling=HANDLING) -> DataFrame:

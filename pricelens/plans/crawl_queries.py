@@ -79,7 +79,7 @@ def crawl_lines(spark: SparkSession, sf: str) -> DataFrame:
     market = F.element_at(F.array(*map(F.lit, names)), (F.col("nation") % 5 + 1).cast("int"))
     df = df.withColumns({"market": market, "o": F.col("l_orderkey"), "sku": F.concat(F.lit("P"), F.col("l_partkey").cast("string"))})
     hit = lambda n: F.col("o") % n == 0
-    ms = F.unix_seconds(F.col("day").cast("timestamp")) * 1000
+    ms = F.unix_date("day") * F.lit(86_400_000).cast("bigint")
     money = t.lookup(F.col("market"), CrawlConfig().market_currency)
     fields = [
         ("objectID", F.concat(F.lit('"Brand_'), "market", F.lit("_"), "sku", F.lit('"'))),
@@ -98,7 +98,7 @@ def crawl_lines(spark: SparkSession, sf: str) -> DataFrame:
         ("status", F.when(hit(19), F.lit("404")).otherwise(F.lit("200"))),
         ("source", F.concat(F.lit('"Brand_'), "market", F.lit('"'))),
         ("crawlerName", F.lit('"BrandIntl"')),
-        ("createdAt", F.when(hit(29), F.expr("unix_seconds(cast(day as timestamp))")).otherwise(ms).cast("string")),
+        ("createdAt", F.when(hit(29), F.unix_date("day") * F.lit(86_400).cast("bigint")).otherwise(ms).cast("string")),
         ("skus", F.concat(F.lit('["'), "sku", F.lit('"]'))),
         ("market", F.when(hit(17), F.lit("null")).otherwise(F.concat(F.lit('"'), "market", F.lit('"')))),
         ("isValid", F.when(hit(31), F.lit('"true"')).otherwise(F.lit("true"))),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
 from pricelens.functions.issues import collect_issues
-from pricelens.operators import asof, gate, history, marts, staging
+from pricelens.operators import asof, gate, history, marts, quality, staging
 
 
 def test_identity_before_the_parse_equals_the_steps_after_it(spark):
@@ -115,7 +115,7 @@ def test_fired_rules_equal_the_whole_and_compare_no_lines(spark):
     texts = [x for x, _ in CASES] + [line(price={"original_price": x}) for x in ("Price upon request", "From 1,250", None)] + [line(market=None, source=None), "no json", "{}", None]
     bronze = staged(spark, texts)
     whole = [(r["source_file_name"], r["object_id_raw"], set(r["dq_issues"])) for r in staging.stage_observations(bronze).collect()]
-    alone = [*staging.RULE_FIELDS, *staging.PRICE_CLASSES.values()]
+    alone = [*staging.RULE_FIELDS, "price_on_request", "price_from_or_range"]
     assert set(alone) == {i for *_, issues in whole for i in issues} - {"category_mojibake", "price_unparseable", *staging.COMPARED}
     shown = lambda rows: sorted(repr((f, o, sorted(i))) for f, o, i in rows)
     for some in [*([r] for r in alone), alone, ["name_missing", "category_mojibake", "price_unparseable", *staging.COMPARED]]:
@@ -128,3 +128,23 @@ def test_a_rule_is_evaluated_once_a_line(spark):
     plan = spark.createDataFrame([("a", "b")], "x string, y string").select(collect_issues({"one": F.col("x").rlike("p+"), "two": F.col("y").rlike("q+")}).alias("i"))
     assert plan._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2
     assert plan.first()["i"] == []
+
+
+def test_planted_defects_are_graded_by_one_sum(spark):
+    """Codes that share a rule, unknown codes, lines without an object, repeated lines and whole files; equal lines are put together before
+    the shuffle, and no lines are joined or sorted."""
+    rows = [("f", "1", "o", "A", "fix"), ("f", "2", "o", "A", "fix"), ("f", "3", "p", "A", "fix"), ("f", "1", "o", "B", "warn"), ("f", "4", None, "A", "fix"), ("f", "5", "o", "?", "fix"), ("f", "6", "q", "D", "fix"), ("g", None, None, "F", "block")]
+    manifest = spark.createDataFrame(rows, "file_name string, line_number string, object_id string, defect_code string, expected_handling string")
+    manifest = manifest.withColumns({"field": F.lit("x"), "clean_value": F.lit("a"), "dirty_value": F.lit("b")})
+    seen = [("f", "o", ["url_missing", "name_missing"]), ("f", "o", ["url_missing"]), ("f", None, ["url_missing"]), ("g", "p", ["url_missing"]), ("f", "q", ["url_missing"])]
+    obs = spark.createDataFrame(seen, "file_name string, object_id_raw string, dq_issues array<string>")
+    files = spark.createDataFrame([("g", True, False, [], [])], "file_name string, is_duplicate_content boolean, is_stale_content boolean, partial_markets array<string>, missing_markets array<string>")
+    out = quality.grade(manifest, obs, files, {"A": "url_missing", "B": "url_missing", "D": "name_missing", "E": "name_missing", "F": "file:duplicate_content"})
+    got = {tuple(r) for r in out.collect()}
+    assert got == {
+        ("A", "url_missing", "fix", "warn", 4, 2, 0.5, False), ("B", "url_missing", "warn", "warn", 1, 1, 1.0, True), ("?", None, "fix", None, 1, 0, 0.0, None),
+        ("D", "name_missing", "fix", "quarantine", 1, 0, 0.0, False), ("F", "file:duplicate_content", "block", "block", 1, 1, 1.0, True),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Join" in x and "object_id" in x]
+    assert quality.grade(manifest, obs, files, {}).count() == 5
