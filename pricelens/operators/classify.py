@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.operators.medians import lower_median
+from pricelens.operators.medians import lower_median, with_lower_median
+from pricelens.sources.tables import materialise, small
 
 #: Readings that an object needs before its own history is its reference.
 MIN_HISTORY = 3
@@ -40,23 +41,23 @@ def is_scale_outlier(value: Column, reference: Column) -> Column:
     return F.coalesce((F.abs(whole) >= 1) & (F.abs(ratio - whole) < 0.1), F.lit(False))
 
 
-def anchor_prices(scored: DataFrame, anchor: str, market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
-    """The anchor market's price of each product and crawl, from readings that agree with their own history."""
+def with_anchor_price(scored: DataFrame, anchor: str, market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
+    """Readings with the anchor market's price of their product and crawl, from readings that agree with their own history."""
     own = (F.col("n_candidates") >= MIN_HISTORY) & is_scale_outlier(F.col(value), F.col("usual_value"))
-    rows = scored.filter(F.col("pre_fate").isNull() & (F.col(market) == anchor) & (F.col(value) > 0) & ~F.coalesce(own, F.lit(False)))
-    return lower_median(rows, [sku, date], value, "anchor_price").drop("n_values")
+    anchors = F.col("pre_fate").isNull() & (F.col(market) == anchor) & (F.col(value) > 0) & ~F.coalesce(own, F.lit(False))
+    return with_lower_median(scored, [sku, date], F.when(anchors, F.col(value)), "anchor_price", "_anchors").drop("_anchors")
 
 
-def price_ladder(scored: DataFrame, anchors: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
+def price_ladder(anchored: DataFrame, market: str = "market", value: str = "price_local") -> DataFrame:
     """For each market, the median ratio of its prices to the anchor's."""
-    rows = scored.filter(F.col("pre_fate").isNull() & (F.col(value) > 0)).join(anchors, [sku, date])
+    rows = anchored.filter(F.col("pre_fate").isNull() & (F.col(value) > 0) & F.col("anchor_price").isNotNull())
     ratios = rows.select(market, F.try_divide(F.col(value).cast("double"), F.col("anchor_price").cast("double")).alias("_ratio"))
     return lower_median(ratios, [market], "_ratio", "ladder_factor").drop("n_values")
 
 
-def reference_price(scored: DataFrame, anchors: DataFrame, ladder: DataFrame, market: str = "market", sku: str = "sku", date: str = "crawl_date") -> DataFrame:
+def reference_price(anchored: DataFrame, ladder: DataFrame, market: str = "market") -> DataFrame:
     """The object's own history if it is long enough, else the anchor's price times the market's factor, and which it is."""
-    df = scored.join(anchors, [sku, date], "left").join(ladder, market, "left")
+    df = anchored.join(ladder, market, "left")
     enough = F.coalesce(F.col("n_candidates") >= MIN_HISTORY, F.lit(False))
     by_ladder = F.col("anchor_price").cast("double") * F.col("ladder_factor")
     return df.withColumns(
@@ -68,11 +69,15 @@ def reference_price(scored: DataFrame, anchors: DataFrame, ladder: DataFrame, ma
 
 
 def classify(with_pre_fate: DataFrame, anchor: str, key: str = "object_id", market: str = "market", sku: str = "sku", date: str = "crawl_date", value: str = "price_local") -> DataFrame:
-    """Every reading with its reference, whether it is a scale outlier, and exactly one fate."""
-    candidates = with_pre_fate.filter(F.col("pre_fate").isNull())
-    scored = with_pre_fate.join(usual_value(candidates, key, value), key, "left")
-    anchors = anchor_prices(scored, anchor, market, sku, date, value)
-    df = reference_price(scored, anchors, price_ladder(scored, anchors, market, sku, date, value), market, sku, date)
+    """Every reading with its reference, whether it is a scale outlier, and exactly one fate.
+
+    Readings are shuffled by object and by product and crawl, once each, and written with both medians; the ladder, a row a market, is
+    found from what is written.
+    """
+    candidate = F.col("pre_fate").isNull() & (F.col(value) > 0)
+    scored = with_lower_median(with_pre_fate, [key], F.when(candidate, F.col(value)), "usual_value", "n_candidates")
+    anchored = materialise(with_anchor_price(scored, anchor, market, sku, date, value), "anchored")
+    df = reference_price(anchored, small(materialise(price_ladder(anchored, market, value), "ladder")), market)
     outlier = F.col("reference_method").isNotNull() & is_scale_outlier(F.col(value), F.col("reference_price_local"))
     df = df.withColumn("is_price_scale_outlier", outlier)
     df = df.withColumn("fate", F.coalesce("pre_fate", F.when(F.col("is_price_scale_outlier"), "price_scale_outlier"), F.lit("accepted")))

@@ -43,6 +43,22 @@ def lower_median(df: DataFrame, by: Sequence[str], value: str, name: str, n: str
     return inside.withColumn("_upto", upto).filter(F.col("_upto") >= F.col("_rank")).groupBy(*by).agg(F.min("_v").alias(name), F.first(n).alias(n))
 
 
+def with_lower_median(df: DataFrame, by: Sequence[str], value: Column, name: str, n: str) -> DataFrame:
+    """df with the lower median of its group's values and their number, both null for groups without values and where a part of ``by`` is
+    null, which no join would match.
+
+    Rows are shuffled and sorted once by group, without a second pass that joins them to their median. For groups that one task can sort,
+    as of an object's readings; lower_median() deals out larger ones.
+    """
+    known = F.lit(True)
+    for c in by:
+        known = known & F.col(c).isNotNull()
+    w = Window.partitionBy(*by).orderBy(F.col("_v").asc_nulls_last())
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumn("_v", F.when(known, value)).withColumns({"_at": F.row_number().over(w), n: F.nullif(F.count("_v").over(whole), F.lit(0))})
+    return df.withColumn(name, F.max(F.when(F.col("_at") == F.floor((F.col(n) + 1) / 2), F.col("_v"))).over(whole)).drop("_v", "_at")
+
+
 def joined(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """An inner join on columns of which a null equals a null; the right side's come once."""
     renamed = right.select(*[F.col(c).alias(f"_by{i}") if c in by else F.col(c) for i, c in enumerate(right.columns)])

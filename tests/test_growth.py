@@ -1,13 +1,15 @@
 """Steps that must not grow faster than their input give what the plain ones give."""
 
 import datetime as dt
+import math
+import random
 from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
 from pricelens.config import CrawlConfig
 from pricelens.functions.issues import collect_issues
-from pricelens.operators import asof, gate, history, marts, quality, staging
+from pricelens.operators import asof, classify, gate, history, marts, quality, staging
 
 
 def test_identity_before_the_parse_equals_the_steps_after_it(spark):
@@ -148,3 +150,42 @@ def test_planted_defects_are_graded_by_one_sum(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.split("\n") if "Join" in x and "object_id" in x]
     assert quality.grade(manifest, obs, files, {}).count() == 5
+
+
+def test_readings_are_judged_without_joining_them_to_their_medians(spark):
+    """A large object, ties, prices of nothing, and missing keys, skus, days and markets, against sorting by hand; no reading is joined by a shuffle."""
+    rng = random.Random(7)
+    pick = lambda *xs: rng.choice(xs)
+    rows = [(i, pick("A", "A", "B", "C", None), pick("1", "2", "3", None), pick(1, 2, 3, None), pick(10.0, 10.0, 11.0, 100.0, 1.0, 0.0, None), pick(None, None, None, "blocked")) for i in range(400)]
+    rows = [(i, f"{m}_{s}_{rng.randrange(6)}" if m and s else None, m, s, d and dt.date(2024, 1, d), p and p * {"B": 3, "C": 50}.get(m, 1), f) for i, m, s, d, p, f in rows]
+    rows += [(400 + i, "big", "A", "4", dt.date(2024, 1, 1), float(1 + i * 37 % 5000), None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "line_id int, object_id string, market string, sku string, crawl_date date, price_local double, pre_fate string")
+    out = classify.classify(df, "A")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+    def medians(pairs):
+        groups = {}
+        for k, v in pairs:
+            groups.setdefault(k, []).append(v)
+        return {k: (sorted(v)[(len(v) - 1) // 2], len(v)) for k, v in groups.items()}
+
+    def odd(v, r):
+        ratio = math.log10(v / r) if v and r else 0
+        return abs(round(ratio)) >= 1 and abs(ratio - round(ratio)) < 0.1
+
+    usable = [r for r in rows if r[6] is None and r[5]]
+    usual = medians((r[1], r[5]) for r in usable if r[1])
+    own = lambda r: usual.get(r[1], (None, None))
+    anchors = medians(((r[3], r[4]), r[5]) for r in usable if r[2] == "A" and r[3] and r[4] and not ((own(r)[1] or 0) >= 3 and odd(r[5], own(r)[0])))
+    anchor = lambda r: anchors.get((r[3], r[4]), (None, 0))[0]
+    factor = medians((r[2], r[5] / anchor(r)) for r in usable if r[2] and anchor(r))
+    want = []
+    for r in rows:
+        u, n = own(r)
+        ladder = anchor(r) * factor[r[2]][0] if anchor(r) and r[2] in factor else None
+        ref, how = (u, "history") if (n or 0) >= 3 else (ladder, "price_ladder" if ladder is not None else None)
+        bad = ref is not None and r[5] is not None and odd(r[5], ref)
+        want.append((r[0], u, n, anchor(r), how, ref and round(ref, 2), r[6] or ("price_scale_outlier" if bad else "accepted")))
+    got = out.select("line_id", "usual_value", "n_candidates", "anchor_price", "reference_method", "reference_price_local", "fate").orderBy("line_id").collect()
+    assert [tuple(r) for r in got] == want
